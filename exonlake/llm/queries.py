@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules
+import public_tokenizers
+
+from . import best_fit_packing, jaccard_join, quality_rules
+
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -18,8 +23,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(_read(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op4_quality_rules": op4_quality_rules}
+    return {f.__name__: f for f in (op4_quality_rules, op6_best_fit_packing, op9_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
