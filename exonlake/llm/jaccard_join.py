@@ -10,8 +10,9 @@ those tokens against groups of similar documents:
    few rounds every token names a leader, and members within t of it join it;
 3. groups are cut into blocks of at most ``BLOCK`` members, the matrix is taken
    again as (token, block), and only pairs of blocks of different classes whose
-   bound allows a link (a shared prefix token, and sizes within t) are opened:
-   all their members are compared on whole sets.
+   bound allows a link (a shared prefix token, sizes within t, and the overlap of
+   their token unions, counted by parts of the token space) are opened: all their
+   members are compared on whole sets.
 
 Every pair that could join two classes is compared on exact sets, so no link
 between different classes is lost; pairs already joined need no comparison.
@@ -36,9 +37,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from . import textops as tx
 from .components import merge_labels
-from .store import written
+from .store import dropped, written
 
 BLOCK = 32
+#: Parts of the token space; a signature counts a set's tokens in each.
+PARTS = 512
 ROUNDS = 2
 #: Frequent tokens sent to tasks, at most (12 bytes each).
 MAX_FREQUENT = 200_000
@@ -125,6 +128,54 @@ def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np
     return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, n long")
 
 
+def _with_signatures(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, text, n and sig, the number of the set's tokens in each part of the token space (all 255 if one is over 255)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.chunks(batches):
+            rows, tokens = token_sets(*tx.flat(batch.column("text")), words)
+            n = batch.num_rows
+            counts = np.bincount(rows * PARTS + (tokens % np.uint64(PARTS)).astype(np.int64), minlength=n * PARTS).reshape(n, PARTS)
+            counts[(counts > 255).any(axis=1)] = 255
+            sig = pa.array([c.tobytes() for c in counts.astype(np.uint8)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), pa.array(np.bincount(rows, minlength=n)), sig], names=["doc_id", "text", "n", "sig"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string, n long, sig binary")
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS)
+
+
+def _unions(members: DataFrame) -> DataFrame:
+    """(g, sig): the token union of every group, as the greatest count of each part over its members (g, sig)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        return pa.table({"g": table.column("g")[:1], "sig": pa.array([_matrix(table.column("sig")).max(axis=0).tobytes()], pa.binary())})
+
+    size = members.groupBy("g").agg(F.count("*").alias("_c"))
+    sized = members.join(size, "g")
+    return sized.where("_c = 1").select("g", "sig").unionByName(sized.where("_c > 1").select("g", "sig").groupBy("g").applyInArrow(run, f"g {members.schema['g'].dataType.simpleString()}, sig binary"))
+
+
+def _qualifying(pairs: DataFrame, keep: list[str], percent: int) -> DataFrame:
+    """Pairs (keep, least, sig1, sig2) whose overlap bound allows a link; least is the smallest sum of two set sizes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bound = np.zeros(batch.num_rows, np.int64)
+            for at in range(0, batch.num_rows, 4096):
+                one, two = (_matrix(batch.column(c).slice(at, 4096)) for c in ("sig1", "sig2"))
+                bound[at : at + 4096] = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+            ok = ((100 + percent) * bound >= percent * batch.column("least").to_numpy()) | (bound == 255 * PARTS)
+            yield batch.select(keep).filter(pa.array(ok))
+
+    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in keep)
+    return pairs.select(*keep, "least", "sig1", "sig2").mapInArrow(run, schema)
+
+
 def _open_groups(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between the two sides of each pid; pairs has pid, side, doc_id."""
 
@@ -169,14 +220,18 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     matrix = written(matrix.join(matrix.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token"), "token"), "op9-matrix")
     ids = matrix.select("doc_id").distinct()
     texts = docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids, "doc_id")
-    texts = written(texts, "op9-texts")
+    texts = written(_with_signatures(texts, words), "op9-texts")
+    dropped(tokens)
+    sigs = texts.select("doc_id", "sig")
+    sig = lambda n: sigs.select(F.col("doc_id").alias("ab"[n - 1]), F.col("sig").alias(f"sig{n}"))
+    texts = texts.select("doc_id", "text")
 
     labels = written(ids.withColumn("label", F.col("doc_id")), "op9-labels")
     for k in range(ROUNDS):
         open_rows = _mixed(matrix, labels)
         lead = open_rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id", "label", "n")).alias("l"))
-        edges = open_rows.join(lead, "token").where("label <> l.label and 100 * least(n, l.n) >= {0} * greatest(n, l.n)".format(percent)).select(F.col("doc_id").alias("a"), F.col("l.doc_id").alias("b")).distinct()
-        edges = written(edges, f"op9-edges{k}")
+        edges = open_rows.join(lead, "token").where("label <> l.label and 100 * least(n, l.n) >= {0} * greatest(n, l.n)".format(percent)).select(F.col("doc_id").alias("a"), F.col("l.doc_id").alias("b"), (F.col("n") + F.col("l.n")).alias("least")).distinct()
+        edges = written(_qualifying(edges.join(sig(1), "a").join(sig(2), "b"), ["a", "b"], percent), f"op9-edges{k}")
         blocks = edges.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
         dealt = edges.join(blocks, "b").select("a", "b", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")).alias("pid"))
         sides = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id")).distinct().unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id")))
@@ -188,8 +243,12 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     groups = blocked.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     left, right = (groups.select("token", *(F.col(c).alias(f"{c}{s}") for c in ("g", "low", "high"))) for s in "12")
     bound = left.join(right, "token").where(f"g1.label < g2.label and 100 * high1 >= {percent} * low2 and 100 * high2 >= {percent} * low1")
-    pairs = written(bound.select("g1", "g2").distinct(), "op9-pairs")
-    members = blocked.select("g", "doc_id").distinct()
+    members = written(blocked.select("g", "doc_id").distinct(), "op9-blocks")
+    unions = written(_unions(members.join(sigs, "doc_id").select("g", "sig")), "op9-unions")
+    pairs = bound.groupBy("g1", "g2").agg(F.min(F.col("low1") + F.col("low2")).alias("least"))
+    for n in "12":
+        pairs = pairs.join(unions.select(F.col("g").alias(f"g{n}"), F.col("sig").alias(f"sig{n}")), f"g{n}")
+    pairs = written(_qualifying(pairs, ["g1", "g2"], percent), "op9-pairs")
     sides = pairs.select(F.struct("g1", "g2").alias("pid"), F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))).alias("s"))
     sides = sides.select("pid", "s.side", "s.g").join(members, "g").select("pid", "side", "doc_id")
     labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")

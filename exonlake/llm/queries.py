@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
-from . import best_fit_packing, jaccard_join, quality_rules
+from . import best_fit_packing, decontamination, jaccard_join, pii, quality_rules, suffix_dedup
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,21 +18,34 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).where("leaked").drop("leaked", "cosine")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(_read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pii.find_pii(docs, pii.fit_field(docs))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_read(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_rules, op6_best_fit_packing, op9_jaccard_join)}
+    return {f.__name__: f for f in (op2_suffix_dedup, op4_quality_rules, op5_decontamination, op6_best_fit_packing, op8_pii, op9_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:

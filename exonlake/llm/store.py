@@ -30,9 +30,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def dropped(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a table made by written()."""
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if file.startswith(shared_dir(spark)) or "/" in file:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def dropped(df: DataFrame) -> None:
+    """Delete the files of a table that written() made and nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
