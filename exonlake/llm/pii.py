@@ -9,7 +9,7 @@ is the words within ``REACH`` of one with a digit, ``@``, ``+`` or a square brac
 words farther off are outside by definition, so long texts cost what they hold.
 
 Defined cases: null or empty text has no spans; the base spans of a kind do not
-overlap, those of two kinds may; an added span never overlaps a base span; repeated
+overlap, those of two kinds may; an added span never overlaps a base span, and an added card passes Luhn too, as shapes can't tell; repeated
 rows are each reported; an empty table gives an empty result, and without labelled
 snippets only the base spans are reported; further columns are ignored.
 """
@@ -317,7 +317,7 @@ def _added(column: pa.Array, field: Field) -> dict[int, list[tuple[int, int, int
                 lead, tail = len(text) - len(text.lstrip(_EDGE)), len(text) - len(text.rstrip(_EDGE))
                 kind, body = int(own[k] - 1) // 2, text[lead : len(text) - tail]
                 digits = len(_NOT_DIGIT.sub("", body))
-                if body and ((kind == 0 and ("@" in body or "[at]" in body)) or (kind == 1 and body.count(".") == 3 and 4 <= digits <= 12) or (kind == 2 and 14 <= digits <= 19) or (kind == 3 and 7 <= digits <= 15)):
+                if body and ((kind == 0 and ("@" in body or "[at]" in body)) or (kind == 1 and body.count(".") == 3 and 4 <= digits <= 12) or (kind == 2 and 14 <= digits <= 19 and _luhn(_NOT_DIGIT.sub("", body))) or (kind == 3 and 7 <= digits <= 15)):
                     s = int(points[a] - points[offsets[r]]) + lead
                     out.setdefault(r, []).append((s, kind, s + len(body)))
                 k = to

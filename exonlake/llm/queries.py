@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import best_fit_packing, decontamination, jaccard_join, pii, quality_rules, suffix_dedup
+from . import best_fit_packing, decontamination, html_extraction, jaccard_join, kneser_ney, pii, quality_rules, suffix_dedup, token_rollups, warc_revisits
+from .store import fresh_path
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,10 +18,44 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc_revisits.resolve_revisits(warc_revisits.page_captures(_read(spark, sf_dir, "pages")))
+    return found.select("capture_id", "url_key", F.coalesce("response_id", F.lit(-1)).alias("response_id"), "reason", warc_revisits.header_string(F.col("headers")).alias("headers"))
+
+
+OP1_SQL = r"""
+WITH captures AS (
+  SELECT url, page_id * 10 + k AS capture_id, page_id * 1000 + shift AS ts, kind, CASE WHEN changed THEN md5(html || 'v2') ELSE md5(html) END AS digest
+  FROM pages, (VALUES (0, 100, 'revisit', false, 5), (1, 600, 'response', false, 1), (2, 1200, 'revisit', false, 1), (3, 9000, 'response', true, 4), (4, 9600, 'revisit', false, 12)) AS v(k, shift, kind, changed, every)
+  WHERE page_id % every = 0
+), cut AS (
+  SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM captures
+), parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*', 0)), '^www\.', ''), ':(80|443)$', '') AS host,
+    regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(rest, '\?(.*)$', 1), '&'), lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS query
+  FROM cut
+), keyed AS (
+  SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS url_key FROM parts
+), found AS (
+  SELECT *, last_value(CASE WHEN kind = 'response' THEN {'id': capture_id, 'digest': digest} END IGNORE NULLS) OVER (PARTITION BY url_key ORDER BY ts, capture_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS f
+  FROM keyed
+)
+SELECT capture_id, url_key, CASE WHEN f.digest = digest THEN f.id ELSE -1 END AS response_id,
+  CASE WHEN f IS NULL THEN 'no-response' WHEN f.digest = digest THEN 'resolved' ELSE 'mismatch' END AS reason,
+  CASE WHEN f.digest = digest THEN 'content-type=text/html;date=d2;etag=' || substr(digest, 1, 16) || ';expires=e2' END AS headers
+FROM found WHERE kind = 'revisit'
+"""
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -35,6 +69,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(_read(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    return html_extraction.main_text(pages, html_extraction.fit_labeller(pages))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return pii.find_pii(docs, pii.fit_field(docs))
@@ -44,9 +83,37 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(_read(spark, sf_dir, "documents"))
 
 
+def op10_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents are inserted, every seventh is revised to half its words, every eleventh is deleted, and one batch is sent again."""
+    docs = _read(spark, sf_dir, "documents")
+    rollup = token_rollups.Rollup(spark, fresh_path(spark, "op10-store"))
+    words, revise, delete = "words-1", F.col("doc_id") % 7 == 3, F.col("doc_id") % 11 == 5
+    half = F.floor(F.col("old") / 2)
+    some = docs.where(revise).select("source", "lang", F.lit(words).alias("version"), token_rollups.token_count(F.col("text"), words).alias("old")).withColumn("new", half)
+    gone = docs.where(delete)
+    now = gone.select("source", "lang", F.lit(words).alias("version"), token_rollups.token_count(F.col("text"), words).alias("old"), revise.alias("_r"))
+    now = now.select("source", "lang", "version", F.when(F.col("_r"), half).otherwise(F.col("old")).alias("tokens"))
+    rollup.commit("1", token_rollups.signed(token_rollups.counted(docs), 1))
+    rollup.commit("2", token_rollups.revised(some))
+    rollup.commit("3", token_rollups.signed(now.unionByName(token_rollups.counted(gone, ("pieces-2",))), -1))
+    rollup.commit("2", token_rollups.revised(some))
+    return rollup.totals()
+
+
+OP10_SQL = r"""
+WITH counts AS (
+  SELECT doc_id, source, lang, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS words, coalesce(len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]')), 0) AS pieces
+  FROM documents WHERE doc_id % 11 <> 5 OR doc_id IS NULL
+)
+SELECT source, lang, 'words-1' AS version, count(*) AS docs, sum(CASE WHEN doc_id % 7 = 3 THEN words // 2 ELSE words END)::BIGINT AS tokens FROM counts GROUP BY source, lang
+UNION ALL
+SELECT source, lang, 'pieces-2', count(*), sum(pieces)::BIGINT FROM counts GROUP BY source, lang
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_suffix_dedup, op4_quality_rules, op5_decontamination, op6_best_fit_packing, op8_pii, op9_jaccard_join)}
+    return {f.__name__: f for f in (op1_warc_revisits, op2_suffix_dedup, op3_kneser_ney, op4_quality_rules, op5_decontamination, op6_best_fit_packing, op7_html_extraction, op8_pii, op9_jaccard_join, op10_token_rollups)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_warc_revisits": OP1_SQL, "op10_token_rollups": OP10_SQL}
