@@ -6,18 +6,17 @@ tokens in any common order; frequent tokens are ordered last.  The matrix has
 those tokens against groups of similar documents:
 
 1. equal sets fold into one representative by their 128-bit digest;
-2. representatives that share a matrix token are put into groups: in each of a
-   few rounds every token names a leader, and members within t of it join it;
-3. groups are cut into blocks of at most ``BLOCK`` members, the matrix is taken
-   again as (token, block), and only pairs of blocks of different classes whose
-   bound allows a link (a shared prefix token, sizes within t, and the overlap of
-   their token unions, counted by parts of the token space) are opened: all their
-   members are compared on whole sets.
+2. for a few rounds every token names a leader, and those within t of it join its class;
+3. what shares leaders is similar, linked or not: it is put into groups of at most
+   ``GROUP`` members, and the matrix is taken again as (token, group);
+4. pairs of groups that share a token are opened: for members of different classes the
+   overlap is bounded by signatures (how many tokens fall into each of ``PARTS`` parts
+   of the token space), and whole sets are compared where the bound allows a link.
 
 Every pair that could join two classes is compared on exact sets, so no link
 between different classes is lost; pairs already joined need no comparison.
-Nothing is capped: a class of any size is blocks, and a leader with many members
-is dealt out in blocks of members too.  The frequent-token list that is sent to
+Nothing is capped: what is similar fills as many groups as it needs, and a leader with
+many members is dealt out in blocks of them.  The frequent-token list that is sent to
 every task is bounded by ``MAX_FREQUENT``; it sets the order only, never a result.
 
 Defined cases: null or wordless text has an empty set, links with nothing and is
@@ -39,14 +38,17 @@ from . import textops as tx
 from .components import merge_labels
 from .store import dropped, written
 
-BLOCK = 32
+#: Members that a leader is compared with in one task.
+BLOCK = 64
+#: Members of a group of the matrix.
+GROUP = 256
 #: Parts of the token space; a signature counts a set's tokens in each.
 PARTS = 512
 ROUNDS = 2
 #: Frequent tokens sent to tasks, at most (12 bytes each).
 MAX_FREQUENT = 200_000
-#: Ids that may be broadcast to fetch texts; beyond, the join shuffles.
-MAX_BROADCAST_IDS = 1_000_000
+#: Rows of ids or labels that may be broadcast; beyond, joins shuffle them.
+MAX_BROADCAST_ROWS = 1_000_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -106,7 +108,7 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, doc_id, n): each row's prefix under the order frequent last, then by hash."""
+    """(token, doc_id): each row's prefix under the order frequent last, then by hash."""
     common = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,9 +125,9 @@ def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np
             keep = place < (counts - (percent * counts + 99) // 100 + 1)[rows]
             rows, tokens = rows[keep], tokens[keep]
             ids = batch.column("doc_id").cast(pa.int64()).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids, pa.array(counts[rows], pa.int64())], names=["token", "doc_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids], names=["token", "doc_id"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, n long")
+    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long")
 
 
 def _with_signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -147,57 +149,79 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS)
 
 
-def _unions(members: DataFrame) -> DataFrame:
-    """(g, sig): the token union of every group, as the greatest count of each part over its members (g, sig)."""
+def _screened(edges: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b, n1, n2, sig1, sig2) whose sizes and signatures allow a link, as (a, b)."""
 
-    def run(table: pa.Table) -> pa.Table:
-        return pa.table({"g": table.column("g")[:1], "sig": pa.array([_matrix(table.column("sig")).max(axis=0).tobytes()], pa.binary())})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                ok = _may_link(_matrix(part.column("sig1")), _matrix(part.column("sig2")), part.column("n1").to_numpy(), part.column("n2").to_numpy(), percent)
+                yield part.select(["a", "b"]).filter(pa.array(ok))
 
-    size = members.groupBy("g").agg(F.count("*").alias("_c"))
-    sized = members.join(size, "g")
-    return sized.where("_c = 1").select("g", "sig").unionByName(sized.where("_c > 1").select("g", "sig").groupBy("g").applyInArrow(run, f"g {members.schema['g'].dataType.simpleString()}, sig binary"))
+    return edges.mapInArrow(run, "a long, b long")
 
 
-def _qualifying(pairs: DataFrame, keep: list[str], percent: int) -> DataFrame:
-    """Pairs (keep, least, sig1, sig2) whose overlap bound allows a link; least is the smallest sum of two set sizes."""
+def _may_link(one: np.ndarray, two: np.ndarray, n1: np.ndarray, n2: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets can reach the threshold by their sizes and the overlap that their signatures bound."""
+    bound = np.minimum(one, two).sum(axis=-1, dtype=np.int64)
+    fits = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
+    return fits & (((100 + percent) * bound >= percent * (n1 + n2)) | (bound == 255 * PARTS))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bound = np.zeros(batch.num_rows, np.int64)
-            for at in range(0, batch.num_rows, 4096):
-                one, two = (_matrix(batch.column(c).slice(at, 4096)) for c in ("sig1", "sig2"))
-                bound[at : at + 4096] = np.minimum(one, two).sum(axis=1, dtype=np.int64)
-            ok = ((100 + percent) * bound >= percent * batch.column("least").to_numpy()) | (bound == 255 * PARTS)
-            yield batch.select(keep).filter(pa.array(ok))
 
-    schema = ", ".join(f"{c} {pairs.schema[c].dataType.simpleString()}" for c in keep)
-    return pairs.select(*keep, "least", "sig1", "sig2").mapInArrow(run, schema)
+def _screen_groups(sides: DataFrame, percent: int) -> DataFrame:
+    """Members (pid, side, doc_id, label) of opened pairs of groups that may link with a member of the other side in another class."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side, label, n, sig = table.column("side").to_numpy(), table.column("label").to_numpy(), table.column("n").to_numpy(), _matrix(table.column("sig"))
+        right = np.flatnonzero(side == side.max())  # a group against itself has one side only
+        keep = np.zeros(len(side), bool)
+        for i in np.flatnonzero(side == 0):
+            ok = right[(label[right] != label[i]) & _may_link(sig[i], sig[right], n[i], n[right], percent)]
+            keep[ok] = True
+            keep[i] |= len(ok) > 0
+        return table.select(["pid", "side", "doc_id", "label"]).filter(pa.array(keep))
+
+    return sides.groupBy("pid").applyInArrow(run, f"pid {sides.schema['pid'].dataType.simpleString()}, side int, doc_id long, label long")
 
 
-def _open_groups(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) between the two sides of each pid; pairs has pid, side, doc_id."""
+def _open_groups(sides: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between the two sides of each pid; sides has pid, side, doc_id and label. Classes that are joined need no further link."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        side, ids = table.column("side").to_numpy(), table.column("doc_id").to_numpy()
+        side, ids, label = (table.column(c).to_numpy() for c in ("side", "doc_id", "label"))
         rows, tokens = token_sets(*tx.flat(table.column("text")), words)
         sizes = np.bincount(rows, minlength=len(ids))
         ends = np.cumsum(sizes)
         own = [tokens[e - n : e] for e, n in zip(ends, sizes, strict=True)]
+        parent = {int(x): int(x) for x in label}
+
+        def root(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            return x
+
         found: tuple[list[int], list[int]] = ([], [])
-        for i, j in product(np.flatnonzero(side == 0), np.flatnonzero(side == 1)):
-            if 100 * min(sizes[i], sizes[j]) < percent * max(sizes[i], sizes[j]) or ids[i] == ids[j]:
+        for i, j in product(np.flatnonzero(side == 0), np.flatnonzero(side == side.max())):
+            one, two = root(int(label[i])), root(int(label[j]))
+            if one == two or 100 * min(sizes[i], sizes[j]) < percent * max(sizes[i], sizes[j]):
                 continue
             both = np.sort(np.concatenate([own[i], own[j]]), kind="stable")
             shared = int(np.count_nonzero(both[1:] == both[:-1]))
             if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
+                parent[max(one, two)] = min(one, two)
                 found[0].append(int(ids[i]))
                 found[1].append(int(ids[j]))
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    return pairs.join(texts, "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
+    return sides.join(texts, "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
+
+
+def _sent_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """df, marked for broadcast if it has at most so many rows; beyond, joins shuffle it."""
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -211,54 +235,50 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     sets = digests.where("token is null").select("doc_id", "n", "h1", "h2")
     classes = sets.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
     member = written(sets.join(classes, ["h1", "h2", "n"], "left").select("doc_id", "n", "rep"), "op9-member")
-    other_copies = member.where("rep <> doc_id").select("doc_id")
 
-    tokens = _matrix_tokens(docs.where("doc_id is not null"), words, percent, frequent)
-    tokens = written(tokens, "op9-tokens")
+    tokens = written(_matrix_tokens(docs.where("doc_id is not null"), words, percent, frequent), "op9-tokens")
     shared = tokens.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
-    matrix = tokens.join(shared, "token").join(other_copies, "doc_id", "left_anti")
-    matrix = written(matrix.join(matrix.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token"), "token"), "op9-matrix")
-    ids = matrix.select("doc_id").distinct()
-    texts = docs.select("doc_id", "text").join(F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids, "doc_id")
-    texts = written(_with_signatures(texts, words), "op9-texts")
+    matrix = tokens.join(shared, "token").join(_sent_if_small(member.where("rep <> doc_id").select("doc_id")), "doc_id", "left_anti")
+    matrix = written(matrix, "op9-matrix")
     dropped(tokens)
-    sigs = texts.select("doc_id", "sig")
-    sig = lambda n: sigs.select(F.col("doc_id").alias("ab"[n - 1]), F.col("sig").alias(f"sig{n}"))
-    texts = texts.select("doc_id", "text")
+    ids = matrix.select("doc_id").distinct()
+    texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id"), words), "op9-texts")
+    sigs, texts = texts.select("doc_id", "n", "sig"), texts.select("doc_id", "text")
+    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
 
     labels = written(ids.withColumn("label", F.col("doc_id")), "op9-labels")
     for k in range(ROUNDS):
-        open_rows = _mixed(matrix, labels)
-        lead = open_rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id", "label", "n")).alias("l"))
-        edges = open_rows.join(lead, "token").where("label <> l.label and 100 * least(n, l.n) >= {0} * greatest(n, l.n)".format(percent)).select(F.col("doc_id").alias("a"), F.col("l.doc_id").alias("b"), (F.col("n") + F.col("l.n")).alias("least")).distinct()
-        edges = written(_qualifying(edges.join(sig(1), "a").join(sig(2), "b"), ["a", "b"], percent), f"op9-edges{k}")
-        blocks = edges.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        dealt = edges.join(blocks, "b").select("a", "b", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")).alias("pid"))
-        sides = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id")).distinct().unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id")))
+        rows, lead = _mixed(matrix, labels, k)
+        edges = rows.join(lead, "token").where("label <> lead.label").select(F.col("doc_id").alias("a"), "label", F.col("lead.doc_id").alias("b"), F.col("lead.label").alias("label_b")).distinct()
+        edges = written(edges, f"op9-edges{k}")
+        near = _screened(edges.select("a", "b").join(side("a", 1), "a").join(side("b", 2), "b"), percent)
+        near = written(near.join(edges, ["a", "b"]), f"op9-near{k}")
+        blocks = near.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        dealt = near.join(blocks, "b").withColumn("pid", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")))
+        leaders = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id"), F.col("label_b").alias("label")).distinct()
+        sides = leaders.unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id"), "label"))
         labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
 
-    open_rows = _mixed(matrix, labels)
-    in_class = labels.groupBy("label").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    blocked = written(open_rows.join(in_class, "label").select("token", "doc_id", "n", F.struct("label", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g")), "op9-blocked")
-    groups = blocked.groupBy("token", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left, right = (groups.select("token", *(F.col(c).alias(f"{c}{s}") for c in ("g", "low", "high"))) for s in "12")
-    bound = left.join(right, "token").where(f"g1.label < g2.label and 100 * high1 >= {percent} * low2 and 100 * high2 >= {percent} * low1")
-    members = written(blocked.select("g", "doc_id").distinct(), "op9-blocks")
-    unions = written(_unions(members.join(sigs, "doc_id").select("g", "sig")), "op9-unions")
-    pairs = bound.groupBy("g1", "g2").agg(F.min(F.col("low1") + F.col("low2")).alias("least"))
-    for n in "12":
-        pairs = pairs.join(unions.select(F.col("g").alias(f"g{n}"), F.col("sig").alias(f"sig{n}")), f"g{n}")
-    pairs = written(_qualifying(pairs, ["g1", "g2"], percent), "op9-pairs")
-    sides = pairs.select(F.struct("g1", "g2").alias("pid"), F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))).alias("s"))
-    sides = sides.select("pid", "s.side", "s.g").join(members, "g").select("pid", "side", "doc_id")
+    rows, lead = _mixed(matrix, labels, ROUNDS)
+    open_rows = written(rows.join(lead.select("token", F.struct("lead.h", "lead.doc_id").alias("lead")), "token"), "op9-open")
+    homes = open_rows.groupBy("doc_id", "label").agg(F.min("lead").alias("home"))
+    size = homes.groupBy("home").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
+    homes = homes.join(size, "home").select("doc_id", "label", F.struct(F.col("home.doc_id").alias("home"), F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g"))
+    members = written(homes.join(sigs, "doc_id"), "op9-members")
+    in_group = open_rows.select("token", "doc_id").join(_sent_if_small(members.select("doc_id", "g")), "doc_id").select("token", "g").distinct()
+    pairs = in_group.withColumnRenamed("g", "g1").join(in_group.withColumnRenamed("g", "g2"), "token").where("g1 <= g2").select("g1", "g2").distinct()
+    both = F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))
+    sides = pairs.select(F.struct("g1", "g2").alias("pid"), F.explode(F.filter(both, lambda s: (s["side"] == 0) | (F.col("g1") != F.col("g2")))).alias("s"))
+    sides = written(_screen_groups(sides.select("pid", "s.side", "s.g").join(members, "g").drop("g"), percent), "op9-sides")
     labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
 
-    named = member.join(labels.select(F.col("doc_id").alias("rep"), "label"), "rep", "left")
+    named = member.join(_sent_if_small(labels.select(F.col("doc_id").alias("rep"), "label")), "rep", "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))
 
 
-def _mixed(matrix: DataFrame, labels: DataFrame) -> DataFrame:
-    """The matrix rows, with labels, of tokens that stand in more than one class."""
-    named = matrix.join(labels, "doc_id")
-    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi")).where("_lo < _hi").select("token")
-    return named.join(kinds, "token")
+def _mixed(matrix: DataFrame, labels: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
+    """The matrix rows with labels, and of each token in more than one class its leading row of this round."""
+    named = matrix.join(_sent_if_small(labels), "doc_id")
+    lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id", "label")).alias("lead")
+    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), lead).where("_lo < _hi")
+    return named, kinds.select("token", "lead")
