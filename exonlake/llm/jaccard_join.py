@@ -1,18 +1,20 @@
 """N-gram Jaccard self-join by a token-group matrix, and the classes it links.
 
 A document's set holds its distinct word shingles as 64-bit hashes.  Two sets
-with Jaccard >= t must share one of each other's first ``n - ceil(t*n) + 1``
-tokens in any common order; frequent tokens are ordered last.  The matrix has
-those tokens against groups of similar documents:
+with Jaccard >= t share ``SHARED`` tokens (or all of a smaller overlap) among each
+other's first ``n - ceil(t*n) + SHARED`` in any common order; frequent tokens are
+ordered last.  The matrix has those tokens against documents, then groups of them:
 
 1. equal sets fold into one representative by their 128-bit digest;
 2. for a few rounds every token names a leader, and those within t of it join its class;
-3. what shares leaders is similar, linked or not: it is put into groups of at most
-   ``GROUP`` members, and the matrix is taken again as (token, group);
-4. pairs of groups that share a token are opened: for members of different classes the
-   overlap is bounded by signatures (how many tokens fall into each of ``PARTS`` parts
-   of the token space), and whole sets are compared where the bound allows a link.
-
+3. of a token with up to ``FEW`` documents, those of different classes are paired, and
+   pairs with enough shared tokens are compared;
+4. documents of more common tokens are grouped by leader and size, at most ``GROUP`` in
+   a group, and the matrix is taken again as (token, group): pairs of groups that share
+   a token and whose sizes allow a link are opened.
+
+Whatever is compared is first bounded by signatures (how many tokens of each set fall
+into each of ``PARTS`` parts of the token space), and by whole sets if that allows a link.
 Every pair that could join two classes is compared on exact sets, so no link
 between different classes is lost; pairs already joined need no comparison.
 Nothing is capped: what is similar fills as many groups as it needs, and a leader with
@@ -42,6 +44,10 @@ from .store import dropped, written
 BLOCK = 64
 #: Members of a group of the matrix.
 GROUP = 256
+#: Tokens that prefixes are longer by, so that linked sets share as many (or all of a smaller overlap).
+SHARED = 3
+#: Documents of a token up to which they are paired directly; more are put into groups.
+FEW = 48
 #: Parts of the token space; a signature counts a set's tokens in each.
 PARTS = 512
 ROUNDS = 2
@@ -83,7 +89,7 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
         def frequent() -> pa.RecordBatch:
             tokens, counts = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            tokens, counts = tokens[counts >= 8], counts[counts >= 8]
+            tokens, counts = tokens[counts >= 4], counts[counts >= 4]
             none = pa.nulls(len(tokens), pa.int64())
             return pa.RecordBatch.from_arrays([none, pa.array(counts, pa.int64()), none, none, pa.array(tokens.view(np.int64))], names=["doc_id", "n", "h1", "h2", "token"])
 
@@ -108,7 +114,7 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, doc_id): each row's prefix under the order frequent last, then by hash."""
+    """(token, doc_id, n): each row's prefix under the order frequent last, then by hash."""
     common = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,12 +128,12 @@ def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np
                 order = np.lexsort((tokens, weight, rows))
                 rows, tokens = rows[order], tokens[order]
             place = np.arange(len(rows)) - (np.cumsum(counts) - counts)[rows]
-            keep = place < (counts - (percent * counts + 99) // 100 + 1)[rows]
+            keep = place < (counts - (percent * counts + 99) // 100 + SHARED)[rows]
             rows, tokens = rows[keep], tokens[keep]
             ids = batch.column("doc_id").cast(pa.int64()).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids], names=["token", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), ids, pa.array(counts[rows].astype(np.int32))], names=["token", "doc_id", "n"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long")
+    return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, n int")
 
 
 def _with_signatures(docs: DataFrame, words: int) -> DataFrame:
@@ -244,41 +250,59 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     ids = matrix.select("doc_id").distinct()
     texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id"), words), "op9-texts")
     sigs, texts = texts.select("doc_id", "n", "sig"), texts.select("doc_id", "text")
-    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
 
     labels = written(ids.withColumn("label", F.col("doc_id")), "op9-labels")
+    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
     for k in range(ROUNDS):
         rows, lead = _mixed(matrix, labels, k)
-        edges = rows.join(lead, "token").where("label <> lead.label").select(F.col("doc_id").alias("a"), "label", F.col("lead.doc_id").alias("b"), F.col("lead.label").alias("label_b")).distinct()
-        edges = written(edges, f"op9-edges{k}")
-        near = _screened(edges.select("a", "b").join(side("a", 1), "a").join(side("b", 2), "b"), percent)
-        near = written(near.join(edges, ["a", "b"]), f"op9-near{k}")
-        blocks = near.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-        dealt = near.join(blocks, "b").withColumn("pid", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")))
-        leaders = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id"), F.col("label_b").alias("label")).distinct()
-        sides = leaders.unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id"), "label"))
-        labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
+        edges = rows.join(lead, "token").where((F.col("label") != F.col("lead.label")) & fits(F.col("n"), F.col("lead.n")))
+        edges = edges.groupBy(F.col("doc_id").alias("a"), "label", F.col("lead.doc_id").alias("b"), F.col("lead.label").alias("label_b")).agg(F.count("*").alias("_c"))
+        edges = written(edges.where(F.col("_c") >= SHARED).drop("_c"), f"op9-edges{k}")
+        labels = merge_labels(labels, _linked(edges, sigs, texts, words, percent), "op9")
 
     rows, lead = _mixed(matrix, labels, ROUNDS)
-    open_rows = written(rows.join(lead.select("token", F.struct("lead.h", "lead.doc_id").alias("lead")), "token"), "op9-open")
-    homes = open_rows.groupBy("doc_id", "label").agg(F.min("lead").alias("home"))
-    size = homes.groupBy("home").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
-    homes = homes.join(size, "home").select("doc_id", "label", F.struct(F.col("home.doc_id").alias("home"), F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g"))
+    rows = written(rows.join(lead, "token").select("token", "doc_id", "n", "label", F.struct("lead.h", "lead.doc_id").alias("lead"), "docs"), "op9-open")
+    few = rows.where(F.col("docs") <= FEW).select("token", "doc_id", "n", "label")
+    one, two = (few.select("token", *(F.col(c).alias(c + k) for c in ("doc_id", "n", "label"))) for k in "12")
+    pairs = one.join(two, "token").where((F.col("doc_id1") < F.col("doc_id2")) & (F.col("label1") != F.col("label2")) & fits(F.col("n1"), F.col("n2")))
+    need = F.least(F.lit(SHARED), F.floor((F.greatest("n1", "n2") * percent + 99) / 100))
+    pairs = pairs.groupBy(F.col("doc_id1").alias("a"), F.col("label1").alias("label"), F.col("doc_id2").alias("b"), F.col("label2").alias("label_b")).agg(F.count("*").alias("_c"), F.min(need).alias("_need"))
+    pairs = written(pairs.where("_c >= _need").drop("_c", "_need"), "op9-pairs")
+    links = _linked(pairs, sigs, texts, words, percent)
+
+    # sizes that can link are at most one class apart
+    many = rows.where(F.col("docs") > FEW).withColumn("size", F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int"))
+    homes = many.groupBy("doc_id", "label", "size").agg(F.min("lead").alias("home"))
+    blocks = homes.groupBy("home", "size").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
+    homes = homes.join(blocks, ["home", "size"]).select("doc_id", "label", F.struct(F.col("home.doc_id").alias("home"), "size", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g"))
     members = written(homes.join(sigs, "doc_id"), "op9-members")
-    in_group = open_rows.select("token", "doc_id").join(_sent_if_small(members.select("doc_id", "g")), "doc_id").select("token", "g").distinct()
-    pairs = in_group.withColumnRenamed("g", "g1").join(in_group.withColumnRenamed("g", "g2"), "token").where("g1 <= g2").select("g1", "g2").distinct()
+    in_group = many.select("token", "doc_id").join(_sent_if_small(members.select("doc_id", "g")), "doc_id").select("token", "g").distinct()
+    left = in_group.select("token", F.col("g").alias("g1"), F.explode(F.array(F.col("g.size"), F.col("g.size") + 1)).alias("size"))
+    right = in_group.select("token", F.col("g").alias("g2"), F.col("g.size").alias("size"))
+    opened = left.join(right, ["token", "size"]).where("g1.size < g2.size or g1 <= g2").select("g1", "g2").distinct()
     both = F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))
-    sides = pairs.select(F.struct("g1", "g2").alias("pid"), F.explode(F.filter(both, lambda s: (s["side"] == 0) | (F.col("g1") != F.col("g2")))).alias("s"))
+    sides = opened.select(F.struct("g1", "g2").alias("pid"), F.explode(F.filter(both, lambda s: (s["side"] == 0) | (F.col("g1") != F.col("g2")))).alias("s"))
     sides = written(_screen_groups(sides.select("pid", "s.side", "s.g").join(members, "g").drop("g"), percent), "op9-sides")
-    labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
+    labels = merge_labels(labels, links.unionByName(_open_groups(sides, texts, words, percent)), "op9")
 
     named = member.join(_sent_if_small(labels.select(F.col("doc_id").alias("rep"), "label")), "rep", "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))
 
 
+def _linked(edges: DataFrame, sigs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among edges (a, label, b, label_b): signatures first, then whole sets, each b with blocks of its a."""
+    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
+    near = _screened(edges.select("a", "b").join(side("a", 1), "a").join(side("b", 2), "b"), percent)
+    near = written(near.join(edges, ["a", "b"]), "op9-near")
+    blocks = near.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = near.join(blocks, "b").withColumn("pid", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")))
+    leaders = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id"), F.col("label_b").alias("label")).distinct()
+    return _open_groups(leaders.unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id"), "label")), texts, words, percent)
+
+
 def _mixed(matrix: DataFrame, labels: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """The matrix rows with labels, and of each token in more than one class its leading row of this round."""
+    """The matrix rows with labels, and of each token in more than one class its documents' number and its leading row of this round."""
     named = matrix.join(_sent_if_small(labels), "doc_id")
-    lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id", "label")).alias("lead")
-    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), lead).where("_lo < _hi")
-    return named, kinds.select("token", "lead")
+    lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id", "label", "n")).alias("lead")
+    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("docs"), lead).where("_lo < _hi")
+    return named, kinds.select("token", "lead", "docs")
