@@ -11,7 +11,9 @@ suffix stands for a run of consecutive strings, its segment:
    character and equal parts only going on; a bucket's first and last leading bytes
    are whole, as equal ones are never split, so no string is missed between buckets;
 4. leading bytes with over ``HOT`` different segments would make a bucket too large:
-   their strings are counted by digest over all tasks instead, which is exact too.
+   their segments are cut into parts of ``PART`` strings, and parts whose common bytes
+   stand nowhere else go, equal parts fold, and the strings of the rest are counted by
+   digest over all tasks, which is exact too.
 
 Strings are told apart by their bytes (in 4 and for whole segments by 128 bits).
 
@@ -35,6 +37,8 @@ from .store import written
 LEAD = 64
 #: Different segments of one anchor that a bucket sorts; more go by digest.
 HOT = 1500
+#: Strings of a part of a hot segment.
+PART = 16
 #: Strings that one sort works on, about.
 SORT_STRINGS = 300_000
 #: Document ids that may be broadcast to fetch texts; beyond, the join shuffles.
@@ -141,9 +145,7 @@ def _sorted_buckets(segments: DataFrame, length: int) -> DataFrame:
             to = max(at + 1, int(np.searchsorted(strings[bounds], strings[bounds[at]] + SORT_STRINGS, "right")) - 1)
             part = bucket.take(pa.array(order[bounds[at] : bounds[to]])).combine_chunks()
             at = to
-            bytes_ = part.column("bytes").combine_chunks().cast(pa.large_binary())
-            offsets = np.frombuffer(bytes_.buffers()[1], np.int64, len(bytes_) + 1, 8 * bytes_.offset)
-            data = np.frombuffer(bytes_.buffers()[2], np.uint8)
+            data, offsets = _binary(part.column("bytes").combine_chunks())
             size, off = (part.column(c).to_numpy().astype(np.int64) for c in ("size", "off"))
             record, k = _expand(size + 1)
             _, group = np.unique(part.column("lead").to_numpy(), return_inverse=True)
@@ -160,23 +162,70 @@ def _sorted_buckets(segments: DataFrame, length: int) -> DataFrame:
     return segments.mapInArrow(run, "doc_id long, th int, s int, e int")
 
 
-def _hot_strings(segments: DataFrame, length: int) -> DataFrame:
-    """(doc_id, th, s, h1, h2, single) of every string of the segments; h1 and h2 name its bytes and its anchor."""
+def _hot_parts(segments: DataFrame, length: int) -> DataFrame:
+    """Segments cut into parts of up to ``PART`` strings at fixed distances from the anchor.
+
+    core names the bytes that all strings such a part can have share, whole the part's own bytes and strings.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tx.chunks(batches, "bytes", 1 << 18):
-            bytes_ = batch.column("bytes").cast(pa.large_binary())
-            offsets = np.frombuffer(bytes_.buffers()[1], np.int64, len(bytes_) + 1, 8 * bytes_.offset)
-            data = np.frombuffer(bytes_.buffers()[2], np.uint8)[: offsets[-1]]
+        for batch in tx.chunks(batches, "bytes", 1 << 19):
+            data, offsets = _binary(batch.column("bytes"))
             size, off, lo = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "off", "lo"))
+            top, bottom = off // PART, (off - size) // PART  # parts by the distance of a string's start from the anchor
+            record, k = _expand(top - bottom + 1)
+            part = top[record] - k
+            high, low = np.minimum(off[record], part * PART + PART - 1), np.maximum(off[record] - size[record], part * PART)
+            anchor = offsets[record] + off[record]
+            first, last = anchor - high, anchor - low
+            a, b = tx.prefix_hash(data), tx.prefix_hash(255 - data)
+            named = lambda s, e, salt: tuple(pa.array(tx.mix(tx.span_hash(x, s, e) + salt.astype(np.uint64)).view(np.int64)) for x in (a, b))
+            core = named(anchor - part * PART, anchor - part * PART - (PART - 1) + length, part)
+            whole = named(first, last + length, part * 65536 + high * 256 + low)
+            rows = pa.array(record)
+            starts = lo[record] + off[record] - high
+            pieces = [data[s:e].tobytes() for s, e in zip(first, last + length, strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array(starts.astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(high), *core, *whole, pa.array(pieces, pa.binary())], names=[*_KEY, "single", "s", "size", "high", "c1", "c2", "w1", "w2", "bytes"])
+
+    return segments.mapInArrow(run, "doc_id long, th int, single boolean, s int, size int, high long, c1 long, c2 long, w1 long, w2 long, bytes binary")
+
+
+def _hot_strings(parts: DataFrame, length: int) -> DataFrame:
+    """(doc_id, th, s, h1, h2, single) of every string of the parts; h1 and h2 name its bytes and its distance from the anchor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.chunks(batches, "bytes", 1 << 18):
+            data, offsets = _binary(batch.column("bytes"))
+            size, high, s = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "high", "s"))
             record, k = _expand(size + 1)
-            start = offsets[record] + k
-            h1 = tx.span_hash(tx.prefix_hash(data), start, start + length)
-            h2 = tx.mix(tx.span_hash(tx.prefix_hash(255 - data), start, start + length) + (off[record] - k).astype(np.uint64))
+            start, gap = offsets[record] + k, (high[record] - k).astype(np.uint64)
+            digest = [pa.array(tx.mix(tx.span_hash(tx.prefix_hash(x), start, start + length) + gap).view(np.int64)) for x in (data, 255 - data)]
             rows = pa.array(record)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array((lo[record] + k).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))], names=[*_KEY, "single", "s", "h1", "h2"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array((s[record] + k).astype(np.int32)), *digest], names=[*_KEY, "single", "s", "h1", "h2"])
+
+    return parts.mapInArrow(run, "doc_id long, th int, single boolean, s int, h1 long, h2 long")
 
-    return segments.mapInArrow(run, "doc_id long, th int, single boolean, s int, h1 long, h2 long")
+
+def _hot_spans(segments: DataFrame, length: int) -> DataFrame:
+    """Spans (doc_id, th, s, e) of single hot segments: parts whose core is shared, whole parts that are equal, then string by string."""
+    parts = written(_hot_parts(segments, length), "op2-parts")
+    shared = parts.groupBy("c1", "c2").agg(F.count("*").alias("c")).where("c > 1").select("c1", "c2")
+    live = written(parts.join(shared, ["c1", "c2"]), "op2-live")
+    wholes = live.groupBy("w1", "w2").agg(F.count("*").alias("c"), F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("k"), *_KEY, "single", "s", "size", "high", "bytes")).alias("r"))
+    equal = live.where("single").join(wholes.where("c > 1").select("w1", "w2"), ["w1", "w2"]).select(*_KEY, "s", (F.col("s") + F.col("size") + length).alias("e"))
+    # of equal parts one stands for all, and needs no span of its own
+    rest = wholes.select("r.doc_id", "r.th", (F.col("r.single") & (F.col("c") == 1)).alias("single"), "r.s", "r.size", "r.high", "r.bytes")
+    strings = written(_hot_strings(rest, length), "op2-strings")
+    again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
+    own = strings.where("single").join(again, ["h1", "h2"]).select(*_KEY, "s", (F.col("s") + length).alias("e"))
+    return equal.unionByName(own)
+
+
+def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column and each row's bounds."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def _cut(texts: DataFrame, length: int) -> DataFrame:
@@ -239,9 +288,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> tuple[DataFrame, DataF
     cut = written(_cut(_with(texts, per_doc), length), "op2-segments")
     tasks = max(1, texts.sparkSession.sparkContext.defaultParallelism, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     plain = _sorted_buckets(cut.where("not hot").drop("hot").repartitionByRange(tasks, "lead"), length)
-    strings = written(_hot_strings(cut.where("hot").drop("hot", "lead"), length), "op2-hot")
-    again = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2")
-    hot = strings.where("single").join(again, ["h1", "h2"]).select(*_KEY, "s", (F.col("s") + length).alias("e"))
+    hot = _hot_spans(cut.where("hot").drop("hot", "lead"), length)
     return whole.unionByName(plain).unionByName(hot), texts
 
 
