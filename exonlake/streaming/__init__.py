@@ -1,0 +1 @@
+"""Streams: the reference has none, all its inputs are finite files, so nothing is built here."""
