@@ -6,12 +6,14 @@ other's first ``n - ceil(t*n) + SHARED`` in any common order; frequent tokens ar
 ordered last.  The matrix has those tokens against documents, then groups of them:
 
 1. equal sets fold into one representative by their 128-bit digest;
-2. for a few rounds every token names a leader, and those within t of it join its class;
-3. of a token with up to ``FEW`` documents, those of different classes are paired, and
-   pairs with enough shared tokens are compared;
-4. documents of more common tokens are grouped by leader and size, at most ``GROUP`` in
-   a group, and the matrix is taken again as (token, group): pairs of groups that share
-   a token and whose sizes allow a link are opened.
+2. the documents of a token that has up to ``FEW`` are paired, and pairs that share
+   enough tokens are compared, a part of them first, as what is in one class then need
+   not be compared;
+3. of more common tokens, for a few rounds each names a leader, and members within t of
+   it join its class;
+4. what is left of these is grouped by leader and size, at most ``GROUP`` documents in a
+   group, and the matrix is taken again as (token, group): pairs of groups that share a
+   token and whose sizes allow a link are opened.
 
 Whatever is compared is first bounded by signatures (how many tokens of each set fall
 into each of ``PARTS`` parts of the token space), and by whole sets if that allows a link.
@@ -45,7 +47,7 @@ BLOCK = 64
 #: Members of a group of the matrix.
 GROUP = 256
 #: Tokens that prefixes are longer by, so that linked sets share as many (or all of a smaller overlap).
-SHARED = 3
+SHARED = 6
 #: Documents of a token up to which they are paired directly; more are put into groups.
 FEW = 48
 #: Parts of the token space; a signature counts a set's tokens in each.
@@ -251,27 +253,36 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id"), words), "op9-texts")
     sigs, texts = texts.select("doc_id", "n", "sig"), texts.select("doc_id", "text")
 
+    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
+
     labels = written(ids.withColumn("label", F.col("doc_id")), "op9-labels")
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    in_docs = written(matrix.groupBy("token").agg(F.count("*").alias("docs")).where("docs > 1"), "op9-docs")
+    few = matrix.join(in_docs.where(F.col("docs") <= FEW).select("token"), "token")
+    one, two = (few.select("token", *(F.col(c).alias(c + k) for c in ("doc_id", "n"))) for k in "12")
+    pairs = one.join(two, "token").where((F.col("doc_id1") < F.col("doc_id2")) & fits(F.col("n1"), F.col("n2")))
+    need = F.least(F.lit(SHARED), F.floor((F.greatest("n1", "n2") * percent + 99) / 100))
+    pairs = pairs.groupBy(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).agg(F.count("*").alias("_c"), F.min(need).alias("_need")).where("_c >= _need").select("a", "b")
+    pairs = written(_screened(pairs.join(side("a", 1), "a").join(side("b", 2), "b"), percent), "op9-pairs")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    for k in range(ROUNDS + 1):  # each document with one other of its pairs first, then the pairs that are still of two classes
+        named = _named(both if k < ROUNDS else pairs, labels)
+        if k < ROUNDS:
+            named = named.groupBy("a", "label").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)), "b", "label_b")).alias("_m")).select("a", "label", "_m.b", "_m.label_b")
+        labels = merge_labels(labels, _linked(written(named, f"op9-near{k}"), texts, words, percent), "op9")
+
+    common_rows = written(matrix.join(in_docs.where(F.col("docs") > FEW).select("token"), "token"), "op9-common")
     for k in range(ROUNDS):
-        rows, lead = _mixed(matrix, labels, k)
+        rows, lead = _mixed(common_rows, labels, k)
         edges = rows.join(lead, "token").where((F.col("label") != F.col("lead.label")) & fits(F.col("n"), F.col("lead.n")))
-        edges = edges.groupBy(F.col("doc_id").alias("a"), "label", F.col("lead.doc_id").alias("b"), F.col("lead.label").alias("label_b")).agg(F.count("*").alias("_c"))
-        edges = written(edges.where(F.col("_c") >= SHARED).drop("_c"), f"op9-edges{k}")
-        labels = merge_labels(labels, _linked(edges, sigs, texts, words, percent), "op9")
-
-    rows, lead = _mixed(matrix, labels, ROUNDS)
-    rows = written(rows.join(lead, "token").select("token", "doc_id", "n", "label", F.struct("lead.h", "lead.doc_id").alias("lead"), "docs"), "op9-open")
-    few = rows.where(F.col("docs") <= FEW).select("token", "doc_id", "n", "label")
-    one, two = (few.select("token", *(F.col(c).alias(c + k) for c in ("doc_id", "n", "label"))) for k in "12")
-    pairs = one.join(two, "token").where((F.col("doc_id1") < F.col("doc_id2")) & (F.col("label1") != F.col("label2")) & fits(F.col("n1"), F.col("n2")))
-    need = F.least(F.lit(SHARED), F.floor((F.greatest("n1", "n2") * percent + 99) / 100))
-    pairs = pairs.groupBy(F.col("doc_id1").alias("a"), F.col("label1").alias("label"), F.col("doc_id2").alias("b"), F.col("label2").alias("label_b")).agg(F.count("*").alias("_c"), F.min(need).alias("_need"))
-    pairs = written(pairs.where("_c >= _need").drop("_c", "_need"), "op9-pairs")
-    links = _linked(pairs, sigs, texts, words, percent)
+        edges = edges.groupBy(F.col("doc_id").alias("a"), F.col("lead.doc_id").alias("b")).agg(F.count("*").alias("_c")).where(F.col("_c") >= SHARED).select("a", "b")
+        near = _named(_screened(edges.join(side("a", 1), "a").join(side("b", 2), "b"), percent), labels)
+        labels = merge_labels(labels, _linked(written(near, f"op9-led{k}"), texts, words, percent), "op9")
 
+    rows, lead = _mixed(common_rows, labels, ROUNDS)
+    many = written(rows.join(lead, "token").select("token", "doc_id", "n", "label", F.struct("lead.h", "lead.doc_id").alias("lead")), "op9-open")
     # sizes that can link are at most one class apart
-    many = rows.where(F.col("docs") > FEW).withColumn("size", F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int"))
+    many = many.withColumn("size", F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int"))
     homes = many.groupBy("doc_id", "label", "size").agg(F.min("lead").alias("home"))
     blocks = homes.groupBy("home", "size").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
     homes = homes.join(blocks, ["home", "size"]).select("doc_id", "label", F.struct(F.col("home.doc_id").alias("home"), "size", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g"))
@@ -283,26 +294,30 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     both = F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))
     sides = opened.select(F.struct("g1", "g2").alias("pid"), F.explode(F.filter(both, lambda s: (s["side"] == 0) | (F.col("g1") != F.col("g2")))).alias("s"))
     sides = written(_screen_groups(sides.select("pid", "s.side", "s.g").join(members, "g").drop("g"), percent), "op9-sides")
-    labels = merge_labels(labels, links.unionByName(_open_groups(sides, texts, words, percent)), "op9")
+    labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
 
     named = member.join(_sent_if_small(labels.select(F.col("doc_id").alias("rep"), "label")), "rep", "left")
     return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))
 
 
-def _linked(edges: DataFrame, sigs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) among edges (a, label, b, label_b): signatures first, then whole sets, each b with blocks of its a."""
-    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
-    near = _screened(edges.select("a", "b").join(side("a", 1), "a").join(side("b", 2), "b"), percent)
-    near = written(near.join(edges, ["a", "b"]), "op9-near")
-    blocks = near.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    dealt = near.join(blocks, "b").withColumn("pid", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")))
+def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of two classes, with label and label_b."""
+    own = _sent_if_small(labels)
+    named = pairs.join(own.select(F.col("doc_id").alias("a"), "label"), "a").join(own.select(F.col("doc_id").alias("b"), F.col("label").alias("label_b")), "b")
+    return named.where("label <> label_b").select("a", "label", "b", "label_b")
+
+
+def _linked(edges: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among edges (a, label, b, label_b) by whole sets, each b with blocks of its a."""
+    blocks = edges.groupBy("b").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    dealt = edges.join(blocks, "b").withColumn("pid", F.struct("b", F.pmod(F.xxhash64("a"), F.col("blocks")).alias("k")))
     leaders = dealt.select("pid", F.lit(0).alias("side"), F.col("b").alias("doc_id"), F.col("label_b").alias("label")).distinct()
     return _open_groups(leaders.unionByName(dealt.select("pid", F.lit(1).alias("side"), F.col("a").alias("doc_id"), "label")), texts, words, percent)
 
 
 def _mixed(matrix: DataFrame, labels: DataFrame, salt: int) -> tuple[DataFrame, DataFrame]:
-    """The matrix rows with labels, and of each token in more than one class its documents' number and its leading row of this round."""
+    """The matrix rows with labels, and of each token in more than one class its leading row of this round."""
     named = matrix.join(_sent_if_small(labels), "doc_id")
     lead = F.min(F.struct(F.xxhash64("doc_id", F.lit(salt)).alias("h"), "doc_id", "label", "n")).alias("lead")
-    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), F.count("*").alias("docs"), lead).where("_lo < _hi")
-    return named, kinds.select("token", "lead", "docs")
+    kinds = named.groupBy("token").agg(F.min("label").alias("_lo"), F.max("label").alias("_hi"), lead).where("_lo < _hi")
+    return named, kinds.select("token", "lead")
