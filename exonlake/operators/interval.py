@@ -56,19 +56,23 @@ def not_overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence
     return left.join(hits, id_col, "left_anti")
 
 
-def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: dict[str, Column], bin_size: int | None = BIN, backward: bool = False, position: str = "start") -> DataFrame:
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: dict[str, Column], bin_size: int | None = BIN, backward: bool = False, position: str = "start", strict: bool = False) -> DataFrame:
     """Running maxima over the rows before each one (minima over those after it, if backward), by bins of position.
 
     In a bin a window sees its own rows; what other bins give is one row for each.  Without a
-    bin_size the window is one for each key, for keys that are small, such as transcripts.
+    bin_size the window is one for each key, for keys that are small, such as transcripts.  With
+    strict, rows before are those of a smaller position, so that equal ones get the same.
     """
+    if strict:
+        order = [position]
+    framed = lambda w, edge: w.rangeBetween(*edge) if strict else w.rowsBetween(*edge)
     pick = F.min if backward else F.max
     if bin_size is None:
-        whole = Window.partitionBy(*by).orderBy(*order).rowsBetween(*((1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1)))
+        whole = framed(Window.partitionBy(*by).orderBy(*order), (1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1))
         return df.withColumns({c: pick(v).over(whole) for c, v in values.items()})
     binned = df.withColumn("_bin", F.floor(F.col(position) / bin_size)).withColumns({f"_v_{c}": v for c, v in values.items()})
     edge = (1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1)
-    here = Window.partitionBy(*by, "_bin").orderBy(*order).rowsBetween(*edge)
+    here = framed(Window.partitionBy(*by, "_bin").orderBy(*order), edge)
     there = Window.partitionBy(*by).orderBy("_bin").rowsBetween(*edge)
     bins = binned.groupBy(*by, "_bin").agg(*(pick(f"_v_{c}").alias(f"_b_{c}") for c in values))
     bins = bins.select(*by, "_bin", *(pick(f"_b_{c}").over(there).alias(f"_c_{c}") for c in values))
@@ -80,9 +84,9 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], val
 
 def cluster(df: DataFrame, by: Sequence[str] = KEYS, out: str = "cluster_start", bin_size: int | None = BIN) -> DataFrame:
     """Adds the start of the island of overlapping or touching intervals that each row is in; with ``by`` it names the island."""
-    seen = running(df, by, ["start", "end"], {"_reach": F.col("end")}, bin_size)
+    seen = running(df, by, ["start", "end"], {"_reach": F.col("end")}, bin_size, strict=True)
     opens = seen.withColumn("_open", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach")), F.col("start")))
-    found = running(opens, by, ["start", "end"], {"_before": F.col("_open")}, bin_size)
+    found = running(opens, by, ["start", "end"], {"_before": F.col("_open")}, bin_size, strict=True)
     return found.withColumn(out, F.coalesce("_open", "_before")).drop("_reach", "_open", "_before")
 
 
