@@ -26,14 +26,15 @@ def motif_hits(seq: Column, motifs: Sequence[str], region_length: int) -> Column
     """
     none = F.array().cast("array<struct<distance:int,motif:string>>")
 
-    def of(size: int) -> Column:
+    def of(bases: Column, size: int) -> Column:
         own = F.array(*(F.lit(m) for m in motifs if len(m) == size))
-        at = F.when(F.length(seq) >= size, F.sequence(F.lit(1), F.length(seq) - (size - 1))).otherwise(F.array().cast("array<int>"))
-        hits = F.filter(at, lambda i: F.array_contains(own, F.substring(seq, i, size)))
-        return F.transform(hits, lambda i: F.struct((i + (size - 1) - region_length).cast("int").alias("distance"), F.substring(seq, i, size).alias("motif")))
+        at = F.when(F.size(bases) >= size, F.sequence(F.lit(1), F.size(bases) - (size - 1))).otherwise(F.array().cast("array<int>"))
+        words = F.transform(at, lambda i: F.struct((i + (size - 1) - region_length).cast("int").alias("distance"), F.concat(*(F.element_at(bases, i + k) for k in range(size))).alias("motif")))
+        return F.filter(words, lambda w: F.array_contains(own, w["motif"]))
 
-    found = [of(size) for size in sorted({len(m) for m in motifs})]
-    return F.array_sort(F.concat(none, *found)) if found else none
+    # the bases are bound once: substring would walk the text from its start for every place
+    each = F.transform(F.array(F.split(seq, "")), lambda bases: F.concat(none, *(of(bases, size) for size in sorted({len(m) for m in motifs}))))
+    return F.array_sort(F.flatten(each))
 
 
 def motif_string(hits: Column) -> Column:

@@ -268,7 +268,7 @@ _MOTIFS = ("the", "tion", "and", "quel")
 
 
 @query("""WITH d AS (SELECT doc_id, lower(regexp_replace(text, '[^a-zA-Z]', '', 'g')) AS t FROM documents),
-k AS (SELECT doc_id, t, unnest(range(1, greatest(length(t) - 2, 1)::BIGINT)) AS i FROM d),
+k AS (SELECT doc_id, t, unnest(range(1, greatest(length(t) - 1, 1)::BIGINT)) AS i FROM d),
 h AS (SELECT doc_id, i, substr(t, i, 3) AS m FROM k WHERE substr(t, i, 3) IN ('the', 'and') UNION ALL SELECT doc_id, i, substr(t, i, 4) FROM k WHERE substr(t, i, 4) IN ('tion', 'quel'))
 SELECT doc_id, count(*) AS n_hits, max(i + length(m) - 1 - 100) AS last_distance, min(abs(i + length(m) - 1 - 100 + 21)) AS least_deviation FROM h GROUP BY doc_id""")
 def motif_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,6 +486,6 @@ def annotated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.annotated_results(jobs.adjusted_results(p), info, means)
 
 
-@query("SELECT doc_id, reverse(translate(upper(text), 'ACGT', 'TGCA')) AS rc FROM documents")
+@query("SELECT doc_id, reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) AS rc FROM documents")
 def reverse_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ad.table(spark, sf_dir, "documents").select("doc_id", reverse_complement(F.upper("text")).alias("rc"))
+    return ad.table(spark, sf_dir, "documents").select("doc_id", reverse_complement(F.col("text")).alias("rc"))
