@@ -85,7 +85,7 @@ def usage_matrices(quant: DataFrame, tx2le: DataFrame, le2gene: DataFrame, sampl
     genes = usage.gene_totals(known)
     return {
         "counts": known.select("le_id", "gene_id", "sample", "count"), "tpm": known.select("le_id", "gene_id", "sample", "tpm"), "ppau": ppau,
-        "means": usage.condition_means(ppau, samples, base, treatment), "gene_tpm": genes, "gene_tpm_by_condition": usage.by_condition(genes, samples, ["gene_id"]),
+        "means": usage.condition_means(ppau, samples, base, treatment), "gene_tpm": genes, "gene_tpm_by_condition": usage.by_condition(genes, samples, ["gene_id"], "tpm"),
     }
 
 
