@@ -192,6 +192,56 @@ def test_decontamination(spark, docs, empty):
     assert decontamination.leaks(empty, items).count() == 0 and decontamination.leaks(docs, items.where("item_id > 9")).count() == 0
 
 
+def _planted(spark, sf_dir, n_items):
+    """(documents, items): items cut from texts of sf_dir; documents are those texts, and items with 0, 15 and 30 % of the words before the answer replaced."""
+    rng = np.random.default_rng(n_items)
+    texts = [r["text"].split() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").orderBy("doc_id").collect()]
+    texts = [t for t in texts if 60 <= len(t) <= 500]
+    corpus, items = np.concatenate(texts), []
+    for k in range(n_items):
+        t, n = texts[k % len(texts)], int(rng.integers(15, 60))
+        at = int(rng.integers(0, len(t) - n + 1))
+        items.append(t[at : at + n])
+    docs = [" ".join(t) for t in texts]
+    for k, j in enumerate(rng.choice(n_items, 150, replace=False)):
+        own = list(items[j])
+        free = len(own) - max(3, len(own) // 5)
+        for place in rng.choice(free, int((0, 0.15, 0.3)[k % 3] * free), replace=False):
+            own[place] = rng.choice(corpus)
+        docs.append(" ".join([*rng.choice(corpus, 30), *own, *rng.choice(corpus, 30)]))
+    return docs, [" ".join(x) for x in items]
+
+
+def _leaks_by_brute_force(docs, items):
+    """(document, item) by the word check over whole documents; skipped are only items of which too few words are in the document."""
+    words = lambda t: re.findall(r"[^\W_]+", t.lower())
+    code, found = {}, set()
+    coded = [[[code.setdefault(w, len(code)) for w in words(t)] for t in x] for x in (docs, items)]
+    for d, own in enumerate(coded[0]):
+        known = np.zeros(len(code), bool)
+        known[own] = True
+        for j, needle in enumerate(coded[1]):
+            if 5 * known[needle].sum() < 3 * len(needle):
+                continue
+            n, answer = decontamination._best(needle, own, 0, len(own))
+            if 5 * n >= 4 * len(needle) or (5 * n >= 3 * len(needle) and 5 * answer >= 4 * max(3, len(needle) // 5)):
+                found.add((d, j))
+    return found
+
+
+@pytest.mark.parametrize("n_items", [200, 1000, 4000])
+def test_decontamination_finds_all_leaks_of_brute_force(spark, sf_dir, n_items):
+    docs, items = _planted(spark, sf_dir, n_items)
+    want = _leaks_by_brute_force(docs, items)
+    sent = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(*sent).where("leaked").collect()}
+    print(n_items, "items:", len(want), "leaks,", len(want & got), "found,", len(got - want), "more; planted", len({p for p in want if p[0] >= len(docs) - 150}))
+    for k in range(3):
+        own = {p for p in want if p[0] >= len(docs) - 150 and (p[0] - len(docs) + 150) % 3 == k}
+        print("   replaced", (0, 15, 30)[k], "%:", len(own & got), "of", len(own))
+    assert len(want) > n_items / 2 and not want - got
+
+
 @pytest.mark.parametrize("pair", [("abcd", "acbd"), ("", "ab"), ("aaab", "aba"), ("xyz", "abc")])
 def test_common_subsequence(pair):
     a, b = ([ord(c) for c in s] for s in pair)
