@@ -242,6 +242,23 @@ def test_decontamination_finds_all_leaks_of_brute_force(spark, sf_dir, n_items):
     assert len(want) > n_items / 2 and not want - got
 
 
+def test_decontamination_loses_no_paraphrase_to_the_directions(spark, sf_dir):
+    rng = np.random.default_rng(5)
+    items = {r["item_id"]: r["text"].split() for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    corpus = np.concatenate([r["text"].split() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").limit(50).collect()])
+    docs = []
+    for own in map(list, items.values()):
+        free = len(own) - max(3, len(own) // 5)
+        for place in rng.choice(free, int(0.3 * free), replace=False):
+            own[place] = rng.choice(corpus)
+        docs.append(" ".join([*rng.choice(corpus, 40), *own, *rng.choice(corpus, 40)]))
+    want = {(d, list(items)[j]) for d, j in _leaks_by_brute_force(docs, [" ".join(x) for x in items.values()])}
+    sent = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    for least in (decontamination.MIN_COSINE, 2.0):  # with 2.0 the directions find nothing
+        assert {(r["doc_id"], r["item_id"]) for r in decontamination.leaks(*sent, min_cosine=least).where("leaked").collect()} == want
+    assert len(want) > 0.9 * len(items)
+
+
 @pytest.mark.parametrize("pair", [("abcd", "acbd"), ("", "ab"), ("aaab", "aba"), ("xyz", "abc")])
 def test_common_subsequence(pair):
     a, b = ([ord(c) for c in s] for s in pair)
