@@ -2,8 +2,10 @@
 
 Joins put intervals into bins of three sizes by their length, so that neither side is
 copied often: a pair meets at the coarser of its two levels, in the first bin that it
-shares there, and so exactly once.  Windows (clusters, nearest) run within bins; what
-earlier bins hold comes from one row per bin, so no chromosome is one task.
+shares there, and so exactly once.  A copy at a level coarser than its own meets only
+rows that belong to that level, never another copy: short rows are not paired with all
+short rows of a coarse bin.  Windows (clusters, nearest) run within bins; what earlier
+bins hold comes from one row per bin, so no chromosome is one task.
 """
 
 from __future__ import annotations
@@ -14,34 +16,45 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import KEYS, forward, rows_by_suffix
 
-BIN = 16_384
+BIN = 4096
 #: Sizes of the three levels, in bins.
 LEVELS = (1, 64, 4096)
 
 
-def _binned(df: DataFrame, bin_size: int) -> DataFrame:
-    """Adds _own (the level that an interval belongs to), _level and _bin, a row for each bin it touches at its own and coarser levels."""
+def _binned(df: DataFrame, bin_size: int, right: bool) -> DataFrame:
+    """Adds _meet and _bin, a row for each bin that an interval touches at each level where it meets others.
+
+    _meet is twice the level, where rows that belong to it on the left meet those and coarser copies
+    on the right, and one more, where copies on the left meet rows that belong to it on the right.
+    """
     last = F.greatest(F.col("end") - 1, F.col("start"))
     span = F.floor(last / bin_size) - F.floor(F.col("start") / bin_size)
     own = F.when(span < LEVELS[1], 0).when(span < LEVELS[2], 1).otherwise(2)
 
-    def at(level: int, size: int) -> Column:
+    def at(meet: int, ok: Column) -> Column:
+        size = bin_size * LEVELS[meet // 2]
         bins = F.sequence(F.floor(F.col("start") / size), F.floor(last / size))
-        own_bins = F.transform(bins, lambda b: F.struct(F.lit(level).alias("level"), b.alias("bin")))
-        return F.when(own <= level, own_bins).otherwise(F.array().cast("array<struct<level:int,bin:bigint>>"))
+        return F.when(ok, F.transform(bins, lambda b: F.struct(F.lit(meet).alias("meet"), b.alias("bin")))).otherwise(F.array().cast("array<struct<meet:int,bin:bigint>>"))
+
+    if right:
+        spots = [x for k in range(len(LEVELS)) for x in (at(2 * k, own <= k), *([at(2 * k + 1, own == k)] if k else []))]
+    else:
+        spots = [x for k in range(len(LEVELS)) for x in (at(2 * k, own == k), *([at(2 * k + 1, own < k)] if k else []))]
+    return df.withColumn("_spot", F.explode(F.concat(*spots))).withColumns({"_meet": F.col("_spot.meet"), "_bin": F.col("_spot.bin")}).drop("_spot")
+
 
-    spots = F.concat(*(at(k, bin_size * f) for k, f in enumerate(LEVELS)))
-    return df.withColumn("_own", own).withColumn("_spot", F.explode(spots)).withColumns({"_level": F.col("_spot.level"), "_bin": F.col("_spot.bin")}).drop("_spot")
+def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int = BIN) -> DataFrame:
+    """Pairs of rows that share ``by`` and a bin where they meet; overlap_join keeps those that overlap."""
+    other = rows_by_suffix(_binned(right, bin_size, True), (*by, "_meet", "_bin"), suffix)
+    return _binned(left, bin_size, False).join(other, [*by, "_meet", "_bin"])
 
 
 def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int = BIN) -> DataFrame:
     """All pairs of rows that share ``by`` and at least one base; the right columns get the suffix."""
-    other = rows_by_suffix(_binned(right, bin_size), (*by, "_level", "_bin"), suffix)
-    size = F.element_at(F.array(*(F.lit(bin_size * f) for f in LEVELS)), F.col("_level") + 1)
-    first = F.greatest(F.floor(F.col("start") / size), F.floor(F.col("start" + suffix) / size))
-    met = (F.col("_level") == F.greatest("_own", "_own" + suffix)) & (F.col("_bin") == first)
+    size = F.element_at(F.array(*(F.lit(bin_size * f) for f in LEVELS)), F.floor(F.col("_meet") / 2).cast("int") + 1)
+    met = F.col("_bin") == F.floor(F.greatest(F.col("start"), F.col("start" + suffix)) / size)
     share = (F.col("start") < F.col("end" + suffix)) & (F.col("start" + suffix) < F.col("end"))
-    return _binned(left, bin_size).join(other, [*by, "_level", "_bin"]).where(share & met).drop("_own", "_level", "_bin", "_own" + suffix)
+    return candidates(left, right, by, suffix, bin_size).where(share & met).drop("_meet", "_bin")
 
 
 def overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
