@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .operators.interval import merge
 
 #: Bases of a genome chunk: a digest gives as many.
 CHUNK = 32
-_kept: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,20 +31,12 @@ def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(text("tx", "tx").alias("transcript_id"), text("g", "g").alias("gene_id"), text("n", "g").alias("gene_name"), "chrom", "strand", "start", "end", (F.col("tx") % 4 == 0).alias("novel"))
 
 
-def kept_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """exons(), kept for the several uses that a query makes of it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _kept:
-        _kept[key] = exons(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    return _kept[key]
-
-
 def novel_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept_exons(spark, sf_dir).where("novel").drop("novel")
+    return exons(spark, sf_dir).where("novel").drop("novel")
 
 
 def ref_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kept_exons(spark, sf_dir).where("not novel").drop("novel")
+    return exons(spark, sf_dir).where("not novel").drop("novel")
 
 
 def atlas(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -26,11 +28,19 @@ def motif_hits(seq: Column, motifs: Sequence[str], region_length: int) -> Column
     """
     none = F.array().cast("array<struct<distance:int,motif:string>>")
 
+    def begins(bases: Column, at: Column, words: Sequence[str], k: int = 0) -> Column:
+        """Whether one of the words, all of one size, stands at a place; letter by letter, so that most places cost one or two comparisons."""
+        letters = sorted({w[k] for w in words})
+        more = lambda x: [w for w in words if w[k] == x]
+        here = lambda x: F.element_at(bases, at + k) == x
+        each = [here(x) & begins(bases, at, more(x), k + 1) if k + 1 < len(words[0]) else here(x) for x in letters]
+        return reduce(or_, each)
+
     def of(bases: Column, size: int) -> Column:
-        own = F.array(*(F.lit(m) for m in motifs if len(m) == size))
+        words = [m for m in motifs if len(m) == size]
         at = F.when(F.size(bases) >= size, F.sequence(F.lit(1), F.size(bases) - (size - 1))).otherwise(F.array().cast("array<int>"))
-        words = F.transform(at, lambda i: F.struct((i + (size - 1) - region_length).cast("int").alias("distance"), F.concat(*(F.element_at(bases, i + k) for k in range(size))).alias("motif")))
-        return F.filter(words, lambda w: F.array_contains(own, w["motif"]))
+        found = F.filter(at, lambda i: begins(bases, i, words))
+        return F.transform(found, lambda i: F.struct((i + (size - 1) - region_length).cast("int").alias("distance"), F.array_join(F.slice(bases, i, size), "").alias("motif")))
 
     # the bases are bound once: substring would walk the text from its start for every place
     each = F.transform(F.array(F.split(seq, "")), lambda bases: F.concat(none, *(of(bases, size) for size in sorted({len(m) for m in motifs}))))

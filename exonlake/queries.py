@@ -124,17 +124,17 @@ def spliced_events_any_site(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EXONS} SELECT transcript_id, s, e, num AS region_number, rnk AS region_rank FROM ranked")
 def region_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["exons"].select("transcript_id", "start", "end", F.col("region_number").cast("long").alias("region_number"), "region_rank"))
+    return _renamed(structure.exon_intron_tables(ad.exons(spark, sf_dir))["exons"].select("transcript_id", "start", "end", F.col("region_number").cast("long").alias("region_number"), "region_rank"))
 
 
 @query(f"WITH {_EXONS} SELECT transcript_id, s, e, num AS region_number, rnk AS region_rank FROM introns")
 def introns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["introns"].select("transcript_id", "start", "end", F.col("region_number").cast("long").alias("region_number"), "region_rank"))
+    return _renamed(structure.exon_intron_tables(ad.exons(spark, sf_dir))["introns"].select("transcript_id", "start", "end", F.col("region_number").cast("long").alias("region_number"), "region_rank"))
 
 
 @query(f"WITH {_EXONS} SELECT transcript_id, s, e, 'first' AS kind FROM ranked WHERE num = 1 AND cnt > 1 UNION ALL SELECT transcript_id, s, e, 'last' FROM ranked WHERE num = cnt AND cnt > 1 UNION ALL SELECT transcript_id, s, e, 'internal' FROM ranked WHERE num > 1 AND num < cnt")
 def terminal_and_internal_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["exons"]
+    own = structure.exon_intron_tables(ad.exons(spark, sf_dir))["exons"]
     kind = lambda df, k: df.select("transcript_id", "start", "end", F.lit(k).alias("kind"))
     first, last = (kind(structure.terminal_regions(own, k, filter_single=True), k) for k in ("first", "last"))
     return _renamed(first.unionByName(last).unionByName(kind(structure.internal_regions(own), "internal")))
@@ -148,17 +148,17 @@ cc AS (SELECT *, min(s) OVER (PARTITION BY chrom, strand{more}, k) AS cluster_st
 
 @query(f"WITH {_ISLANDS.format(more='', rows='exons')} SELECT transcript_id, s, e, cluster_start FROM cc")
 def cluster_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.cluster(ad.kept_exons(spark, sf_dir)).select("transcript_id", "start", "end", "cluster_start"))
+    return _renamed(interval.cluster(ad.exons(spark, sf_dir)).select("transcript_id", "start", "end", "cluster_start"))
 
 
 @query(f"WITH {_ISLANDS.format(more=', gene_id', rows='exons')} SELECT transcript_id, s, e, cluster_start FROM cc")
 def cluster_by_gene(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.cluster(ad.kept_exons(spark, sf_dir), ["chrom", "strand", "gene_id"]).select("transcript_id", "start", "end", "cluster_start"))
+    return _renamed(interval.cluster(ad.exons(spark, sf_dir), ["chrom", "strand", "gene_id"]).select("transcript_id", "start", "end", "cluster_start"))
 
 
 @query(f"WITH {_ISLANDS.format(more='', rows='exons')} SELECT DISTINCT chrom, strand, cluster_start AS s, cluster_end AS e FROM cc")
 def merge_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.merge(ad.kept_exons(spark, sf_dir)))
+    return _renamed(interval.merge(ad.exons(spark, sf_dir)))
 
 
 @query(f"""WITH {_ISLANDS.format(more='', rows='(SELECT * FROM ranked WHERE NOT novel AND num < cnt)')}, mask AS (SELECT DISTINCT chrom, strand, cluster_start AS ms, cluster_end AS me FROM cc),
@@ -168,7 +168,7 @@ stops AS (SELECT transcript_id, e AS z FROM ends UNION ALL SELECT transcript_id,
 gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY a) AS k FROM points) p JOIN (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY z) AS k FROM stops) q USING (transcript_id, k))
 SELECT transcript_id, a AS s, z AS e FROM gaps WHERE z > a""")
 def subtract_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
     ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
     return _renamed(interval.subtract(last, _not_last(ref), "transcript_id").select("transcript_id", "start", "end"))
 
@@ -185,7 +185,7 @@ _ATLAS = "atlas AS (SELECT 'chr' || ((p_partkey // 4) % 5) AS chrom, CASE WHEN (
 r AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY distance, toward) AS rn FROM d)
 SELECT transcript_id, site_start, distance, CASE WHEN distance <= 100 THEN 1 ELSE 0 END AS atlas_filter FROM r WHERE rn = 1 AND distance <= 100000""")
 def nearest_atlas_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
     found = three_ends.nearest_atlas_site(last, ad.atlas(spark, sf_dir))
     return found.where("nearest_atlas_distance <= 100000").select("transcript_id", F.col("atlas_start").alias("site_start"), F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
 
@@ -283,7 +283,7 @@ b AS (SELECT w.*, unnest(range(ws, we)) AS i FROM w),
 q AS (SELECT transcript_id, strand, string_agg(substr(translate(md5(chrom || ':' || (i // 32)), '0123456789abcdef', 'AATAACAATAAGTAAC'), CAST(i % 32 AS INT) + 1, 1), '' ORDER BY i) AS f FROM b GROUP BY transcript_id, strand)
 SELECT transcript_id, CASE WHEN strand = '-' THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END AS sequence FROM q""")
 def terminal_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["last_exons"]
+    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"]
     ends = terminal_window(last.select("transcript_id", "chrom", "strand", "start", "end"), 100)
     return three_ends.region_sequences(ends, ad.genome(ends), "transcript_id", ad.CHUNK).select("transcript_id", "sequence")
 
@@ -385,7 +385,7 @@ pc AS (SELECT cluster, count(DISTINCT experiment_id) AS n, array_to_string(list_
 
 
 def _experiments(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    last = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["last_exons"]
+    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"]
     orders = ad.table(spark, sf_dir, "orders").select(F.concat(F.lit("tx"), "o_orderkey").alias("transcript_id"), F.col("o_orderpriority").alias("experiment_id"), F.col("o_orderstatus").alias("event_type"), F.lit(0.5).alias("delta"))
     return jobs.merge_experiments(last.select("transcript_id", "chrom", "strand", "start", "end").join(orders, "transcript_id"))
 
@@ -412,13 +412,13 @@ def describe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EXONS} SELECT transcript_id, gene_id, chrom, strand, s, e FROM exons")
 def gtf_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = genomic.gtf_lines(ad.kept_exons(spark, sf_dir), ["gene_id", "transcript_id", "gene_name"])
+    lines = genomic.gtf_lines(ad.exons(spark, sf_dir), ["gene_id", "transcript_id", "gene_name"])
     return _renamed(genomic.gtf_table(lines, ["transcript_id", "gene_id"]).select("transcript_id", "gene_id", "chrom", "strand", "start", "end"))
 
 
 @query(f"WITH {_EXONS} SELECT transcript_id, s, coalesce('a' || (s % 3) || ',b', 'x') AS tag, gene_id FROM exons")
 def gtf_repeated_attributes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = ad.kept_exons(spark, sf_dir)
+    own = ad.exons(spark, sf_dir)
     lines = genomic.gtf_lines(own.withColumn("tag", F.concat(F.lit("a"), F.col("start") % 3)), ["gene_id", "transcript_id", "tag"]).select(F.concat("value", F.lit(' tag "b";')).alias("value"))
     return _renamed(genomic.gtf_table(lines).select(F.col("attributes.transcript_id").alias("transcript_id"), "start", F.col("attributes.tag").alias("tag"), F.col("attributes.gene_id").alias("gene_id")))
 
@@ -451,11 +451,11 @@ oo AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY chrom, strand ORDER BY
 ok AS (SELECT *, sum(o) OVER (PARTITION BY chrom, strand ORDER BY s, e, transcript_id ROWS UNBOUNDED PRECEDING) AS k FROM oo)
 SELECT transcript_id, chrom || ':' || strand || ':' || c AS merged_id FROM tx JOIN ic USING (transcript_id) UNION ALL SELECT transcript_id, chrom || ':' || strand || ':' || min(s) OVER (PARTITION BY chrom, strand, k) FROM ok""")
 def match_across_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.match_across_samples(ad.kept_exons(spark, sf_dir).withColumn("sample", F.lit("all"))).select("transcript_id", "merged_id")
+    return jobs.match_across_samples(ad.exons(spark, sf_dir).withColumn("sample", F.lit("all"))).select("transcript_id", "merged_id")
 
 
 def _three_ends(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    last = structure.exon_intron_tables(ad.kept_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end", "gene_id")
+    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end", "gene_id")
     named = jobs.combine_last_exons([last])
     return jobs.filter_three_ends(named, ad.atlas(spark, sf_dir), ad.genome(terminal_window(last, 100)), ad.CHUNK, motifs=GRUBER_MOTIFS)
 
