@@ -2,31 +2,32 @@
 
 A document's set holds its distinct word shingles as 64-bit hashes.  Two sets
 with Jaccard >= t share ``SHARED`` tokens (or all of a smaller overlap) among each
-other's first ``n - ceil(t*n) + SHARED`` in any common order; frequent tokens are
-ordered last.  The matrix has those tokens against documents, then groups of them:
+other's first ``n - ceil(t*n) + SHARED`` in any common order; rare tokens are ordered
+first, by counted tokens and by the product of their words' shares of all words.  The
+matrix has those tokens against documents, then against groups of them:
 
 1. equal sets fold into one representative by their 128-bit digest;
-2. the documents of a token that has up to ``FEW`` are paired, and pairs that share
-   enough tokens are compared, a part of them first, as what is in one class then need
-   not be compared;
-3. of more common tokens, for a few rounds each names a leader, and members within t of
-   it join its class;
-4. what is left of these is grouped by leader and size, at most ``GROUP`` documents in a
-   group, and the matrix is taken again as (token, group): pairs of groups that share a
-   token and whose sizes allow a link are opened.
-
-Whatever is compared is first bounded by signatures (how many tokens of each set fall
-into each of ``PARTS`` parts of the token space), and by whole sets if that allows a link.
-Every pair that could join two classes is compared on exact sets, so no link
-between different classes is lost; pairs already joined need no comparison.
-Nothing is capped: what is similar fills as many groups as it needs, and a leader with
-many members is dealt out in blocks of them.  The frequent-token list that is sent to
-every task is bounded by ``MAX_FREQUENT``; it sets the order only, never a result.
+2. tokens of one document alone leave the matrix, then documents with fewer tokens left
+   than a link needs;
+3. for a few rounds each token names a leader, and what is within t of a leader that it
+   shares enough tokens with joins its class, as what is in one class need not be compared;
+4. similar documents, those of one leader and like size, form groups of at most ``GROUP``.
+   The matrix is taken again as (token, group), the union of a group's tokens.  A pair of
+   groups shares no more tokens than their unions do: where that is enough for a link of
+   their smallest members, and sizes and classes allow one, the pair is opened.
+
+Members of opened pairs are first bounded by signatures (how many tokens of each set fall
+into each of ``PARTS`` parts of the token space), then compared on exact sets.  Every pair
+that could join two classes is compared, so no link between different classes is lost;
+pairs already joined need no comparison.  Nothing is capped: what is similar fills as many
+groups as it needs, and a leader with many members is dealt out in blocks of them.  The
+tables of frequent tokens and words that are sent to every task are bounded by
+``MAX_FREQUENT``; they set the order only, never a result.
 
 Defined cases: null or wordless text has an empty set, links with nothing and is
 its own component; fewer words than a shingle make one shingle; rows that share a
-doc_id share its component; rows with a null doc_id have a null component; an
-empty table gives an empty result; further columns are ignored.
+doc_id and have words share a component, whatever their texts; rows with a null doc_id
+have a null component; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import textops as tx
 from .components import merge_labels
@@ -48,87 +49,144 @@ BLOCK = 64
 GROUP = 256
 #: Tokens that prefixes are longer by, so that linked sets share as many (or all of a smaller overlap).
 SHARED = 6
-#: Documents of a token up to which they are paired directly; more are put into groups.
-FEW = 48
 #: Parts of the token space; a signature counts a set's tokens in each.
-PARTS = 512
+PARTS = 128
 ROUNDS = 2
-#: Frequent tokens sent to tasks, at most (12 bytes each).
+#: Frequent tokens and words sent to tasks, at most of each (12 bytes each).
 MAX_FREQUENT = 200_000
+#: Hashes that a task counts at once, and the count from which it tells of one.
+HELD, TOLD = 500_000, 4
+#: Steps of the order for each doubling of a token's count.
+_STEPS = 16
 #: Rows of ids or labels that may be broadcast; beyond, joins shuffle them.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 200_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def token_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, token) of each row's distinct shingles, by row and token."""
+def _hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every word, lower-cased, in order."""
     data = _LOWER[data]
     start, end, row = tx.word_bounds(data, offsets)
-    hashes = tx.span_hash(tx.prefix_hash(data), start, end)
+    return row, tx.span_hash(tx.prefix_hash(data), start, end)
+
+
+def _shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, token, first word or -1) of all shingles by row and token, repeated ones too."""
     grams, first = tx.gram_hash(hashes, row, words)
     rows = row[first]
-    counts = np.bincount(row, minlength=len(offsets) - 1)
+    counts = np.bincount(row, minlength=n_rows)
     for short in np.flatnonzero((counts > 0) & (counts < words)):
         own = hashes[row == short]
         grams = np.append(grams, tx.mix(np.array([int(sum(int(h) * pow(0x9E3779B97F4A7C15, len(own) - 1 - k, 1 << 64) for k, h in enumerate(own)) % (1 << 64)) ^ len(own)], np.uint64)))
-        rows = np.append(rows, short)
+        rows, first = np.append(rows, short), np.append(first, -1)
     order = np.argsort(grams, kind="stable")
-    small = np.uint16 if len(counts) < 1 << 16 else np.int64
+    small = np.uint16 if n_rows < 1 << 16 else np.int64
     order = order[np.argsort(rows[order].astype(small), kind="stable")]
-    grams, rows = grams[order], rows[order]
+    return rows[order], grams[order], first[order]
+
+
+def _distinct(rows: np.ndarray, grams: np.ndarray) -> np.ndarray:
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (rows[1:] != rows[:-1])
+    return np.flatnonzero(new)
+
+
+def token_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, token) of each row's distinct shingles, by row and token."""
+    row, hashes = _hashed_words(data, offsets)
+    rows, grams, _ = _shingles(hashes, row, len(offsets) - 1, words)
+    new = _distinct(rows, grams)
     return rows[new], grams[new]
 
 
 def _digests(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, h1, h2 of each row; rows with a token instead have the count of one that is frequent in its task."""
+    """kind 0: doc_id, n, h1, h2 of each row; kinds 1 and 2: h1, a token or a word that is frequent in its task, and its count n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: dict[int, list[np.ndarray]] = {1: [], 2: []}
 
-        def frequent() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            tokens, counts = tokens[counts >= 4], counts[counts >= 4]
-            none = pa.nulls(len(tokens), pa.int64())
-            return pa.RecordBatch.from_arrays([none, pa.array(counts, pa.int64()), none, none, pa.array(tokens.view(np.int64))], names=["doc_id", "n", "h1", "h2", "token"])
+        def frequent(kind: int) -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held[kind]), return_counts=True)
+            held[kind].clear()
+            values, counts = values[counts >= TOLD], counts[counts >= TOLD]
+            none = pa.nulls(len(values), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(values), kind, np.int32)), none, pa.array(counts, pa.int64()), pa.array(values.view(np.int64)), none], names=["kind", "doc_id", "n", "h1", "h2"])
 
         for batch in tx.chunks(batches):
             n = batch.num_rows
-            rows, tokens = token_sets(*tx.flat(batch.column("text")), words)
+            row, hashes = _hashed_words(*tx.flat(batch.column("text")))
+            rows, tokens, _ = _shingles(hashes, row, n, words)
+            new = _distinct(rows, tokens)
+            rows, tokens = rows[new], tokens[new]
             counts = np.bincount(rows, minlength=n)
-            out = []
+            ends, out = np.cumsum(counts), []
             for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
                 sums = np.zeros(len(tokens) + 1, np.uint64)
                 np.cumsum(tx.mix(tokens ^ np.uint64(salt)), out=sums[1:])
-                ends = np.cumsum(counts)
                 out.append(pa.array((sums[ends] - sums[ends - counts]).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), *out, pa.nulls(n, pa.int64())], names=["doc_id", "n", "h1", "h2", "token"])
-            held.append(tokens)
-            if sum(map(len, held)) > 4_000_000:
-                yield frequent()
-        if held:
-            yield frequent()
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), *out], names=["kind", "doc_id", "n", "h1", "h2"])
+            for kind, values in ((1, tokens), (2, hashes)):
+                held[kind].append(values)
+                if sum(map(len, held[kind])) > HELD:
+                    yield frequent(kind)
+        for kind in held:
+            if held[kind]:
+                yield frequent(kind)
+
+    return docs.select("doc_id", "text").mapInArrow(run, "kind int, doc_id long, n long, h1 long, h2 long")
+
+
+def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, count) by hash of the most frequent ones, by octaves of counts, as many octaves as ``MAX_FREQUENT`` rows hold."""
+    octave = F.floor(F.log2("n")).cast("int")
+    left, least = MAX_FREQUENT, 64
+    for r in sorted(counts.groupBy(octave.alias("o")).agg(F.count("*").alias("k")).collect(), reverse=True):  # 64 rows at most
+        left -= r["k"]
+        if left < 0:
+            break
+        least = r["o"]
+    top = counts.where(octave >= least).toArrow()
+    known = top.column("h1").to_numpy().view(np.uint64)
+    order = np.argsort(known)
+    return known[order], top.column("n").to_numpy()[order]
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, h1 long, h2 long, token long")
 
+def _steps(share: np.ndarray) -> np.ndarray:
+    return np.round(np.log2(share) * _STEPS).astype(np.int32)
 
-def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(token, doc_id, n): each row's prefix under the order frequent last, then by hash."""
-    common = docs.sparkSession.sparkContext.broadcast(frequent)
+
+def _looked_up(known: np.ndarray, values: np.ndarray, sought: np.ndarray, missing: int) -> np.ndarray:
+    if not len(known):
+        return np.full(len(sought), missing, np.int32)
+    at = np.minimum(np.searchsorted(known, sought), len(known) - 1)
+    return np.where(known[at] == sought, values[at], missing)
+
+
+def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np.ndarray, np.ndarray], common_words: tuple[np.ndarray, np.ndarray], n_words: int) -> DataFrame:
+    """(token, doc_id, n): each row's prefix under the order rare first, then by hash.
+
+    How often a token is to be expected is the number of all words times the shares of its words;
+    tokens known to be more frequent have their count.
+    """
+    total = max(1, n_words)
+    tables = (frequent[0], _steps(frequent[1]), common_words[0], _steps(common_words[1] / total))
+    common = docs.sparkSession.sparkContext.broadcast(tables)
+    all_words, rare = int(_steps(np.array([total]))[0]), int(_steps(np.array([1 / total]))[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = common.value
+        token, times, word, share = common.value
         for batch in tx.chunks(batches):
-            rows, tokens = token_sets(*tx.flat(batch.column("text")), words)
+            row, hashes = _hashed_words(*tx.flat(batch.column("text")))
+            rows, tokens, first = _shingles(hashes, row, batch.num_rows, words)
+            new = _distinct(rows, tokens)
+            rows, tokens, first = rows[new], tokens[new], first[new]
+            cost = np.concatenate([[0], np.cumsum(_looked_up(word, share, hashes, rare), dtype=np.int64)])
+            expected = np.where(first >= 0, all_words + cost[np.minimum(first + words, len(hashes))] - cost[first], 0)
+            weight = np.maximum(expected, _looked_up(token, times, tokens, -(1 << 30)))
+            order = np.lexsort((tokens, weight, rows))
+            rows, tokens = rows[order], tokens[order]
             counts = np.bincount(rows, minlength=batch.num_rows)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-                weight = np.where(known[at] == tokens, times[at], 0)
-                order = np.lexsort((tokens, weight, rows))
-                rows, tokens = rows[order], tokens[order]
             place = np.arange(len(rows)) - (np.cumsum(counts) - counts)[rows]
             keep = place < (counts - (percent * counts + 99) // 100 + SHARED)[rows]
             rows, tokens = rows[keep], tokens[keep]
@@ -232,54 +290,59 @@ def _sent_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _needed(n: Column, percent: int) -> Column:
+    """Tokens of a prefix that a link of a set of n tokens shares at least."""
+    return F.least(F.lit(SHARED), F.floor((n * percent + 99) / 100))
+
+
+def _shared_tokens(tokens: DataFrame, percent: int) -> DataFrame:
+    """The rows (token, doc_id, n) of tokens in several documents, of documents with enough of them for a link."""
+    dealt = tokens.repartition("token")  # once, for the count and for the join: both read all columns
+    several = dealt.groupBy("token").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"), F.max("n").alias("_n")).where("_lo < _hi and _n > 0").select("token")
+    matrix = written(dealt.join(several, "token", "left_semi"), "op9-shared")
+    enough = matrix.groupBy("doc_id").agg(F.count("*").alias("_c"), F.min(_needed(F.col("n"), percent)).alias("_need")).where("_c >= _need").select("doc_id")
+    return written(matrix.join(_sent_if_small(enough), "doc_id", "left_semi").select("token", "doc_id", "n"), "op9-matrix")
+
+
 def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id of every row; sets link when 100 * shared >= percent * union."""
     digests = written(_digests(docs, words), "op9-sets")
-    common = digests.where("token is not null").groupBy("token").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "token").limit(MAX_FREQUENT).toPandas()
-    known = common["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(known)
-    frequent = (known[order], common["n"].to_numpy(np.int64)[order])
+    tables = []
+    for kind in (1, 2):
+        counted = written(digests.where(f"kind = {kind}").groupBy("h1").agg(F.sum("n").alias("n")), "op9-frequent")
+        tables.append(_most_frequent(counted))
+    n_words = digests.where("kind = 2").agg(F.sum("n")).first()[0] or 1
 
-    sets = digests.where("token is null").select("doc_id", "n", "h1", "h2")
+    sets = digests.where("kind = 0").select("doc_id", "n", "h1", "h2")
     classes = sets.where("doc_id is not null and n > 0").groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("rep"))
     member = written(sets.join(classes, ["h1", "h2", "n"], "left").select("doc_id", "n", "rep"), "op9-member")
+    # rows that share a doc_id but not their set: none of them is left out as a copy, and its sets are joined
+    clashing = written(member.where("rep is not null").groupBy("doc_id").agg(F.min("rep").alias("_lo"), F.max("rep").alias("_hi")).where("_lo < _hi").select("doc_id"), "op9-clash")
+    copies = member.where("rep <> doc_id").select("doc_id").distinct().join(_sent_if_small(clashing), "doc_id", "left_anti")
 
-    tokens = written(_matrix_tokens(docs.where("doc_id is not null"), words, percent, frequent), "op9-tokens")
-    shared = tokens.groupBy("token").agg(F.count("*").alias("_c")).where("_c > 1").select("token")
-    matrix = tokens.join(shared, "token").join(_sent_if_small(member.where("rep <> doc_id").select("doc_id")), "doc_id", "left_anti")
-    matrix = written(matrix, "op9-matrix")
+    tokens = written(_matrix_tokens(docs.where("doc_id is not null").join(_sent_if_small(written(copies, "op9-copies")), "doc_id", "left_anti"), words, percent, *tables, n_words), "op9-tokens")
+    matrix = _shared_tokens(tokens, percent)
     dropped(tokens)
-    ids = matrix.select("doc_id").distinct()
-    texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id"), words), "op9-texts")
+    ids = written(matrix.select("doc_id").distinct(), "op9-ids")
+    texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id", "left_semi"), words), "op9-texts")
     sigs, texts = texts.select("doc_id", "n", "sig"), texts.select("doc_id", "text")
 
-    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
+    twins = member.join(_sent_if_small(clashing), "doc_id", "left_semi").where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    twins = written(twins, "op9-twins")
+    named_ids = ids.unionByName(twins.select(F.col("a").alias("doc_id"))).unionByName(twins.select(F.col("b").alias("doc_id"))).distinct()
+    labels = merge_labels(named_ids.withColumn("label", F.col("doc_id")), twins, "op9")
 
-    labels = written(ids.withColumn("label", F.col("doc_id")), "op9-labels")
+    side = lambda c, k: sigs.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("sig").alias(f"sig{k}"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    in_docs = written(matrix.groupBy("token").agg(F.count("*").alias("docs")).where("docs > 1"), "op9-docs")
-    few = matrix.join(in_docs.where(F.col("docs") <= FEW).select("token"), "token")
-    one, two = (few.select("token", *(F.col(c).alias(c + k) for c in ("doc_id", "n"))) for k in "12")
-    pairs = one.join(two, "token").where((F.col("doc_id1") < F.col("doc_id2")) & fits(F.col("n1"), F.col("n2")))
-    need = F.least(F.lit(SHARED), F.floor((F.greatest("n1", "n2") * percent + 99) / 100))
-    pairs = pairs.groupBy(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).agg(F.count("*").alias("_c"), F.min(need).alias("_need")).where("_c >= _need").select("a", "b")
-    pairs = written(_screened(pairs.join(side("a", 1), "a").join(side("b", 2), "b"), percent), "op9-pairs")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    for k in range(ROUNDS + 1):  # each document with one other of its pairs first, then the pairs that are still of two classes
-        named = _named(both if k < ROUNDS else pairs, labels)
-        if k < ROUNDS:
-            named = named.groupBy("a", "label").agg(F.min(F.struct(F.xxhash64("b", F.lit(k)), "b", "label_b")).alias("_m")).select("a", "label", "_m.b", "_m.label_b")
-        labels = merge_labels(labels, _linked(written(named, f"op9-near{k}"), texts, words, percent), "op9")
-
-    common_rows = written(matrix.join(in_docs.where(F.col("docs") > FEW).select("token"), "token"), "op9-common")
     for k in range(ROUNDS):
-        rows, lead = _mixed(common_rows, labels, k)
+        rows, lead = _mixed(matrix, labels, k)
         edges = rows.join(lead, "token").where((F.col("label") != F.col("lead.label")) & fits(F.col("n"), F.col("lead.n")))
-        edges = edges.groupBy(F.col("doc_id").alias("a"), F.col("lead.doc_id").alias("b")).agg(F.count("*").alias("_c")).where(F.col("_c") >= SHARED).select("a", "b")
+        need = F.min(_needed(F.greatest("n", "lead.n"), percent)).alias("_need")
+        edges = edges.groupBy(F.col("doc_id").alias("a"), F.col("lead.doc_id").alias("b")).agg(F.count("*").alias("_c"), need).where("_c >= _need").select("a", "b")
         near = _named(_screened(edges.join(side("a", 1), "a").join(side("b", 2), "b"), percent), labels)
         labels = merge_labels(labels, _linked(written(near, f"op9-led{k}"), texts, words, percent), "op9")
 
-    rows, lead = _mixed(common_rows, labels, ROUNDS)
+    rows, lead = _mixed(matrix, labels, ROUNDS)
     many = written(rows.join(lead, "token").select("token", "doc_id", "n", "label", F.struct("lead.h", "lead.doc_id").alias("lead")), "op9-open")
     # sizes that can link are at most one class apart
     many = many.withColumn("size", F.floor(F.log("n") / float(np.log(100 / percent)) + 1e-9).cast("int"))
@@ -287,17 +350,24 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     blocks = homes.groupBy("home", "size").agg(F.ceil(F.count("*") / GROUP).alias("blocks"))
     homes = homes.join(blocks, ["home", "size"]).select("doc_id", "label", F.struct(F.col("home.doc_id").alias("home"), "size", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("k")).alias("g"))
     members = written(homes.join(sigs, "doc_id"), "op9-members")
-    in_group = many.select("token", "doc_id").join(_sent_if_small(members.select("doc_id", "g")), "doc_id").select("token", "g").distinct()
-    left = in_group.select("token", F.col("g").alias("g1"), F.explode(F.array(F.col("g.size"), F.col("g.size") + 1)).alias("size"))
-    right = in_group.select("token", F.col("g").alias("g2"), F.col("g.size").alias("size"))
-    opened = left.join(right, ["token", "size"]).where("g1.size < g2.size or g1 <= g2").select("g1", "g2").distinct()
+    groups = members.groupBy("g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+    in_group = many.select("token", "doc_id").join(_sent_if_small(members.select("doc_id", "g").distinct()), "doc_id").select("token", "g").distinct()
+    unions = written(in_group.join(groups, "g"), "op9-unions")
+    left = unions.select("token", F.col("g").alias("g1"), F.struct("least", "most", "lo", "hi").alias("x"), F.explode(F.array(F.col("g.size"), F.col("g.size") + 1)).alias("size"))
+    right = unions.select("token", F.col("g").alias("g2"), F.struct("least", "most", "lo", "hi").alias("y"), F.col("g.size").alias("size"))
+    two_classes = ~((F.col("x.lo") == F.col("x.hi")) & (F.col("y.lo") == F.col("y.hi")) & (F.col("x.lo") == F.col("y.lo")))
+    sizes = (F.col("x.most") * 100 >= F.col("y.least") * percent) & (F.col("y.most") * 100 >= F.col("x.least") * percent)
+    pairs = left.join(right, ["token", "size"]).where((F.col("g1.size") < F.col("g2.size")) | (F.col("g1") <= F.col("g2"))).where(two_classes & sizes)
+    need = F.min(_needed(F.greatest("x.least", "y.least"), percent)).alias("_need")
+    opened = pairs.groupBy("g1", "g2").agg(F.count("*").alias("_c"), need).where("_c >= _need").select("g1", "g2")
     both = F.array(F.struct(F.lit(0).alias("side"), F.col("g1").alias("g")), F.struct(F.lit(1).alias("side"), F.col("g2").alias("g")))
     sides = opened.select(F.struct("g1", "g2").alias("pid"), F.explode(F.filter(both, lambda s: (s["side"] == 0) | (F.col("g1") != F.col("g2")))).alias("s"))
     sides = written(_screen_groups(sides.select("pid", "s.side", "s.g").join(members, "g").drop("g"), percent), "op9-sides")
     labels = merge_labels(labels, _open_groups(sides, texts, words, percent), "op9")
 
     named = member.join(_sent_if_small(labels.select(F.col("doc_id").alias("rep"), "label")), "rep", "left")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep", "doc_id").alias("component_id"))
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
+    return named.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
 def _named(pairs: DataFrame, labels: DataFrame) -> DataFrame:

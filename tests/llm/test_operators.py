@@ -111,10 +111,12 @@ def _sets(words):
     return out
 
 
-@pytest.mark.parametrize(("few", "group"), [(48, 256), (2, 3)])
-def test_jaccard_classes(docs, empty, monkeypatch, few, group):
-    monkeypatch.setattr(jaccard_join, "FEW", few)
+@pytest.mark.parametrize(("rounds", "group", "broadcast"), [(2, 256, 1000), (0, 3, 0), (1, 2, 5)])
+def test_jaccard_classes(docs, empty, monkeypatch, rounds, group, broadcast):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
     monkeypatch.setattr(jaccard_join, "GROUP", group)
+    monkeypatch.setattr(jaccard_join, "MAX_BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(jaccard_join, "TOLD", 2)
     sets = _sets(4)
     label = list(range(len(sets)))
     for _ in sets:
@@ -126,6 +128,13 @@ def test_jaccard_classes(docs, empty, monkeypatch, few, group):
     assert jaccard_join.jaccard_classes(empty).count() == 0
 
 
+def test_jaccard_classes_of_clashing_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (5, b), (7, b + " more"), (2, a), (9, c), (None, c), (11, a + " end"), (12, None), (12, c)]
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in got) == [(0, 0), (2, 2), (5, 2), (5, 2), (5, 2), (7, 2), (9, 9), (11, 2), (12, 9), (12, 12)]
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
