@@ -7,7 +7,8 @@ features, and ``RuleTrees`` keeps all trees as numpy node arrays so that a batch
 walks every tree at once.
 
 Defined cases: a null text is an empty text (no words, so ``base_failed``);
-repeated documents are scored each on their own; label rows with nulls are not
+repeated documents are scored each on their own, and a doc_id with several
+texts is fitted on the least of them; label rows with nulls are not
 used, of a document labelled twice with different values the lower one counts;
 without labels of both kinds every document that passes the base is kept; an
 empty table gives an empty result; further columns are ignored.
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import textops as tx
+from .sampling import sampled
 
 #: Labelled documents that the trees are fitted on, at most; taken by hash of their id.
 SAMPLE_ROWS = 6000
@@ -196,9 +198,10 @@ def document_stats(docs: DataFrame, trees: RuleTrees | None = None, min_score: f
 
 def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleTrees | None:
     """Trees that tell quality 1 from 0; None when either is missing among the labels."""
-    sample = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    chosen = docs.join(F.broadcast(sample.select("doc_id", F.col("quality").alias("_quality"))), "doc_id").select("_quality", "text")
+    sample = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+    sample = F.broadcast(sampled(sample, "doc_id", sample_rows))
+    # a doc_id counts once, by its least text, however many rows it has
+    chosen = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "_quality").agg(F.min("text").alias("text"))
     rows = document_stats(chosen, keep_columns=["_quality"]).select("_quality", *FEATURES).toPandas()
     y = rows["_quality"].to_numpy(float)
     if len(set(y)) < 2:
