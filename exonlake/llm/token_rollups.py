@@ -5,23 +5,30 @@ back, and a revised count does both.  A batch is summed by key before it is stor
 (so a source with a third of all rows is combined in every task) and committed once:
 its deltas are written beside the store, then renamed to ``batch=<id>``, which fails if
 that batch is there already.  A batch that is sent again therefore changes nothing, and
-a driver or executor lost half-way leaves no partial batch.  ``compact`` folds committed
-batches into one base without changing totals or forgetting their ids.
+a driver or executor lost half-way leaves no partial batch.
+
+``compact`` folds committed batches into ``base=<n>``, which holds their sums and their
+ids, and appears by one rename.  Totals are those of the newest base and of the batches
+that it does not name, so a driver lost at any step of it changes no total and forgets no
+id; files that no total reads any more are deleted last, or by the next compact.
 
 Defined cases: null texts count 0 tokens; null sources, languages and versions are keys
 of their own; null counts are 0; a document inserted twice counts twice until deleted
 twice; an empty batch is committed and adds nothing; an empty store has no totals, and
-keys whose documents and tokens are all gone have none; further columns are ignored.
+keys whose documents and tokens are all gone have none; a batch id has letters, digits,
+dots, dashes and underscores, others raise an error; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 KEYS = ("source", "lang", "version")
 _SCHEMA = "source string, lang string, version string, docs long, tokens long"
+_BATCH, _BASE, _STAGED = "batch=", "base=", "_staged-"
 #: Tokenizer versions and what each counts.
 TOKENIZERS = {"words-1": r"[^\x20\x09-\x0D]+", "pieces-2": r"[\p{L}\p{N}]+|[^\p{L}\p{N}\x20\x09-\x0D]"}
 
@@ -58,37 +65,72 @@ class Rollup:
     def _at(self, name: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
 
+    def _named(self, prefix: str) -> list[str]:
+        names = (s.getPath().getName() for s in self._fs.listStatus(self._at("")))
+        return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+    def _moved(self, staged: str, final: str) -> bool:
+        """Rename, unless final is there; some stores would move into it instead, which is taken back."""
+        if self._fs.exists(self._at(final)) or not self._fs.rename(self._at(staged), self._at(final)):
+            self._dropped(staged)
+            return False
+        if self._fs.exists(self._at(f"{final}/{staged}")):
+            self._dropped(f"{final}/{staged}")
+            return False
+        return True
+
+    def _dropped(self, name: str) -> None:
+        self._fs.delete(self._at(name), True)
+
+    def _base(self) -> tuple[int, set[str]]:
+        """The newest base (0: none) and the ids of its batches; a row for each batch ever committed."""
+        newest = max(map(int, self._named(_BASE)), default=0)
+        if not newest:
+            return 0, set()
+        return newest, {r["id"] for r in self.spark.read.schema("id string").parquet(f"{self.path}/{_BASE}{newest}/ids").collect()}
+
     def batches(self) -> list[str]:
-        return sorted(s.getPath().getName() for s in self._fs.listStatus(self._at("")) if s.getPath().getName().startswith("batch="))
+        """Ids of all committed batches."""
+        return sorted(self._base()[1] | set(self._named(_BATCH)))
 
     def commit(self, batch_id: str, events: DataFrame) -> bool:
         """Store the batch's sums; False, and no change, if that batch is committed already."""
-        final, staged = self._at(f"batch={batch_id}"), f"_staged-{uuid.uuid4().hex}"
-        if self._fs.exists(final):
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", batch_id):
+            raise ValueError(f"not a batch id: {batch_id!r}")
+        if batch_id in self.batches():
             return False
+        staged = f"{_STAGED}{uuid.uuid4().hex}"
         sums = events.groupBy(*KEYS).agg(F.sum("sign").cast("long").alias("docs"), F.sum(F.col("sign") * F.col("tokens")).alias("tokens"))
         sums.write.parquet(f"{self.path}/{staged}")
-        if self._fs.exists(final) or not self._fs.rename(self._at(staged), final):
-            self._fs.delete(self._at(staged), True)
-            return False
-        return True
+        return self._moved(staged, f"{_BATCH}{batch_id}")
+
+    def _sums(self) -> tuple[int, set[str], DataFrame]:
+        """The newest base, the ids that its and the other batches have, and the sums of all."""
+        base, folded = self._base()
+        live = [n for n in self._named(_BATCH) if n not in folded]
+        paths = [f"{self.path}/{_BATCH}{n}" for n in live] + ([f"{self.path}/{_BASE}{base}/sums"] if base else [])
+        if not paths:
+            return base, folded, self.spark.createDataFrame([], _SCHEMA)
+        rows = self.spark.read.schema(_SCHEMA).parquet(*paths)
+        return base, folded | set(live), rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
 
     def totals(self) -> DataFrame:
         """docs and tokens by source, lang and version over all committed batches."""
-        names = self.batches()
-        if not names:
-            return self.spark.createDataFrame([], _SCHEMA)
-        rows = self.spark.read.schema(_SCHEMA).parquet(*(f"{self.path}/{n}" for n in names))
-        return rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).where("docs <> 0 or tokens <> 0")
-
-    def compact(self) -> None:
-        """Fold all batches into the first; the others stay as empty markers, so their ids stay committed."""
-        names = self.batches()
-        if len(names) < 2:
-            return
-        self.totals().coalesce(1).write.parquet(f"{self.path}/_folded")
-        empty = self.spark.createDataFrame([], _SCHEMA)
-        for name in names[1:]:
-            empty.write.mode("overwrite").parquet(f"{self.path}/{name}")
-        self._fs.delete(self._at(names[0]), True)
-        self._fs.rename(self._at("_folded"), self._at(names[0]))
+        return self._sums()[2].where("docs <> 0 or tokens <> 0")
+
+    def compact(self) -> bool:
+        """Fold all batches into a new base; False if there is nothing to fold, or another compact was first."""
+        base, ids, sums = self._sums()
+        if not self._named(_BATCH):
+            return False
+        staged, new = f"{_STAGED}{uuid.uuid4().hex}", f"{_BASE}{base + 1}"
+        sums.coalesce(1).write.parquet(f"{self.path}/{staged}/sums")
+        self.spark.createDataFrame([(i,) for i in sorted(ids)], "id string").coalesce(1).write.parquet(f"{self.path}/{staged}/ids")
+        if not self._moved(staged, new):
+            return False
+        for name in ids & set(self._named(_BATCH)):
+            self._dropped(f"{_BATCH}{name}")
+        for n in self._named(_BASE):
+            if int(n) <= base:
+                self._dropped(f"{_BASE}{n}")
+        return True
