@@ -4,9 +4,9 @@ Every task tokenises its documents, cuts those longer than a sequence, and
 best-fits its own pieces, longest first.  Full and nearly full bins are done;
 underfull bins go up a tree as items: nodes of ``FAN`` children best-fit them
 again, pass what stays underfull on, and after the last round whatever is left
-is a sequence as it is.  A node gets at most ``FAN`` times what its children
-could not fill, and a child passes on no more than ``PASS_ON`` bins, the emptiest,
-as nearly full ones gain least; so no node grows with the corpus.
+is a sequence as it is.  All underfull bins go up; a node with more than
+``NODE_BINS`` is dealt out by hash to as many as it needs, so none grows with the
+corpus.
 
 Token ids come from the public tokenizer file whose path is a parameter.  The
 tokenizer splits at white space, so words are encoded once per worker and reused
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from . import textops as tx
 from .store import written
@@ -35,9 +35,10 @@ from .store import written
 #: Free tokens up to which a bin counts as nearly full.
 SLACK = 16
 FAN = 8
-PASS_ON = 4096
+#: Underfull bins that a node of the tree merges, about.
+NODE_BINS = 20_000
 #: Words whose ids a worker keeps; then it begins anew.
-MAX_WORDS = 400_000
+MAX_WORDS = 150_000
 _PARTS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-;=-@\[-`{-~]+)")
 _encoders: dict[str, WordEncoder] = {}
 
@@ -50,6 +51,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        (self.digit,) = self.tokenizer.encode("0", add_special_tokens=False).ids
 
     def whole(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -67,6 +69,33 @@ class WordEncoder:
             return self.part(parts[1]) + self.part(parts[2])
         return self.whole(word)
 
+    def plain(self, words: list[bytes]) -> None:
+        """Learn words of letters alone at once, with a digit between them: a token that no letters give."""
+        if not words:
+            return
+        got = self.tokenizer.encode_batch_fast([b" 0 ".join(words).decode()], add_special_tokens=False)[0].ids
+        ids = np.array(got, "<u4")
+        cuts, data = np.flatnonzero(ids == self.digit), ids.tobytes()
+        starts, ends = [0, *(4 * cuts + 4).tolist()], [*(4 * cuts).tolist(), len(data)]
+        self.known.update((w, data[s:e]) for w, s, e in zip(words, starts, ends, strict=True))
+
+    def learn(self, words: list[bytes]) -> None:
+        """Words of letters, and those with ASCII marks behind, by their letters; others one by one."""
+        plain, marked = {}, []
+        for word in words:
+            parts = _PARTS.fullmatch(word)
+            letters = parts[1] if parts else word
+            if not letters.decode("utf-8", "replace").isalpha():
+                self.known[word] = self.word(word)
+                continue
+            if letters not in self.known:
+                plain[letters] = None
+            if parts:
+                marked.append((word, letters, parts[2]))
+        self.plain(list(plain))
+        for word, letters, marks in marked:
+            self.known[word] = self.known[letters] + self.part(marks)
+
     def ids(self, text: bytes) -> bytes:
         if b"<|" in text:  # could name a special token, which is told by its case
             return self.whole(text)
@@ -77,9 +106,7 @@ class WordEncoder:
         except KeyError:
             if len(known) > MAX_WORDS:
                 known.clear()
-            for word in words:
-                if word not in known:
-                    known[word] = self.word(word)
+            self.learn([w for w in dict.fromkeys(words) if w not in known])
             return b"".join(map(known.__getitem__, words))
 
 
@@ -164,11 +191,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int =
     nodes, moves, width = 1 if nodes is None else nodes + 1, None, 1
     while True:
         width *= FAN
-        node = F.shiftright("bin", 32)
-        # the emptiest bins of each child go up; the others are sequences now
-        bins = bins.withColumn("_child", F.floor(node / (width // FAN))).withColumn("node", F.floor(node / width))
-        rank = F.row_number().over(Window.partitionBy("_child").orderBy("fill", "bin"))
-        bins = bins.withColumn("_rank", rank).where(F.col("_rank") <= PASS_ON).select("node", "bin", "fill")
+        bins = bins.withColumn("_node", F.floor(F.shiftright("bin", 32) / width))
+        parts = F.broadcast(bins.groupBy("_node").agg(F.ceil(F.count("*") / NODE_BINS).alias("_parts")))  # a row for FAN tasks or more
+        bins = bins.join(parts, "_node").select(F.struct("_node", F.pmod(F.xxhash64("bin"), F.col("_parts")).alias("part")).alias("node"), "bin", "fill")
         step = written(_merged(bins, capacity), "op6-merge")
         if moves is None:
             moves = step.select("bin", "into", "at")
