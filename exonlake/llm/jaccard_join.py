@@ -282,7 +282,9 @@ def _open_groups(sides: DataFrame, texts: DataFrame, words: int, percent: int) -
                 found[1].append(int(ids[j]))
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    return sides.join(texts, "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
+    ids = written(sides.select("doc_id").distinct(), "op9-sought")
+    sought = texts.join(_sent_if_small(ids), "doc_id", "left_semi")  # so that only their texts are moved
+    return sides.join(sought, "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
 
 
 def _sent_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
