@@ -1,23 +1,28 @@
 """Personal data: pattern spans, and more by a linear-chain conditional random field over word shapes.
 
 ``base_spans`` holds the four patterns.  The field is trained from a labelled table
-of at most ``LABELLED_ROWS`` snippets around numbers and signs in the documents:
-their labels are the patterns' spans, and of some a second writing that no pattern
-takes (a phone without its country code, an e-mail with its signs spelled out) is
-added.  Decoding is Viterbi over all stretches of a numpy batch at once.  A stretch
-is the words within ``REACH`` of one with a digit, ``@``, ``+`` or a square bracket;
-words farther off are outside by definition, so long texts cost what they hold.
+of at most ``LABELLED_ROWS`` snippets around numbers and signs in the documents: their
+labels are the patterns' spans, and those of cases written into some of them, in forms
+that no pattern takes: a phone without its country code or with another number behind
+it, an e-mail with its signs spelled out, secrets (a kind of its own, which no pattern
+has), and numbers that are none of these.  Decoding is Viterbi over all stretches of a
+numpy batch at once.  A stretch is the words within ``REACH`` of one with a digit, ``@``,
+``+`` or a bracket; words farther off are outside by definition, as every form above has
+one of these, so long texts cost what they hold.
 
 Defined cases: null or empty text has no spans; the base spans of a kind do not
-overlap, those of two kinds may; an added span never overlaps a base span, and an added card passes Luhn too, as shapes can't tell; repeated
-rows are each reported; an empty table gives an empty result, and without labelled
-snippets only the base spans are reported; further columns are ignored.
+overlap, those of two kinds may; an added span never overlaps a base span, and what
+shapes can't tell is checked: Luhn of cards, ranges of addresses, digits of phones,
+length of secrets; spans to redact that overlap go as one, by the first one's kind;
+repeated rows are each reported; an empty table gives an empty result, and without
+labelled snippets only the base spans are reported; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,10 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import textops as tx
+from .sampling import thinned
 
-LABELLED_ROWS = 3000
+#: Documents that snippets are taken from, about, and snippets, at most.
+SAMPLE_DOCS, LABELLED_ROWS = 6000, 3000
 REACH = 3
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds that the patterns have, and those that the field has.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -40,6 +49,7 @@ _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_SPELLED_AT = re.compile(r"[\[(]at[\])]", re.I)
 _EDGE = ".,;:!?\"'<>#$%&*|="
 
 
@@ -80,15 +90,15 @@ def as_string(spans: list[tuple[int, int, int]]) -> str:
 
 # --- word shapes
 
-_DIGIT, _LETTER, _HIGH, _AT, _DOT, _DASH, _PLUS, _ROUND, _SQUARE = (np.zeros(256, bool) for _ in range(9))
+_DIGIT, _LETTER, _HIGH, _AT, _DOT, _DASH, _PLUS, _ROUND, _SQUARE, _QUOTE = (np.zeros(256, bool) for _ in range(10))
 _DIGIT[48:58] = True
 _LETTER[65:91] = _LETTER[97:123] = True
 _HIGH[128:] = True
-for _mask, _signs in ((_AT, "@"), (_DOT, "."), (_DASH, "-"), (_PLUS, "+"), (_ROUND, "()"), (_SQUARE, "[]")):
+for _mask, _signs in ((_AT, "@"), (_DOT, "."), (_DASH, "-"), (_PLUS, "+"), (_ROUND, "()"), (_SQUARE, "[]"), (_QUOTE, "\"'=")):
     _mask[[ord(c) for c in _signs]] = True
-_TRIGGER = _DIGIT | _AT | _PLUS | _SQUARE
+_TRIGGER = _DIGIT | _AT | _PLUS | _ROUND | _SQUARE
 _BUCKETS = np.array([1, 2, 4, 5, 7, 10, 13, 14, 17, 20])
-_JOINT = 11 * 5 * 2**6
+_JOINT = 11 * 5 * 2**7
 #: Features of a word: its joint shape, that of both neighbours, size, digits with sign, and a few marks.
 N_FEATURES = 3 * _JOINT + 12 + 11 * 8 + 2 * 2
 
@@ -97,14 +107,14 @@ def shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     """Feature numbers of each word without its neighbours' (n x 4, the first the joint shape), and whether it is a trigger."""
     count = lambda mask: (lambda c: c[end] - c[start])(np.concatenate([[0], np.cumsum(mask[data])]))
     digits, letters, dots = count(_DIGIT), count(_LETTER | _HIGH), np.minimum(count(_DOT), 4)
-    flags = [count(m) > 0 for m in (_AT, _DASH, _PLUS, _ROUND, _SQUARE)]
+    flags = [count(m) > 0 for m in (_AT, _DASH, _PLUS, _ROUND, _SQUARE, _QUOTE)]
     bucket = np.searchsorted(_BUCKETS, digits, "right")
-    joint = (bucket * 5 + dots) * 64 + (letters > 0) * 32 + sum(f * (16 >> k) for k, f in enumerate(flags))
+    joint = (bucket * 5 + dots) * 128 + (letters > 0) * 64 + sum(f * (32 >> k) for k, f in enumerate(flags))
     size = np.minimum(np.searchsorted([2, 3, 4, 6, 8, 11, 14, 16, 19, 24, 40], end - start), 11)
     first, last = data[start], data[end - 1]
     sign = bucket * 8 + _DIGIT[first] * 4 + _DIGIT[last] * 2 + (digits == end - start)
     code = np.stack([joint, 3 * _JOINT + size, 3 * _JOINT + 12 + sign, 3 * _JOINT + 12 + 88 + 2 * _DOT[last] + (letters == end - start)], axis=1)
-    return code, (digits > 0) | flags[0] | flags[2] | flags[4]
+    return code, (digits > 0) | flags[0] | flags[2] | flags[3] | flags[4]
 
 
 def stretches(rows: np.ndarray, trigger: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,42 +228,92 @@ def train(features: np.ndarray, real: np.ndarray, labels: np.ndarray, rounds: in
 
 # --- the labelled table
 
-def labelled_table(docs: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
-    """(snippet, spans): surroundings of numbers and signs, at most ``rows`` of them by hash, with the patterns' spans, and some written anew."""
+#: Names of settings that hold secrets.
+SECRET_NAMES = ("token", "api_key", "apikey", "secret", "password", "passwd", "access_key", "auth", "key", "bearer")
+
+
+def labelled_table(docs: DataFrame, rows: int = LABELLED_ROWS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(snippet, spans): surroundings of numbers and signs in about ``sample_docs`` documents by hash of doc_id, at most ``rows`` of them.
+
+    The labels are the patterns' spans, and those of what is written into some snippets: personal
+    data in forms that no pattern takes, secrets, and numbers that are none of these.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out: list[tuple[str, str]] = []
             for text in batch["text"]:
                 words = list(_WORD.finditer(text))
-                hits = [k for k, w in enumerate(words) if re.search(r"[0-9@+\[\]]", w[0])]
+                hits = [k for k, w in enumerate(words) if re.search(r"[0-9@+()\[\]]", w[0])]
+                hits = hits[:: max(1, len(hits) // 6)] or ([len(words) // 2] if words else [])
                 done = -1
-                for k in hits[:: max(1, len(hits) // 6)]:
+                for k in hits:
                     if k <= done:
                         continue
                     low, done = max(0, k - 6), min(len(words), k + 9) - 1
                     snippet = text[words[low].start() : words[done].end()]
-                    spans = base_spans(snippet)
-                    out.append((snippet, as_string(spans)))
-                    out += [(s, spans_s) for s, spans_s in (_rewritten(snippet, x) for x in spans) if s]
+                    out.append((snippet, as_string(base_spans(snippet))))
+                    out += _rewritten(snippet)
             yield pd.DataFrame(out, columns=["snippet", "spans"])
 
-    marked = docs.select("text").where("text rlike '[0-9@+]'").mapInPandas(run, "snippet string, spans string")
-    return marked.distinct().orderBy(F.xxhash64("snippet", "spans"), "snippet", "spans").limit(rows)
-
-
-def _rewritten(snippet: str, span: tuple[int, int, int]) -> tuple[str, str]:
-    start, kind, end = span
-    own = snippet[start:end]
-    if kind == 3 and (m := re.match(r"\+[0-9]{1,3}[ .-]+", own)):
-        new = own[m.end() :]
-    elif kind == 0:
-        new = own.replace("@", " [at] ").replace(".", " [dot] ")
-    else:
-        return "", ""
-    text = snippet[:start] + new + snippet[end:]
-    rest = [x for x in base_spans(text) if x[2] <= start or x[0] >= start + len(new)]
-    return text, as_string(sorted([*rest, (start, kind, start + len(new))]))
+    some = thinned(docs.select("doc_id", "text").where("text is not null"), "doc_id", sample_docs).select("text")
+    return some.mapInPandas(run, "snippet string, spans string").distinct().orderBy(F.xxhash64("snippet", "spans"), "snippet", "spans").limit(rows)
+
+
+def written_forms(rng: np.random.Generator) -> list[tuple[str, int | None]]:
+    """Words in a row with the kind of each, None for what is no personal data: one case in one of many forms."""
+    digits = lambda n: "".join(map(str, rng.integers(0, 10, n)))
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    name = lambda low, high: "".join(chr(97 + int(c)) for c in rng.integers(0, 26, int(rng.integers(low, high))))
+    address = lambda: ".".join(str(int(x)) for x in rng.integers(0, 256, 4))
+    area, mid, last = f"{int(rng.integers(200, 1000))}", digits(3), digits(4)
+
+    def card() -> str:
+        own = pick("3456") + digits(14)
+        own += next(c for c in "0123456789" if _luhn(own + c))
+        return own if rng.random() < 0.5 else pick(" -").join(own[k : k + 4] for k in range(0, 16, 4))
+
+    local = pick((f"({area}) {mid}-{last}", f"{area}-{mid}-{last}", f"{area} {mid} {last}", f"{area}.{mid}.{last}", f"({area}) {mid} {last}"))
+    after = [(pick((address(), digits(5), f"{digits(2)}.{digits(2)}")), None)] if rng.random() < 0.8 else []
+    if after and after[0][0].count(".") == 3:
+        after = [(after[0][0], 1)]
+    case = int(rng.integers(7))
+    if case == 0:
+        return [(local, 3)]
+    if case == 1:  # the pattern runs on into the next number
+        return [(f"+{int(rng.integers(1, 99))} {local}", 3), *after]
+    if case == 2:
+        return [(card(), 2), *after]
+    if case == 3:
+        at, dot = pick(((" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", ".")))
+        return [(f"{name(3, 9)}{dot if rng.random() < 0.3 else ''}{name(2, 8)}{at}{name(3, 9)}{dot}{pick(('com', 'org', 'net', 'de'))}", 0)]
+    if case == 4:
+        alphabet = pick(("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789_"))
+        value = pick(("", "", "sk-", "ghp_", "AKIA")) + "".join(alphabet[int(k)] for k in rng.integers(0, len(alphabet), int(rng.integers(20, 48)))) + digits(2)
+        return [(pick(SECRET_NAMES) + pick((" =", " =", ":", "")), None), (pick(('"{}"', '"{}"', "'{}'", "{}")).format(value), 4)]
+    number = digits(15) + pick("0123456789")
+    if _luhn(number):
+        number = number[:-1] + str((int(number[-1]) + 1) % 10)
+    # none of these is personal data
+    return [(pick((number, f"version {digits(1)}.{digits(1)}", f"{int(rng.integers(1900, 2100))}-{digits(2)}-{digits(2)}", f"{digits(2)}.{digits(2)}", digits(5), f"{digits(3)}.{digits(3)}.{digits(3)}.{int(rng.integers(256, 999))}", name(12, 30) + digits(1), f"ISO {digits(4)}:{digits(4)}", f"[{digits(2)}]")), None)]
+
+
+def _rewritten(snippet: str, times: int = 2) -> list[tuple[str, str]]:
+    """The snippet with cases written in after one of its words, drawn by its hash, and all its spans."""
+    rng = np.random.Generator(np.random.PCG64(zlib.crc32(snippet.encode())))
+    words, out = list(_WORD.finditer(snippet)), []
+    for _ in range(times):
+        at = words[int(rng.integers(len(words)))].end() if words else 0
+        text, spans = snippet[:at], base_spans(snippet[:at])
+        for form, kind in written_forms(rng):
+            text += " "
+            if kind is not None:
+                spans.append((len(text), kind, len(text) + len(form)))
+            text += form
+        text += " "
+        spans += [(s + len(text), k, e + len(text)) for s, k, e in base_spans(snippet[at:])]
+        out.append((text + snippet[at:], as_string(spans)))
+    return out
 
 
 def _tokens(column: pa.Array) -> tuple:
@@ -287,6 +347,21 @@ def fit_field(docs: DataFrame, rows: int = LABELLED_ROWS) -> Field | None:
     return train(features, real, np.where(real, labels[at], 0))
 
 
+def _sound(kind: int, body: str) -> bool:
+    """What shapes can't tell of a span: checksums, ranges and lengths."""
+    digits = _NOT_DIGIT.sub("", body)
+    if kind == 0:
+        return "@" in body or bool(_SPELLED_AT.search(body))
+    if kind == 1:
+        parts = body.split(".")
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == 2:
+        return 14 <= len(digits) <= 19 and _luhn(digits)
+    if kind == 3:
+        return 7 <= len(digits) <= 15 and not any(map(str.isalpha, body))
+    return len(body) >= 16 and bool(digits) and any(map(str.isalpha, body)) and " " not in body
+
+
 def _added(column: pa.Array, field: Field) -> dict[int, list[tuple[int, int, int]]]:
     """Spans of the field by row, in code points."""
     data, offsets, start, end, row, code, trigger = _tokens(column)
@@ -316,8 +391,7 @@ def _added(column: pa.Array, field: Field) -> dict[int, list[tuple[int, int, int
                 text = data[a:b].tobytes().decode()
                 lead, tail = len(text) - len(text.lstrip(_EDGE)), len(text) - len(text.rstrip(_EDGE))
                 kind, body = int(own[k] - 1) // 2, text[lead : len(text) - tail]
-                digits = len(_NOT_DIGIT.sub("", body))
-                if body and ((kind == 0 and ("@" in body or "[at]" in body)) or (kind == 1 and body.count(".") == 3 and 4 <= digits <= 12) or (kind == 2 and 14 <= digits <= 19 and _luhn(_NOT_DIGIT.sub("", body))) or (kind == 3 and 7 <= digits <= 15)):
+                if body and _sound(kind, body):
                     s = int(points[a] - points[offsets[r]]) + lead
                     out.setdefault(r, []).append((s, kind, s + len(body)))
                 k = to
@@ -325,11 +399,11 @@ def _added(column: pa.Array, field: Field) -> dict[int, list[tuple[int, int, int
 
 
 def find_pii(docs: DataFrame, field: Field | None, keep_columns: list[str] | None = None, redact: bool = False) -> DataFrame:
-    """keep_columns (doc_id), the counts and spans of every document; with redact its text too, each span replaced by its kind in brackets."""
+    """keep_columns (doc_id), the counts of base spans, and all spans and their number, of every document; with redact its text too, each span replaced by its kind in brackets."""
     keep = keep_columns if keep_columns is not None else ["doc_id"]
-    counts = [f"n_{k}" for k in KINDS]
-    names = [*counts, "base_sha256", "spans", *["redacted"] * redact]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{c} long" for c in counts), "base_sha256 string, spans string", *["redacted string"] * redact])
+    counts = [f"n_{k}" for k in BASE_KINDS]
+    names = [*counts, "base_sha256", "spans", "n_spans", *["redacted"] * redact]
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), *(f"{c} long" for c in counts), "base_sha256 string, spans string, n_spans long", *["redacted string"] * redact])
     empty = hashlib.sha256(b"").hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -338,7 +412,7 @@ def find_pii(docs: DataFrame, field: Field | None, keep_columns: list[str] | Non
             column, n = batch.column("text"), batch.num_rows
             data, offsets = tx.flat(column)
             marked = np.flatnonzero(tx.rows_sum(_TRIGGER[data], offsets))
-            number, digest, spans = np.zeros((len(KINDS), n), np.int64), [empty] * n, [""] * n
+            number, digest, spans, found = np.zeros((len(BASE_KINDS), n), np.int64), [empty] * n, [""] * n, np.zeros(n, np.int64)
             own = column.take(pa.array(marked))
             texts = own.to_pylist()
             added = _added(own, shared.value) if shared.value is not None and len(marked) else {}
@@ -348,12 +422,12 @@ def find_pii(docs: DataFrame, field: Field | None, keep_columns: list[str] | Non
                 for _, kind, _ in base:
                     number[kind, r] += 1
                 more = [x for x in added.get(i, ()) if all(x[2] <= s or x[0] >= e for s, _, e in base)]
-                spans[r] = as_string(sorted([*base, *more]))
+                spans[r], found[r] = as_string(sorted([*base, *more])), len(base) + len(more)
                 if base:
                     digest[r] = hashlib.sha256(as_string(base).encode()).hexdigest()
                 if redact:
                     new[r] = _redacted(text, [*base, *more])
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *map(pa.array, number), pa.array(digest), pa.array(spans), *[pa.array(new, pa.string())] * redact], names=[*keep, *names])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *map(pa.array, number), pa.array(digest), pa.array(spans), pa.array(found), *[pa.array(new, pa.string())] * redact], names=[*keep, *names])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
