@@ -8,6 +8,8 @@ but the bytes, so they agree between executors and retries.
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that one numpy step works on; a longer document is a step of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
@@ -63,6 +65,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Give free memory back to the system: a worker goes on to other stages, and would hold its highest use."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds at most ``limit`` bytes of text, or one row."""
     for batch in batches:
@@ -75,6 +84,7 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             upto = max(at + 1, int(np.searchsorted(ends, done + limit, "right")))
             yield batch.slice(at, upto - at)
             at = upto
+    release()
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
