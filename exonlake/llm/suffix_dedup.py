@@ -6,10 +6,11 @@ suffix stands for a run of consecutive strings, its segment:
 
 1. anchors whose leading bytes stand anywhere else are kept;
 2. segments that are equal as a whole are repeated throughout and fold into one;
-3. what differs is range-partitioned by its leading bytes at sampled splitters, and
-   each bucket sorts the strings of its segments by multikey quicksort, eight bytes a
-   character and equal parts only going on; a bucket's first and last leading bytes
-   are whole, as equal ones are never split, so no string is missed between buckets;
+3. what differs is range-partitioned by its ``LEAD`` leading bytes, from the anchor on, at
+   sampled splitters, as many buckets as its bytes fill, and each bucket sorts the strings
+   of its segments by multikey quicksort, eight bytes a character and equal parts only
+   going on; equal leading bytes are never split between buckets, so that the strings at a
+   boundary need no comparison with the next bucket's;
 4. leading bytes with over ``HOT`` different segments would make a bucket too large:
    their segments are cut into parts of ``PART`` strings, and parts whose common bytes
    stand nowhere else go, equal parts fold, and the strings of the rest are counted by
@@ -37,6 +38,8 @@ from .store import written
 LEAD = 64
 #: Different segments of one anchor that a bucket sorts; more go by digest.
 HOT = 1500
+#: Bytes of segments in a bucket, about.
+BUCKET_BYTES = 8 << 20
 #: Strings of a part of a hot segment.
 PART = 16
 #: Strings that one sort works on, about.
@@ -88,7 +91,7 @@ def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
                 ints = (pa.array(x.astype(np.int32)) for x in (last - first, place - first, first - offsets[row]))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("th").take(rows), pa.array(lead.view(np.int64)), pa.array(digest.view(np.int64)), *ints], names=[*_KEY, *_SEGMENT, "lo"])
 
-    return docs.mapInArrow(run, "doc_id long, th int, lead long, digest long, size int, off int, lo int")
+    return docs.mapInArrow(run, "doc_id long, th long, lead long, digest long, size int, off int, lo int")
 
 
 def repeated(data: np.ndarray, start: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
@@ -159,7 +162,7 @@ def _sorted_buckets(segments: DataFrame, length: int) -> DataFrame:
                 cols = [part.column(c).combine_chunks().take(rows) for c in _KEY]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array((lo + k[first]).astype(np.int32)), pa.array((lo + k[last] + length).astype(np.int32))], names=[*_KEY, "s", "e"])
 
-    return segments.mapInArrow(run, "doc_id long, th int, s int, e int")
+    return segments.mapInArrow(run, "doc_id long, th long, s int, e int")
 
 
 def _hot_parts(segments: DataFrame, length: int) -> DataFrame:
@@ -187,7 +190,7 @@ def _hot_parts(segments: DataFrame, length: int) -> DataFrame:
             pieces = [data[s:e].tobytes() for s, e in zip(first, last + length, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array(starts.astype(np.int32)), pa.array((last - first).astype(np.int32)), pa.array(high), *core, *whole, pa.array(pieces, pa.binary())], names=[*_KEY, "single", "s", "size", "high", "c1", "c2", "w1", "w2", "bytes"])
 
-    return segments.mapInArrow(run, "doc_id long, th int, single boolean, s int, size int, high long, c1 long, c2 long, w1 long, w2 long, bytes binary")
+    return segments.mapInArrow(run, "doc_id long, th long, single boolean, s int, size int, high long, c1 long, c2 long, w1 long, w2 long, bytes binary")
 
 
 def _hot_strings(parts: DataFrame, length: int) -> DataFrame:
@@ -203,7 +206,7 @@ def _hot_strings(parts: DataFrame, length: int) -> DataFrame:
             rows = pa.array(record)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array((s[record] + k).astype(np.int32)), *digest], names=[*_KEY, "single", "s", "h1", "h2"])
 
-    return parts.mapInArrow(run, "doc_id long, th int, single boolean, s int, h1 long, h2 long")
+    return parts.mapInArrow(run, "doc_id long, th long, single boolean, s int, h1 long, h2 long")
 
 
 def _hot_spans(segments: DataFrame, length: int) -> DataFrame:
@@ -229,7 +232,7 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _cut(texts: DataFrame, length: int) -> DataFrame:
-    """segment bytes of each (doc, [segment]) row."""
+    """segment bytes of each (doc, [segment]) row, and the head, the bytes from the anchor on that segments of one lead share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches, limit=1 << 19):
@@ -240,10 +243,11 @@ def _cut(texts: DataFrame, length: int) -> DataFrame:
             lo, size = own.field("lo").to_numpy(), own.field("size").to_numpy()
             start = offsets[rows.to_numpy()] + lo
             pieces = [data[s : s + n + length].tobytes() for s, n in zip(start, size, strict=True)]
+            heads = [p[o : o + LEAD] for p, o in zip(pieces, own.field("off").to_pylist(), strict=True)]
             fields = ("lead", "size", "off", "lo", "single", "hot")
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in _KEY), *(own.field(c) for c in fields), pa.array(pieces, pa.binary())], names=[*_KEY, *fields, "bytes"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in _KEY), *(own.field(c) for c in fields), pa.array(heads, pa.binary()), pa.array(pieces, pa.binary())], names=[*_KEY, *fields, "head", "bytes"])
 
-    return texts.mapInArrow(run, "doc_id long, th int, lead long, size int, off int, lo int, single boolean, hot boolean, bytes binary")
+    return texts.mapInArrow(run, "doc_id long, th long, lead long, size int, off int, lo int, single boolean, hot boolean, head binary, bytes binary")
 
 
 def _removed(texts: DataFrame) -> DataFrame:
@@ -265,12 +269,12 @@ def _removed(texts: DataFrame) -> DataFrame:
                     out[c].append(v)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _KEY), pa.array(out["n_removed"], pa.int64()), pa.array(out["n_spans"], pa.int64()), pa.array(out["kept_sha256"]), pa.array(out["kept"], pa.binary())], names=[*_KEY, *out])
 
-    return texts.mapInArrow(run, "doc_id long, th int, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return texts.mapInArrow(run, "doc_id long, th long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def repeated_spans(docs: DataFrame, length: int = 200) -> tuple[DataFrame, DataFrame]:
     """Spans (doc_id, th, s, e) that cover every repeated string, and the texts of the documents they need."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     found = _anchor_rows(rows.where(F.octet_length("text") >= length), length)
     shared = _anchor_rows(rows.where(F.octet_length("text") >= length), length).groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead")
     cand = written(found.join(shared, "lead"), "op2-anchors")
@@ -286,9 +290,10 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> tuple[DataFrame, DataF
     small = ids.count() <= MAX_BROADCAST_IDS
     texts = written(rows.join(F.broadcast(ids) if small else ids, same, "left_semi").distinct(), "op2-texts")
     cut = written(_cut(_with(texts, per_doc), length), "op2-segments")
-    tasks = max(1, texts.sparkSession.sparkContext.defaultParallelism, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    plain = _sorted_buckets(cut.where("not hot").drop("hot").repartitionByRange(tasks, "lead"), length)
-    hot = _hot_spans(cut.where("hot").drop("hot", "lead"), length)
+    size = cut.where("not hot").agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    tasks = max(1, texts.sparkSession.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    plain = _sorted_buckets(cut.where("not hot").drop("hot").repartitionByRange(tasks, "head"), length)
+    hot = _hot_spans(cut.where("hot").drop("hot", "lead", "head"), length)
     return whole.unionByName(plain).unionByName(hot), texts
 
 
@@ -304,7 +309,7 @@ def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     spans = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     done = written(_removed(_with(texts, spans)), "op2-removed").withColumnsRenamed({"doc_id": "_doc_id", "th": "_th"})
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("th"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole"))
     out = rows.join(done, rows["doc_id"].eqNullSafe(done["_doc_id"]) & (rows["th"] == done["_th"]), "left")
     zero = F.lit(0).cast("long")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", zero).alias("n_removed"), F.coalesce("n_spans", zero).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), "kept")
