@@ -8,7 +8,7 @@ article or main element are text, those in menus, asides, forms and the like are
 and further boilerplate and other wrappers, with words of other pages, are built in.
 
 Defined cases: null or empty html, and pages without text, give an empty text; broken
-markup is read as far as it goes; repeated rows are each extracted; an empty table
+markup is read as far as it goes; white space is that of Unicode; repeated rows are each extracted; an empty table
 gives an empty result; further columns are ignored.
 """
 
@@ -22,15 +22,19 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from . import textops as tx
+from .sampling import sampled
 
 TRAIN_PAGES = 130
+#: Blocks of a stretch that a longer training page is cut into, and those that padded pages have together, about.
+TRAIN_BLOCKS, TOGETHER = 120, 8192
 HIDDEN, PATH_DIMS, WORD_DIMS, OTHER = 16, 96, 24, 8
 WIDTH = PATH_DIMS + WORD_DIMS + OTHER
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<([/]?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+|[^>]*+)>|<[!?][^>]*+>", re.S)
+_UNCLOSED = re.compile(r"<!--()()().*", re.S)
 _ATTRS = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 _RAW = frozenset("script style noscript template textarea svg iframe object select option button".split())
@@ -54,12 +58,17 @@ class _Open:
     words: tuple[str, ...] = field(default_factory=tuple)
 
 
+#: Elements nested deeper are read as content of the one at this depth, as browsers do.
+MAX_DEPTH = 512
+
+
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks with text, in page order."""
     out: list[Block] = []
     stack: list[_Open] = []
     parts: list[str] = []
-    linked, at, n = 0, 0, len(page)
+    linked, at, n, last = 0, 0, len(page), page.rfind(">")
+    opened: dict[str, int] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -73,17 +82,19 @@ def blocks_of(page: str) -> list[Block]:
     def pop_to(names: frozenset | set, stop: frozenset) -> None:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name in names:
+                for o in stack[k:]:
+                    opened[o.name] -= 1
                 del stack[k:]
                 return
             if stack[k].name in stop:
                 return
 
     while at < n:
-        m = _TOKEN.search(page, at)
+        m = (_TOKEN if at <= last else _UNCLOSED).search(page, at)  # after the last > there is no tag
         text = page[at : m.start() if m else n]
         if text:
             parts.append(text)
-            if any(o.name == "a" for o in stack):
+            if opened.get("a"):
                 linked += len(text)
         if not m:
             break
@@ -97,20 +108,22 @@ def blocks_of(page: str) -> list[Block]:
         if name not in _INLINE:
             flush()
         if m[1]:
-            pop_to({name}, frozenset())
+            if opened.get(name):
+                pop_to({name}, frozenset())
             continue
         if name in _RAW:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             if not m[3].endswith("/"):
+                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = end.end() if end else n
             parts.append(" ")
             continue
-        if name in _ENDS_P:
+        if name in _ENDS_P and opened.get("p"):
             pop_to({"p"}, _SCOPE)
         if name in _CLOSES and name != "p":
             pop_to(_CLOSES[name], _SCOPE)
-        if name not in _VOID and not m[3].endswith("/"):
-            words = tuple(f"{name}.{w}" for a in _ATTRS.finditer(m[3]) for w in _NAME.findall((a[1] or a[2] or a[3] or "").lower()))[:8] if m[3] else ()
+        if name not in _VOID and not m[3].endswith("/") and len(stack) < MAX_DEPTH:
+            words = tuple(dict.fromkeys(f"{name}.{w}" for a in _ATTRS.finditer(m[3]) for w in _NAME.findall((a[1] or a[2] or a[3] or "").lower()))) if m[3] else ()
+            opened[name] = opened.get(name, 0) + 1
             stack.append(_Open(name, words + tuple(w.split(".")[1] for w in words)))
     flush()
     return out
@@ -122,7 +135,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     for k, b in enumerate(blocks):
         for w in set(b.path):
             x[k, zlib.crc32(w.encode()) % PATH_DIMS] = 1
-        words = b.text[:2000].split()
+        words = b.text.split()
         for w in words:
             x[k, PATH_DIMS + zlib.crc32(w.lower().encode()) % WORD_DIMS] += 1 / np.sqrt(len(words))
         n = len(b.text)
@@ -253,13 +266,18 @@ def training_set(pages: list[str], seed: int = 11) -> tuple[list[np.ndarray], li
     plain = [[b for b in blocks_of(p) if b.text] for p in pages]
     texts = [b.text for bs in plain for b in bs]
     x, y = [], []
+
+    def put(rows: np.ndarray, labels: np.ndarray) -> None:
+        for at in range(0, len(rows), TRAIN_BLOCKS):
+            x.append(rows[at : at + TRAIN_BLOCKS])
+            y.append(labels[at : at + TRAIN_BLOCKS])
+
     for k, blocks in enumerate(plain * 2):
         labels = weak_labels(blocks)
-        if not labels.any() or len(blocks) > 120:
+        if not labels.any():
             continue
         if k % 5 == 0:
-            x.append(vectors(blocks))
-            y.append(labels)
+            put(vectors(blocks), labels)
         body = [b.text for b, l in zip(blocks, labels, strict=True) if l]
         some = lambda: html.escape(pick(texts)[: int(rng.integers(20, 400))])
         boiler = lambda: pick(_BOILER).format(w=html.escape(pick(texts)[:20]), t=some(), u=some())
@@ -277,14 +295,13 @@ def training_set(pages: list[str], seed: int = 11) -> tuple[list[np.ndarray], li
         made = blocks_of(f"<html><head><title>{some()}</title></head><body>{before}<x-main>{opened}{''.join(inner)}{closed}</x-main>{after}</body></html>")
         labels = np.array([float("x-main" in b.path and "div.x" not in b.path) for b in made], np.float32)
         hidden = {"x-main", "div.x", "x", "div.not", "not"}
-        x.append(vectors([Block(b.text, tuple(p for p in b.path if p not in hidden), b.linked) for b in made]))
-        y.append(labels)
+        put(vectors([Block(b.text, tuple(p for p in b.path if p not in hidden), b.linked) for b in made]), labels)
     return x, y
 
 
 def fit_labeller(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> Labeller | None:
     """Trained on at most train_pages pages by hash; None where no page has an article."""
-    sample = pages.where("html is not null").select("page_id", "html").orderBy(F.xxhash64("page_id", "html"), "page_id").limit(train_pages).toPandas()
+    sample = sampled(pages.where("html is not null").select("page_id", "html"), "page_id", train_pages, ("html",)).toPandas()
     x, y = training_set(sample["html"].tolist())
     return train(x, y) if x else None
 
@@ -298,8 +315,9 @@ def main_text(pages: DataFrame, net: Labeller | None) -> DataFrame:
             blocks = [blocks_of(p) if p else [] for p in batch.column("html").to_pylist()]
             texts = [""] * len(blocks)
             order = [k for k in sorted(range(len(blocks)), key=lambda k: len(blocks[k])) if blocks[k]]
-            for at in range(0, len(order), 64):
-                part = order[at : at + 64]
+            while order:  # pages of like length together; a very long one alone
+                size = max(1, TOGETHER // len(blocks[order[min(63, len(order) - 1)]]))
+                part, order = order[: min(64, size)], order[min(64, size) :]
                 x, real = _padded([vectors(blocks[k]) for k in part])
                 score = shared.value.run(x, real) if shared.value is not None else np.stack([np.pad(weak_labels(blocks[k]) - 0.5, (0, real.shape[1] - len(blocks[k]))) for k in part])
                 for row, k in enumerate(part):
