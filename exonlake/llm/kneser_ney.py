@@ -12,8 +12,11 @@ joined as sharded tables:
 4. documents are scored against the tables: sent to every task while they have at most
    ``MAX_BROADCAST_ROWS`` rows (checked), else by joining every document's grams with
    the sharded tables, order by order, with equal results;
-5. a document is kept if its perplexity is at most the ``quantile`` of the trusted
-   documents of its language (of all trusted ones, where its language has none).
+5. a document is kept if its perplexity is at most the ``quantile`` of trusted documents
+   of its language that the model has not seen: one in ``HELD_OUT`` trusted documents, by
+   hash of its id, is not trained on but gives the thresholds.  A language with fewer than
+   ``LEAST`` of them takes the quantile of all of them; where there are none at all, that
+   of the trained ones.
 
 Defined cases: null or empty texts have no grams, a null perplexity, and are not kept;
 a null language is a language of its own; of a document labelled twice the lower label
@@ -36,6 +39,9 @@ from .store import written
 
 ORDER = 5
 QUANTILE = 0.995
+HELD_OUT, LEAST = 4, 30
+#: Grams that a task counts at once.
+HELD = 500_000
 MAX_BROADCAST_ROWS = 8_000_000
 MAX_BROADCAST_IDS = 1_000_000
 _BITS, _CLASSES, _BEGIN = 12, 4096, 2
@@ -87,7 +93,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         for batch in tx.chunks(batches):
             held.append(grams_of(batch.column("text"))[1])
-            if sum(map(len, held)) > 4_000_000:
+            if sum(map(len, held)) > HELD:
                 yield counted()
         if held:
             yield counted()
@@ -204,13 +210,17 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, max
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q")).where("_q = 1").select("doc_id", F.lit(True).alias("_trusted"))
     good = F.broadcast(good) if good.count() <= MAX_BROADCAST_IDS else good
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
-    model = fit_model(rows.join(good, "doc_id").where("text is not null"))
+    held_out = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(HELD_OUT)) == 0
+    model = fit_model(rows.where(~held_out).join(good, "doc_id").where("text is not null"))
     score = _scores_sent if model.count() <= max_broadcast_rows else _scores_joined
     scored = written(score(rows.join(good, "doc_id", "left"), ["doc_id", "lang", "_trusted"], model), "op3-scores")
     scored = scored.withColumn("perplexity", F.when(F.col("n_grams") > 0, F.exp(-F.col("logp") / F.greatest("n_grams", F.lit(1))))).withColumn("_lang", F.coalesce("lang", F.lit("")))
     limit = F.percentile_approx("perplexity", quantile, 10000)
     known = scored.where("_trusted and n_grams > 0")
-    own = known.groupBy("_lang").agg(limit.alias("_own"))
-    every = known.agg(limit.alias("_all")).first()[0]
+    own = written(known.where(held_out).groupBy("_lang").agg(F.count("*").alias("_n"), limit.alias("_own")).where(F.col("_n") >= LEAST).drop("_n"), "op3-limits")
+    own = F.broadcast(own) if own.count() <= MAX_BROADCAST_IDS else own  # a row a language
+    every = known.where(held_out).agg(limit.alias("_all")).first()[0]
+    if every is None:
+        every = known.agg(limit.alias("_all")).first()[0]
     out = scored.join(own, "_lang", "left").withColumn("threshold", F.coalesce("_own", F.lit(every).cast("double")))
     return out.select("doc_id", "lang", "n_grams", "perplexity", "threshold", (F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))).alias("kept"))
