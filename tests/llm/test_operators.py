@@ -264,7 +264,8 @@ def _leaks_by_brute_force(docs, items):
         for j, needle in enumerate(coded[1]):
             if 5 * known[needle].sum() < 3 * len(needle):
                 continue
-            n, answer = decontamination._best(needle, own, 0, len(own))
+            answer = decontamination._answer(needle)
+            n, answer = decontamination._best(decontamination.word_masks(needle), decontamination.word_masks(answer), len(needle), len(answer), own, 0, len(own))
             if 5 * n >= 4 * len(needle) or (5 * n >= 3 * len(needle) and 5 * answer >= 4 * max(3, len(needle) // 5)):
                 found.add((d, j))
     return found
@@ -304,7 +305,8 @@ def test_decontamination_loses_no_paraphrase_to_the_directions(spark, sf_dir):
 def test_common_subsequence(pair):
     a, b = ([ord(c) for c in s] for s in pair)
     best = max(len(c) for n in range(len(a) + 1) for c in itertools.combinations(a, n) if all(x in it for it in [iter(b)] for x in c))
-    assert decontamination.common_subsequence(a, b) == best
+    masks = decontamination.word_masks(a)
+    assert decontamination.common_subsequence(len(a), [masks[x] for x in b if x in masks]) == best
 
 
 PAGE = "<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><ul><li><a href='/'>Home</a></li></ul></nav><article><h1>Big &amp; title</h1><p>First  <b>bold</b> text,<br>next line of it.</p><p>Second one here.</article><footer>&copy; us</footer></body></html>"
