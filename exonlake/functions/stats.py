@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKETS = 1000
 
 
+def _bucket(p: Column) -> Column:
+    """Buckets in the order of p: of equal width from 1 / BUCKETS on, below by its logarithm, as small p-values crowd."""
+    small = F.when(p > 0, -F.floor(-F.log2(p) * 64)).otherwise(-100_000)
+    return F.when(p * BUCKETS >= 1, F.least(F.floor(p * BUCKETS), F.lit(BUCKETS - 1))).otherwise(small)
+
+
 def benjamini_hochberg(df: DataFrame, p: str = "pvalue", out: str = "padj") -> DataFrame:
     """Adds BH-adjusted p-values; null p-values take no part.
 
-    p falls into buckets of equal width; ranks and running minima are taken within a bucket and
-    joined with one row a bucket, so that no task holds all p-values.
+    Ranks and running minima are taken within buckets of p and joined with one row a bucket, so
+    that no task holds all p-values.
     """
-    bucket = F.least(F.floor(F.col(p) * BUCKETS), F.lit(BUCKETS - 1))
-    known = df.where(F.col(p).isNotNull()).select(p).withColumn("_b", bucket)
+    known = df.where(F.col(p).isNotNull()).select(p).withColumn("_b", _bucket(F.col(p)))
     per = known.groupBy("_b").agg(F.count("*").alias("_n"))
     all_rows = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     per = per.withColumns({"_before": F.coalesce(F.sum("_n").over(all_rows), F.lit(0)), "_m": F.sum("_n").over(Window.partitionBy())})
@@ -35,7 +40,7 @@ def gene_q_values(df: DataFrame, gene: str = "gene_id", p: str = "pvalue", out:
     genes = df.where(F.col(p).isNotNull()).groupBy(gene).agg(F.min(p).alias("_t"), F.count("*").alias("_n"))
     sizes = genes.groupBy("_n").agg(F.count("*").alias("_m")).agg(F.collect_list(F.struct("_n", "_m")).alias("_s"))  # as many rows as gene sizes
     levels = genes.groupBy("_t").agg(F.count("*").alias("_c"))
-    levels = levels.withColumn("_b", F.least(F.floor(F.col("_t") * BUCKETS), F.lit(BUCKETS - 1)))
+    levels = levels.withColumn("_b", _bucket(F.col("_t")))
     per = levels.groupBy("_b").agg(F.sum("_c").alias("_k")).withColumn("_before", F.coalesce(F.sum("_k").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ranked = levels.join(F.broadcast(per), "_b").withColumn("_upto", F.col("_before") + F.sum("_c").over(Window.partitionBy("_b").orderBy("_t")))
     # 1 - (1-t)^n without losing small t

@@ -135,7 +135,9 @@ def reference_event_types(ref_exons: DataFrame, extension_string: str | None = N
 
 
 def forced_extensions(events: DataFrame, text: str, id_col: str = TX) -> DataFrame:
-    """event_type becomes last_exon_extension where the id contains the text."""
+    """event_type becomes last_exon_extension where the id contains the text; an error if none does."""
+    if events.where(F.col(id_col).contains(text)).isEmpty():
+        raise ValueError(f"no {id_col} contains {text!r}")
     return events.withColumn("event_type", F.when(F.col(id_col).contains(text), "last_exon_extension").otherwise(F.col("event_type")))
 
 

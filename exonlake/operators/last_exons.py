@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import on_plus
@@ -55,16 +57,18 @@ def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int | None = N
     return (renumber_extensions(own) if extensions else own).withColumn("le_id", le_id())
 
 
-def metagenes(novel: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
+def metagenes(novel: DataFrame, reference: DataFrame, order: Sequence[str] = ("chrom", "strand", "start", "end", "transcript_id")) -> tuple[DataFrame, DataFrame]:
     """Both tables with ref_gene_id renamed where a novel last exon matches several genes.
 
     The genes of such a row, distinct and in order, name a combined gene, which their reference
-    rows take too; a gene in several combinations takes the greatest one.  Links are not followed
-    further.
+    rows take too; a gene in several combinations takes the last one by the given order, of the
+    columns that novel has.  Links are not followed further.
     """
     genes = F.array_distinct(F.split("ref_gene_id", ","))
     named = novel.withColumns({"ref_gene_id": F.array_join(genes, ","), "_genes": genes})
-    combos = named.where(F.size("_genes") > 1).select(F.explode("_genes").alias("ref_gene_id"), F.col("ref_gene_id").alias("_combo")).groupBy("ref_gene_id").agg(F.max("_combo").alias("_combo"))
+    place = F.struct(*(c for c in order if c in novel.columns), F.col("ref_gene_id").alias("_g"))
+    each = named.where(F.size("_genes") > 1).select(F.explode("_genes").alias("_gene"), F.col("ref_gene_id").alias("_combo"), place.alias("_at"))
+    combos = each.groupBy(F.col("_gene").alias("ref_gene_id")).agg(F.max_by("_combo", "_at").alias("_combo"))
     renamed = reference.join(combos, "ref_gene_id", "left").withColumn("ref_gene_id", F.coalesce("_combo", "ref_gene_id")).select(*reference.columns)
     return named.select(*novel.columns), renamed
 

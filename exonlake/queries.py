@@ -103,6 +103,15 @@ def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("transcript_id", "extension", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
+@query(f"""WITH {_EVENTS}, x AS (SELECT *, CASE WHEN ext < 50 THEN 'length' WHEN five > CASE WHEN ref_rank = 'first' THEN 60 ELSE 5 END THEN 'five_end' END AS why FROM ext1 WHERE rn = 1 AND ext >= 1)
+SELECT transcript_id, coalesce(why, 'none') AS reject_reason, CASE WHEN why IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM x""")
+def extension_events_tolerances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
+    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    found = events.extension_events(events.no_three_end_overlap(last, ref), ref, 50, 60, 5)
+    return found.select("transcript_id", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
+
+
 _SPLICED = """WITH {exons} SELECT i.transcript_id, array_to_string(list_sort(list(DISTINCT r.rnk || '_exon_spliced')), ',') AS event_type, count(*) AS n FROM introns i JOIN introns r ON i.novel AND i.num = i.cnt AND NOT r.novel AND r.chrom = i.chrom AND r.strand = i.strand AND {on} GROUP BY i.transcript_id"""
 
 
@@ -181,13 +190,13 @@ def _not_last(regions: DataFrame) -> DataFrame:
 _ATLAS = "atlas AS (SELECT 'chr' || ((p_partkey // 4) % 5) AS chrom, CASE WHEN (p_partkey // 4) % 2 = 0 THEN '+' ELSE '-' END AS strand, (p_partkey // 4) * 10000 + ((p_partkey * 7) % 40) * 200 + 100 AS s, 'site' || p_partkey AS name FROM part)"
 
 
-@query(f"""WITH {_EXONS}, {_ATLAS}, d AS (SELECT n.transcript_id, a.s AS site_start, CASE WHEN a.s = n.te THEN 0 WHEN a.s < n.te THEN n.te - a.s ELSE a.s - n.te END AS distance, CASE WHEN n.strand = '+' THEN -a.s ELSE a.s END AS toward FROM ends n JOIN atlas a USING (chrom, strand) WHERE a.s BETWEEN n.te - 200000 AND n.te + 200000),
+@query(f"""WITH {_EXONS}, {_ATLAS}, d AS (SELECT n.transcript_id, a.s AS site_start, CASE WHEN a.s = n.te THEN 0 WHEN a.s < n.te THEN n.te - a.s ELSE a.s - n.te END AS distance, CASE WHEN n.strand = '+' THEN -a.s ELSE a.s END AS toward FROM ends n JOIN atlas a USING (chrom, strand)),
 r AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY distance, toward) AS rn FROM d)
-SELECT transcript_id, site_start, distance, CASE WHEN distance <= 100 THEN 1 ELSE 0 END AS atlas_filter FROM r WHERE rn = 1 AND distance <= 100000""")
+SELECT transcript_id, site_start, distance, CASE WHEN distance <= 100 THEN 1 ELSE 0 END AS atlas_filter FROM r WHERE rn = 1""")
 def nearest_atlas_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
     found = three_ends.nearest_atlas_site(last, ad.atlas(spark, sf_dir))
-    return found.where("nearest_atlas_distance <= 100000").select("transcript_id", F.col("atlas_start").alias("site_start"), F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
+    return found.where("nearest_atlas_distance is not null").select("transcript_id", F.col("atlas_start").alias("site_start"), F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
 
 
 _REF_TYPES = _EXONS + """,
@@ -449,9 +458,13 @@ def tracking_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 one AS (SELECT * FROM tx WHERE transcript_id NOT IN (SELECT transcript_id FROM ic)),
 oo AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY chrom, strand ORDER BY s, e, transcript_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS o FROM one),
 ok AS (SELECT *, sum(o) OVER (PARTITION BY chrom, strand ORDER BY s, e, transcript_id ROWS UNBOUNDED PRECEDING) AS k FROM oo)
-SELECT transcript_id, chrom || ':' || strand || ':' || c AS merged_id FROM tx JOIN ic USING (transcript_id) UNION ALL SELECT transcript_id, chrom || ':' || strand || ':' || min(s) OVER (PARTITION BY chrom, strand, k) FROM ok""")
+, merged AS (SELECT transcript_id, chrom || ':' || strand || ':' || c AS merged_id FROM tx JOIN ic USING (transcript_id) UNION ALL SELECT transcript_id, chrom || ':' || strand || ':' || min(s) OVER (PARTITION BY chrom, strand, k) FROM ok),
+kinds AS (SELECT DISTINCT transcript_id, novel FROM exons)
+SELECT CASE WHEN novel THEN 'a' ELSE 'b' END AS sample, transcript_id, merged_id FROM merged JOIN kinds USING (transcript_id) UNION ALL SELECT 'c', transcript_id, merged_id FROM merged JOIN kinds USING (transcript_id) WHERE novel""")
 def match_across_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.match_across_samples(ad.exons(spark, sf_dir).withColumn("sample", F.lit("all"))).select("transcript_id", "merged_id")
+    own = ad.exons(spark, sf_dir)
+    again = own.where("novel").withColumn("sample", F.lit("c"))
+    return jobs.match_across_samples(own.withColumn("sample", F.when(F.col("novel"), "a").otherwise("b")).unionByName(again))
 
 
 def _three_ends(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -460,30 +473,115 @@ def _three_ends(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return jobs.filter_three_ends(named, ad.atlas(spark, sf_dir), ad.genome(terminal_window(last, 100)), ad.CHUNK, motifs=GRUBER_MOTIFS)
 
 
-@query()
+_MOTIF_LIST = ", ".join(f"'{m}'" for m in GRUBER_MOTIFS)
+#: Evidence for the 3' ends of all last exons; the sequences are those of terminal_sequences.
+_EVIDENCE = _ISLANDS.format(more="", rows="ends") + f""",
+{_ATLAS},
+d AS (SELECT n.transcript_id, a.s AS site, abs(a.s - n.te) AS distance, CASE WHEN n.strand = '+' THEN -a.s ELSE a.s END AS toward FROM ends n JOIN atlas a USING (chrom, strand)),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY distance, toward) AS rn FROM d) WHERE rn = 1),
+w AS (SELECT transcript_id, chrom, strand, CASE WHEN strand = '+' THEN greatest(e - 100, 0) ELSE s END AS ws, CASE WHEN strand = '+' THEN e ELSE s + 100 END AS we FROM ends),
+bases AS (SELECT w.*, unnest(range(ws, we)) AS i FROM w),
+fwd AS (SELECT transcript_id, strand, string_agg(substr(translate(md5(chrom || ':' || (i // 32)), '0123456789abcdef', 'AATAACAATAAGTAAC'), CAST(i % 32 AS INT) + 1, 1), '' ORDER BY i) AS f FROM bases GROUP BY transcript_id, strand),
+sq AS (SELECT transcript_id, CASE WHEN strand = '-' THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END AS q FROM fwd),
+spots AS (SELECT transcript_id, q, unnest(range(1, greatest(length(q) - 4, 1)::BIGINT)) AS i FROM sq),
+hits AS (SELECT transcript_id, i + 5 - 100 AS pos, substr(q, i, 6) AS m FROM spots WHERE substr(q, i, 6) IN ({_MOTIF_LIST})),
+found AS (SELECT transcript_id, string_agg(pos || '_' || m, ',' ORDER BY pos) AS motifs, min(abs(pos + 21)) AS dev, arg_min(pos, abs(pos + 21) * 1000 + pos) AS best FROM hits GROUP BY transcript_id),
+stats AS (SELECT c.transcript_id, c.chrom, c.strand, c.s, c.e, c.chrom || ':' || c.strand || ':' || c.cluster_start AS last_exon_id, n.site, n.distance, n.toward, CASE WHEN n.distance <= 100 THEN 1 ELSE 0 END AS atlas_filter, coalesce(f.motifs, 'not_found') AS motifs, CASE WHEN f.motifs IS NULL THEN 0 ELSE 1 END AS motif_filter, f.dev, f.best
+  FROM cc c LEFT JOIN near n USING (transcript_id) LEFT JOIN found f USING (transcript_id))"""
+
+
+@query(f"""WITH {_EVIDENCE}, a AS (SELECT *, row_number() OVER (PARTITION BY last_exon_id ORDER BY distance, toward, transcript_id) AS rn FROM stats WHERE atlas_filter = 1),
+m AS (SELECT *, row_number() OVER (PARTITION BY last_exon_id ORDER BY dev, transcript_id) AS rn FROM stats WHERE atlas_filter = 0 AND motif_filter = 1)
+SELECT transcript_id, last_exon_id, 'atlas' AS evidence, CASE WHEN strand = '-' THEN site ELSE s END AS s, CASE WHEN strand = '+' THEN site + 1 ELSE e END AS e, motifs, CAST(1 AS INT) AS motif_distance FROM a WHERE rn = 1
+UNION ALL SELECT transcript_id, last_exon_id, 'motif', s, e, motifs, CAST(best AS INT) FROM m WHERE rn = 1""")
 def three_end_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _renamed(_three_ends(spark, sf_dir)["passed"].select("transcript_id", "last_exon_id", "evidence", "start", "end", "motifs", F.coalesce("min_motif_distance", F.lit(1)).alias("motif_distance")))
 
 
-@query()
+@query(f"WITH {_EVIDENCE} SELECT CASE WHEN atlas_filter = 1 OR motif_filter = 1 THEN 'valid' ELSE 'not_valid' END AS match_class, atlas_filter, motif_filter, count(DISTINCT transcript_id) AS n FROM stats GROUP BY 1, 2, 3")
 def three_end_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _three_ends(spark, sf_dir)["classes"]
 
 
-@query()
+@query(f"WITH {_EVIDENCE} SELECT transcript_id, motifs, motif_filter, distance, atlas_filter FROM stats")
+def three_end_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _three_ends(spark, sf_dir)["match_stats"].select("transcript_id", "motifs", "motif_filter", F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
+
+
+def _once(items: str) -> str:
+    """SQL for a list's values in order, each once."""
+    return f"list_filter({items}, lambda x, i: list_position({items}, x) = i)"
+
+
+#: Genes of novel last exons, each once, and the combination that each gene of several takes.
+_METAGENES = _EVENTS + _REF_TYPES[len(_EXONS) :] + f""",
+nn AS (SELECT transcript_id, chrom, strand, s, e, event_type, array_to_string({_once("l")}, ',') AS gid FROM (SELECT *, string_split(gene_id_ref, ',') AS l FROM novel_le)),
+parts AS (SELECT *, unnest(string_split(gid, ',')) AS g FROM nn WHERE contains(gid, ',')),
+combo AS (SELECT g, last(gid ORDER BY chrom, strand, s, e, transcript_id) AS combo FROM parts GROUP BY g)"""
+
+
+def _annotation_sql(rows: str) -> str:
+    """Numbered last exons less the bases of first and internal reference exons, from (transcript_id, chrom, strand, s, e, event_type, gid)."""
+    mask = _ISLANDS.format(more="", rows="(SELECT * FROM ranked WHERE NOT novel AND (num = 1 OR num < cnt))")[len(_EXONS) :]
+    return f"""{rows},
+lo AS (SELECT *, CASE WHEN s > max(e) OVER (PARTITION BY chrom, strand, gid ORDER BY s, e, transcript_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS o FROM al),
+lk AS (SELECT *, sum(o) OVER (PARTITION BY chrom, strand, gid ORDER BY s, e, transcript_id ROWS UNBOUNDED PRECEDING) AS k FROM lo),
+ln AS (SELECT *, dense_rank() OVER (PARTITION BY chrom, strand, gid ORDER BY CASE WHEN strand = '+' THEN k ELSE -k END) AS num, contains(event_type, 'last_exon_extension') AS isx FROM lk),
+lx AS (SELECT chrom, strand, gid, num, max(CASE WHEN isx THEN 1 ELSE 0 END) AS x FROM ln GROUP BY chrom, strand, gid, num),
+ls AS (SELECT chrom, strand, gid, num, coalesce(sum(x) OVER (PARTITION BY chrom, strand, gid ORDER BY num ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sh FROM lx),
+le AS (SELECT ln.*, gid || '_' || CAST(ln.num + ls.sh + CASE WHEN isx THEN 1 ELSE 0 END AS BIGINT) AS le_id FROM ln JOIN ls USING (chrom, strand, gid, num)){mask},
+mask AS (SELECT DISTINCT chrom, strand, cluster_start AS ms, cluster_end AS me FROM cc),
+cuts AS (SELECT n.transcript_id, m.ms, m.me FROM le n JOIN mask m ON n.chrom = m.chrom AND n.strand = m.strand AND n.s < m.me AND m.ms < n.e),
+points AS (SELECT transcript_id, s AS a FROM le UNION ALL SELECT transcript_id, me FROM cuts),
+stops AS (SELECT transcript_id, e AS z FROM le UNION ALL SELECT transcript_id, ms FROM cuts),
+gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY a) AS k FROM points) p JOIN (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY z) AS k FROM stops) q USING (transcript_id, k))
+SELECT le.transcript_id, le_id, event_type, chrom, strand, a AS s, z AS e FROM gaps JOIN le USING (transcript_id) WHERE z > a"""
+
+
+_ANNOTATION = ["transcript_id", "le_id", "event_type", "chrom", "strand", "start", "end"]
+
+
+@query("WITH " + _annotation_sql(_METAGENES + """,
+al AS (SELECT * FROM nn UNION ALL SELECT e.transcript_id, e.chrom, e.strand, e.s, e.e, t.event_type, coalesce(c.combo, e.gene_id) FROM ends e JOIN ref_types t USING (transcript_id) LEFT JOIN combo c ON c.g = e.gene_id)"""))
 def combined_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = ad.ref_exons(spark, sf_dir)
     novel = events.novel_last_exons(ad.novel_exons(spark, sf_dir), ref, **_OPTIONS)
-    return _renamed(jobs.combined_annotation(novel, ref)["unique"].select("transcript_id", "le_id", "event_type", "chrom", "strand", "start", "end"))
+    return _renamed(jobs.combined_annotation(novel, ref)["unique"].select(*_ANNOTATION))
+
+
+@query("WITH " + _annotation_sql(_REF_TYPES + ", al AS (SELECT e.transcript_id, e.chrom, e.strand, e.s, e.e, t.event_type, e.gene_id AS gid FROM ends e JOIN ref_types t USING (transcript_id))"))
+def reference_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _renamed(jobs.reference_annotation(ad.ref_exons(spark, sf_dir))["unique"].select(*_ANNOTATION))
 
 
-@query()
+@query(f"WITH {_METAGENES} SELECT 'novel' AS side, transcript_id, gid AS gene FROM nn UNION ALL SELECT DISTINCT 'reference', transcript_id, coalesce(combo, gene_id) FROM exons LEFT JOIN combo ON g = gene_id WHERE NOT novel")
+def metagenes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ref = ad.ref_exons(spark, sf_dir)
+    novel = events.novel_last_exons(ad.novel_exons(spark, sf_dir), ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
+    sides = zip(("novel", "reference"), le.metagenes(novel, ref.select("transcript_id", F.col("gene_id").alias("ref_gene_id")).distinct()), strict=True)
+    new, old = (df.select(F.lit(side).alias("side"), "transcript_id", F.col("ref_gene_id").alias("gene")) for side, df in sides)
+    return new.unionByName(old)
+
+
+_INFO_COLS = ("gene_name", "event_type", "annot_status", "transcript_id", "chrom", "strand", "s", "e")
+
+
+@query(f"""WITH {_LE}, many AS (SELECT * FROM le WHERE gene_id IN (SELECT gene_id FROM le GROUP BY gene_id HAVING count(*) > 1)),
+info AS (SELECT DISTINCT transcript_id, le_id, gene_id, gene_name, event_type, 'annotated' AS annot_status, chrom, strand, s, e FROM many),
+lists AS (SELECT le_id, gene_id, {', '.join(f'list(CAST({c} AS VARCHAR) ORDER BY s, e, gene_id, gene_name, event_type, transcript_id) AS l_{c}' for c in _INFO_COLS)}, (min(s) * 7919 % 9973 + 1) / 9974.0 AS pvalue FROM info GROUP BY le_id, gene_id),
+r AS (SELECT le_id, gene_id, pvalue, rank() OVER (ORDER BY pvalue) + count(*) OVER (PARTITION BY pvalue) - 1 AS k, count(*) OVER () AS m FROM lists),
+bh AS (SELECT le_id, least(1.0, min(pvalue * m / k) OVER (ORDER BY pvalue DESC RANGE UNBOUNDED PRECEDING)) AS padj FROM r),
+g AS (SELECT gene_id, min(pvalue) AS t, count(*) AS n FROM lists GROUP BY gene_id), sz AS (SELECT n, count(*) AS m FROM g GROUP BY n), tt AS (SELECT DISTINCT t FROM g),
+gq AS (SELECT tt.t, sum(sz.m * (1 - power(1 - tt.t, sz.n))) AS false_ones FROM tt, sz GROUP BY tt.t), gc AS (SELECT t, count(*) OVER (ORDER BY t RANGE UNBOUNDED PRECEDING) AS upto, gene_id FROM g),
+qv AS (SELECT gene_id, least(1.0, false_ones / upto) AS gene_q FROM gc JOIN gq USING (t))
+SELECT gene_id, le_id, round(pvalue, 9) AS pvalue, round(padj, 9) AS padj, round(gene_q, 9) AS gene_q, {', '.join(f"array_to_string({_once(f'l_{c}')}, ',') AS {c}" for c in _INFO_COLS)}, CAST(0.25 AS DOUBLE) AS mean_base, CAST(0.5 AS DOUBLE) AS mean_treatment, CAST(0.25 AS DOUBLE) AS delta
+FROM lists JOIN bh USING (le_id) JOIN qv USING (gene_id)""")
 def annotated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = _ref_le(spark, sf_dir)
-    info = le.info_table(own)
-    p = info.select("le_id", "gene_id").distinct().withColumn("pvalue", (F.pmod(F.xxhash64("le_id"), F.lit(9973)) + 1) / 9974.0)
+    info = le.info_table(_ref_le(spark, sf_dir))
+    p = info.groupBy("le_id", "gene_id").agg(((F.min("start") * 7919 % 9973 + 1) / 9974.0).alias("pvalue"))
     means = p.select("le_id", "gene_id", F.lit(0.25).alias("mean_base"), F.lit(0.5).alias("mean_treatment"), F.lit(0.25).alias("delta"))
-    return jobs.annotated_results(jobs.adjusted_results(p), info, means)
+    rows = jobs.annotated_results(jobs.adjusted_results(p), info, means)
+    return _renamed(rows.withColumns({c: F.round(c, 9) for c in ("pvalue", "padj", "gene_q")}))
 
 
 @query("SELECT doc_id, reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) AS rc FROM documents")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.motif import reverse_complement
@@ -30,16 +31,13 @@ def chunk_plan(fai: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str, chunk: int = CHUNK, fai: str | None = None) -> DataFrame:
-    """Genome table (chrom, chunk, seq) of an indexed FASTA file on a file system that the executors share."""
-    local = path.removeprefix("file://")
+    """Genome table (chrom, chunk, seq) of an indexed FASTA file; each task reads its byte ranges from the file system that the path names (a folder, HDFS, an object store)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        with open(local, "rb") as file:
+        system, name = FileSystem.from_uri(path)
+        with system.open_input_file(name) as file:
             for batch in batches:
-                seqs = []
-                for first, past in zip(batch["first"], batch["past"], strict=True):
-                    file.seek(first)
-                    seqs.append(file.read(past - first).replace(b"\n", b"").replace(b"\r", b"").decode())
+                seqs = [file.read_at(past - first, first).replace(b"\n", b"").replace(b"\r", b"").decode() for first, past in zip(batch["first"], batch["past"], strict=True)]
                 yield pd.DataFrame({"chrom": batch["chrom"], "chunk": batch["chunk"], "seq": seqs})
 
     plan = chunk_plan(read_fai(spark, fai or f"{path}.fai"), chunk)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The nine fields of a GTF line.
 GTF_FIELDS = ("chrom", "source", "feature", "start", "end", "score", "strand", "frame", "attributes")
+MAX_MOTIFS = 10_000
 BED_FIELDS = ("chrom", "start", "end", "name", "score", "strand")
 
 
@@ -83,8 +84,11 @@ def point_features(bed: DataFrame, add_chr: bool = False, standard_bed6: bool =
 
 
 def read_motifs(spark: SparkSession, path: str) -> list[str]:
-    """A motif a line; the file is a short list."""
-    return [r["value"] for r in spark.read.text(path).select(F.upper(F.trim("value")).alias("value")).where("value <> ''").limit(10_000).collect()]
+    """A motif a line; the list is read on the driver, so more than MAX_MOTIFS are an error."""
+    rows = spark.read.text(path).select(F.upper(F.trim("value")).alias("value")).where("value <> ''").limit(MAX_MOTIFS + 1).collect()
+    if len(rows) > MAX_MOTIFS:
+        raise ValueError(f"more than {MAX_MOTIFS} motifs")
+    return [r["value"] for r in rows]
 
 
 def write_table(df: DataFrame, path: str) -> None:

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SHEET = "sample_name string, condition string, path string, fastq1 string, fastq2 string"
+#: Samples of a sheet, which the driver reads; more are an error.
+MAX_SAMPLES = 100_000
 QUANT = "Name string, Length double, EffectiveLength double, TPM double, NumReads double"
 
 
@@ -35,7 +37,9 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
 
 def design(sheet: DataFrame, base_condition: str | None = None) -> Design:
     """Checks a sheet: no hyphens in names; the base is the stated condition or the first row's."""
-    rows = sheet.coalesce(1).select("sample_name", "condition", "fastq2").limit(100_000).collect()
+    rows = sheet.coalesce(1).select("sample_name", "condition", "fastq2").limit(MAX_SAMPLES + 1).collect()
+    if len(rows) > MAX_SAMPLES:
+        raise ValueError(f"more than {MAX_SAMPLES} samples")
     names = [r["sample_name"] for r in rows]
     if bad := [n for n in names if n is None or "-" in n]:
         raise ValueError(f"sample names must not have hyphens: {bad}")
