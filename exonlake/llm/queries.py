@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import best_fit_packing, decontamination, html_extraction, jaccard_join, kneser_ney, pii, quality_rules, suffix_dedup, token_rollups, warc_revisits
-from .store import fresh_path
+from .store import fresh_path, small_batches
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -9,15 +9,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a local folder is set only where it names none, as in tests."""
+    """spark.checkpoint.dir of the session; where it names none, a local folder in local mode and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = folder.get() if folder.isDefined() else f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        folder = folder.get() if folder.isDefined() else None
+        if not folder and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = folder or f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of fewer rows than the default, as texts are long; a session that has set a number keeps it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, rows)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
