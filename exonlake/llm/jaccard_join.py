@@ -37,7 +37,7 @@ from itertools import product
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import textops as tx
 from .components import merge_labels
@@ -49,8 +49,8 @@ BLOCK = 64
 GROUP = 256
 #: Tokens that prefixes are longer by, so that linked sets share as many (or all of a smaller overlap).
 SHARED = 6
-#: Parts of the token space; a signature counts a set's tokens in each.
-PARTS = 128
+#: Parts of the token space; a signature counts a set's tokens in each.  FINE ones are for what is about to be compared.
+PARTS, FINE = 128, 2048
 ROUNDS = 2
 #: Frequent tokens and words sent to tasks, at most of each (12 bytes each).
 MAX_FREQUENT = 200_000
@@ -196,14 +196,14 @@ def _matrix_tokens(docs: DataFrame, words: int, percent: int, frequent: tuple[np
     return docs.select("doc_id", "text").mapInArrow(run, "token long, doc_id long, n int")
 
 
-def _with_signatures(docs: DataFrame, words: int) -> DataFrame:
+def _with_signatures(docs: DataFrame, words: int, parts: int) -> DataFrame:
     """doc_id, text, n and sig, the number of the set's tokens in each part of the token space (all 255 if one is over 255)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.chunks(batches):
             rows, tokens = token_sets(*tx.flat(batch.column("text")), words)
             n = batch.num_rows
-            counts = np.bincount(rows * PARTS + (tokens % np.uint64(PARTS)).astype(np.int64), minlength=n * PARTS).reshape(n, PARTS)
+            counts = np.bincount(rows * parts + (tokens % np.uint64(parts)).astype(np.int64), minlength=n * parts).reshape(n, parts)
             counts[(counts > 255).any(axis=1)] = 255
             sig = pa.array([c.tobytes() for c in counts.astype(np.uint8)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("text"), pa.array(np.bincount(rows, minlength=n)), sig], names=["doc_id", "text", "n", "sig"])
@@ -212,7 +212,8 @@ def _with_signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, PARTS)
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
 
 
 def _screened(edges: DataFrame, percent: int) -> DataFrame:
@@ -232,7 +233,7 @@ def _may_link(one: np.ndarray, two: np.ndarray, n1: np.ndarray, n2: np.ndarray,
     """Whether sets can reach the threshold by their sizes and the overlap that their signatures bound."""
     bound = np.minimum(one, two).sum(axis=-1, dtype=np.int64)
     fits = 100 * np.minimum(n1, n2) >= percent * np.maximum(n1, n2)
-    return fits & (((100 + percent) * bound >= percent * (n1 + n2)) | (bound == 255 * PARTS))
+    return fits & (((100 + percent) * bound >= percent * (n1 + n2)) | (bound == 255 * one.shape[-1]))
 
 
 def _screen_groups(sides: DataFrame, percent: int) -> DataFrame:
@@ -282,9 +283,14 @@ def _open_groups(sides: DataFrame, texts: DataFrame, words: int, percent: int) -
                 found[1].append(int(ids[j]))
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    ids = written(sides.select("doc_id").distinct(), "op9-sought")
-    sought = texts.join(_sent_if_small(ids), "doc_id", "left_semi")  # so that only their texts are moved
-    return sides.join(sought, "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
+    def sought() -> DataFrame:
+        """The texts of the sides, and no others, so that none else is moved."""
+        return texts.join(_sent_if_small(written(sides.select("doc_id").distinct(), "op9-sought")), "doc_id", "left_semi")
+
+    # fine signatures first: they are smaller than texts, and few pairs that pass them do not link
+    fine = _with_signatures(sought(), words, FINE).select("doc_id", "n", "sig")
+    sides = written(_screen_groups(sides.join(fine, "doc_id"), percent), "op9-fine")
+    return sides.join(sought(), "doc_id").groupBy("pid").applyInArrow(run, "a long, b long").distinct()
 
 
 def _sent_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -299,9 +305,9 @@ def _needed(n: Column, percent: int) -> Column:
 
 def _shared_tokens(tokens: DataFrame, percent: int) -> DataFrame:
     """The rows (token, doc_id, n) of tokens in several documents, of documents with enough of them for a link."""
-    dealt = tokens.repartition("token")  # once, for the count and for the join: both read all columns
-    several = dealt.groupBy("token").agg(F.min("doc_id").alias("_lo"), F.max("doc_id").alias("_hi"), F.max("n").alias("_n")).where("_lo < _hi and _n > 0").select("token")
-    matrix = written(dealt.join(several, "token", "left_semi"), "op9-shared")
+    own = Window.partitionBy("token")  # rows of a common token spill, they are not held
+    matrix = tokens.withColumns({"_lo": F.min("doc_id").over(own), "_hi": F.max("doc_id").over(own)}).where("_lo < _hi")
+    matrix = written(matrix.select("token", "doc_id", "n"), "op9-shared")
     enough = matrix.groupBy("doc_id").agg(F.count("*").alias("_c"), F.min(_needed(F.col("n"), percent)).alias("_need")).where("_c >= _need").select("doc_id")
     return written(matrix.join(_sent_if_small(enough), "doc_id", "left_semi").select("token", "doc_id", "n"), "op9-matrix")
 
@@ -326,7 +332,7 @@ def jaccard_classes(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     matrix = _shared_tokens(tokens, percent)
     dropped(tokens)
     ids = written(matrix.select("doc_id").distinct(), "op9-ids")
-    texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id", "left_semi"), words), "op9-texts")
+    texts = written(_with_signatures(docs.select("doc_id", "text").join(_sent_if_small(ids), "doc_id", "left_semi"), words, PARTS), "op9-texts")
     sigs, texts = texts.select("doc_id", "n", "sig"), texts.select("doc_id", "text")
 
     twins = member.join(_sent_if_small(clashing), "doc_id", "left_semi").where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
