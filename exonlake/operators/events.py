@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import five_end, on_plus, three_end_base
+from ..store import written
 from .interval import BIN, not_overlapping, overlap_join
 from .structure import TX, exon_intron_tables, internal_regions, terminal_regions
 
@@ -14,11 +14,6 @@ REF = "_ref"
 REF_COLS = ("gene_id", "transcript_id", "gene_name", "start", "end")
 
 
-def _reused(df: DataFrame) -> DataFrame:
-    """df, kept as it is read several times: its plan is then made, and run, once."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def event_name(rank: Column, kind: str) -> Column:
     """first, internal or last, followed by the kind of event."""
     return F.concat(rank, F.lit(f"_exon_{kind}"))
@@ -82,8 +77,8 @@ def novel_last_exons(novel_exons: DataFrame, ref_exons: DataFrame, min_length: i
     """
     ref, novel = exon_intron_tables(ref_exons), exon_intron_tables(novel_exons)
     keep = ["transcript_id", "chrom", "strand", "start", "end"]
-    last = _reused(no_three_end_overlap(novel["last_exons"].select(*keep), ref["exons"], bin_size=bin_size))
-    extended = _reused(extension_events(last, ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size))
+    last = written(no_three_end_overlap(novel["last_exons"].select(*keep), ref["exons"], bin_size=bin_size), "last-exons")
+    extended = written(extension_events(last, ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "extensions")
     out = ~F.col("event_type").isNull()
     gone = F.coalesce(F.col("reject_reason") == "length", F.lit(False)) if extension_filter else F.lit(False)
     if exclude_five_end_failures:
@@ -123,12 +118,12 @@ def reference_event_types(ref_exons: DataFrame, extension_string: str | None = N
     """
     own = exon_intron_tables(ref_exons)
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
-    last = _reused(no_three_end_overlap(own["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), exons, bin_size=bin_size))
+    last = written(no_three_end_overlap(own["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), exons, bin_size=bin_size), "last-exons")
     extended = extension_events(last, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size).where("event_type is not null").select("transcript_id", "event_type")
-    extended = _reused(extended)
+    extended = written(extended, "extensions")
     introns = own["last_introns"].select("transcript_id", "chrom", "strand", "start", "end").join(last.select("transcript_id"), "transcript_id", "left_semi")
     left = introns.join(extended, "transcript_id", "left_anti")
-    spliced = _reused(event_types_by_id(spliced_events(left, gaps, bin_size=bin_size)))
+    spliced = written(event_types_by_id(spliced_events(left, gaps, bin_size=bin_size)), "spliced")
     rest = left.join(spliced, "transcript_id", "left_anti").select("transcript_id", F.lit("last_exon_spliced").alias("event_type"))
     out = extended.unionByName(spliced).unionByName(rest)
     return forced_extensions(out, extension_string) if extension_string else out

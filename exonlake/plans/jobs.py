@@ -1,10 +1,9 @@
-"""The composed jobs: DataFrames in, DataFrames out, lazy throughout."""
+"""The composed jobs: DataFrames in, DataFrames out; what a job reads several times is written once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.coords import KEYS, stranded, with_length
@@ -13,6 +12,7 @@ from ..functions.stats import benjamini_hochberg, gene_q_values
 from ..operators import collapse, events, last_exons as le, structure, three_ends, usage
 from ..operators.filters import all_of, annotation_rules, by_group
 from ..operators.interval import BIN, cluster, subtract
+from ..store import written
 
 
 def filter_annotation(gtf: DataFrame, groups: Sequence[str] = (), group_col: str = "gene_type", more: dict | None = None, **options) -> DataFrame:
@@ -44,7 +44,8 @@ def filter_three_ends(df: DataFrame, atlas: DataFrame, genome: DataFrame, chunk:
     """
     near = three_ends.nearest_atlas_site(df, atlas, max_distance, bin_size)
     stats = three_ends.terminal_motifs(near, genome, "transcript_id", chunk, motifs, search_length)
-    stats = stats.withColumn("match_class", F.when((F.col("atlas_filter") == 1) | (F.coalesce("motif_filter", F.lit(0)) == 1), "valid").otherwise("not_valid")).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = stats.withColumn("match_class", F.when((F.col("atlas_filter") == 1) | (F.coalesce("motif_filter", F.lit(0)) == 1), "valid").otherwise("not_valid"))
+    stats = written(stats, "three-ends")
     by_site = three_ends.snap_to_atlas(three_ends.select_atlas(stats.where("atlas_filter = 1"))).withColumn("evidence", F.lit("atlas"))
     by_motif = three_ends.select_motif(stats.where("atlas_filter = 0 and motif_filter = 1"), expected_distance=expected_distance).withColumn("evidence", F.lit("motif"))
     return {"passed": by_site.unionByName(by_motif, allowMissingColumns=True), "match_stats": stats, "classes": collapse.value_counts(stats, ["match_class", "atlas_filter", "motif_filter"], "transcript_id")}
@@ -66,9 +67,9 @@ def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: st
         new = novel.withColumns({"ref_gene_id": F.col("gene_id_ref"), "ref_gene_name": F.array_join(F.array_distinct(F.split("gene_name_ref", ",")), ",")}).select(*cols)
         new, ref = le.metagenes(new, ref)
         ref = new.unionByName(ref)
-    rows = le.with_le_ids(ref).persist(StorageLevel.MEMORY_AND_DISK)  # read by all that follows
+    rows = written(le.with_le_ids(ref), "last-exon-ids")  # read by all that follows
     inner = events.not_last_regions(own["exons"]).select("chrom", "strand", "start", "end")
-    unique = subtract(rows, inner, "transcript_id", bin_size=bin_size).persist(StorageLevel.MEMORY_AND_DISK)
+    unique = written(subtract(rows, inner, "transcript_id", bin_size=bin_size), "unique-regions")
     dropped = rows.select("transcript_id").distinct().join(unique.select("transcript_id"), "transcript_id", "left_anti")
     return {"last_exons": rows, "unique": unique, "dropped": dropped, "info": le.info_table(unique, novel_prefix), **le.id_maps(unique)}
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import adapters as ad
@@ -14,6 +13,7 @@ from .functions.stats import benjamini_hochberg, gene_q_values
 from .operators import collapse, events, filters, interval, last_exons as le, structure, three_ends, usage
 from .plans import jobs
 from .sources import genomic, samples as sheets
+from .store import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -228,7 +228,7 @@ le AS (SELECT ln.*, CAST(ln.num + ls.sh + CASE WHEN isx THEN 1 ELSE 0 END AS BIG
 def _ref_le(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = ad.ref_exons(spark, sf_dir)
     last = structure.exon_intron_tables(ref)["last_exons"].join(events.reference_event_types(ref), "transcript_id")
-    return le.with_le_ids(last.withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})).persist(StorageLevel.MEMORY_AND_DISK)
+    return written(le.with_le_ids(last.withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})), "last-exon-ids")
 
 
 @query(f"WITH {_LE} SELECT transcript_id, event_type, le_number, le_id FROM le")
