@@ -38,7 +38,7 @@ FAN = 8
 #: Underfull bins that a node of the tree merges, about.
 NODE_BINS = 20_000
 #: Words whose ids a worker keeps; then it begins anew.
-MAX_WORDS = 150_000
+MAX_WORDS = 300_000
 _PARTS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-;=-@\[-`{-~]+)")
 _encoders: dict[str, WordEncoder] = {}
 
