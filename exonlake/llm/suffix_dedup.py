@@ -276,12 +276,13 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> tuple[DataFrame, DataF
     """Spans (doc_id, th, s, e) that cover every repeated string, and the texts of the documents they need."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     found = _anchor_rows(rows.where(F.octet_length("text") >= length), length)
-    shared = _anchor_rows(rows.where(F.octet_length("text") >= length), length).groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead")
+    # leads are written before they are joined with: a join of two plain shuffles is one that Spark splits where a lead is hot
+    shared = written(_anchor_rows(rows.where(F.octet_length("text") >= length), length).groupBy("lead").agg(F.count("*").alias("c")).where("c > 1").select("lead"), "op2-leads")
     cand = written(found.join(shared, "lead"), "op2-anchors")
     kinds = cand.groupBy(*_SEGMENT).agg(F.count("*").alias("c"), F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("k"), "doc_id", "th", "lo")).alias("rep"))
     kinds = written(kinds, "op2-kinds")
     whole = cand.join(kinds.where("c > 1").select(*_SEGMENT), _SEGMENT).select(*_KEY, F.col("lo").alias("s"), (F.col("lo") + F.col("size") + length).alias("e"))
-    mixed = kinds.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = written(kinds.groupBy("lead").agg(F.count("*").alias("kinds")).where("kinds > 1"), "op2-mixed")
     reps = kinds.join(mixed, "lead").select("rep.doc_id", "rep.th", "lead", F.col("size"), "off", "rep.lo", (F.col("c") == 1).alias("single"), (F.col("kinds") > HOT).alias("hot"))
     per_doc = reps.groupBy(*_KEY).agg(F.collect_list(F.struct("lead", "size", "off", "lo", "single", "hot")).alias("segments"))
     whole_docs = whole.select(*_KEY).distinct()
