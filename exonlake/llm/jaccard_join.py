@@ -64,11 +64,11 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of every word, lower-cased, in order."""
+def _hashed_words(data: np.ndarray, offsets: np.ndarray, seeds: tuple[int, ...] = (0,)) -> tuple[np.ndarray, ...]:
+    """(row, hash by each seed) of every word, lower-cased, in order."""
     data = _LOWER[data]
     start, end, row = tx.word_bounds(data, offsets)
-    return row, tx.span_hash(tx.prefix_hash(data), start, end)
+    return row, *(tx.span_hash(data, start, end, seed) for seed in seeds)
 
 
 def _shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,15 +115,19 @@ def _digests(docs: DataFrame, words: int) -> DataFrame:
 
         for batch in tx.chunks(batches):
             n = batch.num_rows
-            row, hashes = _hashed_words(*tx.flat(batch.column("text")))
-            rows, tokens, _ = _shingles(hashes, row, n, words)
+            row, hashes, others = _hashed_words(*tx.flat(batch.column("text")), (0, 1))
+            rows, tokens, first = _shingles(hashes, row, n, words)
             new = _distinct(rows, tokens)
-            rows, tokens = rows[new], tokens[new]
+            rows, tokens, first = rows[new], tokens[new], first[new]
             counts = np.bincount(rows, minlength=n)
             ends, out = np.cumsum(counts), []
-            for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
+            # two independent hashes of the words name a set
+            second = tx.mix(tokens)
+            whole = first >= 0
+            second[whole] = tx.gram_hash_at(others, first[whole], words)
+            for salt, own in ((0x5851F42D4C957F2D, tokens), (0x14057B7EF767814F, second)):
                 sums = np.zeros(len(tokens) + 1, np.uint64)
-                np.cumsum(tx.mix(tokens ^ np.uint64(salt)), out=sums[1:])
+                np.cumsum(tx.mix(own ^ np.uint64(salt)), out=sums[1:])
                 out.append(pa.array((sums[ends] - sums[ends - counts]).view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), *out], names=["kind", "doc_id", "n", "h1", "h2"])
             for kind, values in ((1, tokens), (2, hashes)):

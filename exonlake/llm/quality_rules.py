@@ -54,8 +54,7 @@ def stats_of(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     """The statistics of each row of a text buffer."""
     n = len(offsets) - 1
     start, end, row = tx.word_bounds(data, offsets)
-    sums = tx.prefix_hash(data)
-    words = tx.span_hash(sums, start, end)
+    words = tx.span_hash(data, start, end)
     n_words = np.bincount(row, minlength=n)
     points = np.zeros(len(data) + 1, np.int64)
     np.cumsum(tx.code_points(data), out=points[1:])
@@ -87,7 +86,7 @@ def stats_of(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     with_word = opened[line_end] > opened[line_start]
     line_start, line_end = line_start[with_word], line_end[with_word]
     line_row = np.searchsorted(offsets, line_start, "right") - 1
-    n_dup = _later_copies(tx.span_hash(sums, line_start, line_end), line_row, n)
+    n_dup = _later_copies(tx.span_hash(data, line_start, line_end), line_row, n)
     n_lines = np.bincount(line_row, minlength=n)
 
     kinds = np.bincount(np.repeat(np.arange(n) * 6, np.diff(offsets)) + _CLASS[data], minlength=6 * n)[: 6 * n].reshape(n, 6)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from . import textops as tx
 from .store import written
 
-LEAD = 64
+LEAD = tx.WINDOW
 #: Different segments of one anchor that a bucket sorts; more go by digest.
 HOT = 1500
 #: Bytes of segments in a bucket, about.
@@ -55,10 +55,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     n = len(data)
     if n < length:
         return tuple(np.zeros(0, np.int64) for _ in range(4)) + (np.zeros(0, np.uint64),) * 2
-    sums = tx.prefix_hash(data)
-    at = np.arange(n - LEAD + 1)
-    value = tx.span_hash(sums, at, at + LEAD)
-    place = at.astype(np.int32)
+    value = windows = tx.window_hash(data)
+    place = np.arange(n - LEAD + 1, dtype=np.int32)
     width, step = length - LEAD + 1, 1
     while 2 * step <= width:
         value, place = _least(value[:-step], value[step:], place[:-step], place[step:])
@@ -73,7 +71,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     first = np.flatnonzero(change & valid)
     last = np.append(np.flatnonzero(change)[1:], len(place))[np.searchsorted(np.flatnonzero(change), first)] - 1
     row = np.searchsorted(offsets, first, "right") - 1
-    return row, place[first].astype(np.int64), first, last, value[first], tx.span_hash(sums, first, last + length)
+    return row, place[first].astype(np.int64), first, last, value[first], tx.windows_span(windows, first, last + length)
 
 
 def _least(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,9 +133,10 @@ def _sorted_buckets(segments: DataFrame, length: int) -> DataFrame:
     """Spans (doc_id, th, s, e) of single segments whose strings occur again in another one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket = pa.Table.from_batches(list(batches))  # about as large as its fellows: see HOT
-        if not bucket.num_rows:
+        own = [b for b in batches if b.num_rows]
+        if not own:
             return
+        bucket = pa.Table.from_batches(own)  # about as large as its fellows: see HOT
         lead = bucket.column("lead").to_numpy()
         order = np.argsort(lead, kind="stable")
         bounds = np.append(np.flatnonzero(np.diff(lead[order], prepend=lead[order][0] - 1 if len(lead) else 0)), len(lead))
@@ -181,8 +180,8 @@ def _hot_parts(segments: DataFrame, length: int) -> DataFrame:
             high, low = np.minimum(off[record], part * PART + PART - 1), np.maximum(off[record] - size[record], part * PART)
             anchor = offsets[record] + off[record]
             first, last = anchor - high, anchor - low
-            a, b = tx.prefix_hash(data), tx.prefix_hash(255 - data)
-            named = lambda s, e, salt: tuple(pa.array(tx.mix(tx.span_hash(x, s, e) + salt.astype(np.uint64)).view(np.int64)) for x in (a, b))
+            both = tx.window_hash(data), tx.window_hash(data, 1)
+            named = lambda s, e, salt: tuple(pa.array(tx.mix(tx.windows_span(x, s, e) + salt.astype(np.uint64)).view(np.int64)) for x in both)
             core = named(anchor - part * PART, anchor - part * PART - (PART - 1) + length, part)
             whole = named(first, last + length, part * 65536 + high * 256 + low)
             rows = pa.array(record)
@@ -202,7 +201,7 @@ def _hot_strings(parts: DataFrame, length: int) -> DataFrame:
             size, high, s = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "high", "s"))
             record, k = _expand(size + 1)
             start, gap = offsets[record] + k, (high[record] - k).astype(np.uint64)
-            digest = [pa.array(tx.mix(tx.span_hash(tx.prefix_hash(x), start, start + length) + gap).view(np.int64)) for x in (data, 255 - data)]
+            digest = [pa.array(tx.mix(tx.windows_span(tx.window_hash(data, seed), start, start + length) + gap).view(np.int64)) for seed in (0, 1)]
             rows = pa.array(record)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(rows) for c in (*_KEY, "single")), pa.array((s[record] + k).astype(np.int32)), *digest], names=[*_KEY, "single", "s", "h1", "h2"])
 
@@ -274,6 +273,8 @@ def _removed(texts: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = 200) -> tuple[DataFrame, DataFrame]:
     """Spans (doc_id, th, s, e) that cover every repeated string, and the texts of the documents they need."""
+    if length < LEAD + PART:
+        raise ValueError(f"strings of {length} bytes are shorter than {LEAD + PART}")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), F.coalesce("text", F.lit("")).alias("text"))
     found = _anchor_rows(rows.where(F.octet_length("text") >= length), length)
     # leads are written before they are joined with: a join of two plain shuffles is one that Spark splits where a lead is hot

@@ -9,6 +9,7 @@ but the bytes, so they agree between executors and retries.
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import sys
 from collections.abc import Iterator
 
@@ -22,9 +23,9 @@ CHUNK_BYTES = 1 << 19
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-_TABLE = np.random.Generator(np.random.PCG64(20240611)).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_FACTOR = np.uint64(0xD6E8FEB86659FD93)
+#: Bytes from which a span is hashed by itself, and bytes of a window of window_hash.
+LONG, WINDOW = 128, 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -38,17 +39,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the hash base and of its inverse, modulo 2**64."""
-    if len(_powers["up"]) < n:
-        size = 1 << (n - 1).bit_length()
-        for name, base in (("up", _BASE), ("down", _BASE_INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
-    return _powers["up"][:n], _powers["down"][:n]
-
-
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and each row's bounds; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -87,18 +77,59 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
     release()
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Cumulative sums from which span_hash takes any span's hash."""
-    up, _ = powers(max(1, len(data)))
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_TABLE[data] * up[: len(data)], out=out[1:])
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as a number, zeros behind the end."""
+    own = np.zeros(len(data) + 8, np.uint8)
+    own[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", own, strides=(1,))
+
+
+def span_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand.
+
+    Eight bytes at a time go through the finaliser, so that no structure of the text survives;
+    spans of LONG bytes and more are hashed by BLAKE2.  Other seeds give independent hashes.
+    """
+    size = (end - start).astype(np.int64)
+    out = mix(size.astype(np.uint64) * _FACTOR + np.uint64(seed))
+    live = np.flatnonzero((size > 0) & (size < LONG))
+    eights, at, left = _eights(data), start[live], size[live]
+    while len(live):
+        part = eights[at]
+        short = left < 8
+        part[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+        out[live] = mix(out[live] * _BASE ^ part)
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    long = np.flatnonzero(size >= LONG)
+    if len(long):
+        view, key = memoryview(np.ascontiguousarray(data)), seed.to_bytes(8, "little")
+        out[long] = [int.from_bytes(hashlib.blake2b(view[s:e], digest_size=8, salt=key).digest(), "little") for s, e in zip(start[long].tolist(), end[long].tolist(), strict=True)]
     return out
 
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end], equal for equal bytes wherever they stand."""
-    _, down = powers(max(1, len(sums)))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+def window_hash(data: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the WINDOW bytes from each place on, by doubling: every step mixes, none only adds."""
+    out, size = _eights(data)[: max(0, len(data) - 7)] ^ np.uint64(seed), 8
+    while True:
+        out = (out ^ (out >> np.uint64(29))) * _FACTOR
+        if size == WINDOW:
+            out ^= out >> np.uint64(32)
+            out *= _BASE
+            return out ^ (out >> np.uint64(29))
+        out = (out[: max(0, len(out) - size)] * _BASE) ^ out[size:]
+        size *= 2
+
+
+def windows_span(windows: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of WINDOW bytes or more, from the windows that cover them."""
+    out = mix((end - start).astype(np.uint64) * _FACTOR)
+    at, live = start.astype(np.int64), np.arange(len(start))
+    while len(live):
+        out[live] = mix(out[live] * _BASE ^ windows[np.minimum(at[live], end[live] - WINDOW)])
+        at[live] += WINDOW
+        live = live[at[live] < end[live]]
+    return out
 
 
 def word_bounds(data: np.ndarray, offsets: np.ndarray, is_sep: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,10 +152,15 @@ def gram_hash(words: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray,
     if len(words) < n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     first = np.flatnonzero(rows[: len(rows) - n + 1] == rows[n - 1 :])
+    return gram_hash_at(words, first, n), first
+
+
+def gram_hash_at(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the windows of n words from these places on."""
     total = np.zeros(len(first), np.uint64)
     for k in range(n):
         total = total * _BASE + words[first + k]
-    return mix(total), first
+    return mix(total)
 
 
 def code_points(data: np.ndarray) -> np.ndarray:

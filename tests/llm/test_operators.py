@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from exonlake.llm import best_fit_packing, decontamination, html_extraction, jaccard_join, kneser_ney, pii, quality_rules, suffix_dedup, token_rollups, warc_revisits
+from exonlake.llm import best_fit_packing, decontamination, html_extraction, jaccard_join, kneser_ney, pii, quality_rules, suffix_dedup, textops, token_rollups, warc_revisits
 from exonlake.llm.queries import TOKENIZER
 from exonlake.llm.store import fresh_path
 
@@ -403,3 +403,39 @@ def test_revisits(spark):
     assert {k: r["reason"] for k, r in got.items()} == {2: "resolved", 3: "no-response", 5: "mismatch", 6: "unverified", 7: "no-url", 8: "no-response"}
     assert got[2]["response_id"] == 1 and {k.lower(): v for k, v in got[2]["headers"].items()} == {"etag": "e1", "expires": "z", "x": "1"}
     assert warc_revisits.resolve_revisits(log.limit(0)).count() == 0
+
+
+def _twins():
+    """Two texts of 1024 letters that sums of letters times powers modulo 2**64 can't tell apart."""
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_texts_that_weak_hashes_confuse(spark):
+    one, two = _twins()
+    texts = [one, two, f"{one}\n{two}", " ".join(("x", one, "y", "x", two, "y")), f"{one} b c d", f"{two} b c d", f"{one} b c d"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    stats = by_id(quality_rules.document_stats(df))
+    assert [stats[k]["n_dup_lines"] for k in range(7)] == [0] * 7 and [stats[k]["n_repeat_words"] for k in range(7)] == [0] * 7
+    assert [by_id(jaccard_join.jaccard_classes(df))[k]["component_id"] for k in range(7)] == [0, 1, 2, 3, 4, 5, 4]
+    seen = Counter(t[k : k + 200] for t in texts for k in range(len(t) - 199))
+    got = by_id(suffix_dedup.remove_repeats(df))
+    for k, t in enumerate(texts):
+        gone = {i for at in range(len(t) - 199) if seen[t[at : at + 200]] > 1 for i in range(at, at + 200)}
+        assert got[k]["n_removed"] == len(gone)
+
+
+def test_span_hashes():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 256, 5000).astype(np.uint8)
+    data = np.concatenate([base, base[:777], base])
+    start = rng.integers(0, 4000, 500)
+    end = start + rng.integers(0, 400, 500)
+    for seed in (0, 1):
+        assert (textops.span_hash(data, start, end, seed) == textops.span_hash(data, start + 5777, end + 5777, seed)).all()
+    windows, long = textops.window_hash(data), end - start >= textops.WINDOW
+    assert (textops.windows_span(windows, start[long], end[long]) == textops.windows_span(windows, start[long] + 5777, end[long] + 5777)).all()
+    tails = np.array([textops.span_hash(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0] for b in (b"", b"\0", b"\0\0", b"a", b"a\0", b"a" * 8, b"a" * 9, b"a" * 127, b"a" * 128)])
+    assert len(set(tails.tolist())) == len(tails)
