@@ -2,10 +2,12 @@
 
 ``base_spans`` holds the four patterns.  The field is trained from a labelled table
 of at most ``LABELLED_ROWS`` snippets around numbers and signs in the documents: their
-labels are the patterns' spans, and those of cases written into some of them, in forms
-that no pattern takes: a phone without its country code or with another number behind
-it, an e-mail with its signs spelled out, secrets (a kind of its own, which no pattern
-has), and numbers that are none of these.  Decoding is Viterbi over all stretches of a
+labels are the patterns' spans, long values that a setting of a telling name is given
+(secrets, a kind of its own, which no pattern has), and those of cases written into some
+of them, in forms that no pattern takes: a phone without its country code or with another
+number behind it, an e-mail with its signs spelled out, secrets, and numbers and digests
+that are none of these.  Beside shapes, a word has the kind of the word it follows: the
+name of a secret, of a digest, of a phone, of a place in a list.  Decoding is Viterbi over all stretches of a
 numpy batch at once.  A stretch is the words within ``REACH`` of one with a digit, ``@``,
 ``+`` or a bracket; words farther off are outside by definition, as every form above has
 one of these, so long texts cost what they hold.
@@ -99,12 +101,50 @@ for _mask, _signs in ((_AT, "@"), (_DOT, "."), (_DASH, "-"), (_PLUS, "+"), (_ROU
 _TRIGGER = _DIGIT | _AT | _PLUS | _ROUND | _SQUARE
 _BUCKETS = np.array([1, 2, 4, 5, 7, 10, 13, 14, 17, 20])
 _JOINT = 11 * 5 * 2**7
-#: Features of a word: its joint shape, that of both neighbours, size, digits with sign, and a few marks.
-N_FEATURES = 3 * _JOINT + 12 + 11 * 8 + 2 * 2
+#: Names of settings that hold secrets, of digests and ids, of phones, and of places in lists.
+SECRET_NAMES = ("token", "api_key", "apikey", "secret", "password", "passwd", "access_key", "auth", "key", "bearer")
+CUES = (SECRET_NAMES, ("commit", "md5", "sha1", "sha256", "sha512", "uuid", "guid", "etag", "checksum", "digest", "hash", "revision", "rev", "blob", "tree", "id", "ipv6", "mac"), ("tel", "phone", "call", "fax", "mobile", "cell", "telefon", "tel\u00e9fono"), ("page", "pages", "isbn", "issn", "order", "invoice", "part", "item", "model", "no", "number", "ref", "version", "lines", "vol"))
+
+
+def _cue_table() -> tuple[np.ndarray, np.ndarray]:
+    """(hash, kind from 1) of the names, by hash."""
+    names = [(w.encode(), k + 1) for k, words in enumerate(CUES) for w in words]
+    size = np.array([len(w) for w, _ in names])
+    end = np.cumsum(size)
+    own = tx.span_hash(np.frombuffer(b"".join(w for w, _ in names), np.uint8), end - size, end)
+    order = np.argsort(own)
+    return own[order], np.array([k for _, k in names])[order]
+
+
+_CUE_HASHES, _CUE_KINDS = _cue_table()
+_LOWERED = np.arange(256, dtype=np.uint8)
+_LOWERED[65:91] += 32
+_SIGN = np.zeros(256, bool)
+_SIGN[[ord(c) for c in "=:\"'.,;#$%&*|<>()[]{}!?-"]] = True
+#: Features of a word: its joint shape, that of both neighbours, size, digits with sign, a few marks, and the kind of the word it follows.
+N_FEATURES = 3 * _JOINT + 12 + 11 * 8 + 2 * 2 + 2 * (len(CUES) + 1)
+
+
+def cues(data: np.ndarray, start: np.ndarray, end: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each word the kind, from 1, of the known name that it follows, with only signs between; 0 if there is none."""
+    past = end.copy()
+    for _ in range(3):
+        past -= (past > start) & _SIGN[data[np.maximum(past - 1, 0)]]
+    first = start + ((past > start) & _SIGN[data[start]])
+    own = tx.span_hash(_LOWERED[data], first, np.maximum(first, past))
+    at = np.minimum(np.searchsorted(_CUE_HASHES, own), len(_CUE_HASHES) - 1)
+    kind = np.where(_CUE_HASHES[at] == own, _CUE_KINDS[at], 0)
+    out = np.zeros(len(start), np.int64)
+    if len(start) > 1:
+        near = rows[1:] == rows[:-1]
+        out[1:] = np.where(near, kind[:-1], 0)
+        sign = past <= start
+        out[2:] = np.where(near[1:] & near[:-1] & sign[1:-1], kind[:-2], out[2:])
+    return out
 
 
-def shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of each word without its neighbours' (n x 4, the first the joint shape), and whether it is a trigger."""
+def shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of each word without its neighbours' (n x 5, the first the joint shape), and whether it is a trigger."""
     count = lambda mask: (lambda c: c[end] - c[start])(np.concatenate([[0], np.cumsum(mask[data])]))
     digits, letters, dots = count(_DIGIT), count(_LETTER | _HIGH), np.minimum(count(_DOT), 4)
     flags = [count(m) > 0 for m in (_AT, _DASH, _PLUS, _ROUND, _SQUARE, _QUOTE)]
@@ -113,7 +153,8 @@ def shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nda
     size = np.minimum(np.searchsorted([2, 3, 4, 6, 8, 11, 14, 16, 19, 24, 40], end - start), 11)
     first, last = data[start], data[end - 1]
     sign = bucket * 8 + _DIGIT[first] * 4 + _DIGIT[last] * 2 + (digits == end - start)
-    code = np.stack([joint, 3 * _JOINT + size, 3 * _JOINT + 12 + sign, 3 * _JOINT + 12 + 88 + 2 * _DOT[last] + (letters == end - start)], axis=1)
+    follows = 2 * cues(data, start, end, rows) + ((digits > 0) & (end - start >= 16))
+    code = np.stack([joint, 3 * _JOINT + size, 3 * _JOINT + 12 + sign, 3 * _JOINT + 12 + 88 + 2 * _DOT[last] + (letters == end - start), 3 * _JOINT + 12 + 88 + 4 + follows], axis=1)
     return code, (digits > 0) | flags[0] | flags[2] | flags[3] | flags[4]
 
 
@@ -133,7 +174,7 @@ def stretches(rows: np.ndarray, trigger: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def padded(code: np.ndarray, first: np.ndarray, past: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features (stretch, place, 6) with the neighbours' shapes, and which places are words; unused features are N_FEATURES."""
+    """Features (stretch, place, 7) with the neighbours' shapes, and which places are words; unused features are N_FEATURES."""
     width = int((past - first).max())
     at = first[:, None] + np.arange(width)
     real = at < past[:, None]
@@ -228,8 +269,14 @@ def train(features: np.ndarray, real: np.ndarray, labels: np.ndarray, rounds: in
 
 # --- the labelled table
 
-#: Names of settings that hold secrets.
-SECRET_NAMES = ("token", "api_key", "apikey", "secret", "password", "passwd", "access_key", "auth", "key", "bearer")
+_SETTING = re.compile(r"(?i)(?<![a-z0-9])(?:" + "|".join(SECRET_NAMES) + r")[\x20]?[=:][\x20]?[\"']?((?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,})")
+
+
+def _labels(text: str) -> list[tuple[int, int, int]]:
+    """The patterns' spans, and the long values of settings of telling names."""
+    base = base_spans(text)
+    more = [(m.start(1), len(BASE_KINDS), m.end(1)) for m in _SETTING.finditer(text)]
+    return sorted([*base, *(x for x in more if all(x[2] <= s or x[0] >= e for s, _, e in base))])
 
 
 def labelled_table(docs: DataFrame, rows: int = LABELLED_ROWS, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -252,7 +299,7 @@ def labelled_table(docs: DataFrame, rows: int = LABELLED_ROWS, sample_docs: int
                         continue
                     low, done = max(0, k - 6), min(len(words), k + 9) - 1
                     snippet = text[words[low].start() : words[done].end()]
-                    out.append((snippet, as_string(base_spans(snippet))))
+                    out.append((snippet, as_string(_labels(snippet))))
                     out += _rewritten(snippet)
             yield pd.DataFrame(out, columns=["snippet", "spans"])
 
@@ -273,11 +320,12 @@ def written_forms(rng: np.random.Generator) -> list[tuple[str, int | None]]:
         own += next(c for c in "0123456789" if _luhn(own + c))
         return own if rng.random() < 0.5 else pick(" -").join(own[k : k + 4] for k in range(0, 16, 4))
 
-    local = pick((f"({area}) {mid}-{last}", f"{area}-{mid}-{last}", f"{area} {mid} {last}", f"{area}.{mid}.{last}", f"({area}) {mid} {last}"))
+    hexes = lambda n: "".join("0123456789abcdef"[int(k)] for k in rng.integers(0, 16, n))
+    local = pick((f"0{digits(2)}-{digits(6)}", f"00{int(rng.integers(10, 99))} {digits(2)} {digits(6)}", f"({area}) {mid}-{last}", f"{area}-{mid}-{last}", f"{area} {mid} {last}", f"{area}.{mid}.{last}", f"({area}) {mid} {last}"))
     after = [(pick((address(), digits(5), f"{digits(2)}.{digits(2)}")), None)] if rng.random() < 0.8 else []
     if after and after[0][0].count(".") == 3:
         after = [(after[0][0], 1)]
-    case = int(rng.integers(7))
+    case = int(rng.integers(8))
     if case == 0:
         return [(local, 3)]
     if case == 1:  # the pattern runs on into the next number
@@ -285,12 +333,18 @@ def written_forms(rng: np.random.Generator) -> list[tuple[str, int | None]]:
     if case == 2:
         return [(card(), 2), *after]
     if case == 3:
-        at, dot = pick(((" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", ".")))
+        at, dot = pick(((" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" [at] ", "."), ("(at)", "."), ("[at]", ".")))
         return [(f"{name(3, 9)}{dot if rng.random() < 0.3 else ''}{name(2, 8)}{at}{name(3, 9)}{dot}{pick(('com', 'org', 'net', 'de'))}", 0)]
     if case == 4:
         alphabet = pick(("0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz0123456789_"))
         value = pick(("", "", "sk-", "ghp_", "AKIA")) + "".join(alphabet[int(k)] for k in rng.integers(0, len(alphabet), int(rng.integers(20, 48)))) + digits(2)
         return [(pick(SECRET_NAMES) + pick((" =", " =", ":", "")), None), (pick(('"{}"', '"{}"', "'{}'", "{}")).format(value), 4)]
+    if case == 5:  # digests and ids, which are nobody's
+        own = pick((hexes(40), hexes(32), hexes(64), hexes(40).upper(), f"{hexes(8)}-{hexes(4)}-4{hexes(3)}-a{hexes(3)}-{hexes(12)}", ":".join(hexes(4) for _ in range(8)), f"2001:db8::{hexes(4)}:{hexes(4)}", f"sha256:{hexes(64)}"))
+        before = pick(("", "", *(w + s for w in CUES[1] for s in ("", " =", ":"))))
+        return [*([(before, None)] if before else []), (pick(("{}", "{}", '"{}"', "({})")).format(own), None)]
+    if case == 6 and rng.random() < 0.3:
+        return [(pick(CUES[3]), None), (pick((f"{area}-{mid}-{last}", f"{digits(3)}-{digits(4)}", digits(10))), None)]
     number = digits(15) + pick("0123456789")
     if _luhn(number):
         number = number[:-1] + str((int(number[-1]) + 1) % 10)
@@ -304,14 +358,14 @@ def _rewritten(snippet: str, times: int = 2) -> list[tuple[str, str]]:
     words, out = list(_WORD.finditer(snippet)), []
     for _ in range(times):
         at = words[int(rng.integers(len(words)))].end() if words else 0
-        text, spans = snippet[:at], base_spans(snippet[:at])
+        text, spans = snippet[:at], _labels(snippet[:at])
         for form, kind in written_forms(rng):
             text += " "
             if kind is not None:
                 spans.append((len(text), kind, len(text) + len(form)))
             text += form
         text += " "
-        spans += [(s + len(text), k, e + len(text)) for s, k, e in base_spans(snippet[at:])]
+        spans += [(s + len(text), k, e + len(text)) for s, k, e in _labels(snippet[at:])]
         out.append((text + snippet[at:], as_string(spans)))
     return out
 
@@ -319,7 +373,7 @@ def _rewritten(snippet: str, times: int = 2) -> list[tuple[str, str]]:
 def _tokens(column: pa.Array) -> tuple:
     data, offsets = tx.flat(column)
     start, end, row = tx.word_bounds(data, offsets)
-    return data, offsets, start, end, row, *shapes(data, start, end)
+    return data, offsets, start, end, row, *shapes(data, start, end, row)
 
 
 def fit_field(docs: DataFrame, rows: int = LABELLED_ROWS) -> Field | None:

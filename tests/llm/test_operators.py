@@ -439,3 +439,35 @@ def test_span_hashes():
     assert (textops.windows_span(windows, start[long], end[long]) == textops.windows_span(windows, start[long] + 5777, end[long] + 5777)).all()
     tails = np.array([textops.span_hash(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0] for b in (b"", b"\0", b"\0\0", b"a", b"a\0", b"a" * 8, b"a" * 9, b"a" * 127, b"a" * 128)])
     assert len(set(tails.tolist())) == len(tails)
+
+
+def test_pii_secrets_and_forms_that_no_generator_wrote(spark, sf_dir):
+    """Secrets of the documents themselves, and lines written by hand: what is found and what is left alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    field = pii.fit_field(docs)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    spans = {r["doc_id"]: set(r["spans"].split(",")) for r in pii.find_pii(docs, field).collect()}
+    want = [(i, f"secret:{m.start(1)}:{m.end(1)}") for i, t in texts.items() for m in re.finditer(r'token = "([0-9a-f]{40})"', t)]
+    assert sum(s in spans[i] for i, s in want) >= 0.9 * len(want)
+    hexes = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"
+    free = [f"see commit {hexes} for more", "md5 9e107d9d372bb6826bd81d3542a419d6 of it", "id 550e8400-e29b-41d4-a716-446655440000 here", "at 2001:0db8:85a3:0000:0000:8a2e:0370:7334 now", "pages 212-555-0187 of it", f"{hexes} alone"]
+    held = {f'set token = "{hexes}"### now': "secret:13:53", "api_key: \"sk-abcdefghij1234567890abcd\" end": "secret:10:37", "call (212) 555-0187 then": "phone:5:19", "write jane.doe(at)example.com today": "email:6:29"}
+    cases = [*free, *held]
+    rows = [(k, t, "x") for k, t in enumerate(cases)] + [(None, cases[-1], "x"), (0, cases[0], "x"), (99, None, "x")]
+    got = [(r["doc_id"], r["spans"]) for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string, spans string"), field).collect()]
+    found = dict(got)
+    assert len(got) == len(rows) and all(found[k] == "" for k in range(len(free))) and found[99] == "" and found[None] == found[len(cases) - 1]
+    assert sum(found[len(free) + k] == s for k, s in enumerate(held.values())) >= 3
+
+
+def test_decontamination_ids(spark):
+    """Ids of any type are kept, null ids too, and repeated items count once."""
+    rng = np.random.default_rng(5)
+    vocab = ["".join(rng.choice(list("abcdefgh"), 7)) for _ in range(400)]
+    texts = [" ".join(rng.choice(vocab, 120)) for _ in range(12)]
+    passages = [" ".join(t.split()[20:50]) for t in texts[:3]]
+    docs = spark.createDataFrame([(k, t, "z") for k, t in enumerate(texts)] + [(None, texts[0], "z"), (0, texts[0], "z")], "doc_id long, text string, item_id string")
+    items = spark.createDataFrame([("one", passages[0], 1), ("one", passages[0], 1), (None, passages[1], 1), ("two", passages[2], 1), ("none", None, 1)], "item_id string, text string, doc_id int")
+    found = decontamination.leaks(docs, items)
+    assert dict(found.dtypes)["item_id"] == "string"
+    assert sorted(((r["doc_id"], r["item_id"]) for r in found.where("leaked").collect()), key=str) == sorted([(0, "one"), (None, "one"), (1, None), (2, "two")], key=str)
