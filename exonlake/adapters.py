@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .operators.interval import merge
+from .store import written
 
 #: Bases of a genome chunk: a digest gives as many.
 CHUNK = 32
@@ -31,12 +32,19 @@ def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(text("tx", "tx").alias("transcript_id"), text("g", "g").alias("gene_id"), text("n", "g").alias("gene_name"), "chrom", "strand", "start", "end", (F.col("tx") % 4 == 0).alias("novel"))
 
 
-def novel_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exons(spark, sf_dir).where("novel").drop("novel")
+def written_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """exons, written once, for queries that read them several times."""
+    return written(exons(spark, sf_dir), "exons")
+
+
+def sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Novel and reference exons, from one written table."""
+    own = written_exons(spark, sf_dir)
+    return own.where("novel").drop("novel"), own.where("not novel").drop("novel")
 
 
 def ref_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exons(spark, sf_dir).where("not novel").drop("novel")
+    return sides(spark, sf_dir)[1]
 
 
 def atlas(spark: SparkSession, sf_dir: str) -> DataFrame:

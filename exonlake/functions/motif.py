@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, functions as F
 
@@ -20,36 +18,69 @@ def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 
 
-def motif_hits(seq: Column, motifs: Sequence[str], region_length: int) -> Column:
-    """Array of (distance, motif) for all occurrences, overlapping ones too, in order of place.
+#: Letters that mark hits in a text, and what a text's own ones become; no motif has them.
+_HIT, _END, _OTHER = "\ue000", "\ue001", "\ue002"
+#: Hits that are appended to one list before a new one is begun.
+_BLOCK = 256
+_HITS = "array<struct<distance:int,motif:string>>"
 
-    The distance is that of the motif's last base from the last base of a region of the stated
-    length, so 0 or less.
+
+def _one_of(words: Sequence[str]) -> str:
+    """A pattern of words of one size, in which common beginnings are tried once."""
+    if len(words[0]) <= 1:
+        return words[0] and "[" + "".join(_quoted(w) for w in sorted(words)) + "]"
+    heads = sorted({w[0] for w in words})
+    return "(?:" + "|".join(_quoted(h) + _one_of([w[1:] for w in words if w[0] == h]) for h in heads) + ")"
+
+
+def _quoted(letter: str) -> str:
+    return letter if letter.isalnum() else "\\" + letter
+
+
+def _hits_of(seq: Column, words: Sequence[str], region_length: int) -> Column:
+    """Hits of words of one size.
+
+    One pass of the pattern marks every place where a word stands, overlapping ones too, and names the
+    word; the text is cut at the marks, and the sizes of the pieces, added up, are the places.  So a
+    place without a hit costs no more than a step of the pattern, and lists stay short.
     """
-    none = F.array().cast("array<struct<distance:int,motif:string>>")
+    size = len(words[0])
+    clean = F.translate(seq, _HIT + _END, _OTHER * 2)
+    pieces = F.split(F.regexp_replace(clean, f"(?=({_one_of(words)}))", f"{_HIT}$1{_END}"), _HIT)
+    kind = f"struct<at:int,hits:{_HITS}>"
+    empty = F.array().cast(_HITS)
+
+    def step(acc: Column, piece: Column) -> Column:
+        hit = F.substring(piece, size + 1, 1) == _END
+        own = F.struct((acc["at"] + size - region_length).cast("int").alias("distance"), F.substring(piece, 1, size).alias("motif"))
+        at = acc["at"] + F.length(piece) - F.when(hit, size + 1).otherwise(0)
+        return F.struct(at.alias("at"), F.when(hit, F.array_append(acc["hits"], own)).otherwise(acc["hits"]).alias("hits")).cast(kind)
+
+    def blocks(own: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(own), F.lit(_BLOCK))
+        zero = F.array(F.struct(F.lit(0).alias("at"), empty.alias("hits")).cast(kind)).cast(f"array<{kind}>")
+        return F.aggregate(starts, zero, lambda acc, k: F.array_append(acc, F.aggregate(F.slice(own, k, _BLOCK), F.struct(F.element_at(acc, -1)["at"].alias("at"), empty.alias("hits")).cast(kind), step)).cast(f"array<{kind}>"))
+
+    # the pieces are bound once: an expression that is named twice would be worked out twice
+    found = F.flatten(F.transform(F.array(pieces), blocks))
+    return F.when(seq.isNotNull(), F.flatten(F.transform(found, lambda b: b["hits"])))
 
-    def begins(bases: Column, at: Column, words: Sequence[str], k: int = 0) -> Column:
-        """Whether one of the words, all of one size, stands at a place; letter by letter, so that most places cost one or two comparisons."""
-        letters = sorted({w[k] for w in words})
-        more = lambda x: [w for w in words if w[k] == x]
-        here = lambda x: F.element_at(bases, at + k) == x
-        each = [here(x) & begins(bases, at, more(x), k + 1) if k + 1 < len(words[0]) else here(x) for x in letters]
-        return reduce(or_, each)
 
-    def of(bases: Column, size: int) -> Column:
-        words = [m for m in motifs if len(m) == size]
-        at = F.when(F.size(bases) >= size, F.sequence(F.lit(1), F.size(bases) - (size - 1))).otherwise(F.array().cast("array<int>"))
-        found = F.filter(at, lambda i: begins(bases, i, words))
-        return F.transform(found, lambda i: F.struct((i + (size - 1) - region_length).cast("int").alias("distance"), F.array_join(F.slice(bases, i, size), "").alias("motif")))
+def motif_hits(seq: Column, motifs: Sequence[str], region_length: int) -> Column:
+    """Array of (distance, motif) for all occurrences, overlapping ones too, in order of place; null for a null text.
 
-    # the bases are bound once: substring would walk the text from its start for every place
-    each = F.transform(F.array(F.split(seq, "")), lambda bases: F.concat(none, *(of(bases, size) for size in sorted({len(m) for m in motifs}))))
-    return F.array_sort(F.flatten(each))
+    The distance is that of the motif's last base from the last base of a region of the stated
+    length, so 0 or less.
+    """
+    sizes = sorted({len(m) for m in motifs if m})
+    each = [_hits_of(seq, sorted({m for m in motifs if len(m) == size}), region_length) for size in sizes]
+    return each[0] if len(each) == 1 else F.array_sort(F.concat(F.array().cast(_HITS), *each))
 
 
 def motif_string(hits: Column) -> Column:
     """Hits as distance_motif, joined by commas; not_found if there is none."""
-    return F.when(F.size(hits) > 0, F.array_join(F.transform(hits, lambda h: F.concat_ws("_", h["distance"], h["motif"])), ",")).otherwise(NOT_FOUND)
+    listed = lambda h: F.when(F.size(h) > 0, F.array_join(F.transform(h, lambda x: F.concat_ws("_", x["distance"], x["motif"])), ",")).otherwise(NOT_FOUND)
+    return F.element_at(F.transform(F.array(hits), listed), 1)
 
 
 def parse_motif_string(text: Column) -> Column:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.coords import five_end, on_plus, three_end_base
 from ..store import written
-from .interval import BIN, not_overlapping, overlap_join
+from .interval import not_overlapping, overlap_join
 from .structure import TX, exon_intron_tables, internal_regions, terminal_regions
 
 REF = "_ref"
 #: Columns of the reference that events carry.
 REF_COLS = ("gene_id", "transcript_id", "gene_name", "start", "end")
+_BEST = [*(f"best.{c}{REF}" for c in REF_COLS), "best.extension", "best.region_rank"]
 
 
 def event_name(rank: Column, kind: str) -> Column:
@@ -25,34 +26,57 @@ def within_five_end_tolerance(first_tolerance: int, other_tolerance: int, rank:
     return apart <= F.when(F.col(rank) == "first", first_tolerance).otherwise(other_tolerance)
 
 
-def no_three_end_overlap(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int = BIN) -> DataFrame:
+def three_end_matches(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
+    """Of each last exon that overlaps reference exons: in_exon, whether its last base is in one, and of the one that it extends least past the 3' end ``best``.
+
+    One overlap join serves both.  best has extension (may be negative), the reference's columns and
+    region_rank; equal extensions go to the nearest 5' end, then the reference transcript of the smaller id.
+    """
+    ranked = "region_rank" in ref_exons.columns
+    ref = ref_exons.select("chrom", "strand", *REF_COLS, (F.col("region_rank") if ranked else F.lit(None).cast("string")).alias("region_rank"))
+    pairs = overlap_join(last_exons.select(id_col, "chrom", "strand", "start", "end"), ref, bin_size=bin_size)
+    base = F.when(on_plus(), F.col("end") - 1).otherwise(F.col("start"))
+    extension = F.when(on_plus(), F.col("end") - F.col("end" + REF)).otherwise(F.col("start" + REF) - F.col("start"))
+    apart = F.abs(five_end() - five_end("start" + REF, "end" + REF))
+    more = [c + REF for c in REF_COLS if c not in ("transcript_id", "start")]
+    best = F.min(F.struct(extension.alias("extension"), apart.alias("apart"), F.col("transcript_id" + REF), F.col("start" + REF), *more, F.col("region_rank" + REF).alias("region_rank")))
+    return pairs.groupBy(id_col).agg(F.max((F.col("start" + REF) <= base) & (base < F.col("end" + REF))).alias("in_exon"), best.alias("best"))
+
+
+def no_three_end_overlap(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
     """Last exons whose last base is in no reference exon."""
     ends = not_overlapping(three_end_base(last_exons.select("chrom", "strand", "start", "end", id_col)), ref_exons, id_col, bin_size=bin_size)
     return last_exons.join(ends.select(id_col).distinct(), id_col, "left_semi")
 
 
-def shortest_extension(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int = BIN) -> DataFrame:
-    """Each last exon's overlapping reference exon that it extends least past the 3' end: extension (may be negative) and region_rank.
+def shortest_extension(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
+    """Each last exon's overlapping reference exon that it extends least past the 3' end: extension (may be negative), the reference's columns and region_rank."""
+    return last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size), id_col).select(*last_exons.columns, *_BEST)
 
-    Equal extensions go to the nearest 5' end, then the reference transcript of the smaller id.
-    """
-    ref = ref_exons.select("chrom", "strand", *REF_COLS, F.col("region_rank").alias("region_rank"))
-    pairs = overlap_join(last_exons, ref, bin_size=bin_size)
-    pairs = pairs.withColumn("extension", F.when(on_plus(), F.col("end") - F.col("end" + REF)).otherwise(F.col("start" + REF) - F.col("start")))
-    order = ["extension", F.abs(five_end() - five_end("start" + REF, "end" + REF)), "transcript_id" + REF, "start" + REF]
-    first = F.row_number().over(Window.partitionBy(id_col).orderBy(*order))
-    return pairs.withColumn("_n", first).where("_n = 1").drop("_n").withColumnRenamed("region_rank" + REF, "region_rank")
 
+def _reason(min_length: int, first_tolerance: int, other_tolerance: int, tolerance_filter: bool) -> Column:
+    """Why an extension is rejected; null if it is not."""
+    near = within_five_end_tolerance(first_tolerance, other_tolerance) if tolerance_filter else F.lit(True)
+    return F.when(F.col("extension") < min_length, "length").when(~near, "five_end")
 
-def extension_events(last_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, tolerance_filter: bool = True, id_col: str = TX, bin_size: int = BIN) -> DataFrame:
+
+def extension_events(last_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
     """Last exons that extend a reference exon by a base or more, with event_type, or with reject_reason ``length`` or ``five_end``."""
     found = shortest_extension(last_exons, ref_exons, id_col, bin_size).where("extension >= 1")
-    near = within_five_end_tolerance(first_tolerance, other_tolerance) if tolerance_filter else F.lit(True)
-    reason = F.when(F.col("extension") < min_length, "length").when(~near, "five_end")
+    reason = _reason(min_length, first_tolerance, other_tolerance, tolerance_filter)
     return found.withColumns({"reject_reason": reason, "event_type": F.when(reason.isNull(), event_name(F.col("region_rank"), "extension"))}).drop("region_rank")
 
 
-def spliced_events(last_introns: DataFrame, ref_introns: DataFrame, tolerance_filter: bool = True, id_col: str = TX, bin_size: int = BIN) -> DataFrame:
+def classified_last_exons(last_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
+    """Every last exon with in_exon, whether its last base is in a reference exon, and else its extension with reject_reason or event_type; nulls if it extends none."""
+    own = last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size), id_col, "left").withColumn("in_exon", F.coalesce("in_exon", F.lit(False)))
+    extends = ~F.col("in_exon") & (F.col("best.extension") >= 1)
+    flat = own.withColumn("best", F.when(extends, F.col("best"))).select(*last_exons.columns, "in_exon", *_BEST)
+    reason = _reason(min_length, first_tolerance, other_tolerance, tolerance_filter)
+    return flat.withColumns({"reject_reason": reason, "event_type": F.when(F.col("extension").isNotNull() & reason.isNull(), event_name(F.col("region_rank"), "extension"))}).drop("region_rank")
+
+
+def spliced_events(last_introns: DataFrame, ref_introns: DataFrame, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
     """Pairs of a last intron and a reference intron that it overlaps, with the same 5' splice site if filtered; event_type by the reference's ranks."""
     ref = ref_introns.select("chrom", "strand", *REF_COLS, "region_rank")
     if tolerance_filter:  # introns that begin at one base overlap, so this is an equi-join
@@ -68,41 +92,39 @@ def event_types_by_id(events: DataFrame, id_col: str = TX) -> DataFrame:
     return events.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("event_type"))
 
 
-def novel_last_exons(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int = BIN) -> DataFrame:
+def novel_last_exons(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None) -> DataFrame:
     """Last exons of transcripts whose 3' end is new, one row a transcript.
 
     Columns: transcript_id, chrom, strand, start, end, event_type and the matching reference's
     gene_id_ref, transcript_id_ref and gene_name_ref, joined by commas.  Extensions that fail the
     5' tolerance may still be found as spliced; exclude_five_end_failures keeps them out.
     """
+    return novel_and_rejected(novel_exons, ref_exons, min_length, first_tolerance, other_tolerance, extension_filter, spliced_filter, exclude_five_end_failures, bin_size)[0]
+
+
+def novel_and_rejected(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """novel_last_exons, and why each other transcript was rejected; both read one table of classified last exons."""
     ref, novel = exon_intron_tables(ref_exons), exon_intron_tables(novel_exons)
-    keep = ["transcript_id", "chrom", "strand", "start", "end"]
-    last = written(no_three_end_overlap(novel["last_exons"].select(*keep), ref["exons"], bin_size=bin_size), "last-exons")
-    extended = written(extension_events(last, ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "extensions")
-    out = ~F.col("event_type").isNull()
+    keep, meta = ["transcript_id", "chrom", "strand", "start", "end"], ["gene_id_ref", "transcript_id_ref", "gene_name_ref"]
+    last = written(classified_last_exons(novel["last_exons"].select(*keep), ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "last-exons")
     gone = F.coalesce(F.col("reject_reason") == "length", F.lit(False)) if extension_filter else F.lit(False)
     if exclude_five_end_failures:
         gone = gone | F.coalesce(F.col("reject_reason") == "five_end", F.lit(False))
-    found = extended.where(out)
-    introns = novel["last_introns"].select(*keep).join(last.select("transcript_id"), "transcript_id", "left_semi").join(extended.where(out | gone).select("transcript_id"), "transcript_id", "left_anti")
+    sought = last.where(~F.col("in_exon") & F.col("event_type").isNull() & ~gone).select("transcript_id")
+    introns = novel["last_introns"].select(*keep).join(sought, "transcript_id", "left_semi")
     spliced = spliced_events(introns, ref["introns"], spliced_filter, bin_size=bin_size)
-    meta = ["gene_id_ref", "transcript_id_ref", "gene_name_ref"]
-    matches = found.select("transcript_id", "event_type", *meta).unionByName(spliced.select("transcript_id", "event_type", *meta))
+    matches = last.where("event_type is not null").select("transcript_id", "event_type", *meta).unionByName(spliced.select("transcript_id", "event_type", *meta))
     listed = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("transcript_id_ref", "event_type", F.coalesce(c, F.lit("NULL")).alias("v")))), lambda s: s["v"]), ",")
     joined = matches.groupBy("transcript_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("event_type"), *(listed(c).alias(c) for c in meta))
-    return last.join(joined, "transcript_id").select(*keep, "event_type", *meta)
+    found = last.select(*keep).join(joined, "transcript_id").select(*keep, "event_type", *meta)
+    reason = F.when(F.col("in_exon"), "three_end_in_exon").otherwise(F.coalesce("reject_reason", F.lit("no_five_site_match")))
+    rejected = last.join(joined.select("transcript_id"), "transcript_id", "left_anti").select("transcript_id", reason.alias("reason"))
+    return found, rejected
 
 
-def rejections(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, bin_size: int = BIN) -> DataFrame:
+def rejections(novel_exons: DataFrame, ref_exons: DataFrame, *args, **options) -> DataFrame:
     """Why each transcript that has no event was rejected."""
-    ref, novel = exon_intron_tables(ref_exons), exon_intron_tables(novel_exons)
-    keep = ["transcript_id", "chrom", "strand", "start", "end"]
-    last = novel["last_exons"].select(*keep)
-    free = no_three_end_overlap(last, ref["exons"], bin_size=bin_size).select("transcript_id", F.lit(True).alias("_free"))
-    extended = extension_events(last.join(free, "transcript_id").drop("_free"), ref["exons"], min_length, first_tolerance, other_tolerance, bin_size=bin_size).select("transcript_id", "reject_reason")
-    events = novel_last_exons(novel_exons, ref_exons, min_length, first_tolerance, other_tolerance, bin_size=bin_size).select("transcript_id")
-    reason = F.when(F.col("_free").isNull(), "three_end_in_exon").otherwise(F.coalesce("reject_reason", F.lit("no_five_site_match")))
-    return last.join(events, "transcript_id", "left_anti").join(free, "transcript_id", "left").join(extended, "transcript_id", "left").select("transcript_id", reason.alias("reason"))
+    return novel_and_rejected(novel_exons, ref_exons, *args, **options)[1]
 
 
 def not_last_regions(regions: DataFrame, id_col: str = TX) -> DataFrame:
@@ -110,22 +132,20 @@ def not_last_regions(regions: DataFrame, id_col: str = TX) -> DataFrame:
     return terminal_regions(regions, "first", id_col).unionByName(internal_regions(regions, id_col))
 
 
-def reference_event_types(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int = BIN) -> DataFrame:
+def reference_event_types(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None) -> DataFrame:
     """transcript_id and event_type of the reference's own last exons.
 
     Only last exons whose 3' end is in no first or internal exon have one; those of transcripts
     whose id contains extension_string are last_exon_extension.
     """
-    own = exon_intron_tables(ref_exons)
+    own, keep = exon_intron_tables(ref_exons), ["transcript_id", "chrom", "strand", "start", "end"]
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
-    last = written(no_three_end_overlap(own["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), exons, bin_size=bin_size), "last-exons")
-    extended = extension_events(last, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size).where("event_type is not null").select("transcript_id", "event_type")
-    extended = written(extended, "extensions")
-    introns = own["last_introns"].select("transcript_id", "chrom", "strand", "start", "end").join(last.select("transcript_id"), "transcript_id", "left_semi")
-    left = introns.join(extended, "transcript_id", "left_anti")
-    spliced = written(event_types_by_id(spliced_events(left, gaps, bin_size=bin_size)), "spliced")
-    rest = left.join(spliced, "transcript_id", "left_anti").select("transcript_id", F.lit("last_exon_spliced").alias("event_type"))
-    out = extended.unionByName(spliced).unionByName(rest)
+    last = written(classified_last_exons(own["last_exons"].select(*keep), exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size).where("not in_exon").select("transcript_id", "event_type"), "last-exons")
+    extended = last.where("event_type is not null")
+    left = own["last_introns"].select(*keep).join(last.where("event_type is null").select("transcript_id"), "transcript_id", "left_semi")
+    spliced = event_types_by_id(spliced_events(left, gaps, bin_size=bin_size)).withColumnRenamed("event_type", "_spliced")
+    rest = left.select("transcript_id").join(spliced, "transcript_id", "left").select("transcript_id", F.coalesce("_spliced", F.lit("last_exon_spliced")).alias("event_type"))
+    out = extended.unionByName(rest)
     return forced_extensions(out, extension_string) if extension_string else out
 
 
@@ -134,5 +154,3 @@ def forced_extensions(events: DataFrame, text: str, id_col: str = TX) -> DataFra
     if events.where(F.col(id_col).contains(text)).isEmpty():
         raise ValueError(f"no {id_col} contains {text!r}")
     return events.withColumn("event_type", F.when(F.col(id_col).contains(text), "last_exon_extension").otherwise(F.col("event_type")))
-
-

@@ -1,69 +1,114 @@
 """Stranded interval operators as binned equi-joins and windows over bins.
 
-Joins put intervals into bins of three sizes by their length, so that neither side is
-copied often: a pair meets at the coarser of its two levels, in the first bin that it
-shares there, and so exactly once.  A copy at a level coarser than its own meets only
-rows that belong to that level, never another copy: short rows are not paired with all
-short rows of a coarse bin.  Windows (clusters, nearest) run within bins; what earlier
-bins hold comes from one row per bin, so no chromosome is one task.
+Joins put intervals into bins by their length: the finest level's width is fitted to the
+lengths of both sides, so that a bin holds little more than what overlaps there, and each
+coarser level's bins are FACTOR times wider, so that no row has more than FACTOR + 1 copies
+at its own level.  A pair meets at the coarser of its two levels, in the first bin that it
+shares there, and so exactly once.  A copy at a level coarser than its own meets only rows
+that belong to that level, never another copy, and is made only where the other side has such
+rows.  Windows (clusters, nearest, ranks) run within bins; what earlier bins hold comes from
+one row per bin, so no chromosome and no gene is one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import KEYS, forward, rows_by_suffix
+from ..store import written
 
+#: Width of the bins of windows, in bases.
 BIN = 4096
-#: Sizes of the three levels, in bins.
-LEVELS = (1, 64, 4096)
+#: Bins of a level are so many times wider than those of the level before; levels end where no length goes beyond.
+FACTOR, LEVELS = 8, 12
+#: Fitted widths are powers of two in this range.
+MIN_WIDTH, MAX_WIDTH = 32, 1 << 20
 
 
-def _binned(df: DataFrame, bin_size: int, right: bool) -> DataFrame:
+def _last() -> Column:
+    return F.greatest(F.col("end") - 1, F.col("start"))
+
+
+def _level(width: int) -> Column:
+    """The first level at which a row touches FACTOR + 1 bins at most."""
+    size = _last() - F.col("start") + 1
+    return reduce(lambda rest, k: F.when(size <= width * FACTOR ** (k + 1), k).otherwise(rest), range(LEVELS - 2, -1, -1), F.lit(LEVELS - 1))
+
+
+def fitted_width(left: DataFrame, right: DataFrame) -> int:
+    """A width of about the median lengths of both sides together, from a count of lengths by their number of bits."""
+    bits = F.length(F.bin(_last() - F.col("start") + 1))
+    sides = left.select(F.lit(0).alias("side"), bits.alias("bits")).unionByName(right.select(F.lit(1).alias("side"), bits.alias("bits")))
+    medians = sides.groupBy("side", "bits").count().groupBy("side").agg(F.array_sort(F.collect_list(F.struct("bits", "count"))).alias("h")).collect()  # 64 lengths a side at most
+    total = 0
+    for side in medians:
+        half, seen = sum(r["count"] for r in side["h"]) / 2, 0
+        for r in side["h"]:
+            seen += r["count"]
+            if seen >= half:
+                total += 1 << (r["bits"] or 1)
+                break
+    return min(max(1 << max(total - 1, 1).bit_length() - 1, MIN_WIDTH), MAX_WIDTH)
+
+
+def _levels(df: DataFrame, width: int) -> set[int]:
+    return {r[0] for r in df.select(_level(width).alias("k")).distinct().collect()}
+
+
+def _binned(df: DataFrame, width: int, own: set[int], other: set[int], right: bool) -> DataFrame:
     """Adds _meet and _bin, a row for each bin that an interval touches at each level where it meets others.
 
     _meet is twice the level, where rows that belong to it on the left meet those and coarser copies
     on the right, and one more, where copies on the left meet rows that belong to it on the right.
     """
-    last = F.greatest(F.col("end") - 1, F.col("start"))
-    span = F.floor(last / bin_size) - F.floor(F.col("start") / bin_size)
-    own = F.when(span < LEVELS[1], 0).when(span < LEVELS[2], 1).otherwise(2)
+    level = F.col("_level")
 
     def at(meet: int, ok: Column) -> Column:
-        size = bin_size * LEVELS[meet // 2]
-        bins = F.sequence(F.floor(F.col("start") / size), F.floor(last / size))
+        size = width * FACTOR ** (meet // 2)
+        bins = F.sequence(F.floor(F.col("start") / size), F.floor(_last() / size))
         return F.when(ok, F.transform(bins, lambda b: F.struct(F.lit(meet).alias("meet"), b.alias("bin")))).otherwise(F.array().cast("array<struct<meet:int,bin:bigint>>"))
 
     if right:
-        spots = [x for k in range(len(LEVELS)) for x in (at(2 * k, own <= k), *([at(2 * k + 1, own == k)] if k else []))]
+        spots = [at(2 * k, level <= k) for k in sorted(other)] + [at(2 * k + 1, level == k) for k in sorted(own) if any(x < k for x in other)]
     else:
-        spots = [x for k in range(len(LEVELS)) for x in (at(2 * k, own == k), *([at(2 * k + 1, own < k)] if k else []))]
-    return df.withColumn("_spot", F.explode(F.concat(*spots))).withColumns({"_meet": F.col("_spot.meet"), "_bin": F.col("_spot.bin")}).drop("_spot")
+        spots = [at(2 * k, level == k) for k in sorted(own) if any(x <= k for x in other)] + [at(2 * k + 1, level < k) for k in sorted(other)]
+    none = F.array().cast("array<struct<meet:int,bin:bigint>>")
+    spotted = df.withColumn("_level", _level(width)).withColumn("_spot", F.explode(F.concat(none, *spots)))
+    return spotted.withColumns({"_meet": F.col("_spot.meet"), "_bin": F.col("_spot.bin")}).drop("_spot", "_level")
+
 
+def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int | None = None) -> tuple[DataFrame, int]:
+    """Pairs of rows that share ``by`` and a bin where they meet, and the width of the finest bins; overlap_join keeps those that overlap."""
+    width = bin_size or fitted_width(left, right)
+    ours, theirs = _levels(left, width), _levels(right, width)
+    other = rows_by_suffix(_binned(right, width, theirs, ours, True), (*by, "_meet", "_bin"), suffix)
+    return _binned(left, width, ours, theirs, False).join(other, [*by, "_meet", "_bin"]), width
 
-def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int = BIN) -> DataFrame:
-    """Pairs of rows that share ``by`` and a bin where they meet; overlap_join keeps those that overlap."""
-    other = rows_by_suffix(_binned(right, bin_size, True), (*by, "_meet", "_bin"), suffix)
-    return _binned(left, bin_size, False).join(other, [*by, "_meet", "_bin"])
 
+def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int | None = None) -> DataFrame:
+    """All pairs of rows that share ``by`` and at least one base; the right columns get the suffix.
 
-def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int = BIN) -> DataFrame:
-    """All pairs of rows that share ``by`` and at least one base; the right columns get the suffix."""
-    size = F.element_at(F.array(*(F.lit(bin_size * f) for f in LEVELS)), F.floor(F.col("_meet") / 2).cast("int") + 1)
+    Without a bin_size, widths are fitted to the rows, which reads both sides beforehand: tables that
+    are costly to build are best written first.
+    """
+    pairs, width = candidates(left, right, by, suffix, bin_size)
+    size = F.element_at(F.array(*(F.lit(width * FACTOR**k) for k in range(LEVELS))), F.floor(F.col("_meet") / 2).cast("int") + 1)
     met = F.col("_bin") == F.floor(F.greatest(F.col("start"), F.col("start" + suffix)) / size)
     share = (F.col("start") < F.col("end" + suffix)) & (F.col("start" + suffix) < F.col("end"))
-    return candidates(left, right, by, suffix, bin_size).where(share & met).drop("_meet", "_bin")
+    return pairs.where(share & met).drop("_meet", "_bin")
 
 
-def overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
+def overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int | None = None) -> DataFrame:
     """Left rows that share a base with some right row."""
     hits = overlap_join(left.select(*by, "start", "end", id_col), right.select(*by, "start", "end"), by, bin_size=bin_size).select(id_col).distinct()
     return left.join(hits, id_col, "left_semi")
 
 
-def not_overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
+def not_overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int | None = None) -> DataFrame:
     """Left rows whose id shares no base with any right row."""
     hits = overlap_join(left.select(*by, "start", "end", id_col), right.select(*by, "start", "end"), by, bin_size=bin_size).select(id_col).distinct()
     return left.join(hits, id_col, "left_anti")
@@ -88,11 +133,13 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], val
     here = framed(Window.partitionBy(*by, "_bin").orderBy(*order), edge)
     there = Window.partitionBy(*by).orderBy("_bin").rowsBetween(*edge)
     bins = binned.groupBy(*by, "_bin").agg(*(pick(f"_v_{c}").alias(f"_b_{c}") for c in values))
-    bins = bins.select(*by, "_bin", *(pick(f"_b_{c}").over(there).alias(f"_c_{c}") for c in values))
+    names = [*by, "_bin"]
+    bins = bins.select(*(F.col(c).alias(f"_k_{i}") for i, c in enumerate(names)), *(pick(f"_b_{c}").over(there).alias(f"_c_{c}") for c in values))
     local = binned.withColumns({f"_l_{c}": pick(f"_v_{c}").over(here) for c in values})
     best = F.least if backward else F.greatest
-    out = local.join(bins, [*by, "_bin"])
-    return out.withColumns({c: best(f"_l_{c}", f"_c_{c}") for c in values}).drop("_bin", *(f"_{k}_{c}" for c in values for k in "vlc"))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(names)))  # rows of a null key are rows too
+    out = local.join(bins, same)
+    return out.withColumns({c: best(f"_l_{c}", f"_c_{c}") for c in values}).drop("_bin", *(f"_k_{i}" for i in range(len(names))), *(f"_{k}_{c}" for c in values for k in "vlc"))
 
 
 def cluster(df: DataFrame, by: Sequence[str] = KEYS, out: str = "cluster_start", bin_size: int | None = BIN) -> DataFrame:
@@ -109,14 +156,45 @@ def merge(df: DataFrame, by: Sequence[str] = KEYS, bin_size: int | None = BIN) -
     return own.groupBy(*by, "_island").agg(F.max("end").alias("end")).select(*by, F.col("_island").alias("start"), "end")
 
 
-def subtract(left: DataFrame, mask: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
-    """Left rows without the bases that mask covers; one row a fragment, none where nothing is left."""
-    pieces = overlap_join(left.select(*by, "start", "end", id_col), merge(mask, by, bin_size), by, bin_size=bin_size)
-    pieces = pieces.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("start_ref", "end_ref"))).alias("_p"))
-    lows, highs = F.concat(F.array("start"), "_p.end_ref"), F.concat("_p.start_ref", F.array("end"))
-    gaps = F.filter(F.zip_with(lows, highs, lambda a, b: F.struct(a.alias("start"), b.alias("end"))), lambda g: g["end"] > g["start"])
-    cut = left.join(pieces, id_col).withColumn("_g", F.explode(gaps)).withColumns({"start": F.col("_g.start"), "end": F.col("_g.end")})
-    return left.join(pieces, id_col, "left_anti").select(*left.columns).unionByName(cut.select(*left.columns))
+def place_number(df: DataFrame, by: Sequence[str], place: Column, out: str, bin_size: int = BIN) -> DataFrame:
+    """Adds the dense rank of each row's place, a whole number, among those of its key.
+
+    Places are numbered once each, within bins, and shifted by the counts of earlier bins, so that a
+    key with very many places, or the null key, is not one task.
+    """
+    named = df.withColumn("_place", place)
+    names = [*by, "_place"]
+    spots = named.select(*names).distinct().withColumn("_bin", F.floor(F.col("_place") / bin_size))
+    counts = spots.groupBy(*by, "_bin").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*(F.col(c).alias(f"_k_{i}") for i, c in enumerate([*by, "_bin"])), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    local = spots.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bin").orderBy("_place")))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate([*by, "_bin"])))
+    numbered = local.join(counts, same).select(*(F.col(c).alias(f"_m_{i}") for i, c in enumerate(names)), (F.col("_before") + F.col("_in")).cast("int").alias(out))
+    again = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_m_{i}")) for i, c in enumerate(names)))
+    return named.join(numbered, again).drop("_place", *(f"_m_{i}" for i in range(len(names))))
+
+
+def gaps(mask: DataFrame, bounds: DataFrame, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
+    """by, start and end of what mask leaves of each key's bounds (by, low, high); keys without mask are one gap."""
+    islands = merge(mask, by, bin_size)
+    following = running(islands, by, ["start"], {"_next": F.col("start")}, bin_size, backward=True)
+    lows = islands.groupBy(*by).agg(F.min("start").alias("_first"))
+    joined = following.join(bounds, list(by)).select(*by, F.col("end").alias("start"), F.coalesce("_next", "high").alias("end"))
+    heads = bounds.join(lows, list(by), "left").select(*by, F.col("low").alias("start"), F.coalesce("_first", "high").alias("end"))
+    return joined.unionByName(heads).where("start < end")
+
+
+def subtract(left: DataFrame, mask: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int | None = None) -> DataFrame:
+    """Left rows without the bases that mask covers; one row a fragment, none where nothing is left.
+
+    Fragments are what rows share with the gaps between mask's islands: no row ever holds a list of
+    pieces, however many islands it spans.
+    """
+    bounds = left.groupBy(*by).agg(F.min("start").alias("low"), F.max("end").alias("high"))
+    free = written(gaps(mask, bounds, by, bin_size or BIN), "gaps")
+    own = overlap_join(left, free, by, "_gap", bin_size)
+    return own.withColumns({"start": F.greatest("start", "start_gap"), "end": F.least("end", "end_gap")}).select(*left.columns)
 
 
 def nearest(queries: DataFrame, sites: DataFrame, site_cols: Sequence[str], by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:

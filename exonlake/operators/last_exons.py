@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import on_plus
 from .collapse import collapse_metadata
-from .interval import cluster
+from .interval import BIN, cluster, place_number
 
 GENE = ("chrom", "strand", "ref_gene_id")
+#: Numbers of a gene's last exons that one window goes over.
+NUMBERS = 4096
 
 
 def is_novel(prefix: str, col: str) -> Column:
@@ -27,31 +31,43 @@ def annotation_status(novel_prefix: str = "novel", col: str = "transcript_id") -
     return F.when(is_novel(novel_prefix, col), "novel").otherwise("annotated")
 
 
-def number_last_exons(df: DataFrame, bin_size: int | None = None) -> DataFrame:
-    """Adds le_number, the place 5' to 3' of each row's cluster of overlapping last exons in its gene."""
+def number_last_exons(df: DataFrame, bin_size: int = BIN) -> DataFrame:
+    """Adds le_number, the place 5' to 3' of each row's cluster of overlapping last exons in its gene; rows without a gene are a gene."""
     own = cluster(df, GENE, "_island", bin_size)
     order = F.when(on_plus(), F.col("_island")).otherwise(-F.col("_island"))
-    return own.withColumn("le_number", F.dense_rank().over(Window.partitionBy(*GENE).orderBy(order))).drop("_island")
+    return place_number(own, GENE, order, "le_number", bin_size).drop("_island")
 
 
 def renumber_extensions(df: DataFrame, key: str = "last_exon_extension") -> DataFrame:
     """Rows whose event is a last-exon extension become a last exon of their own behind theirs; later numbers move on.
 
-    In closed form: number + extended numbers before it + 1 if the row is an extension.
+    In closed form: number + extended numbers before it + 1 if the row is an extension.  Extended
+    numbers are themselves numbered, in bins of them, and a row's shift is that of the next one.
     """
     extends = F.coalesce(F.col("event_type").contains(key), F.lit(False)).cast("int")
     flagged = df.withColumn("_ext", extends)
     numbers = flagged.groupBy(*GENE, "le_number").agg(F.max("_ext").alias("_any"))
-    before = Window.partitionBy(*GENE).orderBy("le_number").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = numbers.withColumn("_shift", F.coalesce(F.sum("_any").over(before), F.lit(0))).drop("_any")
-    return flagged.join(shifts, [*GENE, "le_number"]).withColumn("le_number", (F.col("le_number") + F.col("_shift") + F.col("_ext")).cast("int")).drop("_ext", "_shift")
+    block = F.floor(F.col("le_number") / NUMBERS)
+    within = Window.partitionBy(*GENE, "_block").orderBy("le_number").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*GENE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    numbers = numbers.withColumn("_block", block)
+    blocks = numbers.groupBy(*GENE, "_block").agg(F.sum("_any").alias("_sum"))
+    blocks = blocks.select(*(F.col(c).alias(f"_b_{c}") for c in (*GENE, "_block")), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    local = numbers.withColumn("_in", F.coalesce(F.sum("_any").over(within), F.lit(0)))
+    shifts = local.join(blocks, _same("_b_", (*GENE, "_block"))).select(*(F.col(c).alias(f"_s_{c}") for c in (*GENE, "le_number")), (F.col("_before") + F.col("_in")).alias("_shift"))
+    moved = flagged.join(shifts, _same("_s_", (*GENE, "le_number"))).select(*flagged.columns, "_shift")
+    return moved.withColumn("le_number", (F.col("le_number") + F.col("_shift") + F.col("_ext")).cast("int")).drop("_ext", "_shift")
+
+
+def _same(prefix: str, cols: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(prefix + c)) for c in cols))
 
 
 def le_id() -> Column:
     return F.concat_ws("_", "ref_gene_id", "le_number")
 
 
-def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int | None = None) -> DataFrame:
+def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int = BIN) -> DataFrame:
     """Adds le_number and le_id."""
     own = number_last_exons(df, bin_size)
     return (renumber_extensions(own) if extensions else own).withColumn("le_id", le_id())
@@ -75,9 +91,9 @@ def metagenes(novel: DataFrame, reference: DataFrame, order: Sequence[str] = ("c
 
 def genes_with_choice(df: DataFrame, count: str = "rows") -> DataFrame:
     """Rows of genes that have several rows (or several last exons, with count ``le``)."""
-    own = Window.partitionBy(*GENE)
-    many = F.count("*").over(own) if count == "rows" else F.size(F.collect_set("le_id").over(own))
-    return df.withColumn("_n", many).where("_n > 1").drop("_n")
+    many = F.count("*") if count == "rows" else F.count_distinct("le_id")
+    genes = df.groupBy(*GENE).agg(many.alias("_n")).where("_n > 1").select(*(F.col(c).alias(f"_g_{c}") for c in GENE))
+    return df.join(genes, _same("_g_", GENE), "left_semi")
 
 
 def id_maps(df: DataFrame) -> dict[str, DataFrame]:

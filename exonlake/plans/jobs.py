@@ -51,7 +51,7 @@ def filter_three_ends(df: DataFrame, atlas: DataFrame, genome: DataFrame, chunk:
     return {"passed": by_site.unionByName(by_motif, allowMissingColumns=True), "match_stats": stats, "classes": collapse.value_counts(stats, ["match_class", "atlas_filter", "motif_filter"], "transcript_id")}
 
 
-def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: str = "novel", extension_string: str | None = None, bin_size: int = BIN) -> dict[str, DataFrame]:
+def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: str = "novel", extension_string: str | None = None, bin_size: int | None = None) -> dict[str, DataFrame]:
     """The quantification annotation of novel and reference last exons.
 
     novel: transcript_id, chrom, strand, start, end, event_type, gene_id_ref, gene_name_ref.
@@ -74,7 +74,7 @@ def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: st
     return {"last_exons": rows, "unique": unique, "dropped": dropped, "info": le.info_table(unique, novel_prefix), **le.id_maps(unique)}
 
 
-def reference_annotation(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int = BIN) -> dict[str, DataFrame]:
+def reference_annotation(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None) -> dict[str, DataFrame]:
     """The same from the reference alone."""
     return combined_annotation(None, ref_exons, "novel", extension_string, bin_size)
 

@@ -59,46 +59,52 @@ def _renamed(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"start": "s", "end": "e"})
 
 
+def _last_and_ref(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Novel last exons and ranked reference exons."""
+    novel, ref = ad.sides(spark, sf_dir)
+    last = structure.exon_intron_tables(novel)["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    return last, structure.exon_intron_tables(ref)["exons"]
+
+
 _OPTIONS = {"min_length": 50, "first_tolerance": 0, "other_tolerance": 0}
 
 
 @query(f"WITH {_EVENTS} SELECT * FROM novel_le")
 def novel_last_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(jobs.novel_last_exons(ad.novel_exons(spark, sf_dir), ad.ref_exons(spark, sf_dir), **_OPTIONS))
+    return _renamed(jobs.novel_last_exons(*ad.sides(spark, sf_dir), **_OPTIONS))
 
 
 @query(f"""WITH {_EVENTS} SELECT n.transcript_id, CASE WHEN f.transcript_id IS NULL THEN 'three_end_in_exon' ELSE coalesce(x.reason, 'no_five_site_match') END AS reason
 FROM ends n LEFT JOIN free f USING (transcript_id) LEFT JOIN ext x USING (transcript_id) WHERE n.novel AND n.transcript_id NOT IN (SELECT transcript_id FROM novel_le)""")
 def rejected_last_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.rejections(ad.novel_exons(spark, sf_dir), ad.ref_exons(spark, sf_dir), **_OPTIONS)
+    return events.rejections(*ad.sides(spark, sf_dir), **_OPTIONS)
 
 
 @query(f"WITH {_EXONS} SELECT n.transcript_id, count(*) AS n_pairs, CAST(sum(least(n.e, r.e) - greatest(n.s, r.s)) AS BIGINT) AS bases FROM exons n JOIN exons r ON n.novel AND NOT r.novel AND n.chrom = r.chrom AND n.strand = r.strand AND n.s < r.e AND r.s < n.e GROUP BY n.transcript_id")
 def overlap_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = interval.overlap_join(ad.novel_exons(spark, sf_dir), ad.ref_exons(spark, sf_dir))
+    pairs = interval.overlap_join(*ad.sides(spark, sf_dir))
     shared = F.least("end", "end_ref") - F.greatest("start", "start_ref")
     return pairs.groupBy("transcript_id").agg(F.count("*").alias("n_pairs"), F.sum(shared).alias("bases"))
 
 
 @query(f"WITH {_EXONS} SELECT n.transcript_id, n.chrom, n.strand, n.s, n.e FROM ends n WHERE novel AND NOT EXISTS (SELECT 1 FROM exons r WHERE NOT r.novel AND r.chrom = n.chrom AND r.strand = n.strand AND r.s <= n.te AND r.e > n.te)")
 def three_end_anti_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_exons"]
-    return _renamed(events.no_three_end_overlap(last, ad.ref_exons(spark, sf_dir)).select("transcript_id", "chrom", "strand", "start", "end"))
+    novel, ref = ad.sides(spark, sf_dir)
+    last = structure.exon_intron_tables(novel)["last_exons"]
+    return _renamed(events.no_three_end_overlap(last, ref).select("transcript_id", "chrom", "strand", "start", "end"))
 
 
 @query(f"""WITH {_EXONS}, j AS (SELECT n.transcript_id, CASE WHEN n.strand = '+' THEN n.e - r.e ELSE r.s - n.s END AS extension, CASE WHEN n.strand = '+' THEN abs(n.s - r.s) ELSE abs(n.e - r.e) END AS five, r.transcript_id AS transcript_id_ref, r.rnk AS region_rank, r.s AS rs
 FROM ends n JOIN ranked r ON n.novel AND NOT r.novel AND n.chrom = r.chrom AND n.strand = r.strand AND n.s < r.e AND r.s < n.e)
 SELECT transcript_id, extension, transcript_id_ref, region_rank FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY extension, five, transcript_id_ref, rs) AS rn FROM j) WHERE rn = 1""")
 def shortest_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
-    ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
+    last, ref = _last_and_ref(spark, sf_dir)
     return events.shortest_extension(last, ref).select("transcript_id", "extension", "transcript_id_ref", "region_rank")
 
 
 @query(f"WITH {_EVENTS} SELECT transcript_id, ext AS extension, coalesce(reason, 'none') AS reject_reason, CASE WHEN reason IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM ext")
 def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
-    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    last, ref = _last_and_ref(spark, sf_dir)
     found = events.extension_events(events.no_three_end_overlap(last, ref), ref, **_OPTIONS)
     return found.select("transcript_id", "extension", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
@@ -106,8 +112,7 @@ def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_EVENTS}, x AS (SELECT *, CASE WHEN ext < 50 THEN 'length' WHEN five > CASE WHEN ref_rank = 'first' THEN 60 ELSE 5 END THEN 'five_end' END AS why FROM ext1 WHERE rn = 1 AND ext >= 1)
 SELECT transcript_id, coalesce(why, 'none') AS reject_reason, CASE WHEN why IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM x""")
 def extension_events_tolerances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
-    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    last, ref = _last_and_ref(spark, sf_dir)
     found = events.extension_events(events.no_three_end_overlap(last, ref), ref, 50, 60, 5)
     return found.select("transcript_id", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
@@ -116,8 +121,9 @@ _SPLICED = """WITH {exons} SELECT i.transcript_id, array_to_string(list_sort(lis
 
 
 def _spliced(spark: SparkSession, sf_dir: str, exact: bool) -> DataFrame:
-    last = structure.exon_intron_tables(ad.novel_exons(spark, sf_dir))["last_introns"].select("transcript_id", "chrom", "strand", "start", "end")
-    found = events.spliced_events(last, structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["introns"], exact)
+    novel, ref = ad.sides(spark, sf_dir)
+    last = structure.exon_intron_tables(novel)["last_introns"].select("transcript_id", "chrom", "strand", "start", "end")
+    found = written(events.spliced_events(last, structure.exon_intron_tables(ref)["introns"], exact).select("transcript_id", "event_type"), "spliced")
     return events.event_types_by_id(found).join(found.groupBy("transcript_id").agg(F.count("*").alias("n")), "transcript_id")
 
 
@@ -157,17 +163,17 @@ cc AS (SELECT *, min(s) OVER (PARTITION BY chrom, strand{more}, k) AS cluster_st
 
 @query(f"WITH {_ISLANDS.format(more='', rows='exons')} SELECT transcript_id, s, e, cluster_start FROM cc")
 def cluster_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.cluster(ad.exons(spark, sf_dir)).select("transcript_id", "start", "end", "cluster_start"))
+    return _renamed(interval.cluster(ad.written_exons(spark, sf_dir)).select("transcript_id", "start", "end", "cluster_start"))
 
 
 @query(f"WITH {_ISLANDS.format(more=', gene_id', rows='exons')} SELECT transcript_id, s, e, cluster_start FROM cc")
 def cluster_by_gene(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.cluster(ad.exons(spark, sf_dir), ["chrom", "strand", "gene_id"]).select("transcript_id", "start", "end", "cluster_start"))
+    return _renamed(interval.cluster(ad.written_exons(spark, sf_dir), ["chrom", "strand", "gene_id"]).select("transcript_id", "start", "end", "cluster_start"))
 
 
 @query(f"WITH {_ISLANDS.format(more='', rows='exons')} SELECT DISTINCT chrom, strand, cluster_start AS s, cluster_end AS e FROM cc")
 def merge_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(interval.merge(ad.exons(spark, sf_dir)))
+    return _renamed(interval.merge(ad.written_exons(spark, sf_dir)))
 
 
 @query(f"""WITH {_ISLANDS.format(more='', rows='(SELECT * FROM ranked WHERE NOT novel AND num < cnt)')}, mask AS (SELECT DISTINCT chrom, strand, cluster_start AS ms, cluster_end AS me FROM cc),
@@ -177,8 +183,9 @@ stops AS (SELECT transcript_id, e AS z FROM ends UNION ALL SELECT transcript_id,
 gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY a) AS k FROM points) p JOIN (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY z) AS k FROM stops) q USING (transcript_id, k))
 SELECT transcript_id, a AS s, z AS e FROM gaps WHERE z > a""")
 def subtract_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
-    ref = structure.exon_intron_tables(ad.ref_exons(spark, sf_dir))["exons"]
+    own = ad.written_exons(spark, sf_dir)
+    last = written(structure.exon_intron_tables(own)["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), "last-exons")
+    ref = structure.exon_intron_tables(own.where("not novel"))["exons"]
     return _renamed(interval.subtract(last, _not_last(ref), "transcript_id").select("transcript_id", "start", "end"))
 
 
@@ -194,7 +201,7 @@ _ATLAS = "atlas AS (SELECT 'chr' || ((p_partkey // 4) % 5) AS chrom, CASE WHEN (
 r AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY distance, toward) AS rn FROM d)
 SELECT transcript_id, site_start, distance, CASE WHEN distance <= 100 THEN 1 ELSE 0 END AS atlas_filter FROM r WHERE rn = 1""")
 def nearest_atlas_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    last = written(structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), "last-exons")
     found = three_ends.nearest_atlas_site(last, ad.atlas(spark, sf_dir))
     return found.where("nearest_atlas_distance is not null").select("transcript_id", F.col("atlas_start").alias("site_start"), F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
 
@@ -255,8 +262,9 @@ def collapse_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_EVENTS}, g AS (SELECT transcript_id, list_distinct(string_split(gene_id_ref, ',')) AS gs FROM novel_le) SELECT transcript_id, len(gs) AS n_genes FROM g""")
 def metagene_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    novel = events.novel_last_exons(ad.novel_exons(spark, sf_dir), ad.ref_exons(spark, sf_dir), **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
-    named, _ = le.metagenes(novel, ad.ref_exons(spark, sf_dir).withColumn("ref_gene_id", F.col("gene_id")))
+    new, ref = ad.sides(spark, sf_dir)
+    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
+    named, _ = le.metagenes(novel, ref.withColumn("ref_gene_id", F.col("gene_id")))
     return named.select("transcript_id", F.size(F.split("ref_gene_id", ",")).cast("long").alias("n_genes"))
 
 
@@ -282,7 +290,8 @@ h AS (SELECT doc_id, i, substr(t, i, 3) AS m FROM k WHERE substr(t, i, 3) IN ('t
 SELECT doc_id, count(*) AS n_hits, max(i + length(m) - 1 - 100) AS last_distance, min(abs(i + length(m) - 1 - 100 + 21)) AS least_deviation FROM h GROUP BY doc_id""")
 def motif_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = ad.table(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_replace("text", "[^a-zA-Z]", "")).alias("t"))
-    found = docs.select("doc_id", motif_string(motif_hits(F.col("t"), _MOTIFS, 100)).alias("motifs")).where("motifs <> 'not_found'")
+    # explode, so that the filter does not work the hits out a second time
+    found = docs.select("doc_id", F.explode(F.array(motif_string(motif_hits(F.col("t"), _MOTIFS, 100)))).alias("motifs")).where("motifs <> 'not_found'")
     at = parse_motif_string(F.col("motifs"))
     return found.select("doc_id", F.size(at).cast("long").alias("n_hits"), F.array_max(at).cast("long").alias("last_distance"), least_deviation(at, 21)["deviation"].cast("long").alias("least_deviation"))
 
@@ -292,7 +301,7 @@ b AS (SELECT w.*, unnest(range(ws, we)) AS i FROM w),
 q AS (SELECT transcript_id, strand, string_agg(substr(translate(md5(chrom || ':' || (i // 32)), '0123456789abcdef', 'AATAACAATAAGTAAC'), CAST(i % 32 AS INT) + 1, 1), '' ORDER BY i) AS f FROM b GROUP BY transcript_id, strand)
 SELECT transcript_id, CASE WHEN strand = '-' THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END AS sequence FROM q""")
 def terminal_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"]
+    last = written(structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"], "last-exons")
     ends = terminal_window(last.select("transcript_id", "chrom", "strand", "start", "end"), 100)
     return three_ends.region_sequences(ends, ad.genome(ends), "transcript_id", ad.CHUNK).select("transcript_id", "sequence")
 
@@ -462,13 +471,13 @@ ok AS (SELECT *, sum(o) OVER (PARTITION BY chrom, strand ORDER BY s, e, transcri
 kinds AS (SELECT DISTINCT transcript_id, novel FROM exons)
 SELECT CASE WHEN novel THEN 'a' ELSE 'b' END AS sample, transcript_id, merged_id FROM merged JOIN kinds USING (transcript_id) UNION ALL SELECT 'c', transcript_id, merged_id FROM merged JOIN kinds USING (transcript_id) WHERE novel""")
 def match_across_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = ad.exons(spark, sf_dir)
+    own = ad.written_exons(spark, sf_dir)
     again = own.where("novel").withColumn("sample", F.lit("c"))
     return jobs.match_across_samples(own.withColumn("sample", F.when(F.col("novel"), "a").otherwise("b")).unionByName(again))
 
 
 def _three_ends(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    last = structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end", "gene_id")
+    last = written(structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end", "gene_id"), "last-exons")
     named = jobs.combine_last_exons([last])
     return jobs.filter_three_ends(named, ad.atlas(spark, sf_dir), ad.genome(terminal_window(last, 100)), ad.CHUNK, motifs=GRUBER_MOTIFS)
 
@@ -544,8 +553,8 @@ _ANNOTATION = ["transcript_id", "le_id", "event_type", "chrom", "strand", "start
 @query("WITH " + _annotation_sql(_METAGENES + """,
 al AS (SELECT * FROM nn UNION ALL SELECT e.transcript_id, e.chrom, e.strand, e.s, e.e, t.event_type, coalesce(c.combo, e.gene_id) FROM ends e JOIN ref_types t USING (transcript_id) LEFT JOIN combo c ON c.g = e.gene_id)"""))
 def combined_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = ad.ref_exons(spark, sf_dir)
-    novel = events.novel_last_exons(ad.novel_exons(spark, sf_dir), ref, **_OPTIONS)
+    new, ref = ad.sides(spark, sf_dir)
+    novel = events.novel_last_exons(new, ref, **_OPTIONS)
     return _renamed(jobs.combined_annotation(novel, ref)["unique"].select(*_ANNOTATION))
 
 
@@ -556,10 +565,10 @@ def reference_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_METAGENES} SELECT 'novel' AS side, transcript_id, gid AS gene FROM nn UNION ALL SELECT DISTINCT 'reference', transcript_id, coalesce(combo, gene_id) FROM exons LEFT JOIN combo ON g = gene_id WHERE NOT novel")
 def metagenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = ad.ref_exons(spark, sf_dir)
-    novel = events.novel_last_exons(ad.novel_exons(spark, sf_dir), ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
-    sides = zip(("novel", "reference"), le.metagenes(novel, ref.select("transcript_id", F.col("gene_id").alias("ref_gene_id")).distinct()), strict=True)
-    new, old = (df.select(F.lit(side).alias("side"), "transcript_id", F.col("ref_gene_id").alias("gene")) for side, df in sides)
+    new, ref = ad.sides(spark, sf_dir)
+    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
+    both = zip(("novel", "reference"), le.metagenes(novel, ref.select("transcript_id", F.col("gene_id").alias("ref_gene_id")).distinct()), strict=True)
+    new, old = (df.select(F.lit(side).alias("side"), "transcript_id", F.col("ref_gene_id").alias("gene")) for side, df in both)
     return new.unionByName(old)
 
 
