@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.quantiles import exact_quantiles
+
 
 def collapse_metadata(df: DataFrame, id_col: str, order: Sequence[str], standard: Sequence[str] = (), all_values: Sequence[str] = (), distinct_values: Sequence[str] = (), separator: str = ",") -> DataFrame:
     """id_col with the first of ``standard``, all of ``all_values`` and the distinct ones of ``distinct_values``, each joined, by the given order; nulls read NULL."""
@@ -59,6 +63,7 @@ def value_shares(df: DataFrame, within: Sequence[str], col: str) -> DataFrame:
 
 def describe(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, exact deciles and max."""
-    deciles = F.percentile(col, F.array(*(F.lit(k / 10) for k in range(1, 10))))
-    out = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev(col).alias("std"), F.min(col).alias("min"), deciles.alias("_d"), F.max(col).alias("max"))
-    return out.select(*by, "count", "mean", "std", "min", *(F.col("_d")[k].alias(f"p{k + 1}0") for k in range(9)), "max")
+    out = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))
+    deciles = exact_quantiles(df, col, [k / 10 for k in range(1, 10)], by).withColumnsRenamed({c: f"_g_{c}" for c in by})
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by), F.lit(True))
+    return out.join(deciles, same, "left").select(*by, "count", "mean", "std", "min", *(F.col("q")[k].alias(f"p{k + 1}0") for k in range(9)), "max")

@@ -33,30 +33,39 @@ def _last() -> Column:
     return F.greatest(F.col("end") - 1, F.col("start"))
 
 
+def _size() -> Column:
+    return _last() - F.col("start") + 1
+
+
 def _level(width: int) -> Column:
     """The first level at which a row touches FACTOR + 1 bins at most."""
-    size = _last() - F.col("start") + 1
-    return reduce(lambda rest, k: F.when(size <= width * FACTOR ** (k + 1), k).otherwise(rest), range(LEVELS - 2, -1, -1), F.lit(LEVELS - 1))
+    return reduce(lambda rest, k: F.when(_size() < width * FACTOR ** (k + 1), k).otherwise(rest), range(LEVELS - 2, -1, -1), F.lit(LEVELS - 1))
 
 
-def fitted_width(left: DataFrame, right: DataFrame) -> int:
-    """A width of about the median lengths of both sides together, from a count of lengths by their number of bits."""
-    bits = F.length(F.bin(_last() - F.col("start") + 1))
-    sides = left.select(F.lit(0).alias("side"), bits.alias("bits")).unionByName(right.select(F.lit(1).alias("side"), bits.alias("bits")))
-    medians = sides.groupBy("side", "bits").count().groupBy("side").agg(F.array_sort(F.collect_list(F.struct("bits", "count"))).alias("h")).collect()  # 64 lengths a side at most
+def fitted(left: DataFrame, right: DataFrame, bin_size: int | None = None) -> tuple[int, set[int], set[int]]:
+    """The width of the finest bins and the levels of either side's rows, from one count of lengths by their number of bits.
+
+    The width is about the median lengths of both sides together, unless bin_size states it.
+    """
+    bits = F.length(F.bin(_size()))
+    cut = bits if bin_size is None else _level(bin_size)
+    sides = left.select(F.lit(0).alias("side"), cut.alias("cut")).unionByName(right.select(F.lit(1).alias("side"), cut.alias("cut")))
+    counts = [{}, {}]
+    for r in sides.groupBy("side", "cut").count().collect():  # 64 lengths a side at most
+        counts[r["side"]][r["cut"]] = r["count"]
+    if bin_size is not None:
+        return bin_size, set(counts[0]), set(counts[1])
     total = 0
-    for side in medians:
-        half, seen = sum(r["count"] for r in side["h"]) / 2, 0
-        for r in side["h"]:
-            seen += r["count"]
-            if seen >= half:
-                total += 1 << (r["bits"] or 1)
+    for side in counts:
+        seen = 0
+        for length in sorted(side):
+            seen += side[length]
+            if 2 * seen >= sum(side.values()):
+                total += 1 << length
                 break
-    return min(max(1 << max(total - 1, 1).bit_length() - 1, MIN_WIDTH), MAX_WIDTH)
-
-
-def _levels(df: DataFrame, width: int) -> set[int]:
-    return {r[0] for r in df.select(_level(width).alias("k")).distinct().collect()}
+    width = min(max(1 << max(total - 1, 1).bit_length() - 1, MIN_WIDTH), MAX_WIDTH)
+    level = lambda length: next((k for k in range(LEVELS - 1) if 1 << length <= width * FACTOR ** (k + 1)), LEVELS - 1)
+    return width, {level(x) for x in counts[0]}, {level(x) for x in counts[1]}
 
 
 def _binned(df: DataFrame, width: int, own: set[int], other: set[int], right: bool) -> DataFrame:
@@ -83,8 +92,7 @@ def _binned(df: DataFrame, width: int, own: set[int], other: set[int], right: bo
 
 def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int | None = None) -> tuple[DataFrame, int]:
     """Pairs of rows that share ``by`` and a bin where they meet, and the width of the finest bins; overlap_join keeps those that overlap."""
-    width = bin_size or fitted_width(left, right)
-    ours, theirs = _levels(left, width), _levels(right, width)
+    width, ours, theirs = fitted(left, right, bin_size)
     other = rows_by_suffix(_binned(right, width, theirs, ours, True), (*by, "_meet", "_bin"), suffix)
     return _binned(left, width, ours, theirs, False).join(other, [*by, "_meet", "_bin"]), width
 
@@ -143,9 +151,14 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], val
 
 
 def cluster(df: DataFrame, by: Sequence[str] = KEYS, out: str = "cluster_start", bin_size: int | None = BIN) -> DataFrame:
-    """Adds the start of the island of overlapping or touching intervals that each row is in; with ``by`` it names the island."""
+    """Adds the start of the island of overlapping or touching intervals that each row is in; with ``by`` it names the island.
+
+    Rows with their reach are written in between, as the second pass reads them twice; df is read twice too.
+    """
     seen = running(df, by, ["start", "end"], {"_reach": F.col("end")}, bin_size, strict=True)
     opens = seen.withColumn("_open", F.when(F.col("_reach").isNull() | (F.col("start") > F.col("_reach")), F.col("start")))
+    if bin_size is not None:
+        opens = written(opens, "reach")
     found = running(opens, by, ["start", "end"], {"_before": F.col("_open")}, bin_size, strict=True)
     return found.withColumn(out, F.coalesce("_open", "_before")).drop("_reach", "_open", "_before")
 

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.coords import on_plus
+from ..store import written
 from .collapse import collapse_metadata
 from .interval import BIN, cluster, place_number
 
@@ -33,7 +34,7 @@ def annotation_status(novel_prefix: str = "novel", col: str = "transcript_id") -
 
 def number_last_exons(df: DataFrame, bin_size: int = BIN) -> DataFrame:
     """Adds le_number, the place 5' to 3' of each row's cluster of overlapping last exons in its gene; rows without a gene are a gene."""
-    own = cluster(df, GENE, "_island", bin_size)
+    own = written(cluster(df, GENE, "_island", bin_size), "islands")
     order = F.when(on_plus(), F.col("_island")).otherwise(-F.col("_island"))
     return place_number(own, GENE, order, "le_number", bin_size).drop("_island")
 
@@ -68,9 +69,9 @@ def le_id() -> Column:
 
 
 def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int = BIN) -> DataFrame:
-    """Adds le_number and le_id."""
-    own = number_last_exons(df, bin_size)
-    return (renumber_extensions(own) if extensions else own).withColumn("le_id", le_id())
+    """Adds le_number and le_id; df is written first, as numbering reads it several times."""
+    own = number_last_exons(written(df, "last-exons"), bin_size)
+    return (renumber_extensions(written(own, "numbered")) if extensions else own).withColumn("le_id", le_id())
 
 
 def metagenes(novel: DataFrame, reference: DataFrame, order: Sequence[str] = ("chrom", "strand", "start", "end", "transcript_id")) -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..functions.quantiles import exact_quantiles
+
 
 def mean_over_samples(df: DataFrame, n_samples: int, id_col: str, value: str = "tpm", out: str = "mean_tpm") -> DataFrame:
     """Mean over all samples; a sample without a row counts 0."""
@@ -75,7 +77,8 @@ def size_factors(counts: DataFrame) -> DataFrame:
     """sample and size factor: the median over last exons with counts in all samples of count over geometric mean."""
     n = counts.agg(F.count_distinct("sample").alias("_k"))
     logs = counts.groupBy("le_id").agg(F.avg(F.when(F.col("count") > 0, F.ln("count"))).alias("_g"), F.count(F.when(F.col("count") > 0, 1)).alias("_c")).crossJoin(F.broadcast(n)).where("_c = _k").select("le_id", "_g")
-    return counts.join(logs, "le_id").groupBy("sample").agg(F.median(F.col("count") / F.exp("_g")).alias("size_factor"))
+    ratios = counts.join(logs, "le_id").select("sample", (F.col("count") / F.exp("_g")).alias("_ratio"))
+    return exact_quantiles(ratios, "_ratio", [0.5], ["sample"]).select("sample", F.col("q")[0].alias("size_factor"))
 
 
 def _largest_mean(df: DataFrame, samples: DataFrame, value, least: float) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import adapters as ad
-from .functions.coords import terminal_window
+from .functions.coords import stranded, terminal_window
 from .functions.motif import GRUBER_MOTIFS, least_deviation, motif_hits, motif_string, parse_motif_string, reverse_complement
 from .functions.stats import benjamini_hochberg, gene_q_values
 from .operators import collapse, events, filters, interval, last_exons as le, structure, three_ends, usage
+from .operators.merge import merge_columns
 from .plans import jobs
-from .sources import genomic, samples as sheets
-from .store import written
+from .sources import fasta, fasta_source, genomic, samples as sheets
+from .store import fresh_path, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -596,3 +597,149 @@ def annotated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) AS rc FROM documents")
 def reverse_complements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ad.table(spark, sf_dir, "documents").select("doc_id", reverse_complement(F.col("text")).alias("rc"))
+
+
+#: A contig for every part, of 32 bases a digest.
+_CONTIGS = "g AS (SELECT p_partkey AS p, p_size, 'p' || p_partkey AS chrom, string_agg(translate(md5(p_partkey || ':' || k), '0123456789abcdef', 'AATAACAATAAGTAAC'), '' ORDER BY k) AS seq FROM part, unnest(range(0, p_size % 7 + 1)) AS u(k) GROUP BY p_partkey, p_size)"
+_CONTIG_CHUNK = 50
+
+
+def _contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts' contigs, written as FASTA files and read back by their index."""
+    digest = lambda k: F.translate(F.md5(F.concat_ws(":", "p_partkey", k)), "0123456789abcdef", "AATAACAATAAGTAAC")
+    seq = F.array_join(F.transform(F.sequence(F.lit(0), F.col("p_size") % 7), digest), "")
+    path = fresh_path(spark, "contigs")
+    fasta_source.write_fasta(ad.table(spark, sf_dir, "part").select(F.concat(F.lit("p"), "p_partkey").alias("name"), seq.alias("sequence")), path)
+    return fasta_source.read_fasta(spark, path, _CONTIG_CHUNK)
+
+
+@query(f"WITH {_CONTIGS} SELECT chrom, chunk, substr(seq, chunk * {_CONTIG_CHUNK} + 1, {_CONTIG_CHUNK}) AS seq FROM g, unnest(range(0, (length(seq) + {_CONTIG_CHUNK - 1}) // {_CONTIG_CHUNK})) AS u(chunk)")
+def fasta_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _contigs(spark, sf_dir)
+
+
+@query(f"""WITH {_CONTIGS}, r AS (SELECT p, seq, p_size % 20 AS s, least(p_size % 20 + 10 + p % 90, length(seq)) AS e FROM g), q AS (SELECT p, substr(seq, s + 1, e - s) AS f FROM r)
+SELECT p AS region, CASE WHEN p % 3 = 0 THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END AS sequence FROM q""")
+def fasta_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = ad.table(spark, sf_dir, "part")
+    start = (F.col("p_size") % 20).cast("long")
+    end = F.least(start + 10 + F.col("p_partkey") % 90, ((F.col("p_size") % 7 + 1) * 32).cast("long"))
+    regions = part.select(F.col("p_partkey").alias("region"), F.concat(F.lit("p"), "p_partkey").alias("chrom"), F.when(F.col("p_partkey") % 3 == 0, "-").otherwise("+").alias("strand"), start.alias("start"), end.alias("end"))
+    return three_ends.region_sequences(regions, _contigs(spark, sf_dir), "region", _CONTIG_CHUNK).select("region", "sequence")
+
+
+@query(f"""WITH {_CONTIGS}, q AS (SELECT p, substr(seq, 3, 10) || substr(seq, 16, p % 10 + 1) || CASE WHEN length(seq) > 64 THEN substr(seq, 41, 20 + p % 5) ELSE '' END AS f FROM g)
+SELECT 'p' || p AS transcript_id, CASE WHEN p % 3 = 0 THEN reverse(translate(f, 'ACGT', 'TGCA')) ELSE f END AS sequence FROM q""")
+def spliced_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, p = ad.table(spark, sf_dir, "part"), F.col("p_partkey")
+    exon = lambda low, high: F.struct(F.lit(low).cast("long").alias("start"), high.cast("long").alias("end"))
+    spans = F.array(exon(2, F.lit(12)), exon(15, 16 + p % 10), F.when(F.col("p_size") % 7 >= 2, exon(40, 60 + p % 5)))
+    rows = part.select(F.concat(F.lit("p"), p).alias("transcript_id"), F.concat(F.lit("p"), p).alias("chrom"), F.when(p % 3 == 0, "-").otherwise("+").alias("strand"), F.explode(F.filter(spans, lambda x: x.isNotNull())).alias("x"))
+    return fasta.transcript_sequences(rows.select("transcript_id", "chrom", "strand", "x.start", "x.end"), _contigs(spark, sf_dir), _CONTIG_CHUNK)
+
+
+@query(f"""WITH {_EXONS}, r AS (SELECT chrom, strand, gene_id, gene_name, max(e) AS e FROM exons WHERE chrom <> 'chr3' AND NOT novel AND e - s >= 140 GROUP BY 1, 2, 3, 4)
+SELECT n.transcript_id, n.gene_id, n.e, r.e AS e_ref, r.gene_name AS gene_name_ref FROM ends n LEFT JOIN r ON n.chrom = r.chrom AND n.strand = r.strand AND n.gene_id = r.gene_id
+WHERE n.novel AND (r.gene_id IS NOT NULL OR NOT EXISTS (SELECT 1 FROM r AS k WHERE k.chrom = n.chrom AND k.strand = n.strand))""")
+def merged_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    novel, ref = ad.sides(spark, sf_dir)
+    last = structure.exon_intron_tables(novel)["last_exons"].select("transcript_id", "chrom", "strand", "gene_id", "gene_name", "end")
+    genes = ref.where("chrom <> 'chr3' and end - start >= 140").groupBy("chrom", "strand", "gene_id", "gene_name").agg(F.max("end").alias("end"))
+    out = merge_columns(last, genes, "gene_id", ["end", "gene_name"], "inner", suffixes=("", "_ref"))
+    return out.select("transcript_id", "gene_id", F.col("end").alias("e"), F.col("end_ref").alias("e_ref"), "gene_name_ref")
+
+
+@query(f"WITH {_ISLANDS.format(more='', rows='ends')} SELECT CASE WHEN novel THEN 'novel' ELSE 'reference' END AS origin, transcript_id, chrom || ':' || strand || ':' || cluster_start AS last_exon_id FROM cc")
+def combined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    novel, ref = ad.sides(spark, sf_dir)
+    last = lambda df, origin: structure.exon_intron_tables(df)["last_exons"].withColumn("origin", F.lit(origin))
+    both = jobs.combine_last_exons([last(novel, "novel").drop("gene_name"), last(ref, "reference")])
+    return both.select("origin", "transcript_id", "last_exon_id")
+
+
+@query(f"WITH {_QUANT} SELECT transcript_id, sample, length, round(tpm, 3) AS tpm, count FROM q")
+def quant_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quant, folder, names = written(ad.quant(spark, sf_dir), "quant"), fresh_path(spark, "quant"), [f"s{k}" for k in range(6)]
+    rows = quant.select("sample", F.col("transcript_id").alias("Name"), F.lit(0.0).alias("Length"), F.col("length").alias("EffectiveLength"), F.col("tpm").alias("TPM"), F.col("count").alias("NumReads"))
+    for name in names:  # one folder a sample, as quantification leaves them
+        rows.where(F.col("sample") == name).drop("sample").write.csv(f"{folder}/{name}/quant.sf", sep="\t", header=True)
+    return sheets.read_quant(spark, folder, names).withColumn("tpm", F.round("tpm", 3))
+
+
+@query("SELECT CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS name, p_partkey AS id, p_retailprice AS price FROM part")
+def tables_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.table(spark, sf_dir, "part").select(F.when(F.col("p_partkey") % 4 != 0, F.col("p_name")).alias("name"), F.col("p_partkey").alias("id"), F.col("p_retailprice").alias("price"))
+    path = fresh_path(spark, "tables")
+    genomic.write_table(rows, path)
+    return genomic.read_table(spark, path, "name string, id long, price double")
+
+
+@query("SELECT 'e' || o_custkey % 5 AS experiment_id, o_orderkey AS le_id, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_totalprice END AS delta FROM orders")
+def experiments_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.table(spark, sf_dir, "orders").select((F.col("o_custkey") % 5).alias("k"), F.col("o_orderkey").alias("le_id"), F.when(F.col("o_orderkey") % 3 != 0, F.col("o_totalprice")).alias("delta"))
+    folder = fresh_path(spark, "experiments")
+    for k in range(5):
+        genomic.write_table(rows.where(F.col("k") == k).drop("k"), f"{folder}/e{k}/results.tsv")
+    return genomic.read_experiments(spark, folder, "results.tsv", "le_id long, delta double").select("experiment_id", "le_id", "delta")
+
+
+@query(f"WITH {_ATLAS} SELECT chrom, strand, s, s + 1 AS e, name FROM atlas")
+def bed_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "bed")
+    ad.atlas(spark, sf_dir).select(F.concat_ws("\t", "chrom", "start", "end", "name", F.lit("."), "strand").alias("value")).write.text(path)
+    return _renamed(genomic.read_bed(spark, path).select("chrom", "strand", "start", "end", "name"))
+
+
+@query(f"WITH {_EXONS} SELECT transcript_id, gene_id, chrom, strand, s, e FROM exons WHERE s % 3 = 0")
+def gtf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own, path = ad.exons(spark, sf_dir), fresh_path(spark, "gtf")
+    genomic.write_gtf(own.withColumn("feature", F.when(F.col("start") % 3 == 0, "CDS").otherwise("exon")), path, ["gene_id", "transcript_id"])
+    return _renamed(genomic.read_gtf(spark, path, ["transcript_id", "gene_id"], feature="CDS").select("transcript_id", "gene_id", "chrom", "strand", "start", "end"))
+
+
+@query(f"WITH {_REF_TYPES} SELECT transcript_id, CASE WHEN contains(transcript_id, '9') THEN 'last_exon_extension' ELSE event_type END AS event_type FROM ref_types")
+def forced_extension_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events.reference_event_types(ad.ref_exons(spark, sf_dir), "9")
+
+
+_LINES = "l AS (SELECT l_orderkey % 5000 AS id, l_returnflag AS a, l_linestatus AS b, l_suppkey % 3 AS c, l_partkey AS k, l_linenumber AS n FROM lineitem)"
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ad.table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 5000).alias("id"), F.col("l_returnflag").alias("a"), F.col("l_linestatus").alias("b"), (F.col("l_suppkey") % 3).alias("c"), F.col("l_partkey").alias("k"), F.col("l_linenumber").alias("n"))
+
+
+@query(f"WITH {_LINES} SELECT id FROM l GROUP BY id HAVING len(list_distinct([count(DISTINCT a), count(DISTINCT b), count(DISTINCT c)])) > 2")
+def inconsistent_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse.inconsistent_ids(_lines(spark, sf_dir), "id", ["a", "b", "c"])
+
+
+@query(f"WITH {_LINES}, r AS (SELECT *, row_number() OVER (PARTITION BY id, a ORDER BY k, n, b, c) AS rn FROM l) SELECT id, a, b, c, k, n FROM r WHERE rn = 1")
+def first_of_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse.first_of_duplicates(_lines(spark, sf_dir), ["id", "a"], ["k", "n", "b", "c"])
+
+
+@query(f"WITH {_LINES} SELECT CAST(count(DISTINCT id) AS BIGINT) AS n FROM l")
+def distinct_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse.count_ids(_lines(spark, sf_dir), "id")
+
+
+@query("SELECT o_orderkey AS id, coalesce(CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_custkey AS VARCHAR) END, 'NULL') AS customer FROM orders")
+def null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = ad.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("customer"))
+    return collapse.fill_nulls(rows, ["customer"])
+
+
+@query(f"WITH {_EVENTS} SELECT transcript_id, gene_id_ref AS ref_gene_id, gene_name_ref AS ref_gene_name FROM novel_le UNION ALL SELECT DISTINCT transcript_id, gene_id, gene_name FROM exons WHERE NOT novel")
+def common_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new, ref = ad.sides(spark, sf_dir)
+    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumns({"gene_id": F.concat(F.lit("novel_"), "transcript_id"), "gene_name": F.lit(None).cast("string")})
+    cols = ["transcript_id", "gene_id", "gene_name", "gene_id_ref", "gene_name_ref"]
+    old = ref.select("transcript_id", "gene_id", "gene_name").distinct().withColumns({c: F.lit(None).cast("string") for c in cols[3:]})
+    return le.common_gene(novel.select(*cols).unionByName(old)).select("transcript_id", "ref_gene_id", "ref_gene_name")
+
+
+@query(f"WITH {_EXONS} SELECT transcript_id, s, e, strand FROM exons WHERE s % 7 > 0")
+def known_strands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = ad.exons(spark, sf_dir).withColumn("strand", F.when(F.col("start") % 7 > 0, F.col("strand")).when(F.col("start") % 2 == 0, "."))
+    return _renamed(stranded(own).select("transcript_id", "start", "end", "strand"))

@@ -101,7 +101,12 @@ def read_table(spark: SparkSession, path: str | Sequence[str], schema: str | Non
     return spark.read.csv(path, sep="\t", header=True, nullValue="NA", schema=schema)
 
 
+def folder_before(name: str) -> Column:
+    """The folder that holds the file, or the folder of part files, of this name that a row is from."""
+    return F.element_at(F.split(F.substring_index(F.col("_metadata.file_path"), f"/{name}", 1), "/"), -1)
+
+
 def read_experiments(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
     """The table of this name in every experiment's folder, each row with its experiment_id."""
     rows = spark.read.csv(f"{folder}/*/{name}", sep="\t", header=True, nullValue="NA", schema=schema)
-    return rows.withColumn("experiment_id", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2))
+    return rows.withColumn("experiment_id", folder_before(name))

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .genomic import folder_before
+
 SHEET = "sample_name string, condition string, path string, fastq1 string, fastq2 string"
 #: Samples of a sheet, which the driver reads; more are an error.
 MAX_SAMPLES = 100_000
@@ -73,5 +75,5 @@ def read_tracking(spark: SparkSession, path: str, samples: Sequence[str]) -> Dat
 def read_quant(spark: SparkSession, folder: str, samples: Sequence[str], name: str = "quant.sf") -> DataFrame:
     """transcript_id, sample, length, tpm and count of every sample's folder; a missing one fails the read."""
     rows = spark.read.csv([f"{folder}/{s}/{name}" for s in samples], sep="\t", header=True, schema=QUANT)
-    sample = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    sample = folder_before(name)
     return rows.select(F.col("Name").alias("transcript_id"), sample.alias("sample"), F.col("EffectiveLength").alias("length"), F.col("TPM").alias("tpm"), F.col("NumReads").alias("count"))
