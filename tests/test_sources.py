@@ -126,6 +126,20 @@ def test_long_rows_meet_few_candidates(spark):
     assert interval.candidates(df, df)[0].count() <= 4 * pairs
 
 
+def test_tables_of_a_job_go_with_it(spark):
+    import os
+
+    before = store.written(spark.range(2), "kept")
+    paths = []
+    with pytest.raises(ZeroDivisionError), store.job(spark):
+        paths += store.written(spark.range(3), "t").inputFiles()
+        with store.job(spark):
+            paths += store.written(spark.range(3), "u").inputFiles()
+        assert not os.path.exists(paths[-1].removeprefix("file://")) and os.path.exists(paths[0].removeprefix("file://"))
+        1 / 0
+    assert not any(os.path.exists(p.removeprefix("file://")) for p in paths) and before.count() == 2
+
+
 def test_shared_folder(spark):
     table = store.written(spark.range(3), "t")
     assert table.count() == 3 and table.inputFiles()[0].startswith("file:")
