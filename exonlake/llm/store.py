@@ -1,24 +1,12 @@
-"""Where jobs cut their lineage: written tables in the folder that the cluster shares."""
+"""Where jobs cut their lineage (see exonlake.store), and sizes of Arrow batches of texts."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from ..store import dropped, fresh_path, job, shared_dir, written
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; where it names none, a local folder in local mode and an error on a cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = spark.sparkContext._jsc.sc().getCheckpointDir()
-        folder = folder.get() if folder.isDefined() else None
-        if not folder and not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        folder = folder or f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+__all__ = ["dropped", "fresh_path", "job", "shared_dir", "small_batches", "written"]
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
@@ -26,23 +14,3 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if spark.conf.get(key) == "10000":
         spark.conf.set(key, rows)
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as Parquet in the shared folder and read back: a lost executor costs a read, not a recomputation."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def dropped(df: DataFrame) -> None:
-    """Delete the files of a table that written() made and nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

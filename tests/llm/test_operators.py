@@ -471,3 +471,72 @@ def test_decontamination_ids(spark):
     found = decontamination.leaks(docs, items)
     assert dict(found.dtypes)["item_id"] == "string"
     assert sorted(((r["doc_id"], r["item_id"]) for r in found.where("leaked").collect()), key=str) == sorted([(0, "one"), (None, "one"), (1, None), (2, "two")], key=str)
+
+
+def test_kneser_ney_probabilities_by_brute_force(spark):
+    """Every probability of a small model, and the perplexities of texts, against a plain recursion over dictionaries; both ways of scoring."""
+    import math
+    from collections import defaultdict
+
+    texts = ["the cat sat on the mat", "the  dog\tsat on a log", "a cat and a dog", "é té", "the the the the", "x"]
+    order, classes = kneser_ney.ORDER, 4096
+    chars = lambda t: [2] * (order - 1) + [ord(c) for c in re.sub(r"[ \t-\r]+", " ", t)]
+    grams = lambda t: [tuple(chars(t)[k : k + order]) for k in range(len(chars(t)) - order + 1)]
+    counts = {order: Counter(g for t in texts for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    discount = {}
+    for k, own in counts.items():
+        n = Counter(own.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        ratio = lambda a, b: a / b if b else 0.0
+        discount[k] = [min(max(d, 0.05), j - 0.05) for j, d in ((1, 1 - 2 * y * ratio(n[2], n[1])), (2, 2 - 3 * y * ratio(n[3], n[2])), (3, 3 - 4 * y * ratio(n[4], n[3])))]
+    cut = lambda k, c: discount[k][min(c, 3) - 1]
+    followers = {k: defaultdict(list) for k in counts}
+    for k, own in counts.items():
+        for g, c in own.items():
+            followers[k][g[:-1]].append(c)
+
+    def p(g):
+        k = len(g)
+        if not k:
+            return 1 / classes
+        seen = followers[k].get(g[:-1])
+        if not seen:
+            return p(g[1:])
+        c = counts[k].get(g, 0)
+        return ((c - cut(k, c)) if c else 0) / sum(seen) + sum(cut(k, x) for x in seen) / sum(seen) * p(g[1:])
+
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = kneser_ney.fit_model(rows)
+    code = lambda g: sum(x << 12 * (len(g) - 1 - i) for i, x in enumerate(g))
+    got = {(r["level"], r["gram"]): r["value"] for r in model.where("kind = 'p'").collect()}
+    want = {(k, code(g)): math.log(p(g)) for k, own in counts.items() for g in own}
+    assert got.keys() == want.keys() and all(got[x] == pytest.approx(want[x], abs=1e-9) for x in want)
+    assert sum(p((2, 2, 2, 2, c)) for c in range(classes)) == pytest.approx(1.0, abs=1e-9)
+    probes = [*texts, "the cot sat in the bat", "zzz qq", "dog"]
+    frame = spark.createDataFrame(list(enumerate(probes)), "doc_id long, text string")
+    for score in (kneser_ney._scores_sent, kneser_ney._scores_joined):
+        own = {r["doc_id"]: (r["n_grams"], r["logp"]) for r in score(frame, ["doc_id"], model).collect()}
+        for k, t in enumerate(probes):
+            assert own[k][0] == len(grams(t)) and own[k][1] == pytest.approx(sum(math.log(p(g)) for g in grams(t)), rel=1e-5)
+
+
+def test_pipeline_defined_cases(spark, sf_dir, tmp_path):
+    """Null ids and texts, repeated rows, further columns and an empty table, through run()."""
+    import corpus_pipeline
+
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet").where("length(text) > 600").limit(40)
+    odd = source.limit(3).withColumn("doc_id", F.lit(None).cast("long")).unionByName(source.limit(2)).unionByName(source.limit(1).withColumns({"doc_id": F.lit(900_001).cast("long"), "text": F.lit(None).cast("string")}))
+    for name, docs in (("odd", source.unionByName(odd)), ("none", source.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        docs.withColumns({"sequence_id": F.lit("x"), "kept": F.lit(0)}).write.parquet(f"{folder}/documents.parquet")
+        for table in ("labels", "benchmark"):
+            spark.read.parquet(f"{sf_dir}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        if name == "none":
+            assert out == []
+            continue
+        ids = Counter(r["doc_id"] for r in out if r["piece"] == 0)
+        twice = {r["doc_id"] for r in source.limit(2).collect()}
+        assert 900_001 not in ids and ids and all(n == (2 if k in twice else 1) or k is None for k, n in ids.items())
