@@ -249,10 +249,18 @@ _WRAPPERS = (("<article>", "</article>"), ("<main>", "</main>"), ("<article clas
 _BOILER = tuple(f'<div class="{w}"><p>{{t}}</p></div>' for w in _NOT_WORDS) + tuple(f'<div id="{w}">{{t}}</div>' for w in _NOT_WORDS) + (
     "<nav><ul><li><a href='/'>{w}</a></li><li><a href='/x'>{t}</a></li></ul></nav>", "<header><h2>{w}</h2><p>{t}</p></header>", "<footer><p>{t}</p></footer>", "<aside><h3>{w}</h3><p>{t}</p></aside>",
     "<aside><ul><li><a href='/y'>{t}</a></li></ul></aside>", "<form><label>{w}</label><p>{t}</p><input type='text'></form>", "<section class='comments'><h3>{w}</h3><ul><li><p>{t}</p></li><li><p>{u}</p></li></ul></section>",
+    "<section class='comments'><ul><li><p>{t}</p></li></ul></section>", "<section class='comments'><p>{t}</p><p>{u}</p></section>", "<div id='comments'><ul><li><p>{u}</p></li><li><p>{t}</p></li></ul></div>", "<ul class='comments'><li>{t}</li></ul>",
     "<ol class='comment-list'><li class='comment'><p>{t}</p></li><li class='comment'><p>{u}</p></li></ol>", "<div class='comments'><div class='comment'><b>{w}</b><p>{u}</p></div></div>", "<div class='cookie-notice'><p>{t}</p></div>", "<div role='dialog'><p>{t}</p></div>", "<div class='menu'><a href='/'>{w}</a> <a href='/'>{t}</a></div>",
 )
 
 
+#: How a page holds what is before its main text (b), that (m) and what is after (a): most pages in a row, some in layout tables.
+_LAYOUTS = ("{b}{m}{a}",) * 4 + (
+    "<table><tr><td>{b}</td></tr><tr><td>{m}</td></tr><tr><td>{a}</td></tr></table>", "<table width='100%'><tr><td colspan='2'>{b}</td></tr><tr><td>{m}</td><td>{a}</td></tr><tr><td>{f}</td></tr></table>", "{b}<table><tbody><tr><td>{m}</td></tr></tbody></table>{a}{f}", "<div class='page'>{b}<div>{m}</div>{a}{f}</div>",
+)
+_FOOTERS = ("<footer>{t}</footer>", "<footer><p>\u00a9 {w}</p></footer>", "<div class='footer'><p>{t}</p></div>", "<footer><p>{t}</p><p><a href='/'>{w}</a></p></footer>", "<p class='copyright'>\u00a9 {w}</p>", "")
+
+
 def weak_labels(blocks: list[Block]) -> np.ndarray:
     """1 for blocks in an article or main element, or one of the wrappers built in, and in nothing that marks boilerplate."""
     wrapped = {"x-main"}
@@ -292,7 +300,11 @@ def training_set(pages: list[str], seed: int = 11) -> tuple[list[np.ndarray], li
                 inner.append(f"<div class=\"x-not\">{boiler()}</div>")
         for k in range(int(rng.integers(0, 3))):
             inner.append(f"<div class=\"x-not\">{boiler()}</div>")
-        made = blocks_of(f"<html><head><title>{some()}</title></head><body>{before}<x-main>{opened}{''.join(inner)}{closed}</x-main>{after}</body></html>")
+        foot = pick(_FOOTERS).format(w=html.escape(pick(texts)[:40]), t=html.escape(pick(texts)[: int(rng.integers(10, 120))]))
+        if rng.random() < 0.5:
+            after += foot
+        page = pick(_LAYOUTS).format(b=before, m=f"<x-main>{opened}{''.join(inner)}{closed}</x-main>", a=after, f=foot)
+        made = blocks_of(f"<html><head><title>{some()}</title></head><body>{page}</body></html>")
         labels = np.array([float("x-main" in b.path and "div.x" not in b.path) for b in made], np.float32)
         hidden = {"x-main", "div.x", "x", "div.not", "not"}
         put(vectors([Block(b.text, tuple(p for p in b.path if p not in hidden), b.linked) for b in made]), labels)
