@@ -547,11 +547,12 @@ def test_main_text_of_layouts(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     more = [pages.withColumn("page_id", F.col("page_id") + 1000 * k) for k in (1, 2)]  # each page is built anew with other layouts
     net = html_extraction.fit_labeller(pages.unionByName(more[0]).unionByName(more[1]))
-    texts = [b.text for r in pages.orderBy("page_id").limit(20).collect() for b in html_extraction.blocks_of(r["html"]) if len(b.text) > 150]
+    texts = [b.text for r in pages.orderBy("page_id").limit(20).collect() for b in html_extraction.blocks_of(r["html"]) if len(b.text) > 150 and "|" not in b.text]
     body = f"<h1>{texts[0][:40]}</h1>" + "".join(f"<p>{t}</p>" for t in texts[1:6])
     nav, foot = "<nav><a href='/'>Home</a> <a href='/a'>More</a></nav>", f"<footer><p>{texts[7][:60]}</p></footer>"
     layouts = [f"<table><tr><td>{nav}</td></tr><tr><td>{body}</td></tr><tr><td>{foot}</td></tr></table>", f"<table><tr><td>{body}</td></tr></table>{foot}", f"{nav}<article>{body}</article>{foot}", f"{nav}<article>{body}</article><section class='comments'><h3>Comments</h3><ul><li><p>{texts[8]}</p></li><li><p>{texts[9]}</p></li></ul></section>", f"<div class='menu'><a href='/'>x</a></div><article>{body}</article>{foot}"]
     want = "\n\n".join(b.text for b in html_extraction.blocks_of(f"<body>{body}</body>"))
     rows = spark.createDataFrame([(k % 5, f"u{k}", f"<html><body>{h}</body></html>", "x") for k, h in enumerate(layouts * 2)], "page_id long, url string, html string, text string")
     got = html_extraction.main_text(rows, net).collect()
-    assert len(got) == 10 and all(r["text"] == want and r["n_chars"] == len(want) for r in got)
+    wrong = [(r["page_id"], set(r["text"].split("\n\n")) ^ set(want.split("\n\n"))) for r in got if r["text"] != want]
+    assert len(got) == 10 and not wrong and all(r["n_chars"] == len(want) for r in got)
