@@ -9,12 +9,25 @@ from .store import written
 
 #: Bases of a genome chunk: a digest gives as many.
 CHUNK = 32
+#: Bytes of input that are a core's fair share of a scan.
+SPLIT = 128 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """df dealt to all cores by key, for costly work on each row, where its files can't give every core a split: a row group is one task, however many cores idle.
+
+    Larger inputs are read as they are.
+    """
+    session = df.sparkSession
+    cores = session.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores, key) if size < cores * SPLIT else df
+
+
 def _place(gene) -> list:
     return [F.concat(F.lit("chr"), (gene % 5).cast("string")).alias("chrom"), F.when(gene % 2 == 0, "+").otherwise("-").alias("strand")]
 
@@ -27,7 +40,7 @@ def exons(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = F.when(F.col("l_suppkey") % 5 == 0, 10).otherwise(0)
     plus = gene % 2 == 0
     rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("tx"), gene.alias("g"), *_place(gene), F.when(plus, b + j).otherwise(b + 150 - n).alias("start"), F.when(plus, b + n).otherwise(b + 150 - j).alias("end"))
-    own = merge(rows.distinct(), ["tx", "g", "chrom", "strand"], bin_size=None)
+    own = merge(rows, ["tx", "g", "chrom", "strand"], bin_size=None)
     text = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     return own.select(text("tx", "tx").alias("transcript_id"), text("g", "g").alias("gene_id"), text("n", "g").alias("gene_name"), "chrom", "strand", "start", "end", (F.col("tx") % 4 == 0).alias("novel"))
 

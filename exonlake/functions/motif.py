@@ -21,7 +21,7 @@ def reverse_complement(seq: Column) -> Column:
 #: Letters that mark hits in a text, and what a text's own ones become; no motif has them.
 _HIT, _END, _OTHER = "\ue000", "\ue001", "\ue002"
 #: Hits that are appended to one list before a new one is begun.
-_BLOCK = 256
+_BLOCK = 64
 _HITS = "array<struct<distance:int,motif:string>>"
 
 

@@ -104,7 +104,7 @@ def novel_last_exons(novel_exons: DataFrame, ref_exons: DataFrame, min_length: i
 
 def novel_and_rejected(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None) -> tuple[DataFrame, DataFrame]:
     """novel_last_exons, and why each other transcript was rejected; both read one table of classified last exons."""
-    ref, novel = exon_intron_tables(ref_exons), exon_intron_tables(novel_exons)
+    ref, novel = exon_intron_tables(ref_exons, write=True), exon_intron_tables(novel_exons, write=True)
     keep, meta = ["transcript_id", "chrom", "strand", "start", "end"], ["gene_id_ref", "transcript_id_ref", "gene_name_ref"]
     last = written(classified_last_exons(novel["last_exons"].select(*keep), ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "last-exons")
     gone = F.coalesce(F.col("reject_reason") == "length", F.lit(False)) if extension_filter else F.lit(False)
@@ -132,13 +132,13 @@ def not_last_regions(regions: DataFrame, id_col: str = TX) -> DataFrame:
     return terminal_regions(regions, "first", id_col).unionByName(internal_regions(regions, id_col))
 
 
-def reference_event_types(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None) -> DataFrame:
-    """transcript_id and event_type of the reference's own last exons.
+def reference_event_types(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """transcript_id and event_type of the reference's own last exons; ``tables`` are its exon_intron_tables, if a caller has them.
 
     Only last exons whose 3' end is in no first or internal exon have one; those of transcripts
     whose id contains extension_string are last_exon_extension.
     """
-    own, keep = exon_intron_tables(ref_exons), ["transcript_id", "chrom", "strand", "start", "end"]
+    own, keep = tables or exon_intron_tables(ref_exons, write=True), ["transcript_id", "chrom", "strand", "start", "end"]
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
     last = written(classified_last_exons(own["last_exons"].select(*keep), exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size).where("not in_exon").select("transcript_id", "event_type"), "last-exons")
     extended = last.where("event_type is not null")

@@ -163,34 +163,39 @@ def cluster(df: DataFrame, by: Sequence[str] = KEYS, out: str = "cluster_start",
     return found.withColumn(out, F.coalesce("_open", "_before")).drop("_reach", "_open", "_before")
 
 
+def number_islands(df: DataFrame, by: Sequence[str], out: str, downward: Column | None = None, bin_size: int = BIN) -> DataFrame:
+    """Adds the number of each row's island of overlapping or touching intervals in its key, from 1 along the coordinate, or against it where ``downward`` holds for the key.
+
+    Islands are counted where they open: within bins by a window, over bins from one row for each, so
+    a key with very many rows, or the null key, is not one task.  Rows with their reach are written
+    in between, as both counts read them.
+    """
+    seen = running(df, by, ["start", "end"], {"_reach": F.col("end")}, bin_size, strict=True)
+    opens = written(seen.select(*df.columns, (F.col("_reach").isNull() | (F.col("start") > F.col("_reach"))).alias("_open")), "reach")
+    inside = Window.partitionBy(*by, "_bin")
+    leads = F.row_number().over(inside.orderBy("start", "end")) == F.rank().over(inside.orderBy("start"))  # one of the rows that begin alike
+    marked = opens.withColumn("_bin", F.floor(F.col("start") / bin_size)).withColumn("_leads", (F.col("_open") & leads).cast("int"))
+    local = marked.withColumn("_in", F.sum("_leads").over(inside.orderBy("start")))
+    names = [*by, "_bin"]
+    whole = Window.partitionBy(*by)
+    bins = marked.groupBy(*names).agg(F.sum("_leads").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.select(*(F.col(c).alias(f"_k_{i}") for i, c in enumerate(names)), before.alias("_before"), F.sum("_n").over(whole).alias("_all"))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(names)))
+    along = F.col("_before") + F.col("_in")
+    number = along if downward is None else F.when(downward, F.col("_all") - along + 1).otherwise(along)
+    return local.join(bins, same).withColumn(out, number.cast("int")).select(*df.columns, out)
+
+
 def merge(df: DataFrame, by: Sequence[str] = KEYS, bin_size: int | None = BIN) -> DataFrame:
     """The islands themselves: by, start, end."""
     own = cluster(df.select(*by, "start", "end"), by, "_island", bin_size)
     return own.groupBy(*by, "_island").agg(F.max("end").alias("end")).select(*by, F.col("_island").alias("start"), "end")
 
 
-def place_number(df: DataFrame, by: Sequence[str], place: Column, out: str, bin_size: int = BIN) -> DataFrame:
-    """Adds the dense rank of each row's place, a whole number, among those of its key.
-
-    Places are numbered once each, within bins, and shifted by the counts of earlier bins, so that a
-    key with very many places, or the null key, is not one task.
-    """
-    named = df.withColumn("_place", place)
-    names = [*by, "_place"]
-    spots = named.select(*names).distinct().withColumn("_bin", F.floor(F.col("_place") / bin_size))
-    counts = spots.groupBy(*by, "_bin").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*(F.col(c).alias(f"_k_{i}") for i, c in enumerate([*by, "_bin"])), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    local = spots.withColumn("_in", F.row_number().over(Window.partitionBy(*by, "_bin").orderBy("_place")))
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate([*by, "_bin"])))
-    numbered = local.join(counts, same).select(*(F.col(c).alias(f"_m_{i}") for i, c in enumerate(names)), (F.col("_before") + F.col("_in")).cast("int").alias(out))
-    again = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_m_{i}")) for i, c in enumerate(names)))
-    return named.join(numbered, again).drop("_place", *(f"_m_{i}" for i in range(len(names))))
-
-
 def gaps(mask: DataFrame, bounds: DataFrame, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
     """by, start and end of what mask leaves of each key's bounds (by, low, high); keys without mask are one gap."""
-    islands = merge(mask, by, bin_size)
+    islands = written(merge(mask, by, bin_size), "islands")
     following = running(islands, by, ["start"], {"_next": F.col("start")}, bin_size, backward=True)
     lows = islands.groupBy(*by).agg(F.min("start").alias("_first"))
     joined = following.join(bounds, list(by)).select(*by, F.col("end").alias("start"), F.coalesce("_next", "high").alias("end"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.coords import on_plus
 from ..store import written
 from .collapse import collapse_metadata
-from .interval import BIN, cluster, place_number
+from .interval import BIN, number_islands
 
 GENE = ("chrom", "strand", "ref_gene_id")
 #: Numbers of a gene's last exons that one window goes over.
@@ -34,9 +34,7 @@ def annotation_status(novel_prefix: str = "novel", col: str = "transcript_id") -
 
 def number_last_exons(df: DataFrame, bin_size: int = BIN) -> DataFrame:
     """Adds le_number, the place 5' to 3' of each row's cluster of overlapping last exons in its gene; rows without a gene are a gene."""
-    own = written(cluster(df, GENE, "_island", bin_size), "islands")
-    order = F.when(on_plus(), F.col("_island")).otherwise(-F.col("_island"))
-    return place_number(own, GENE, order, "le_number", bin_size).drop("_island")
+    return number_islands(df, GENE, "le_number", ~on_plus(), bin_size)
 
 
 def renumber_extensions(df: DataFrame, key: str = "last_exon_extension") -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.coords import on_plus
+from ..store import written
 
 TX = "transcript_id"
 
@@ -48,11 +49,41 @@ def introns(exons: DataFrame, id_col: str = TX) -> DataFrame:
     return gaps.withColumns({"end": F.col("start"), "start": F.col("_reach")}).drop("_reach")
 
 
-def exon_intron_tables(exons: DataFrame, id_col: str = TX) -> dict[str, DataFrame]:
-    """exons and introns, numbered and ranked, and the last ones of each transcript."""
-    own = rank_regions(number_regions(exons, id_col), id_col)
-    gaps = rank_regions(number_regions(introns(exons, id_col), id_col), id_col)
-    return {"exons": own, "introns": gaps, "last_exons": terminal_regions(own, "last", id_col), "last_introns": terminal_regions(gaps, "last", id_col)}
+def numbered_structure(exons: DataFrame, id_col: str = TX) -> DataFrame:
+    """Exons with what both their own and the introns' tables need, from one shuffle and one sort by coordinate.
+
+    Numbers against the coordinate, those of -, are what is left of the counts along it.  _reach is
+    the start of the intron before an exon where _gap says that there is one.
+    """
+    order = Window.partitionBy(id_col).orderBy("start", "end")
+    places, whole = Window.partitionBy(id_col).orderBy("start"), Window.partitionBy(id_col)
+    own = exons.withColumn("_reach", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    own = own.withColumn("_gap", F.coalesce(F.col("start") > F.col("_reach"), F.lit(False)))
+    own = own.withColumn("_k", F.sum(F.col("_gap").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    own = own.withColumns({"_rank": F.rank().over(places), "_upto": F.count("*").over(places)})
+    own = own.withColumns({"_rows": F.count("*").over(whole), "_gaps": F.sum(F.col("_gap").cast("int")).over(whole)})
+    numbers = {
+        "region_number": F.when(on_plus(), F.col("_rank")).otherwise(F.col("_rows") - F.col("_upto") + 1).cast("int"),
+        "_gap_number": F.when(on_plus(), F.col("_k")).otherwise(F.col("_gaps") - F.col("_k") + 1).cast("int"),
+    }
+    own = own.withColumns(numbers).withColumn("_most", F.max("region_number").over(whole))
+    return own.select(*exons.columns, "region_number", "_most", "_reach", "_gap", "_gap_number", "_gaps")
+
+
+def structure_tables(numbered: DataFrame) -> dict[str, DataFrame]:
+    """exons and introns, numbered and ranked, and the last ones of each transcript, as filters of a numbered_structure."""
+    plain = [c for c in numbered.columns if c not in ("region_number", "_most", "_reach", "_gap", "_gap_number", "_gaps")]
+    rank = lambda number, most: F.when(F.col(number) == 1, "first").when(F.col(number) == F.col(most), "last").otherwise("internal").alias("region_rank")
+    place = {"start": F.col("_reach").alias("start"), "end": F.col("start").alias("end")}
+    exon, gap = [*plain, "region_number", rank("region_number", "_most")], [*(place.get(c, F.col(c)) for c in plain), F.col("_gap_number").alias("region_number"), rank("_gap_number", "_gaps")]
+    gaps = numbered.where("_gap")
+    return {"exons": numbered.select(*exon), "introns": gaps.select(*gap), "last_exons": numbered.where("region_number = _most").select(*exon), "last_introns": gaps.where("_gap_number = _gaps").select(*gap)}
+
+
+def exon_intron_tables(exons: DataFrame, id_col: str = TX, write: bool = False) -> dict[str, DataFrame]:
+    """exons and introns, numbered and ranked, and the last ones of each transcript; written once if several of them are read."""
+    numbered = numbered_structure(exons, id_col)
+    return structure_tables(written(numbered, "structure") if write else numbered)
 
 
 def spans(exons: DataFrame, id_col: str = TX) -> DataFrame:

@@ -58,8 +58,8 @@ def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: st
     Gives last_exons, unique (less the bases of first and internal reference exons), dropped ids,
     the four id maps and info.
     """
-    own = structure.exon_intron_tables(ref_exons)
-    types = events.reference_event_types(ref_exons, extension_string, bin_size)
+    own = structure.exon_intron_tables(ref_exons, write=True)
+    types = events.reference_event_types(ref_exons, extension_string, bin_size, own)
     ref = own["last_exons"].join(types, "transcript_id").withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})
     cols = ["transcript_id", "chrom", "strand", "start", "end", "event_type", "ref_gene_id", "ref_gene_name"]
     ref = ref.select(*cols)

@@ -184,9 +184,8 @@ stops AS (SELECT transcript_id, e AS z FROM ends UNION ALL SELECT transcript_id,
 gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY a) AS k FROM points) p JOIN (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY z) AS k FROM stops) q USING (transcript_id, k))
 SELECT transcript_id, a AS s, z AS e FROM gaps WHERE z > a""")
 def subtract_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = ad.written_exons(spark, sf_dir)
-    last = written(structure.exon_intron_tables(own)["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), "last-exons")
-    ref = structure.exon_intron_tables(own.where("not novel"))["exons"]
+    tables = structure.exon_intron_tables(ad.exons(spark, sf_dir), write=True)
+    last, ref = tables["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), tables["exons"].where("not novel")
     return _renamed(interval.subtract(last, _not_last(ref), "transcript_id").select("transcript_id", "start", "end"))
 
 
@@ -235,7 +234,8 @@ le AS (SELECT ln.*, CAST(ln.num + ls.sh + CASE WHEN isx THEN 1 ELSE 0 END AS BIG
 
 def _ref_le(spark: SparkSession, sf_dir: str) -> DataFrame:
     ref = ad.ref_exons(spark, sf_dir)
-    last = structure.exon_intron_tables(ref)["last_exons"].join(events.reference_event_types(ref), "transcript_id")
+    tables = structure.exon_intron_tables(ref, write=True)
+    last = tables["last_exons"].join(events.reference_event_types(ref, tables=tables), "transcript_id")
     return written(le.with_le_ids(last.withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})), "last-exon-ids")
 
 
@@ -290,7 +290,7 @@ k AS (SELECT doc_id, t, unnest(range(1, greatest(length(t) - 1, 1)::BIGINT)) AS
 h AS (SELECT doc_id, i, substr(t, i, 3) AS m FROM k WHERE substr(t, i, 3) IN ('the', 'and') UNION ALL SELECT doc_id, i, substr(t, i, 4) FROM k WHERE substr(t, i, 4) IN ('tion', 'quel'))
 SELECT doc_id, count(*) AS n_hits, max(i + length(m) - 1 - 100) AS last_distance, min(abs(i + length(m) - 1 - 100 + 21)) AS least_deviation FROM h GROUP BY doc_id""")
 def motif_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = ad.table(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_replace("text", "[^a-zA-Z]", "")).alias("t"))
+    docs = ad.spread(ad.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", F.lower(F.regexp_replace("text", "[^a-zA-Z]", "")).alias("t"))
     # explode, so that the filter does not work the hits out a second time
     found = docs.select("doc_id", F.explode(F.array(motif_string(motif_hits(F.col("t"), _MOTIFS, 100)))).alias("motifs")).where("motifs <> 'not_found'")
     at = parse_motif_string(F.col("motifs"))

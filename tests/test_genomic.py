@@ -126,6 +126,25 @@ def test_structure(spark):
     assert gaps == [(200, 700, 2), (800, 1000, 1)]
 
 
+def test_structure_in_one_pass_is_that_of_its_parts(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(120):
+        strand, n = rng.choice("+-"), rng.randrange(1, 9)
+        for _ in range(n):
+            s = rng.randrange(40) * 5
+            rows.append((f"t{k}", "c1", strand, s, s + rng.choice([3, 5, 12, 40])))
+    df = spark.createDataFrame(rows + rows[:40], "transcript_id string, chrom string, strand string, start long, end long")
+    own = structure.rank_regions(structure.number_regions(df))
+    gaps = structure.rank_regions(structure.number_regions(structure.introns(df)))
+    want = {"exons": own, "introns": gaps, "last_exons": structure.terminal_regions(own), "last_introns": structure.terminal_regions(gaps)}
+    for write in (False, True):
+        got = structure.exon_intron_tables(df, write=write)
+        for name, table in want.items():
+            assert got[name].dtypes == table.dtypes
+            assert sorted(map(tuple, got[name].collect())) == sorted(map(tuple, table.collect())), name
+
+
 def test_motifs_and_sequences(spark, tmp_path):
     seq = "ACGT" * 10 + "AATAAA" + "C" * 14 + "\n"
     genome = "".join(seq.strip()[k : k + 25] + "\n" for k in range(0, 60, 25))
