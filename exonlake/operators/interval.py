@@ -122,32 +122,36 @@ def not_overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence
     return left.join(hits, id_col, "left_anti")
 
 
-def running(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], values: dict[str, Column], bin_size: int | None = BIN, backward: bool = False, position: str = "start", strict: bool = False) -> DataFrame:
-    """Running maxima over the rows before each one (minima over those after it, if backward), by bins of position.
+def running(df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict[str, Column], bin_size: int | None = BIN, backward: bool = False, position: str = "start", strict: bool = False, after: dict[str, Column] | None = None) -> DataFrame:
+    """Running maxima over the rows before each one (minima over those after it, if backward, and of ``after``), by bins of position.
 
-    In a bin a window sees its own rows; what other bins give is one row for each.  Without a
+    In a bin a window sees its own rows, led by a row that holds what other bins give.  Without a
     bin_size the window is one for each key, for keys that are small, such as transcripts.  With
     strict, rows before are those of a smaller position, so that equal ones get the same.
+
+    Backward windows run from the last row down: a frame that ends at the last row is read anew for
+    every row, which is quadratic in the rows of a key.
     """
+    if strict and after:
+        raise ValueError("strict values run one way")
     if strict:
         order = [position]
-    framed = lambda w, edge: w.rangeBetween(*edge) if strict else w.rowsBetween(*edge)
-    pick = F.min if backward else F.max
+    each = {c: (v, backward) for c, v in values.items()} | {c: (v, True) for c, v in (after or {}).items()}
+    turned = lambda cols, down: [F.col(c).desc() if down else F.col(c) for c in cols]
+    edge = (Window.unboundedPreceding, -1)
+    framed = lambda w: w.rangeBetween(*edge) if strict else w.rowsBetween(*edge)
+    pick = lambda col, down: F.min(col) if down else F.max(col)
     if bin_size is None:
-        whole = framed(Window.partitionBy(*by).orderBy(*order), (1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1))
-        return df.withColumns({c: pick(v).over(whole) for c, v in values.items()})
-    binned = df.withColumn("_bin", F.floor(F.col(position) / bin_size)).withColumns({f"_v_{c}": v for c, v in values.items()})
-    edge = (1, Window.unboundedFollowing) if backward else (Window.unboundedPreceding, -1)
-    here = framed(Window.partitionBy(*by, "_bin").orderBy(*order), edge)
-    there = Window.partitionBy(*by).orderBy("_bin").rowsBetween(*edge)
-    bins = binned.groupBy(*by, "_bin").agg(*(pick(f"_v_{c}").alias(f"_b_{c}") for c in values))
-    names = [*by, "_bin"]
-    bins = bins.select(*(F.col(c).alias(f"_k_{i}") for i, c in enumerate(names)), *(pick(f"_b_{c}").over(there).alias(f"_c_{c}") for c in values))
-    local = binned.withColumns({f"_l_{c}": pick(f"_v_{c}").over(here) for c in values})
-    best = F.least if backward else F.greatest
-    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_k_{i}")) for i, c in enumerate(names)))  # rows of a null key are rows too
-    out = local.join(bins, same)
-    return out.withColumns({c: best(f"_l_{c}", f"_c_{c}") for c in values}).drop("_bin", *(f"_k_{i}" for i in range(len(names))), *(f"_{k}_{c}" for c in values for k in "vlc"))
+        whole = lambda down: framed(Window.partitionBy(*by).orderBy(*turned(order, down)))
+        return df.withColumns({c: pick(v, down).over(whole(down)) for c, (v, down) in each.items()})
+    binned = df.withColumn("_bin", F.floor(F.col(position) / bin_size)).withColumns({f"_v_{c}": v for c, (v, _) in each.items()})
+    there = lambda down: Window.partitionBy(*by).orderBy(*turned(["_bin"], down)).rowsBetween(*edge)
+    bins = binned.groupBy(*by, "_bin").agg(*(pick(f"_v_{c}", down).alias(f"_b_{c}") for c, (_, down) in each.items()))
+    beyond = (F.col("_bin") + 1) * bin_size if backward else F.col("_bin") * bin_size - 1  # before all rows of the bin on the window's way
+    leads = bins.select(*by, "_bin", beyond.cast(df.schema[position].dataType).alias(position), F.lit(False).alias("_own"), *(pick(f"_b_{c}", down).over(there(down)).alias(f"_v_{c}") for c, (_, down) in each.items()))
+    rows = binned.withColumn("_own", F.lit(True)).unionByName(leads, allowMissingColumns=True)
+    here = lambda down: framed(Window.partitionBy(*by, "_bin").orderBy(*([] if strict else ["_own"]), *turned(order, down)))
+    return rows.withColumns({c: pick(f"_v_{c}", down).over(here(down)) for c, (_, down) in each.items()}).where("_own").drop("_bin", "_own", *(f"_v_{c}" for c in each))
 
 
 def cluster(df: DataFrame, by: Sequence[str] = KEYS, out: str = "cluster_start", bin_size: int | None = BIN) -> DataFrame:
@@ -227,8 +231,7 @@ def nearest(queries: DataFrame, sites: DataFrame, site_cols: Sequence[str], by:
     q = q.withColumns({"_a": F.lit(None).cast(s.schema["_a"].dataType), "_b": F.lit(None).cast(s.schema["_b"].dataType)})
     rows = q.unionByName(s, allowMissingColumns=True)
     # a site that begins where the query ends is after it: queries sort first among equals
-    rows = running(rows, by, ["_at", "_site"], {"_left": F.col("_a")}, bin_size, position="_at")
-    rows = running(rows, by, ["_at", "_site"], {"_right": F.col("_b")}, bin_size, backward=True, position="_at").where("not _site")
+    rows = running(rows, by, ["_at", "_site"], {"_left": F.col("_a")}, bin_size, position="_at", after={"_right": F.col("_b")}).where("not _site")
     d_left = F.greatest(F.lit(0).cast("long"), F.col("fs") - F.col("_left.fe") + 1)
     d_right = F.col("_right.fs") - F.col("fe") + 1
     left = F.col("_left").isNotNull() & (F.col("_right").isNull() | (d_left < d_right))

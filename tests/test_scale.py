@@ -155,3 +155,21 @@ def test_one_overlap_classifies(spark):
     assert len(found) == 80 and {k for k, r in found.items() if not r["in_exon"]} == free
     extended = {r["transcript_id"]: (r["extension"], r["reject_reason"], r["event_type"], r["transcript_id_ref"]) for r in events.extension_events(last.where(F.col("transcript_id").isin(*free)), ref, 50, 100, 0).collect()}
     assert {k: (r["extension"], r["reject_reason"], r["event_type"], r["transcript_id_ref"]) for k, r in found.items() if r["extension"] is not None} == extended and extended
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("backward", [False, True])
+def test_running_values_over_many_bins(spark, backward, strict):
+    rng = random.Random(5)
+    rows = [(k, rng.choice(["a", "a", "b", None]), rng.choice([rng.randrange(-500, 3000), 10 * rng.randrange(40)]), rng.choice([None, rng.randrange(99)])) for k in range(700)]
+    if not strict:  # an order without ties
+        rows = [(k, c, 1000 * s + k, v) for k, c, s, v in rows]
+    df = spark.createDataFrame(rows, "id long, c string, start long, v long")
+    found = interval.running(df, ["c"], ["start"], {"out": F.col("v")}, 64, backward=backward, strict=strict)
+    frames = found._jdf.queryExecution().analyzed().toString().lower()
+    assert "unboundedfollowing" not in frames  # such a frame is read anew for every row: quadratic in the rows of a key
+    pick = min if backward else max
+    far = (lambda x, y: x > y) if backward else (lambda x, y: x < y)
+    want = {k: pick((w for _, d, t, w in rows if d == c and far(t, s) and w is not None), default=None) for k, c, s, _ in rows}
+    assert {r["id"]: r["out"] for r in found.collect()} == want
+    assert found.columns == [*df.columns, "out"]
