@@ -12,6 +12,7 @@ from .structure import TX, exon_intron_tables, internal_regions, terminal_region
 REF = "_ref"
 #: Columns of the reference that events carry.
 REF_COLS = ("gene_id", "transcript_id", "gene_name", "start", "end")
+Tables = tuple[dict[str, DataFrame], dict[str, DataFrame]]
 _BEST = [*(f"best.{c}{REF}" for c in REF_COLS), "best.extension", "best.region_rank"]
 
 
@@ -92,19 +93,22 @@ def event_types_by_id(events: DataFrame, id_col: str = TX) -> DataFrame:
     return events.groupBy(id_col).agg(F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("event_type"))
 
 
-def novel_last_exons(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None) -> DataFrame:
+def novel_last_exons(novel_exons: DataFrame | None, ref_exons: DataFrame | None, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None, tables: Tables | None = None) -> DataFrame:
     """Last exons of transcripts whose 3' end is new, one row a transcript.
 
     Columns: transcript_id, chrom, strand, start, end, event_type and the matching reference's
     gene_id_ref, transcript_id_ref and gene_name_ref, joined by commas.  Extensions that fail the
     5' tolerance may still be found as spliced; exclude_five_end_failures keeps them out.
     """
-    return novel_and_rejected(novel_exons, ref_exons, min_length, first_tolerance, other_tolerance, extension_filter, spliced_filter, exclude_five_end_failures, bin_size)[0]
+    return novel_and_rejected(novel_exons, ref_exons, min_length, first_tolerance, other_tolerance, extension_filter, spliced_filter, exclude_five_end_failures, bin_size, tables)[0]
 
 
-def novel_and_rejected(novel_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """novel_last_exons, and why each other transcript was rejected; both read one table of classified last exons."""
-    ref, novel = exon_intron_tables(ref_exons, write=True), exon_intron_tables(novel_exons, write=True)
+def novel_and_rejected(novel_exons: DataFrame | None, ref_exons: DataFrame | None, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None, tables: Tables | None = None) -> tuple[DataFrame, DataFrame]:
+    """novel_last_exons, and why each other transcript was rejected; both read one table of classified last exons.
+
+    ``tables`` are the exon_intron_tables of novel and reference, if a caller has them; the exons may be None then.
+    """
+    novel, ref = tables or (exon_intron_tables(novel_exons, write=True), exon_intron_tables(ref_exons, write=True))
     keep, meta = ["transcript_id", "chrom", "strand", "start", "end"], ["gene_id_ref", "transcript_id_ref", "gene_name_ref"]
     last = written(classified_last_exons(novel["last_exons"].select(*keep), ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "last-exons")
     gone = F.coalesce(F.col("reject_reason") == "length", F.lit(False)) if extension_filter else F.lit(False)
@@ -122,17 +126,19 @@ def novel_and_rejected(novel_exons: DataFrame, ref_exons: DataFrame, min_length:
     return found, rejected
 
 
-def rejections(novel_exons: DataFrame, ref_exons: DataFrame, *args, **options) -> DataFrame:
+def rejections(novel_exons: DataFrame | None, ref_exons: DataFrame | None, *args, **options) -> DataFrame:
     """Why each transcript that has no event was rejected."""
     return novel_and_rejected(novel_exons, ref_exons, *args, **options)[1]
 
 
 def not_last_regions(regions: DataFrame, id_col: str = TX) -> DataFrame:
-    """First and internal regions; a sole one counts as first."""
+    """First and internal regions; a sole one counts as first.  Ranks say which they are, where regions have them."""
+    if "region_rank" in regions.columns:
+        return regions.where("region_rank <> 'last'")
     return terminal_regions(regions, "first", id_col).unionByName(internal_regions(regions, id_col))
 
 
-def reference_event_types(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+def reference_event_types(ref_exons: DataFrame | None, extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """transcript_id and event_type of the reference's own last exons; ``tables`` are its exon_intron_tables, if a caller has them.
 
     Only last exons whose 3' end is in no first or internal exon have one; those of transcripts

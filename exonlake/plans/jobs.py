@@ -42,7 +42,7 @@ def filter_three_ends(df: DataFrame, atlas: DataFrame, genome: DataFrame, chunk:
     passed: one row of each last exon near an atlas site, snapped to it, and one of each with only a
     motif; match_stats: every row's evidence and match_class; classes: transcripts of each class.
     """
-    near = three_ends.nearest_atlas_site(df, atlas, max_distance, bin_size)
+    near = written(three_ends.nearest_atlas_site(written(df, "last-exons"), atlas, max_distance, bin_size), "nearest")
     stats = three_ends.terminal_motifs(near, genome, "transcript_id", chunk, motifs, search_length)
     stats = stats.withColumn("match_class", F.when((F.col("atlas_filter") == 1) | (F.coalesce("motif_filter", F.lit(0)) == 1), "valid").otherwise("not_valid"))
     stats = written(stats, "three-ends")
@@ -51,14 +51,14 @@ def filter_three_ends(df: DataFrame, atlas: DataFrame, genome: DataFrame, chunk:
     return {"passed": by_site.unionByName(by_motif, allowMissingColumns=True), "match_stats": stats, "classes": collapse.value_counts(stats, ["match_class", "atlas_filter", "motif_filter"], "transcript_id")}
 
 
-def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: str = "novel", extension_string: str | None = None, bin_size: int | None = None) -> dict[str, DataFrame]:
+def combined_annotation(novel: DataFrame | None, ref_exons: DataFrame | None, novel_prefix: str = "novel", extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The quantification annotation of novel and reference last exons.
 
     novel: transcript_id, chrom, strand, start, end, event_type, gene_id_ref, gene_name_ref.
     Gives last_exons, unique (less the bases of first and internal reference exons), dropped ids,
-    the four id maps and info.
+    the four id maps and info.  ``tables`` are the exon_intron_tables of the reference, if a caller has them.
     """
-    own = structure.exon_intron_tables(ref_exons, write=True)
+    own = tables or structure.exon_intron_tables(ref_exons, write=True)
     types = events.reference_event_types(ref_exons, extension_string, bin_size, own)
     ref = own["last_exons"].join(types, "transcript_id").withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})
     cols = ["transcript_id", "chrom", "strand", "start", "end", "event_type", "ref_gene_id", "ref_gene_name"]
@@ -74,9 +74,9 @@ def combined_annotation(novel: DataFrame, ref_exons: DataFrame, novel_prefix: st
     return {"last_exons": rows, "unique": unique, "dropped": dropped, "info": le.info_table(unique, novel_prefix), **le.id_maps(unique)}
 
 
-def reference_annotation(ref_exons: DataFrame, extension_string: str | None = None, bin_size: int | None = None) -> dict[str, DataFrame]:
+def reference_annotation(ref_exons: DataFrame | None, extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The same from the reference alone."""
-    return combined_annotation(None, ref_exons, "novel", extension_string, bin_size)
+    return combined_annotation(None, ref_exons, "novel", extension_string, bin_size, tables)
 
 
 def usage_matrices(quant: DataFrame, tx2le: DataFrame, le2gene: DataFrame, samples: DataFrame, base: str, treatment: str) -> dict[str, DataFrame]:
@@ -115,7 +115,8 @@ def merge_experiments(rows: DataFrame, min_delta: float | None = None, bin_size:
     kept = with_length(rows.where("delta is not null"))
     if min_delta is not None:
         kept = kept.where(F.abs("delta") >= min_delta)
-    named = cluster(kept, KEYS, "_island", bin_size).withColumn("cluster", F.concat_ws(":", "chrom", "strand", "_island")).drop("_island")
+    found = cluster(written(kept, "kept"), KEYS, "_island", bin_size)
+    named = written(found.withColumn("cluster", F.concat_ws(":", "chrom", "strand", "_island")).drop("_island"), "clusters")
     per = named.groupBy("cluster").agg(F.count_distinct("experiment_id").alias("experiment_count"), F.array_join(F.array_sort(F.collect_set("experiment_id")), ",").alias("experiments"))
     named = named.join(per, "cluster").withColumn("multiple_datasets", F.col("experiment_count") > 1)
     merged = named.groupBy("cluster", "chrom", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("experiment_count").alias("experiment_count"))
@@ -128,10 +129,10 @@ def merge_experiments(rows: DataFrame, min_delta: float | None = None, bin_size:
 def match_across_samples(exons: DataFrame, bin_size: int = BIN) -> DataFrame:
     """sample, transcript_id and merged_id: transcripts of one intron chain are one, single exons are one where they overlap."""
     own = exons.withColumn("_t", F.struct("sample", "transcript_id"))
-    chains = structure.intron_chains(own, "_t")
+    chains = written(structure.intron_chains(own, "_t"), "chains")
     many = chains.where("intron_chain is not null").select("_t", F.concat_ws(":", "chrom", "strand", "intron_chain").alias("merged_id"))
     single = structure.spans(own, "_t").join(chains.where("intron_chain is null").select("_t"), "_t", "left_semi")
-    one = cluster(single, KEYS, "_island", bin_size).select("_t", F.concat_ws(":", "chrom", "strand", "_island").alias("merged_id"))
+    one = cluster(written(single, "single"), KEYS, "_island", bin_size).select("_t", F.concat_ws(":", "chrom", "strand", "_island").alias("merged_id"))
     return many.unionByName(one).select("_t.sample", "_t.transcript_id", "merged_id")
 
 

@@ -62,9 +62,8 @@ def _renamed(df: DataFrame) -> DataFrame:
 
 def _last_and_ref(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Novel last exons and ranked reference exons."""
-    novel, ref = ad.sides(spark, sf_dir)
-    last = structure.exon_intron_tables(novel)["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
-    return last, structure.exon_intron_tables(ref)["exons"]
+    novel, ref = ad.side_tables(spark, sf_dir)
+    return novel["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), ref["exons"]
 
 
 _OPTIONS = {"min_length": 50, "first_tolerance": 0, "other_tolerance": 0}
@@ -72,13 +71,13 @@ _OPTIONS = {"min_length": 50, "first_tolerance": 0, "other_tolerance": 0}
 
 @query(f"WITH {_EVENTS} SELECT * FROM novel_le")
 def novel_last_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(jobs.novel_last_exons(*ad.sides(spark, sf_dir), **_OPTIONS))
+    return _renamed(events.novel_last_exons(None, None, tables=ad.side_tables(spark, sf_dir), **_OPTIONS))
 
 
 @query(f"""WITH {_EVENTS} SELECT n.transcript_id, CASE WHEN f.transcript_id IS NULL THEN 'three_end_in_exon' ELSE coalesce(x.reason, 'no_five_site_match') END AS reason
 FROM ends n LEFT JOIN free f USING (transcript_id) LEFT JOIN ext x USING (transcript_id) WHERE n.novel AND n.transcript_id NOT IN (SELECT transcript_id FROM novel_le)""")
 def rejected_last_exons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.rejections(*ad.sides(spark, sf_dir), **_OPTIONS)
+    return events.rejections(None, None, tables=ad.side_tables(spark, sf_dir), **_OPTIONS)
 
 
 @query(f"WITH {_EXONS} SELECT n.transcript_id, count(*) AS n_pairs, CAST(sum(least(n.e, r.e) - greatest(n.s, r.s)) AS BIGINT) AS bases FROM exons n JOIN exons r ON n.novel AND NOT r.novel AND n.chrom = r.chrom AND n.strand = r.strand AND n.s < r.e AND r.s < n.e GROUP BY n.transcript_id")
@@ -106,7 +105,7 @@ def shortest_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_EVENTS} SELECT transcript_id, ext AS extension, coalesce(reason, 'none') AS reject_reason, CASE WHEN reason IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM ext")
 def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     last, ref = _last_and_ref(spark, sf_dir)
-    found = events.extension_events(events.no_three_end_overlap(last, ref), ref, **_OPTIONS)
+    found = events.classified_last_exons(last, ref, **_OPTIONS).where("extension is not null")  # known where the 3' end is in no exon
     return found.select("transcript_id", "extension", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
@@ -114,7 +113,7 @@ def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT transcript_id, coalesce(why, 'none') AS reject_reason, CASE WHEN why IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM x""")
 def extension_events_tolerances(spark: SparkSession, sf_dir: str) -> DataFrame:
     last, ref = _last_and_ref(spark, sf_dir)
-    found = events.extension_events(events.no_three_end_overlap(last, ref), ref, 50, 60, 5)
+    found = events.classified_last_exons(last, ref, 50, 60, 5).where("extension is not null")
     return found.select("transcript_id", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
@@ -150,7 +149,7 @@ def introns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EXONS} SELECT transcript_id, s, e, 'first' AS kind FROM ranked WHERE num = 1 AND cnt > 1 UNION ALL SELECT transcript_id, s, e, 'last' FROM ranked WHERE num = cnt AND cnt > 1 UNION ALL SELECT transcript_id, s, e, 'internal' FROM ranked WHERE num > 1 AND num < cnt")
 def terminal_and_internal_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = structure.exon_intron_tables(ad.exons(spark, sf_dir))["exons"]
+    own = structure.exon_intron_tables(ad.exons(spark, sf_dir), write=True)["exons"]
     kind = lambda df, k: df.select("transcript_id", "start", "end", F.lit(k).alias("kind"))
     first, last = (kind(structure.terminal_regions(own, k, filter_single=True), k) for k in ("first", "last"))
     return _renamed(first.unionByName(last).unionByName(kind(structure.internal_regions(own), "internal")))
@@ -185,13 +184,8 @@ gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PAR
 SELECT transcript_id, a AS s, z AS e FROM gaps WHERE z > a""")
 def subtract_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = structure.exon_intron_tables(ad.exons(spark, sf_dir), write=True)
-    last, ref = tables["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), tables["exons"].where("not novel")
-    return _renamed(interval.subtract(last, _not_last(ref), "transcript_id").select("transcript_id", "start", "end"))
-
-
-def _not_last(regions: DataFrame) -> DataFrame:
-    own = structure.terminal_regions(regions, "first", filter_single=True).unionByName(structure.internal_regions(regions))
-    return own.select("chrom", "strand", "start", "end")
+    last, mask = tables["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), tables["exons_before_last"].where("not novel")
+    return _renamed(interval.subtract(last, mask.select("chrom", "strand", "start", "end"), "transcript_id").select("transcript_id", "start", "end"))
 
 
 _ATLAS = "atlas AS (SELECT 'chr' || ((p_partkey // 4) % 5) AS chrom, CASE WHEN (p_partkey // 4) % 2 = 0 THEN '+' ELSE '-' END AS strand, (p_partkey // 4) * 10000 + ((p_partkey * 7) % 40) * 200 + 100 AS s, 'site' || p_partkey AS name FROM part)"
@@ -219,7 +213,7 @@ ref_types AS (SELECT * FROM rext UNION ALL SELECT * FROM rspl UNION ALL SELECT t
 
 @query(f"WITH {_REF_TYPES} SELECT * FROM ref_types")
 def reference_event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.reference_event_types(ad.ref_exons(spark, sf_dir))
+    return events.reference_event_types(None, tables=ad.ref_tables(spark, sf_dir))
 
 
 _LE = _REF_TYPES + """,
@@ -233,9 +227,8 @@ le AS (SELECT ln.*, CAST(ln.num + ls.sh + CASE WHEN isx THEN 1 ELSE 0 END AS BIG
 
 
 def _ref_le(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ref = ad.ref_exons(spark, sf_dir)
-    tables = structure.exon_intron_tables(ref, write=True)
-    last = tables["last_exons"].join(events.reference_event_types(ref, tables=tables), "transcript_id")
+    tables = ad.ref_tables(spark, sf_dir)
+    last = tables["last_exons"].join(events.reference_event_types(None, tables=tables), "transcript_id")
     return written(le.with_le_ids(last.withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})), "last-exon-ids")
 
 
@@ -263,9 +256,9 @@ def collapse_info(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_EVENTS}, g AS (SELECT transcript_id, list_distinct(string_split(gene_id_ref, ',')) AS gs FROM novel_le) SELECT transcript_id, len(gs) AS n_genes FROM g""")
 def metagene_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, ref = ad.sides(spark, sf_dir)
-    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
-    named, _ = le.metagenes(novel, ref.withColumn("ref_gene_id", F.col("gene_id")))
+    new, ref = ad.side_tables(spark, sf_dir)
+    novel = events.novel_last_exons(None, None, tables=(new, ref), **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
+    named, _ = le.metagenes(novel, ref["exons"].withColumn("ref_gene_id", F.col("gene_id")))
     return named.select("transcript_id", F.size(F.split("ref_gene_id", ",")).cast("long").alias("n_genes"))
 
 
@@ -554,21 +547,21 @@ _ANNOTATION = ["transcript_id", "le_id", "event_type", "chrom", "strand", "start
 @query("WITH " + _annotation_sql(_METAGENES + """,
 al AS (SELECT * FROM nn UNION ALL SELECT e.transcript_id, e.chrom, e.strand, e.s, e.e, t.event_type, coalesce(c.combo, e.gene_id) FROM ends e JOIN ref_types t USING (transcript_id) LEFT JOIN combo c ON c.g = e.gene_id)"""))
 def combined_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, ref = ad.sides(spark, sf_dir)
-    novel = events.novel_last_exons(new, ref, **_OPTIONS)
-    return _renamed(jobs.combined_annotation(novel, ref)["unique"].select(*_ANNOTATION))
+    new, ref = ad.side_tables(spark, sf_dir)
+    novel = events.novel_last_exons(None, None, tables=(new, ref), **_OPTIONS)
+    return _renamed(jobs.combined_annotation(novel, None, tables=ref)["unique"].select(*_ANNOTATION))
 
 
 @query("WITH " + _annotation_sql(_REF_TYPES + ", al AS (SELECT e.transcript_id, e.chrom, e.strand, e.s, e.e, t.event_type, e.gene_id AS gid FROM ends e JOIN ref_types t USING (transcript_id))"))
 def reference_annotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _renamed(jobs.reference_annotation(ad.ref_exons(spark, sf_dir))["unique"].select(*_ANNOTATION))
+    return _renamed(jobs.reference_annotation(None, tables=ad.ref_tables(spark, sf_dir))["unique"].select(*_ANNOTATION))
 
 
 @query(f"WITH {_METAGENES} SELECT 'novel' AS side, transcript_id, gid AS gene FROM nn UNION ALL SELECT DISTINCT 'reference', transcript_id, coalesce(combo, gene_id) FROM exons LEFT JOIN combo ON g = gene_id WHERE NOT novel")
 def metagenes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, ref = ad.sides(spark, sf_dir)
-    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
-    both = zip(("novel", "reference"), le.metagenes(novel, ref.select("transcript_id", F.col("gene_id").alias("ref_gene_id")).distinct()), strict=True)
+    new, ref = ad.side_tables(spark, sf_dir)
+    novel = events.novel_last_exons(None, None, tables=(new, ref), **_OPTIONS).withColumn("ref_gene_id", F.col("gene_id_ref"))
+    both = zip(("novel", "reference"), le.metagenes(novel, ref["exons"].select("transcript_id", F.col("gene_id").alias("ref_gene_id")).distinct()), strict=True)
     new, old = (df.select(F.lit(side).alias("side"), "transcript_id", F.col("ref_gene_id").alias("gene")) for side, df in both)
     return new.unionByName(old)
 
@@ -699,7 +692,7 @@ def gtf_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_REF_TYPES} SELECT transcript_id, CASE WHEN contains(transcript_id, '9') THEN 'last_exon_extension' ELSE event_type END AS event_type FROM ref_types")
 def forced_extension_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events.reference_event_types(ad.ref_exons(spark, sf_dir), "9")
+    return events.reference_event_types(None, "9", tables=ad.ref_tables(spark, sf_dir))
 
 
 _LINES = "l AS (SELECT l_orderkey % 5000 AS id, l_returnflag AS a, l_linestatus AS b, l_suppkey % 3 AS c, l_partkey AS k, l_linenumber AS n FROM lineitem)"
@@ -732,10 +725,10 @@ def null_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EVENTS} SELECT transcript_id, gene_id_ref AS ref_gene_id, gene_name_ref AS ref_gene_name FROM novel_le UNION ALL SELECT DISTINCT transcript_id, gene_id, gene_name FROM exons WHERE NOT novel")
 def common_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, ref = ad.sides(spark, sf_dir)
-    novel = events.novel_last_exons(new, ref, **_OPTIONS).withColumns({"gene_id": F.concat(F.lit("novel_"), "transcript_id"), "gene_name": F.lit(None).cast("string")})
+    new, ref = ad.side_tables(spark, sf_dir)
+    novel = events.novel_last_exons(None, None, tables=(new, ref), **_OPTIONS).withColumns({"gene_id": F.concat(F.lit("novel_"), "transcript_id"), "gene_name": F.lit(None).cast("string")})
     cols = ["transcript_id", "gene_id", "gene_name", "gene_id_ref", "gene_name_ref"]
-    old = ref.select("transcript_id", "gene_id", "gene_name").distinct().withColumns({c: F.lit(None).cast("string") for c in cols[3:]})
+    old = ref["exons"].select("transcript_id", "gene_id", "gene_name").distinct().withColumns({c: F.lit(None).cast("string") for c in cols[3:]})
     return le.common_gene(novel.select(*cols).unionByName(old)).select("transcript_id", "ref_gene_id", "ref_gene_name")
 
 

@@ -6,10 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from exonlake import adapters as ad
 from exonlake.functions.motif import motif_hits, motif_string
 from exonlake.functions.quantiles import exact_quantiles
 from exonlake.operators import events, interval, last_exons, structure
 from exonlake.operators.merge import merge_columns
+from exonlake.plans import jobs
 from exonlake.sources import fasta_source
 
 SPANS = "transcript_id string, chrom string, strand string, ref_gene_id string, start long, end long, event_type string"
@@ -173,3 +175,19 @@ def test_running_values_over_many_bins(spark, backward, strict):
     want = {k: pick((w for _, d, t, w in rows if d == c and far(t, s) and w is not None), default=None) for k, c, s, _ in rows}
     assert {r["id"]: r["out"] for r in found.collect()} == want
     assert found.columns == [*df.columns, "out"]
+
+
+def test_what_is_read_often_is_worked_out_once(spark, sf_dir):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    novel, ref = ad.side_tables(spark, sf_dir)
+    for table in ("exons", "introns"):
+        ranked = ref[table]
+        kept = events.not_last_regions(ranked)
+        assert "Window" not in plan(kept)
+        plain = events.not_last_regions(ranked.drop("region_rank"))
+        assert sorted(map(tuple, kept.drop("region_rank").collect())) == sorted(map(tuple, plain.collect()))
+    found = events.novel_last_exons(None, None, 50, 0, 0, tables=(novel, ref))
+    alone = events.novel_last_exons(*ad.sides(spark, sf_dir), 50, 0, 0)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, alone.collect()))
+    rows = novel["last_exons"].select("chrom", "strand", "start", "end").withColumns({"experiment_id": F.lit("x"), "event_type": F.lit("y"), "delta": F.lit(0.5)})
+    assert "Window" not in plan(jobs.merge_experiments(rows)["merged"])
