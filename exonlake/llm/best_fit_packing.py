@@ -37,7 +37,7 @@ SLACK = 16
 FAN = 8
 #: Underfull bins that a node of the tree merges, about.
 NODE_BINS = 20_000
-#: Words whose ids a worker keeps; then it begins anew.
+#: Words whose ids a worker keeps; then it begins anew, and those of the last round that are met again are taken over.
 MAX_WORDS = 300_000
 _PARTS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-;=-@\[-`{-~]+)")
 _encoders: dict[str, WordEncoder] = {}
@@ -51,6 +51,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         (self.digit,) = self.tokenizer.encode("0", add_special_tokens=False).ids
 
     def whole(self, word: bytes) -> bytes:
@@ -105,8 +106,11 @@ class WordEncoder:
             return b"".join(map(known.__getitem__, words))
         except KeyError:
             if len(known) > MAX_WORDS:
-                known.clear()
-            self.learn([w for w in dict.fromkeys(words) if w not in known])
+                self.before, self.known = known, {}
+                known = self.known
+            new, before = [w for w in dict.fromkeys(words) if w not in known], self.before
+            known.update((w, before[w]) for w in new if w in before)
+            self.learn([w for w in new if w not in known])
             return b"".join(map(known.__getitem__, words))
 
 

@@ -557,3 +557,16 @@ def test_main_text_of_layouts(spark, sf_dir):
     got = html_extraction.main_text(rows, net).collect()
     wrong = [(r["page_id"], set(r["text"].split("\n\n")) ^ set(want.split("\n\n"))) for r in got if r["text"] != want]
     assert len(got) == 10 and not wrong and all(r["n_chars"] == len(want) for r in got)
+
+
+def test_packing_learns_a_met_word_once_a_round(monkeypatch):
+    monkeypatch.setattr(best_fit_packing, "MAX_WORDS", 10)
+    own, plain, learned = best_fit_packing.WordEncoder(TOKENIZER), best_fit_packing.WordEncoder(TOKENIZER), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda words: (learned.extend(words), learn(words)))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for a in letters:
+        text = " ".join(["the", "word", *(a + b for b in letters[:5])]).encode()
+        assert own.ids(text) == plain.whole(text)
+        assert len(own.known) <= 10 + 7
+    assert learned.count(b"the") == learned.count(b"word") == 1
