@@ -82,7 +82,7 @@ def spliced_events(last_introns: DataFrame, ref_introns: DataFrame, tolerance_fi
     ref = ref_introns.select("chrom", "strand", *REF_COLS, "region_rank")
     if tolerance_filter:  # introns that begin at one base overlap, so this is an equi-join
         other = ref.select(*(F.col(c) if c in ("chrom", "strand") else F.col(c).alias(c + REF) for c in ref.columns)).withColumn("_site", five_end("start" + REF, "end" + REF))
-        pairs = last_introns.withColumn("_site", five_end()).join(other, ["chrom", "strand", "_site"]).drop("_site")
+        pairs = last_introns.withColumn("_site", five_end()).join(other, ["_site", "chrom", "strand"]).drop("_site")
     else:
         pairs = overlap_join(last_introns, ref, bin_size=bin_size)
     return pairs.withColumn("event_type", event_name(F.col("region_rank" + REF), "spliced")).drop("region_rank" + REF)

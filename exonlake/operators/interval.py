@@ -7,7 +7,8 @@ at its own level.  A pair meets at the coarser of its two levels, in the first b
 shares there, and so exactly once.  A copy at a level coarser than its own meets only rows
 that belong to that level, never another copy, and is made only where the other side has such
 rows.  Windows (clusters, nearest, ranks) run within bins; what earlier bins hold comes from
-one row per bin, so no chromosome and no gene is one task.
+one row per bin, so no chromosome and no gene is one task.  Numbers of bins lead the keys that
+joins and windows sort by: few chromosomes and two strands tell hardly any rows apart.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ BIN = 4096
 FACTOR, LEVELS = 8, 12
 #: Fitted widths are powers of two in this range.
 MIN_WIDTH, MAX_WIDTH = 32, 1 << 20
+#: Bits of a spot below its bin's number, which say where rows meet.
+MEET_BITS = 5
 
 
 def _last() -> Column:
@@ -69,32 +72,31 @@ def fitted(left: DataFrame, right: DataFrame, bin_size: int | None = None) -> tu
 
 
 def _binned(df: DataFrame, width: int, own: set[int], other: set[int], right: bool) -> DataFrame:
-    """Adds _meet and _bin, a row for each bin that an interval touches at each level where it meets others.
+    """Adds _spot, the number of a bin and of where rows meet, a row for each bin that an interval touches at each level where it meets others.
 
-    _meet is twice the level, where rows that belong to it on the left meet those and coarser copies
+    A meet is twice the level, where rows that belong to it on the left meet those and coarser copies
     on the right, and one more, where copies on the left meet rows that belong to it on the right.
+    Both are one number, so that joins sort by a key that tells most rows apart at once.
     """
-    level = F.col("_level")
+    level, none = F.col("_level"), F.array().cast("array<bigint>")
 
     def at(meet: int, ok: Column) -> Column:
         size = width * FACTOR ** (meet // 2)
-        bins = F.sequence(F.floor(F.col("start") / size), F.floor(_last() / size))
-        return F.when(ok, F.transform(bins, lambda b: F.struct(F.lit(meet).alias("meet"), b.alias("bin")))).otherwise(F.array().cast("array<struct<meet:int,bin:bigint>>"))
+        spot = lambda c: F.shiftleft(F.floor(c / size), MEET_BITS) + F.lit(meet).cast("long")
+        return F.when(ok, F.sequence(spot(F.col("start")), spot(_last()), F.lit(1 << MEET_BITS).cast("long"))).otherwise(none)
 
     if right:
         spots = [at(2 * k, level <= k) for k in sorted(other)] + [at(2 * k + 1, level == k) for k in sorted(own) if any(x < k for x in other)]
     else:
         spots = [at(2 * k, level == k) for k in sorted(own) if any(x <= k for x in other)] + [at(2 * k + 1, level < k) for k in sorted(other)]
-    none = F.array().cast("array<struct<meet:int,bin:bigint>>")
-    spotted = df.withColumn("_level", _level(width)).withColumn("_spot", F.explode(F.concat(none, *spots)))
-    return spotted.withColumns({"_meet": F.col("_spot.meet"), "_bin": F.col("_spot.bin")}).drop("_spot", "_level")
+    return df.withColumn("_level", _level(width)).withColumn("_spot", F.explode(F.concat(none, *spots))).drop("_level")
 
 
 def candidates(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int | None = None) -> tuple[DataFrame, int]:
     """Pairs of rows that share ``by`` and a bin where they meet, and the width of the finest bins; overlap_join keeps those that overlap."""
     width, ours, theirs = fitted(left, right, bin_size)
-    other = rows_by_suffix(_binned(right, width, theirs, ours, True), (*by, "_meet", "_bin"), suffix)
-    return _binned(left, width, ours, theirs, False).join(other, [*by, "_meet", "_bin"]), width
+    other = rows_by_suffix(_binned(right, width, theirs, ours, True), (*by, "_spot"), suffix)
+    return _binned(left, width, ours, theirs, False).join(other, ["_spot", *by]), width
 
 
 def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, suffix: str = "_ref", bin_size: int | None = None) -> DataFrame:
@@ -104,10 +106,11 @@ def overlap_join(left: DataFrame, right: DataFrame, by: Sequence[str] = KEYS, su
     are costly to build are best written first.
     """
     pairs, width = candidates(left, right, by, suffix, bin_size)
-    size = F.element_at(F.array(*(F.lit(width * FACTOR**k) for k in range(LEVELS))), F.floor(F.col("_meet") / 2).cast("int") + 1)
-    met = F.col("_bin") == F.floor(F.greatest(F.col("start"), F.col("start" + suffix)) / size)
+    level = F.shiftright(F.col("_spot").bitwiseAND((1 << MEET_BITS) - 1), 1).cast("int")
+    size = F.element_at(F.array(*(F.lit(width * FACTOR**k) for k in range(LEVELS))), level + 1)
+    met = F.shiftright("_spot", MEET_BITS) == F.floor(F.greatest(F.col("start"), F.col("start" + suffix)) / size)
     share = (F.col("start") < F.col("end" + suffix)) & (F.col("start" + suffix) < F.col("end"))
-    return pairs.where(share & met).drop("_meet", "_bin")
+    return pairs.where(share & met).drop("_spot")
 
 
 def overlapping(left: DataFrame, right: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int | None = None) -> DataFrame:
@@ -150,7 +153,7 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str], values: dict
     beyond = (F.col("_bin") + 1) * bin_size if backward else F.col("_bin") * bin_size - 1  # before all rows of the bin on the window's way
     leads = bins.select(*by, "_bin", beyond.cast(df.schema[position].dataType).alias(position), F.lit(False).alias("_own"), *(pick(f"_b_{c}", down).over(there(down)).alias(f"_v_{c}") for c, (_, down) in each.items()))
     rows = binned.withColumn("_own", F.lit(True)).unionByName(leads, allowMissingColumns=True)
-    here = lambda down: framed(Window.partitionBy(*by, "_bin").orderBy(*([] if strict else ["_own"]), *turned(order, down)))
+    here = lambda down: framed(Window.partitionBy("_bin", *by).orderBy(*([] if strict else ["_own"]), *turned(order, down)))
     return rows.withColumns({c: pick(f"_v_{c}", down).over(here(down)) for c, (_, down) in each.items()}).where("_own").drop("_bin", "_own", *(f"_v_{c}" for c in each))
 
 
@@ -176,11 +179,11 @@ def number_islands(df: DataFrame, by: Sequence[str], out: str, downward: Column
     """
     seen = running(df, by, ["start", "end"], {"_reach": F.col("end")}, bin_size, strict=True)
     opens = written(seen.select(*df.columns, (F.col("_reach").isNull() | (F.col("start") > F.col("_reach"))).alias("_open")), "reach")
-    inside = Window.partitionBy(*by, "_bin")
+    inside = Window.partitionBy("_bin", *by)
     leads = F.row_number().over(inside.orderBy("start", "end")) == F.rank().over(inside.orderBy("start"))  # one of the rows that begin alike
     marked = opens.withColumn("_bin", F.floor(F.col("start") / bin_size)).withColumn("_leads", (F.col("_open") & leads).cast("int"))
     local = marked.withColumn("_in", F.sum("_leads").over(inside.orderBy("start")))
-    names = [*by, "_bin"]
+    names = ["_bin", *reversed(by)]  # what tells most rows apart leads
     whole = Window.partitionBy(*by)
     bins = marked.groupBy(*names).agg(F.sum("_leads").alias("_n"))
     before = F.coalesce(F.sum("_n").over(whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -47,8 +47,8 @@ def renumber_extensions(df: DataFrame, key: str = "last_exon_extension") -> Data
     flagged = df.withColumn("_ext", extends)
     numbers = flagged.groupBy(*GENE, "le_number").agg(F.max("_ext").alias("_any"))
     block = F.floor(F.col("le_number") / NUMBERS)
-    within = Window.partitionBy(*GENE, "_block").orderBy("le_number").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*GENE).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*reversed(GENE), "_block").orderBy("le_number").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*reversed(GENE)).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     numbers = numbers.withColumn("_block", block)
     blocks = numbers.groupBy(*GENE, "_block").agg(F.sum("_any").alias("_sum"))
     blocks = blocks.select(*(F.col(c).alias(f"_b_{c}") for c in (*GENE, "_block")), F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
@@ -59,7 +59,8 @@ def renumber_extensions(df: DataFrame, key: str = "last_exon_extension") -> Data
 
 
 def _same(prefix: str, cols: Sequence[str]) -> Column:
-    return reduce(and_, (F.col(c).eqNullSafe(F.col(prefix + c)) for c in cols))
+    """Equal values, the last column first, as joins sort by them in order and few chromosomes tell hardly any rows apart."""
+    return reduce(and_, (F.col(c).eqNullSafe(F.col(prefix + c)) for c in reversed(cols)))
 
 
 def le_id() -> Column:

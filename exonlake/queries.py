@@ -183,7 +183,7 @@ stops AS (SELECT transcript_id, e AS z FROM ends UNION ALL SELECT transcript_id,
 gaps AS (SELECT p.transcript_id, p.a, q.z FROM (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY a) AS k FROM points) p JOIN (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY z) AS k FROM stops) q USING (transcript_id, k))
 SELECT transcript_id, a AS s, z AS e FROM gaps WHERE z > a""")
 def subtract_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = structure.exon_intron_tables(ad.exons(spark, sf_dir), write=True)
+    tables = ad.tables(spark, sf_dir)
     last, mask = tables["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), tables["exons_before_last"].where("not novel")
     return _renamed(interval.subtract(last, mask.select("chrom", "strand", "start", "end"), "transcript_id").select("transcript_id", "start", "end"))
 
@@ -195,7 +195,7 @@ _ATLAS = "atlas AS (SELECT 'chr' || ((p_partkey // 4) % 5) AS chrom, CASE WHEN (
 r AS (SELECT *, row_number() OVER (PARTITION BY transcript_id ORDER BY distance, toward) AS rn FROM d)
 SELECT transcript_id, site_start, distance, CASE WHEN distance <= 100 THEN 1 ELSE 0 END AS atlas_filter FROM r WHERE rn = 1""")
 def nearest_atlas_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = written(structure.exon_intron_tables(ad.exons(spark, sf_dir))["last_exons"].select("transcript_id", "chrom", "strand", "start", "end"), "last-exons")
+    last = ad.tables(spark, sf_dir)["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
     found = three_ends.nearest_atlas_site(last, ad.atlas(spark, sf_dir))
     return found.where("nearest_atlas_distance is not null").select("transcript_id", F.col("atlas_start").alias("site_start"), F.col("nearest_atlas_distance").alias("distance"), "atlas_filter")
 

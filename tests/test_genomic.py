@@ -201,3 +201,32 @@ def test_entry_without_llm():
 
     names = set(__spark_entry__.queries())
     assert {"novel_last_exons", "overlap_join"} <= names and set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_merged_structure_is_that_of_merged_exons(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(150):
+        for _ in range(rng.randrange(1, 9)):
+            s = rng.randrange(40) * 5
+            rows.append((f"t{k}", "c1", "+-"[k % 2], s, s + rng.choice([3, 5, 12, 40])))
+    df = spark.createDataFrame(rows + rows[:40], "transcript_id string, chrom string, strand string, start long, end long")
+    merged = interval.merge(df, ["transcript_id", "chrom", "strand"], bin_size=None).select(df.columns)
+    got, want = structure.merged_structure(df), structure.numbered_structure(merged)
+    assert got.columns == want.columns
+    kept = [c for c in want.columns if c != "_gap_number"]
+    assert sorted(map(str, got.select(kept).collect())) == sorted(map(str, want.select(kept).collect()))
+    got, want = structure.structure_tables(got), structure.structure_tables(want)
+    for name, table in want.items():
+        assert got[name].dtypes == table.dtypes
+        assert sorted(map(tuple, got[name].collect())) == sorted(map(tuple, table.collect())), name
+    plan = structure.merged_structure(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and "Aggregate" not in plan
+
+
+def test_joins_and_windows_sort_by_bins_first(spark):
+    df = spark.createDataFrame([("a", "c", "+", 0, 100), ("b", "c", "-", 50, 9000)], "id string, chrom string, strand string, start long, end long")
+    plan = interval.overlap_join(df, df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(" not in plan and "(_spot" in next(line for line in plan.splitlines() if "Join" in line)
+    plan = interval.cluster(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert all(", [_bin#" in line for line in plan.splitlines() if "Window" in line and "_bin#" in line.split("windowspecdefinition", 1)[-1].split("ASC", 1)[0])
