@@ -1,10 +1,12 @@
 """Document statistics and quality rules: gradient-boosted trees in flat node arrays.
 
 ``document_stats`` counts over every whole text.  ``fit_rules`` boosts regression
-trees on the statistics of at most ``sample_rows`` labelled documents (the only
-bound; everything else covers all rows) with monotonic constraints on chosen
-features, and ``RuleTrees`` keeps all trees as numpy node arrays so that a batch
-walks every tree at once.
+trees on the statistics of all labelled documents with monotonic constraints on
+chosen features, and ``RuleTrees`` keeps all trees as numpy node arrays so that a
+batch walks every tree at once.  Trees grow level by level from sums of gradients
+by node, feature and bin: up to ``local_rows`` labelled documents are summed on
+the driver, more by a Spark job a level, whose tasks give back sums alone.  Sums
+are of integers, so that the trees don't depend on how rows are dealt.
 
 Defined cases: a null text is an empty text (no words, so ``base_failed``);
 repeated documents are scored each on their own, and a doc_id with several
@@ -16,7 +18,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,10 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import textops as tx
-from .sampling import sampled
-
-#: Labelled documents that the trees are fitted on, at most; taken by hash of their id.
-SAMPLE_ROWS = 6000
+from .store import written
+
+#: Labelled documents up to which their statistics, all of them, are summed on the driver.
+LOCAL_ROWS = 6000
+#: Bins of a feature, and units of the gradients that are summed.
+BINS, UNIT = 48, 1 << 32
+#: Labelled documents whose bins are one row of a table.
+CHUNK_ROWS = 1 << 13
+#: Labels that may be broadcast; beyond, statistics of all documents are joined with them.
+MAX_BROADCAST_LABELS = 1_000_000
+#: Bits of a 32-bit float that tell the cells apart in which quantiles are counted: sign, exponent and 10 of the fraction.
+_CELL = 13
 FEATURES = ("log_words", "word_len", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "digit_share", "other_punct_share", "non_ascii_share", "distinct_share", "long_word_share", "words_per_line", "lone_mark_share")
 #: 1: a greater value never lowers the score; -1: never raises it.
 MONOTONE = {"symbol_share": -1, "dup_line_share": -1, "repeat_share": -1, "lone_mark_share": -1}
@@ -127,46 +137,156 @@ class RuleTrees:
         return out
 
 
-def fit_trees(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.15, bins: int = 48, l2: float = 1.0, least: float = 2.0) -> RuleTrees:
-    """Newton boosting for the logistic loss over quantile bins; a split that breaks a feature's direction is not taken, and children keep to their side of its midpoint."""
-    edges = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
-    binned = np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T, strict=True)], axis=1)
-    rate_of_good = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-    bias = float(np.log(rate_of_good / (1 - rate_of_good)))
-    score, nodes, roots = np.full(len(y), bias), [], []
-    leaf = lambda g, h, low, high: float(np.clip(-g / (h + l2), low, high))
-
-    def grow(rows: np.ndarray, grad: np.ndarray, hess: np.ndarray, level: int, low: float, high: float) -> int:
-        me, g, h = len(nodes), grad[rows].sum(), hess[rows].sum()
-        nodes.append([0, np.inf, me, me, rate * leaf(g, h, low, high)])
-        best = (1e-3, None)
-        if level < depth:
-            for f in range(x.shape[1]):
-                if not len(edges[f]):
-                    continue
-                gs = np.cumsum(np.bincount(binned[rows, f], grad[rows], len(edges[f]) + 1))[:-1]
-                hs = np.cumsum(np.bincount(binned[rows, f], hess[rows], len(edges[f]) + 1))[:-1]
-                gain = gs**2 / (hs + l2) + (g - gs) ** 2 / (h - hs + l2) - g**2 / (h + l2)
-                lv, rv = np.clip(-gs / (hs + l2), low, high), np.clip(-(g - gs) / (h - hs + l2), low, high)
-                gain[(hs < least) | (h - hs < least) | (monotone[f] * (rv - lv) < 0)] = -np.inf
-                if (k := int(np.argmax(gain))) is not None and gain[k] > best[0]:
-                    best = (float(gain[k]), (f, k, float(lv[k]), float(rv[k])))
-        if best[1]:
-            f, k, lv, rv = best[1]
-            goes, mid = binned[rows, f] <= k, (lv + rv) / 2
-            bounds = {1: ((low, mid), (mid, high)), -1: ((mid, high), (low, mid)), 0: ((low, high), (low, high))}[int(monotone[f])]
-            nodes[me][:2] = [f, float(edges[f][k])]
-            nodes[me][2] = grow(rows[goes], grad, hess, level + 1, *bounds[0])
-            nodes[me][3] = grow(rows[~goes], grad, hess, level + 1, *bounds[1])
-        return me
+def _bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
+    return np.stack([np.searchsorted(e, c, "left") for e, c in zip(edges, x.T, strict=True)], axis=1).astype(np.uint8)
+
+
+def _walk(bins: np.ndarray, nodes: np.ndarray, roots: list[int], depth: int) -> np.ndarray:
+    """The node that each row reaches in each tree; ``nodes`` holds feature, bin, left and right."""
+    node, rows = np.tile(np.array(roots, np.int64), (len(bins), 1)), np.arange(len(bins))[:, None]
+    for _ in range(depth):
+        node = np.where(bins[rows, nodes[node, 0]] <= nodes[node, 1], nodes[node, 2], nodes[node, 3])
+    return node
+
+
+def _score(bins: np.ndarray, nodes: np.ndarray, values: np.ndarray, roots: list[int], depth: int) -> np.ndarray:
+    out = np.zeros(len(bins))
+    for at in range(0, len(bins) if roots else 0, 4096):
+        out[at : at + 4096] = values[_walk(bins[at : at + 4096], nodes, roots, depth)].sum(axis=1)
+    return out
+
+
+def _level_sums(bins: np.ndarray, y: np.ndarray, score: np.ndarray, nodes: np.ndarray, root: int, level: int, front: list[int]) -> np.ndarray:
+    """First and second derivatives of the loss, in units, by node of the front, feature and bin."""
+    place = np.full(len(nodes), -1)
+    place[front] = np.arange(len(front))
+    own = place[_walk(bins, nodes, [root], level)[:, 0]]
+    bins, y, score, own = bins[own >= 0], y[own >= 0], score[own >= 0], own[own >= 0]
+    p = 1 / (1 + np.exp(-score))
+    out = np.zeros((len(front), 2, bins.shape[1], BINS), np.int64)
+    for k, value in enumerate((p - y, np.maximum(p * (1 - p), 1e-6))):
+        units = np.rint(value * UNIT)  # sums of a chunk stay below 2**53
+        for f in range(bins.shape[1]):
+            out[:, k, f] = np.bincount(own * BINS + bins[:, f], units, len(front) * BINS).reshape(len(front), BINS).astype(np.int64)
+    return out
+
+
+def _boosted(sums: Callable, edges: list[np.ndarray], share: float, monotone: np.ndarray, trees: int = 60, depth: int = 3, rate: float = 0.15, l2: float = 1.0, least: float = 2.0) -> RuleTrees:
+    """Newton boosting for the logistic loss; a split that breaks a feature's direction is not taken, and children keep to their side of its midpoint.
+
+    ``sums`` gives _level_sums over all rows for the trees so far, of which the last one grows.
+    """
+    share = np.clip(share, 1e-3, 1 - 1e-3)
+    bias = float(np.log(share / (1 - share)))
+    nodes, roots = [], []
+    value = lambda g, h, low, high: np.clip(-g / (h + l2), low, high)
+
+    def leaf(v: float) -> int:
+        nodes.append([0, np.inf, len(nodes), len(nodes), rate * v, BINS])
+        return len(nodes) - 1
 
     for _ in range(trees):
-        p = 1 / (1 + np.exp(-score))
-        first = len(nodes)
-        roots.append(grow(np.arange(len(y)), p - y, np.maximum(p * (1 - p), 1e-6), 0, -4.0, 4.0))
-        flat = _trees(nodes, [first], depth, 0.0)
-        score += flat.score(x)
-    return _trees(nodes, roots, depth, bias)
+        roots.append(leaf(0.0))
+        front = [(roots[-1], -4.0, 4.0)]
+        for level in range(depth):
+            if not front:
+                break
+            flat = np.array([[n[0], n[5], n[2], n[3]] for n in nodes], np.int64)
+            found = sums(flat, np.array([n[4] for n in nodes]), roots, bias, depth, level, [n for n, _, _ in front]) / UNIT
+            after = []
+            for (me, low, high), (gs_of, hs_of) in zip(front, found, strict=True):
+                g, h = gs_of[0].sum(), hs_of[0].sum()
+                if not level:
+                    nodes[me][4] = rate * float(value(g, h, low, high))
+                best = (1e-3, None)
+                for f, edge in enumerate(edges):
+                    if not len(edge):
+                        continue
+                    gs, hs = np.cumsum(gs_of[f])[: len(edge)], np.cumsum(hs_of[f])[: len(edge)]
+                    gain = gs**2 / (hs + l2) + (g - gs) ** 2 / (h - hs + l2) - g**2 / (h + l2)
+                    lv, rv = value(gs, hs, low, high), value(g - gs, h - hs, low, high)
+                    gain[(hs < least) | (h - hs < least) | (monotone[f] * (rv - lv) < 0)] = -np.inf
+                    if gain[k := int(np.argmax(gain))] > best[0]:
+                        best = (float(gain[k]), (f, k, float(lv[k]), float(rv[k])))
+                if best[1]:
+                    f, k, lv, rv = best[1]
+                    mid = (lv + rv) / 2
+                    bounds = {1: ((low, mid), (mid, high)), -1: ((mid, high), (low, mid)), 0: ((low, high), (low, high))}[int(monotone[f])]
+                    left, right = leaf(lv), leaf(rv)
+                    nodes[me][:4], nodes[me][5] = [f, float(edges[f][k]), left, right], k
+                    after += [(left, *bounds[0]), (right, *bounds[1])]
+            front = after
+    return _trees([n[:5] for n in nodes], roots, depth, bias)
+
+
+def fit_trees(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, edges: list[np.ndarray] | None = None, **options) -> RuleTrees:
+    """Trees boosted on rows at hand, over quantile bins unless edges are given."""
+    edges = edges or [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
+    bins, score, done = _bins(x, edges), np.zeros(len(x)), 0
+
+    def sums(nodes: np.ndarray, values: np.ndarray, roots: list[int], bias: float, depth: int, level: int, front: list[int]) -> np.ndarray:
+        nonlocal score, done
+        score, done = score + _score(bins, nodes, values, roots[done:-1], depth), len(roots) - 1
+        return sum(_level_sums(bins[at : at + CHUNK_ROWS], y[at : at + CHUNK_ROWS], bias + score[at : at + CHUNK_ROWS], nodes, roots[-1], level, front) for at in range(0, len(x), CHUNK_ROWS))
+
+    return _boosted(sums, edges, y.mean(), monotone, **options)
+
+
+def quantile_edges(rows: DataFrame) -> list[np.ndarray]:
+    """Each feature's quantiles over all rows, from counts by cell of a fixed grid: some thousand cells a feature, however many rows."""
+    n = len(FEATURES)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [(np.asarray(batch.column(f), np.float32).view(np.uint32) >> _CELL).astype(np.int64) * n + k for k, f in enumerate(FEATURES)]
+            found, count = np.unique(np.concatenate(cells), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(count, pa.int64())], names=["cell", "n"])
+
+    counts = rows.select(*FEATURES).mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas().sort_values("cell")
+    cell, rows_in, edges = counts["cell"].to_numpy(), counts["n"].to_numpy(), []
+    for k in range(n):
+        own = cell % n == k
+        top, upto = ((((cell[own] // n) + 1) << _CELL) - 1).astype(np.uint32).view(np.float32).astype(float), np.cumsum(rows_in[own])
+        at = np.searchsorted(upto, np.linspace(0, 1, BINS + 1)[1:-1] * upto[-1], "left")
+        edges.append(np.unique(top[at]))
+    return edges
+
+
+def fit_spread_trees(rows: DataFrame, share: float, monotone: np.ndarray, **options) -> RuleTrees:
+    """fit_trees over a table of statistics and _quality, whose rows stay in their tasks: a job a level gives back sums."""
+    edges, n = quantile_edges(rows), len(FEATURES)
+
+    def chunk(rows: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for v in (rows[:, :n], rows[:, n])], names=["bins", "y"])
+
+    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, n + 1), np.uint8)
+        for batch in batches:
+            bins = _bins(np.stack([np.asarray(batch.column(f), float) for f in FEATURES], axis=1), edges)
+            held = np.vstack([held, np.column_stack([bins, np.asarray(batch.column("_quality")).astype(np.uint8)])])
+            while len(held) >= CHUNK_ROWS:
+                yield chunk(held[:CHUNK_ROWS])
+                held = held[CHUNK_ROWS:]
+        if len(held):
+            yield chunk(held)
+
+    table = written(rows.mapInArrow(binned, "bins binary, y binary"), "op4-bins")
+    table = table.coalesce(table.sparkSession.sparkContext.defaultParallelism)
+
+    def sums(nodes: np.ndarray, values: np.ndarray, roots: list[int], bias: float, depth: int, level: int, front: list[int]) -> np.ndarray:
+        shape, done = (len(front), 2, n, BINS), roots[:-1]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out = np.zeros(shape, np.int64)
+            for batch in batches:
+                for data, labels in zip(batch.column("bins"), batch.column("y"), strict=True):
+                    bins, y = np.frombuffer(data.as_py(), np.uint8).reshape(-1, n), np.frombuffer(labels.as_py(), np.uint8)
+                    out += _level_sums(bins, y, bias + _score(bins, nodes, values, done, depth), nodes, roots[-1], level, front)
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+        return sum(np.frombuffer(r["sums"], np.int64).reshape(shape) for r in table.mapInArrow(run, "sums binary").collect())  # a row a task, of tasks as many as cores
+
+    return _boosted(sums, edges, share, monotone, **options)
 
 
 def _trees(nodes: list[list], roots: list[int], depth: int, bias: float) -> RuleTrees:
@@ -195,21 +315,27 @@ def document_stats(docs: DataFrame, trees: RuleTrees | None = None, min_score: f
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> RuleTrees | None:
-    """Trees that tell quality 1 from 0; None when either is missing among the labels."""
-    sample = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
-    sample = F.broadcast(sampled(sample, "doc_id", sample_rows))
-    # a doc_id counts once, by its least text, however many rows it has
-    chosen = docs.select("doc_id", "text").join(sample, "doc_id").groupBy("doc_id", "_quality").agg(F.min("text").alias("text"))
-    rows = document_stats(chosen, keep_columns=["_quality"]).select("_quality", *FEATURES).toPandas()
-    y = rows["_quality"].to_numpy(float)
-    if len(set(y)) < 2:
+def fit_rules(docs: DataFrame, labels: DataFrame, local_rows: int = LOCAL_ROWS) -> RuleTrees | None:
+    """Trees that tell quality 1 from 0, from all labelled documents; None when either is missing among the labels."""
+    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+    texts = docs.select("doc_id", "text")
+    if known.count() <= MAX_BROADCAST_LABELS:
+        stats = document_stats(texts.join(F.broadcast(known), "doc_id"), keep_columns=["doc_id", "_quality"])
+    else:
+        stats = document_stats(texts).join(known, "doc_id")
+    # a doc_id counts once, by its least statistics, however many rows it has; no text is shuffled
+    once = stats.groupBy("doc_id").agg(F.min(F.struct(F.col("_quality").cast("int").alias("_quality"), *FEATURES)).alias("_r")).select("_r.*")
+    rows = written(once, "op4-features")
+    n, good = rows.agg(F.count("*"), F.sum("_quality")).first()
+    if not n or good in (0, n):
         return None
-    x = rows[list(FEATURES)].to_numpy(float)
-    order = np.lexsort([*x.T, y])  # the same trees whatever the order of the rows
-    return fit_trees(x[order], y[order], np.array([MONOTONE.get(f, 0) for f in FEATURES]))
+    monotone = np.array([MONOTONE.get(f, 0) for f in FEATURES])
+    if n > local_rows:
+        return fit_spread_trees(rows, good / n, monotone)
+    few = rows.toPandas()
+    return fit_trees(few[list(FEATURES)].to_numpy(float), few["_quality"].to_numpy(float), monotone)
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, min_score: float = 0.0) -> DataFrame:
+def quality_rules(docs: DataFrame, labels: DataFrame, local_rows: int = LOCAL_ROWS, min_score: float = 0.0) -> DataFrame:
     """doc_id, the counts, score, base_failed and kept of every document."""
-    return document_stats(docs, fit_rules(docs, labels, sample_rows), min_score)
+    return document_stats(docs, fit_rules(docs, labels, local_rows), min_score)

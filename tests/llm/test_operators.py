@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import random
 import re
 import zlib
 from collections import Counter
@@ -103,6 +104,26 @@ def test_tree_constraints():
         assert (sign * np.diff(trees.score(line)) >= -1e-9).all()
 
 
+def test_trees_of_many_labels_take_them_all(spark, monkeypatch):
+    """Labels beyond local_rows are not thinned out: the spread fit is that of all rows at hand, however they are dealt."""
+    monkeypatch.setattr(quality_rules, "CHUNK_ROWS", 37)
+    rng = random.Random(2)
+    word = lambda good: "".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))) + ("" if good or rng.random() < 0.8 else " #!|")
+    rows = [(k, " ".join(word(k % 3 > 0) for _ in range(rng.randrange(50, 90))), k % 3 > 0) for k in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(good)) for k, _, good in rows], "doc_id long, quality int")
+    stats = quality_rules.document_stats(docs.join(labels, "doc_id"), keep_columns=["doc_id", "quality"]).withColumnRenamed("quality", "_quality")
+    monotone = np.array([quality_rules.MONOTONE.get(f, 0) for f in quality_rules.FEATURES])
+    table = stats.toPandas()
+    x, y = table[list(quality_rules.FEATURES)].to_numpy(float), table["_quality"].to_numpy(float)
+    whole = quality_rules.fit_trees(x, y, monotone, quality_rules.quantile_edges(stats), trees=4)
+    for parts in (1, 3):
+        spread = quality_rules.fit_spread_trees(stats.repartition(parts), y.mean(), monotone, trees=4)
+        assert all(np.array_equal(getattr(spread, f), getattr(whole, f)) for f in ("feature", "threshold", "left", "right", "value", "roots"))
+    monkeypatch.setattr(quality_rules, "fit_spread_trees", lambda rows, *_: rows.count())
+    assert quality_rules.fit_rules(docs, labels, 50) == 300
+
+
 def _sets(words):
     out = []
     for t in _texts():
