@@ -39,6 +39,8 @@ FAN = 8
 NODE_BINS = 20_000
 #: Words whose ids a worker keeps; then it begins anew, and those of the last round that are met again are taken over.
 MAX_WORDS = 300_000
+#: Bytes of texts whose new words are learned together.
+GROUP_BYTES = 1 << 18
 _PARTS = re.compile(rb"([a-z\x80-\xff]+)([!-&(-/:-;=-@\[-`{-~]+)")
 _encoders: dict[str, WordEncoder] = {}
 
@@ -84,6 +86,9 @@ class WordEncoder:
         """Words of letters, and those with ASCII marks behind, by their letters; others one by one."""
         plain, marked = {}, []
         for word in words:
+            if word.isalpha():  # ASCII letters alone, as most are
+                plain[word] = None
+                continue
             parts = _PARTS.fullmatch(word)
             letters = parts[1] if parts else word
             if not letters.decode("utf-8", "replace").isalpha():
@@ -98,20 +103,20 @@ class WordEncoder:
             self.known[word] = self.known[letters] + self.part(marks)
 
     def ids(self, text: bytes) -> bytes:
-        if b"<|" in text:  # could name a special token, which is told by its case
-            return self.whole(text)
-        words = text.lower().replace(b"\n", b" ").split(b" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if len(known) > MAX_WORDS:
-                self.before, self.known = known, {}
-                known = self.known
-            new, before = [w for w in dict.fromkeys(words) if w not in known], self.before
-            known.update((w, before[w]) for w in new if w in before)
-            self.learn([w for w in new if w not in known])
-            return b"".join(map(known.__getitem__, words))
+        return self.all_ids([text])[0]
+
+    def all_ids(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; words that are new in any are learned at once."""
+        # "<|" could name a special token, which is told by its case
+        split = [None if b"<|" in t else t.lower().replace(b"\n", b" ").split(b" ") for t in texts]
+        if len(self.known) > MAX_WORDS:
+            self.before, self.known = self.known, {}
+        known, before = self.known, self.before
+        new = set().union(*(w for w in split if w is not None)).difference(known)
+        again = [w for w in new if w in before]
+        known.update(zip(again, map(before.__getitem__, again)))
+        self.learn(list(new.difference(again)))
+        return [self.whole(t) if words is None else b"".join(map(known.__getitem__, words)) for t, words in zip(texts, split, strict=True)]
 
 
 def encoder(path: str) -> WordEncoder:
@@ -121,6 +126,18 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def encoded(enc: WordEncoder, texts: pa.Array) -> Iterator[bytes]:
+    """Ids of each text, some texts of GROUP_BYTES together at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py() or b"")
+        size += len(held[-1])
+        if size >= GROUP_BYTES:
+            yield from enc.all_ids(held)
+            held, size = [], 0
+    yield from enc.all_ids(held)
+
+
 def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best fit, longest first: the bin and place of every item, and each bin's fill."""
     bins, places, fills = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), []
@@ -153,8 +170,8 @@ def tokenised(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int)
         doc, piece, start, length, crc = [], [], [], [], []
         for batch in tx.chunks(batches):
             texts = batch.column("text").cast(pa.large_binary())
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
-                ids = memoryview(enc.ids(text.as_py() or b"") + end)
+            for doc_id, found in zip(batch.column("doc_id").to_pylist(), encoded(enc, texts), strict=True):
+                ids = memoryview(found + end)
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     doc.append(doc_id)

@@ -591,3 +591,14 @@ def test_packing_learns_a_met_word_once_a_round(monkeypatch):
         assert own.ids(text) == plain.whole(text)
         assert len(own.known) <= 10 + 7
     assert learned.count(b"the") == learned.count(b"word") == 1
+
+
+def test_packing_learns_words_of_several_texts_together(monkeypatch):
+    monkeypatch.setattr(best_fit_packing, "GROUP_BYTES", 60)
+    own, plain, calls = best_fit_packing.WordEncoder(TOKENIZER), best_fit_packing.WordEncoder(TOKENIZER), []
+    learn = own.learn
+    monkeypatch.setattr(own, "learn", lambda words: (calls.append(words), learn(words)))
+    texts = [b"", b"The naive word", "na\u00efve, word! \u4e2d".encode(), b"x <|endoftext|> y", b"one\ntwo  three", None, b"Tail of it all"] * 3
+    found = list(best_fit_packing.encoded(own, best_fit_packing.pa.array(texts, best_fit_packing.pa.large_binary())))
+    assert found == [plain.whole(t or b"") for t in texts]
+    assert 1 < len(calls) < len(texts)
