@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.coords import five_end, on_plus, three_end_base
@@ -13,7 +15,10 @@ REF = "_ref"
 #: Columns of the reference that events carry.
 REF_COLS = ("gene_id", "transcript_id", "gene_name", "start", "end")
 Tables = tuple[dict[str, DataFrame], dict[str, DataFrame]]
-_BEST = [*(f"best.{c}{REF}" for c in REF_COLS), "best.extension", "best.region_rank"]
+
+
+def _best(carry: Sequence[str]) -> list[str]:
+    return [*(f"best.{c}{REF}" for c in carry), "best.extension", "best.region_rank"]
 
 
 def event_name(rank: Column, kind: str) -> Column:
@@ -21,27 +26,27 @@ def event_name(rank: Column, kind: str) -> Column:
     return F.concat(rank, F.lit(f"_exon_{kind}"))
 
 
-def within_five_end_tolerance(first_tolerance: int, other_tolerance: int, rank: str = "region_rank", suffix: str = REF) -> Column:
-    """Whether the 5' ends of a pair are as near as the rank of the reference region asks."""
-    apart = F.abs(five_end() - five_end("start" + suffix, "end" + suffix))
+def within_five_end_tolerance(first_tolerance: int, other_tolerance: int, rank: str = "region_rank", suffix: str = REF, apart: Column | None = None) -> Column:
+    """Whether the 5' ends of a pair, or those that are ``apart`` so far, are as near as the rank of the reference region asks."""
+    apart = F.abs(five_end() - five_end("start" + suffix, "end" + suffix)) if apart is None else apart
     return apart <= F.when(F.col(rank) == "first", first_tolerance).otherwise(other_tolerance)
 
 
-def three_end_matches(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
+def three_end_matches(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None, carry: Sequence[str] = REF_COLS) -> DataFrame:
     """Of each last exon that overlaps reference exons: in_exon, whether its last base is in one, and of the one that it extends least past the 3' end ``best``.
 
-    One overlap join serves both.  best has extension (may be negative), the reference's columns and
-    region_rank; equal extensions go to the nearest 5' end, then the reference transcript of the smaller id.
+    One overlap join serves both: of exons that share a base, those that hold the last one are those not
+    extended.  best has extension (may be negative), the reference's columns of ``carry`` and region_rank;
+    equal extensions go to the nearest 5' end, then the reference transcript of the smaller id.
     """
     ranked = "region_rank" in ref_exons.columns
-    ref = ref_exons.select("chrom", "strand", *REF_COLS, (F.col("region_rank") if ranked else F.lit(None).cast("string")).alias("region_rank"))
+    ref = ref_exons.select("chrom", "strand", *dict.fromkeys(("transcript_id", "start", "end", *carry)), (F.col("region_rank") if ranked else F.lit(None).cast("string")).alias("region_rank"))
     pairs = overlap_join(last_exons.select(id_col, "chrom", "strand", "start", "end"), ref, bin_size=bin_size)
-    base = F.when(on_plus(), F.col("end") - 1).otherwise(F.col("start"))
     extension = F.when(on_plus(), F.col("end") - F.col("end" + REF)).otherwise(F.col("start" + REF) - F.col("start"))
     apart = F.abs(five_end() - five_end("start" + REF, "end" + REF))
-    more = [c + REF for c in REF_COLS if c not in ("transcript_id", "start")]
+    more = [c + REF for c in carry if c not in ("transcript_id", "start")]
     best = F.min(F.struct(extension.alias("extension"), apart.alias("apart"), F.col("transcript_id" + REF), F.col("start" + REF), *more, F.col("region_rank" + REF).alias("region_rank")))
-    return pairs.groupBy(id_col).agg(F.max((F.col("start" + REF) <= base) & (base < F.col("end" + REF))).alias("in_exon"), best.alias("best"))
+    return pairs.groupBy(id_col).agg(best.alias("best")).select(id_col, (F.col("best.extension") <= 0).alias("in_exon"), "best")
 
 
 def no_three_end_overlap(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
@@ -52,12 +57,12 @@ def no_three_end_overlap(last_exons: DataFrame, ref_exons: DataFrame, id_col: st
 
 def shortest_extension(last_exons: DataFrame, ref_exons: DataFrame, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
     """Each last exon's overlapping reference exon that it extends least past the 3' end: extension (may be negative), the reference's columns and region_rank."""
-    return last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size), id_col).select(*last_exons.columns, *_BEST)
+    return last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size), id_col).select(*last_exons.columns, *_best(REF_COLS))
 
 
-def _reason(min_length: int, first_tolerance: int, other_tolerance: int, tolerance_filter: bool) -> Column:
+def _reason(min_length: int, first_tolerance: int, other_tolerance: int, tolerance_filter: bool, apart: Column | None = None) -> Column:
     """Why an extension is rejected; null if it is not."""
-    near = within_five_end_tolerance(first_tolerance, other_tolerance) if tolerance_filter else F.lit(True)
+    near = within_five_end_tolerance(first_tolerance, other_tolerance, apart=apart) if tolerance_filter else F.lit(True)
     return F.when(F.col("extension") < min_length, "length").when(~near, "five_end")
 
 
@@ -68,21 +73,26 @@ def extension_events(last_exons: DataFrame, ref_exons: DataFrame, min_length: in
     return found.withColumns({"reject_reason": reason, "event_type": F.when(reason.isNull(), event_name(F.col("region_rank"), "extension"))}).drop("region_rank")
 
 
-def classified_last_exons(last_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
-    """Every last exon with in_exon, whether its last base is in a reference exon, and else its extension with reject_reason or event_type; nulls if it extends none."""
-    own = last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size), id_col, "left").withColumn("in_exon", F.coalesce("in_exon", F.lit(False)))
+def classified_last_exons(last_exons: DataFrame, ref_exons: DataFrame, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None, carry: Sequence[str] = REF_COLS) -> DataFrame:
+    """Every last exon with in_exon, whether its last base is in a reference exon, and else its extension with the reference's columns of ``carry`` and reject_reason or event_type; nulls if it extends none."""
+    own = last_exons.join(three_end_matches(last_exons, ref_exons, id_col, bin_size, carry), id_col, "left").withColumn("in_exon", F.coalesce("in_exon", F.lit(False)))
     extends = ~F.col("in_exon") & (F.col("best.extension") >= 1)
-    flat = own.withColumn("best", F.when(extends, F.col("best"))).select(*last_exons.columns, "in_exon", *_BEST)
-    reason = _reason(min_length, first_tolerance, other_tolerance, tolerance_filter)
-    return flat.withColumns({"reject_reason": reason, "event_type": F.when(F.col("extension").isNotNull() & reason.isNull(), event_name(F.col("region_rank"), "extension"))}).drop("region_rank")
+    flat = own.withColumn("best", F.when(extends, F.col("best"))).select(*last_exons.columns, "in_exon", *_best(carry), F.col("best.apart").alias("_apart"))
+    reason = _reason(min_length, first_tolerance, other_tolerance, tolerance_filter, F.col("_apart"))
+    return flat.withColumns({"reject_reason": reason, "event_type": F.when(F.col("extension").isNotNull() & reason.isNull(), event_name(F.col("region_rank"), "extension"))}).drop("region_rank", "_apart")
 
 
-def spliced_events(last_introns: DataFrame, ref_introns: DataFrame, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None) -> DataFrame:
-    """Pairs of a last intron and a reference intron that it overlaps, with the same 5' splice site if filtered; event_type by the reference's ranks."""
+def spliced_events(last_introns: DataFrame, ref_introns: DataFrame, tolerance_filter: bool = True, id_col: str = TX, bin_size: int | None = None, how: str = "inner") -> DataFrame:
+    """Pairs of a last intron and a reference intron that it overlaps, with the same 5' splice site if filtered; event_type by the reference's ranks.
+
+    With how ``left``, of filtered pairs alone, last introns without a pair stay, with nulls.
+    """
+    if how != "inner" and not tolerance_filter:
+        raise ValueError("pairs that merely overlap are joined inner")
     ref = ref_introns.select("chrom", "strand", *REF_COLS, "region_rank")
     if tolerance_filter:  # introns that begin at one base overlap, so this is an equi-join
         other = ref.select(*(F.col(c) if c in ("chrom", "strand") else F.col(c).alias(c + REF) for c in ref.columns)).withColumn("_site", five_end("start" + REF, "end" + REF))
-        pairs = last_introns.withColumn("_site", five_end()).join(other, ["_site", "chrom", "strand"]).drop("_site")
+        pairs = last_introns.withColumn("_site", five_end()).join(other, ["_site", "chrom", "strand"], how).drop("_site")
     else:
         pairs = overlap_join(last_introns, ref, bin_size=bin_size)
     return pairs.withColumn("event_type", event_name(F.col("region_rank" + REF), "spliced")).drop("region_rank" + REF)
@@ -103,14 +113,14 @@ def novel_last_exons(novel_exons: DataFrame | None, ref_exons: DataFrame | None,
     return novel_and_rejected(novel_exons, ref_exons, min_length, first_tolerance, other_tolerance, extension_filter, spliced_filter, exclude_five_end_failures, bin_size, tables)[0]
 
 
-def novel_and_rejected(novel_exons: DataFrame | None, ref_exons: DataFrame | None, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None, tables: Tables | None = None) -> tuple[DataFrame, DataFrame]:
-    """novel_last_exons, and why each other transcript was rejected; both read one table of classified last exons.
+def novel_and_rejected(novel_exons: DataFrame | None, ref_exons: DataFrame | None, min_length: int = 100, first_tolerance: int = 100, other_tolerance: int = 0, extension_filter: bool = True, spliced_filter: bool = True, exclude_five_end_failures: bool = False, bin_size: int | None = None, tables: Tables | None = None, carry: Sequence[str] = ("gene_id", "transcript_id", "gene_name")) -> tuple[DataFrame, DataFrame]:
+    """novel_last_exons, with the matching reference's columns of ``carry``, and why each other transcript was rejected; both read one table of classified last exons.
 
     ``tables`` are the exon_intron_tables of novel and reference, if a caller has them; the exons may be None then.
     """
     novel, ref = tables or (exon_intron_tables(novel_exons, write=True), exon_intron_tables(ref_exons, write=True))
-    keep, meta = ["transcript_id", "chrom", "strand", "start", "end"], ["gene_id_ref", "transcript_id_ref", "gene_name_ref"]
-    last = written(classified_last_exons(novel["last_exons"].select(*keep), ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size), "last-exons")
+    keep, meta = ["transcript_id", "chrom", "strand", "start", "end"], [c + REF for c in carry]
+    last = written(classified_last_exons(novel["last_exons"].select(*keep), ref["exons"], min_length, first_tolerance, other_tolerance, extension_filter, bin_size=bin_size, carry=carry), "last-exons")
     gone = F.coalesce(F.col("reject_reason") == "length", F.lit(False)) if extension_filter else F.lit(False)
     if exclude_five_end_failures:
         gone = gone | F.coalesce(F.col("reject_reason") == "five_end", F.lit(False))
@@ -128,7 +138,7 @@ def novel_and_rejected(novel_exons: DataFrame | None, ref_exons: DataFrame | Non
 
 def rejections(novel_exons: DataFrame | None, ref_exons: DataFrame | None, *args, **options) -> DataFrame:
     """Why each transcript that has no event was rejected."""
-    return novel_and_rejected(novel_exons, ref_exons, *args, **options)[1]
+    return novel_and_rejected(novel_exons, ref_exons, *args, **options, carry=())[1]
 
 
 def not_last_regions(regions: DataFrame, id_col: str = TX) -> DataFrame:
@@ -144,14 +154,19 @@ def reference_event_types(ref_exons: DataFrame | None, extension_string: str | N
     Only last exons whose 3' end is in no first or internal exon have one; those of transcripts
     whose id contains extension_string are last_exon_extension.
     """
-    own, keep = tables or exon_intron_tables(ref_exons, write=True), ["transcript_id", "chrom", "strand", "start", "end"]
+    return typed_last_exons(ref_exons, (), extension_string, bin_size, tables)
+
+
+def typed_last_exons(ref_exons: DataFrame | None, more: Sequence[str], extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    """reference_event_types with the columns ``more`` of the last exons, which classified rows keep, so that nothing is joined to get them back."""
+    own, place = tables or exon_intron_tables(ref_exons, write=True), ["chrom", "strand", "start", "end"]
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
-    last = written(classified_last_exons(own["last_exons"].select(*keep), exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size).where("not in_exon").select("transcript_id", "event_type"), "last-exons")
-    extended = last.where("event_type is not null")
-    left = own["last_introns"].select(*keep).join(last.where("event_type is null").select("transcript_id"), "transcript_id", "left_semi")
-    spliced = event_types_by_id(spliced_events(left, gaps, bin_size=bin_size)).withColumnRenamed("event_type", "_spliced")
-    rest = left.select("transcript_id").join(spliced, "transcript_id", "left").select("transcript_id", F.coalesce("_spliced", F.lit("last_exon_spliced")).alias("event_type"))
-    out = extended.unionByName(rest)
+    ends = own["last_exons"].select(*dict.fromkeys(["transcript_id", *place, *more]))
+    last = written(classified_last_exons(ends, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size, carry=()).where("not in_exon").select("transcript_id", *more, "event_type"), "last-exons")
+    left = own["last_introns"].select("transcript_id", *place).join(last.where("event_type is null").select("transcript_id"), "transcript_id", "left_semi")
+    spliced = event_types_by_id(spliced_events(left, gaps, bin_size=bin_size, how="left")).select("transcript_id", F.when(F.col("event_type") == "", "last_exon_spliced").otherwise(F.col("event_type")).alias("_spliced"))
+    typed = last.join(spliced, "transcript_id", "left")
+    out = typed.withColumn("event_type", F.coalesce("event_type", "_spliced")).where("event_type is not null").drop("_spliced")
     return forced_extensions(out, extension_string) if extension_string else out
 
 

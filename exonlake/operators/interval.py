@@ -201,13 +201,17 @@ def merge(df: DataFrame, by: Sequence[str] = KEYS, bin_size: int | None = BIN) -
 
 
 def gaps(mask: DataFrame, bounds: DataFrame, by: Sequence[str] = KEYS, bin_size: int = BIN) -> DataFrame:
-    """by, start and end of what mask leaves of each key's bounds (by, low, high); keys without mask are one gap."""
-    islands = written(merge(mask, by, bin_size), "islands")
-    following = running(islands, by, ["start"], {"_next": F.col("start")}, bin_size, backward=True)
-    lows = islands.groupBy(*by).agg(F.min("start").alias("_first"))
-    joined = following.join(bounds, list(by)).select(*by, F.col("end").alias("start"), F.coalesce("_next", "high").alias("end"))
-    heads = bounds.join(lows, list(by), "left").select(*by, F.col("low").alias("start"), F.coalesce("_first", "high").alias("end"))
-    return joined.unionByName(heads).where("start < end")
+    """by, start and end of what mask leaves of each key's bounds (by, low, high); keys without mask are one gap.
+
+    A gap ends where a row begins past the reach of all rows before it, so one pass finds them, and
+    islands need not be named first.
+    """
+    seen = running(mask.select(*by, "start", "end"), by, ["start", "end"], {"_reach": F.col("end")}, bin_size)
+    between = seen.where("start > _reach").join(bounds.select(*by), list(by), "left_semi").select(*by, F.col("_reach").alias("start"), F.col("start").alias("end"))
+    edges = bounds.join(mask.groupBy(*by).agg(F.min("start").alias("_first"), F.max("end").alias("_last")), list(by), "left")
+    heads = edges.select(*by, F.col("low").alias("start"), F.coalesce("_first", "high").alias("end"))
+    tails = edges.select(*by, F.col("_last").alias("start"), F.col("high").alias("end"))
+    return between.unionByName(heads).unionByName(tails).where("start < end")
 
 
 def subtract(left: DataFrame, mask: DataFrame, id_col: str, by: Sequence[str] = KEYS, bin_size: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from .collapse import collapse_metadata
 from .interval import BIN, number_islands
 
 GENE = ("chrom", "strand", "ref_gene_id")
-#: Numbers of a gene's last exons that one window goes over.
+#: Last exons of a gene, or numbers of them, that one window goes over; larger genes go by bins.
 NUMBERS = 4096
 
 
@@ -68,9 +68,38 @@ def le_id() -> Column:
 
 
 def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int = BIN) -> DataFrame:
-    """Adds le_number and le_id; df is written first, as numbering reads it several times."""
-    own = number_last_exons(written(df, "last-exons"), bin_size)
-    return (renumber_extensions(written(own, "numbered")) if extensions else own).withColumn("le_id", le_id())
+    """Adds le_number and le_id; df is written first, as numbering reads it several times.
+
+    Genes of few rows are numbered by windows over one shuffle; those of more than NUMBERS rows, and
+    the rows without a gene if they are so many, by bins.
+    """
+    rows = written(df, "last-exons")
+    large = rows.groupBy(*GENE).agg(F.count("*").alias("_n")).where(F.col("_n") > NUMBERS).select(*(F.col(c).alias(f"_g_{c}") for c in GENE))
+    large = written(large, "large-genes")
+    if large.isEmpty():
+        return _number_small_genes(rows, extensions).withColumn("le_id", le_id())
+    binned = number_last_exons(written(rows.join(large, _same("_g_", GENE), "left_semi"), "large"), bin_size)
+    binned = renumber_extensions(written(binned, "numbered")) if extensions else binned
+    rest = _number_small_genes(rows.join(large, _same("_g_", GENE), "left_anti"), extensions)
+    return rest.unionByName(binned).withColumn("le_id", le_id())
+
+
+def _number_small_genes(df: DataFrame, extensions: bool, key: str = "last_exon_extension") -> DataFrame:
+    """number_last_exons, and renumber_extensions if so, by windows over whole genes."""
+    whole, edge = Window.partitionBy(*reversed(GENE)), Window.unboundedPreceding
+    along = whole.orderBy("start", "end")
+    own = df.withColumn("_reach", F.max("end").over(along.rowsBetween(edge, -1)))
+    own = own.withColumn("_open", (F.col("_reach").isNull() | (F.col("start") > F.col("_reach"))).cast("int"))
+    own = own.withColumn("_k", F.sum("_open").over(along.rowsBetween(edge, 0)))
+    own = own.withColumn("_islands", F.sum("_open").over(whole))
+    number = F.when(on_plus(), F.col("_k")).otherwise(F.col("_islands") - F.col("_k") + 1)
+    if extensions:
+        own = own.withColumn("_ext", F.coalesce(F.col("event_type").contains(key), F.lit(False)).cast("int"))
+        own = own.withColumn("_any", F.max("_ext").over(Window.partitionBy(*reversed(GENE), "_k")))
+        once = F.sum(F.col("_any") * F.col("_open"))  # one row of an island opens it
+        own = own.withColumns({"_upto": once.over(whole.orderBy("_k").rangeBetween(edge, 0)), "_all": once.over(whole)})
+        number = number + F.when(on_plus(), F.col("_upto") - F.col("_any")).otherwise(F.col("_all") - F.col("_upto")) + F.col("_ext")
+    return own.withColumn("le_number", number.cast("int")).select(*df.columns, "le_number")
 
 
 def metagenes(novel: DataFrame, reference: DataFrame, order: Sequence[str] = ("chrom", "strand", "start", "end", "transcript_id")) -> tuple[DataFrame, DataFrame]:
@@ -98,7 +127,7 @@ def genes_with_choice(df: DataFrame, count: str = "rows") -> DataFrame:
 
 def id_maps(df: DataFrame) -> dict[str, DataFrame]:
     """tx2le, tx2gene, le2gene and le2genename, of genes with several rows."""
-    rows = genes_with_choice(df)
+    rows = genes_with_choice(df).select("transcript_id", "le_id", "ref_gene_id", "ref_gene_name").distinct()  # one table for all maps, so that they share its work
     return {
         "tx2le": rows.select("transcript_id", "le_id").distinct(),
         "tx2gene": rows.select("transcript_id", F.col("ref_gene_id").alias("gene_id")).distinct(),

@@ -59,8 +59,8 @@ def combined_annotation(novel: DataFrame | None, ref_exons: DataFrame | None, no
     the four id maps and info.  ``tables`` are the exon_intron_tables of the reference, if a caller has them.
     """
     own = tables or structure.exon_intron_tables(ref_exons, write=True)
-    types = events.reference_event_types(ref_exons, extension_string, bin_size, own)
-    ref = own["last_exons"].join(types, "transcript_id").withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})
+    typed = events.typed_last_exons(ref_exons, ("chrom", "strand", "start", "end", "gene_id", "gene_name"), extension_string, bin_size, own)
+    ref = typed.withColumnsRenamed({"gene_id": "ref_gene_id", "gene_name": "ref_gene_name"})
     cols = ["transcript_id", "chrom", "strand", "start", "end", "event_type", "ref_gene_id", "ref_gene_name"]
     ref = ref.select(*cols)
     if novel is not None:
@@ -128,12 +128,12 @@ def merge_experiments(rows: DataFrame, min_delta: float | None = None, bin_size:
 
 def match_across_samples(exons: DataFrame, bin_size: int = BIN) -> DataFrame:
     """sample, transcript_id and merged_id: transcripts of one intron chain are one, single exons are one where they overlap."""
-    own = exons.withColumn("_t", F.struct("sample", "transcript_id"))
-    chains = written(structure.intron_chains(own, "_t"), "chains")
-    many = chains.where("intron_chain is not null").select("_t", F.concat_ws(":", "chrom", "strand", "intron_chain").alias("merged_id"))
-    single = structure.spans(own, "_t").join(chains.where("intron_chain is null").select("_t"), "_t", "left_semi")
-    one = cluster(written(single, "single"), KEYS, "_island", bin_size).select("_t", F.concat_ws(":", "chrom", "strand", "_island").alias("merged_id"))
-    return many.unionByName(one).select("_t.sample", "_t.transcript_id", "merged_id")
+    own = ["sample", "transcript_id"]
+    found = written(structure.shapes(exons, own[::-1]), "shapes")  # what tells most rows apart leads
+    many = found.where("intron_chain is not null").select(*own, F.concat_ws(":", "chrom", "strand", "intron_chain").alias("merged_id"))
+    single = found.where("intron_chain is null").drop("intron_chain")
+    one = cluster(single, KEYS, "_island", bin_size).select(*own, F.concat_ws(":", "chrom", "strand", "_island").alias("merged_id"))
+    return many.unionByName(one)
 
 
 MODES = ("identify", "provided", "precomputed")

@@ -105,7 +105,7 @@ def shortest_extension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_EVENTS} SELECT transcript_id, ext AS extension, coalesce(reason, 'none') AS reject_reason, CASE WHEN reason IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM ext")
 def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     last, ref = _last_and_ref(spark, sf_dir)
-    found = events.classified_last_exons(last, ref, **_OPTIONS).where("extension is not null")  # known where the 3' end is in no exon
+    found = events.classified_last_exons(last, ref, **_OPTIONS, carry=()).where("extension is not null")  # known where the 3' end is in no exon
     return found.select("transcript_id", "extension", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
@@ -113,7 +113,7 @@ def extension_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT transcript_id, coalesce(why, 'none') AS reject_reason, CASE WHEN why IS NULL THEN ref_rank || '_exon_extension' ELSE 'none' END AS event_type FROM x""")
 def extension_events_tolerances(spark: SparkSession, sf_dir: str) -> DataFrame:
     last, ref = _last_and_ref(spark, sf_dir)
-    found = events.classified_last_exons(last, ref, 50, 60, 5).where("extension is not null")
+    found = events.classified_last_exons(last, ref, 50, 60, 5, carry=()).where("extension is not null")
     return found.select("transcript_id", F.coalesce("reject_reason", F.lit("none")).alias("reject_reason"), F.coalesce("event_type", F.lit("none")).alias("event_type"))
 
 
@@ -228,8 +228,8 @@ le AS (SELECT ln.*, CAST(ln.num + ls.sh + CASE WHEN isx THEN 1 ELSE 0 END AS BIG
 
 def _ref_le(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = ad.ref_tables(spark, sf_dir)
-    last = tables["last_exons"].join(events.reference_event_types(None, tables=tables), "transcript_id")
-    return written(le.with_le_ids(last.withColumns({"ref_gene_id": F.col("gene_id"), "ref_gene_name": F.col("gene_name")})), "last-exon-ids")
+    last = events.typed_last_exons(None, ("chrom", "strand", "start", "end", "gene_id", "gene_name"), tables=tables)
+    return le.with_le_ids(last.withColumnsRenamed({"gene_id": "ref_gene_id", "gene_name": "ref_gene_name"}))
 
 
 @query(f"WITH {_LE} SELECT transcript_id, event_type, le_number, le_id FROM le")
@@ -240,7 +240,7 @@ def last_exon_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_LE}, many AS (SELECT * FROM le WHERE gene_id IN (SELECT gene_id FROM le GROUP BY gene_id HAVING count(*) > 1)) SELECT DISTINCT 'tx2le' AS map, transcript_id AS a, le_id AS b FROM many UNION ALL SELECT DISTINCT 'tx2gene', transcript_id, gene_id FROM many UNION ALL SELECT DISTINCT 'le2gene', le_id, gene_id FROM many UNION ALL SELECT DISTINCT 'le2genename', le_id, gene_name FROM many")
 def id_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for name, df in le.id_maps(_ref_le(spark, sf_dir)).items():
+    for name, df in le.id_maps(written(_ref_le(spark, sf_dir), "last-exon-ids")).items():
         part = df.toDF("a", "b").select(F.lit(name).alias("map"), "a", "b")
         out = part if out is None else out.unionByName(part)
     return out
@@ -249,7 +249,7 @@ def id_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_LE}, many AS (SELECT * FROM le WHERE gene_id IN (SELECT gene_id FROM le GROUP BY gene_id HAVING count(*) > 1))
 SELECT le_id, string_agg(transcript_id, ',' ORDER BY s, e, transcript_id) AS transcripts, count(*) AS n FROM many GROUP BY le_id""")
 def collapse_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = le.info_table(_ref_le(spark, sf_dir))
+    info = le.info_table(written(_ref_le(spark, sf_dir), "last-exon-ids"))
     rows = collapse.collapse_metadata(info.withColumn("_one", F.lit(1)), "le_id", ["start", "end", "transcript_id"], all_values=["transcript_id"])
     return rows.select("le_id", F.col("transcript_id").alias("transcripts"), F.size(F.split("transcript_id", ",")).cast("long").alias("n"))
 
@@ -580,7 +580,7 @@ qv AS (SELECT gene_id, least(1.0, false_ones / upto) AS gene_q FROM gc JOIN gq U
 SELECT gene_id, le_id, round(pvalue, 9) AS pvalue, round(padj, 9) AS padj, round(gene_q, 9) AS gene_q, {', '.join(f"array_to_string({_once(f'l_{c}')}, ',') AS {c}" for c in _INFO_COLS)}, CAST(0.25 AS DOUBLE) AS mean_base, CAST(0.5 AS DOUBLE) AS mean_treatment, CAST(0.25 AS DOUBLE) AS delta
 FROM lists JOIN bh USING (le_id) JOIN qv USING (gene_id)""")
 def annotated_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    info = le.info_table(_ref_le(spark, sf_dir))
+    info = le.info_table(written(_ref_le(spark, sf_dir), "last-exon-ids"))
     p = info.groupBy("le_id", "gene_id").agg(((F.min("start") * 7919 % 9973 + 1) / 9974.0).alias("pvalue"))
     means = p.select("le_id", "gene_id", F.lit(0.25).alias("mean_base"), F.lit(0.5).alias("mean_treatment"), F.lit(0.25).alias("delta"))
     rows = jobs.annotated_results(jobs.adjusted_results(p), info, means)

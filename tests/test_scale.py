@@ -191,3 +191,67 @@ def test_what_is_read_often_is_worked_out_once(spark, sf_dir):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, alone.collect()))
     rows = novel["last_exons"].select("chrom", "strand", "start", "end").withColumns({"experiment_id": F.lit("x"), "event_type": F.lit("y"), "delta": F.lit(0.5)})
     assert "Window" not in plan(jobs.merge_experiments(rows)["merged"])
+
+
+def test_small_genes_and_gaps_take_one_pass(spark, monkeypatch):
+    """Nothing is written between, as passes by bins need, where genes are small; gaps need no named islands."""
+    rng = random.Random(4)
+    rows = [(f"t{k}", "c", "+-"[g % 2], f"g{g}", s, s + rng.choice([0, 3, 10, 200]), rng.choice(["last_exon_extension", "last_exon_spliced", None])) for k in range(900) for g in [rng.randrange(60)] for s in [rng.randrange(900)]]
+    df = spark.createDataFrame(rows, SPANS)
+
+    def refused(df, name):
+        raise AssertionError(f"{name} is written")
+
+    monkeypatch.setattr(interval, "written", refused)
+    got = {r["transcript_id"]: r["le_number"] for r in last_exons.with_le_ids(df).collect()}
+    assert got == brute_numbers(rows)
+    plain = {r["transcript_id"]: r["le_number"] for r in last_exons.with_le_ids(df, extensions=False).collect()}
+    assert plain == brute_numbers([(*r[:6], None) for r in rows])
+    schema = "chrom string, strand string, start long, end long"
+    mask = [("c", "+", s, s + rng.randrange(60)) for s in (rng.randrange(20_000) for _ in range(400))] + [("only", "+", 3, 4)]
+    bounds = spark.createDataFrame([("c", "+", -5, 30_000), ("d", "-", 2, 9)], "chrom string, strand string, low long, high long")
+    covered = {x for c, _, s, e in mask if c == "c" for x in range(s, e)}
+    left = interval.gaps(spark.createDataFrame(mask, schema), bounds, bin_size=512).collect()
+    assert {(r["chrom"], r["strand"]) for r in left} == {("c", "+"), ("d", "-")}
+    free = [x for r in left if r["chrom"] == "c" for x in range(r["start"], r["end"])]
+    assert sorted(free) == [x for x in range(-5, 30_000) if x not in covered]
+
+
+def test_matches_carry_only_what_is_asked(spark, sf_dir):
+    novel, ref = ad.side_tables(spark, sf_dir)
+    last = novel["last_exons"].select("transcript_id", "chrom", "strand", "start", "end")
+    plain, full = (events.classified_last_exons(last, ref["exons"], 50, 60, 5, **more) for more in ({"carry": ()}, {}))
+    cols = ["transcript_id", "in_exon", "extension", "reject_reason", "event_type"]
+    assert plain.columns == [*last.columns, *cols[1:]]
+    assert sorted(map(str, plain.select(*cols).collect())) == sorted(map(str, full.select(*cols).collect()))
+    typed = events.typed_last_exons(None, ("gene_id", "start"), tables=ref)
+    types = events.reference_event_types(None, tables=ref)
+    joined = ref["last_exons"].select("transcript_id", "gene_id", "start").join(types, "transcript_id")
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_transcripts_take_one_sort(spark):
+    """Shapes from one shuffle, also of exons that overlap or begin alike, as brute force gives them; no frame of ranges merges regions."""
+    rng = random.Random(9)
+    rows = [(f"t{k % 90}", "c", "+", s, s + rng.choice([0, 5, 40])) for k in range(700) for s in [rng.randrange(60) * 10]] + [("one", "c", "-", 3, 9)]
+    df = spark.createDataFrame(rows, "transcript_id string, chrom string, strand string, start long, end long")
+    found = structure.shapes(df)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+    want = {}
+    for t in {r[0] for r in rows}:
+        own = sorted(r[3:] for r in rows if r[0] == t)
+        reach, chain = own[0][1], []
+        for s, e in own:
+            if s > reach:
+                chain.append(f"{reach}-{s}")
+            reach = max(reach, e)
+        want[t] = (own[0][0], reach, ",".join(chain) or None)
+    assert {r["transcript_id"]: (r["start"], r["end"], r["intron_chain"]) for r in found.collect()} == want
+    merged = structure.merged_structure(df.drop("chrom"))
+    assert "RangeFrame" not in merged._jdf.queryExecution().analyzed().toString()
+    got = {}
+    for r in sorted(merged.collect(), key=lambda r: r["start"]):
+        got.setdefault(r["transcript_id"], []).append((r["start"], r["end"]))
+    for t, spans in got.items():
+        assert (spans[0][0], spans[-1][1]) == want[t][:2] and (",".join(f"{a[1]}-{b[0]}" for a, b in zip(spans, spans[1:])) or None) == want[t][2]
