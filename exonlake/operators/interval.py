@@ -66,7 +66,7 @@ def fitted(left: DataFrame, right: DataFrame, bin_size: int | None = None) -> tu
             if 2 * seen >= sum(side.values()):
                 total += 1 << length
                 break
-    width = min(max(1 << max(total - 1, 1).bit_length() - 1, MIN_WIDTH), MAX_WIDTH)
+    width = min(max(1 << max(total - 1, 1).bit_length(), MIN_WIDTH), MAX_WIDTH)
     level = lambda length: next((k for k in range(LEVELS - 1) if 1 << length <= width * FACTOR ** (k + 1)), LEVELS - 1)
     return width, {level(x) for x in counts[0]}, {level(x) for x in counts[1]}
 

@@ -127,7 +127,7 @@ def genes_with_choice(df: DataFrame, count: str = "rows") -> DataFrame:
 
 def id_maps(df: DataFrame) -> dict[str, DataFrame]:
     """tx2le, tx2gene, le2gene and le2genename, of genes with several rows."""
-    rows = genes_with_choice(df).select("transcript_id", "le_id", "ref_gene_id", "ref_gene_name").distinct()  # one table for all maps, so that they share its work
+    rows = genes_with_choice(df)
     return {
         "tx2le": rows.select("transcript_id", "le_id").distinct(),
         "tx2gene": rows.select("transcript_id", F.col("ref_gene_id").alias("gene_id")).distinct(),
@@ -136,6 +136,13 @@ def id_maps(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def id_map_rows(df: DataFrame) -> DataFrame:
+    """All rows of the id_maps with the name of their map: map, a and b; for callers of all maps, as genes are looked up once."""
+    maps = {"tx2le": ("transcript_id", "le_id"), "tx2gene": ("transcript_id", "ref_gene_id"), "le2gene": ("le_id", "ref_gene_id"), "le2genename": ("le_id", "ref_gene_name")}
+    each = F.array(*(F.struct(F.lit(name).alias("map"), F.col(a).alias("a"), F.col(b).alias("b")) for name, (a, b) in maps.items()))
+    return genes_with_choice(df).select(F.inline(each)).distinct()
+
+
 def info_table(df: DataFrame, novel_prefix: str = "novel") -> DataFrame:
     """One row a transcript and last exon of genes with several rows, with place, event and annotation status."""
     rows = genes_with_choice(df)

@@ -239,11 +239,7 @@ def last_exon_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_LE}, many AS (SELECT * FROM le WHERE gene_id IN (SELECT gene_id FROM le GROUP BY gene_id HAVING count(*) > 1)) SELECT DISTINCT 'tx2le' AS map, transcript_id AS a, le_id AS b FROM many UNION ALL SELECT DISTINCT 'tx2gene', transcript_id, gene_id FROM many UNION ALL SELECT DISTINCT 'le2gene', le_id, gene_id FROM many UNION ALL SELECT DISTINCT 'le2genename', le_id, gene_name FROM many")
 def id_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = None
-    for name, df in le.id_maps(written(_ref_le(spark, sf_dir), "last-exon-ids")).items():
-        part = df.toDF("a", "b").select(F.lit(name).alias("map"), "a", "b")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return le.id_map_rows(written(_ref_le(spark, sf_dir), "last-exon-ids"))
 
 
 @query(f"""WITH {_LE}, many AS (SELECT * FROM le WHERE gene_id IN (SELECT gene_id FROM le GROUP BY gene_id HAVING count(*) > 1))

@@ -255,3 +255,17 @@ def test_transcripts_take_one_sort(spark):
         got.setdefault(r["transcript_id"], []).append((r["start"], r["end"]))
     for t, spans in got.items():
         assert (spans[0][0], spans[-1][1]) == want[t][:2] and (",".join(f"{a[1]}-{b[0]}" for a, b in zip(spans, spans[1:])) or None) == want[t][2]
+
+
+def test_all_id_maps_look_genes_up_once(spark):
+    rows = [("t1", "c", "+", "g1", "N1", "g1_1"), ("t2", "c", "+", "g1", "N1", "g1_2"), ("t2", "c", "+", "g1", "N1", "g1_2"), ("t3", "c", "-", "g2", None, "g2_1"), ("t4", "d", "+", None, "N", None), ("t5", "d", "+", None, None, "x")]
+    df = spark.createDataFrame(rows, "transcript_id string, chrom string, strand string, ref_gene_id string, ref_gene_name string, le_id string")
+    found = last_exons.id_map_rows(df)
+    want = [(name, *r) for name, own in last_exons.id_maps(df).items() for r in own.collect()]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1
+
+
+def test_bins_hold_both_median_lengths(spark):
+    rows = spark.range(64).selectExpr("'c' chrom", "'+' strand", "id * 50 start", "id * 50 + 100 end")
+    assert interval.fitted(rows, rows)[0] == 256  # 128 had four copies of a row where 256 has three
