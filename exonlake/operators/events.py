@@ -14,6 +14,8 @@ from .structure import TX, exon_intron_tables, internal_regions, terminal_region
 REF = "_ref"
 #: Columns of the reference that events carry.
 REF_COLS = ("gene_id", "transcript_id", "gene_name", "start", "end")
+#: Ranks of regions that are not last, in the order of their events' names.
+NOT_LAST = ("first", "internal")
 Tables = tuple[dict[str, DataFrame], dict[str, DataFrame]]
 
 
@@ -159,14 +161,15 @@ def reference_event_types(ref_exons: DataFrame | None, extension_string: str | N
 
 def typed_last_exons(ref_exons: DataFrame | None, more: Sequence[str], extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """reference_event_types with the columns ``more`` of the last exons, which classified rows keep, so that nothing is joined to get them back."""
-    own, place = tables or exon_intron_tables(ref_exons, write=True), ["chrom", "strand", "start", "end"]
+    own, keep = tables or exon_intron_tables(ref_exons, write=True), [*dict.fromkeys(["transcript_id", "chrom", "strand", *more])]
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
-    ends = own["last_exons"].select(*dict.fromkeys(["transcript_id", *place, *more]))
-    last = written(classified_last_exons(ends, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size, carry=()).where("not in_exon").select("transcript_id", *more, "event_type"), "last-exons")
-    left = own["last_introns"].select("transcript_id", *place).join(last.where("event_type is null").select("transcript_id"), "transcript_id", "left_semi")
-    spliced = event_types_by_id(spliced_events(left, gaps, bin_size=bin_size, how="left")).select("transcript_id", F.when(F.col("event_type") == "", "last_exon_spliced").otherwise(F.col("event_type")).alias("_spliced"))
-    typed = last.join(spliced, "transcript_id", "left")
-    out = typed.withColumn("event_type", F.coalesce("event_type", "_spliced")).where("event_type is not null").drop("_spliced")
+    ends = own["last_sites"].select(*dict.fromkeys([*keep, "start", "end", "site"]))
+    last = written(classified_last_exons(ends, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size, carry=()).where("not in_exon").select(*keep, "site", "event_type"), "last-exons")
+    at = gaps.groupBy(five_end().alias("site"), "chrom", "strand").agg(*(F.max(F.col("region_rank") == rank).alias(f"_{rank}") for rank in NOT_LAST))
+    types = F.concat_ws(",", *(F.when(F.col(f"_{rank}"), event_name(F.lit(rank), "spliced")) for rank in NOT_LAST))
+    left = last.where("event_type is null and site is not null").drop("event_type").join(at, ["site", "chrom", "strand"], "left")
+    spliced = left.withColumn("event_type", F.coalesce(F.nullif(types, F.lit("")), F.lit("last_exon_spliced")))
+    out = last.where("event_type is not null").unionByName(spliced.select(*last.columns)).select("transcript_id", *more, "event_type")
     return forced_extensions(out, extension_string) if extension_string else out
 
 

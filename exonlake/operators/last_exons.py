@@ -85,20 +85,23 @@ def with_le_ids(df: DataFrame, extensions: bool = True, bin_size: int = BIN) ->
 
 
 def _number_small_genes(df: DataFrame, extensions: bool, key: str = "last_exon_extension") -> DataFrame:
-    """number_last_exons, and renumber_extensions if so, by windows over whole genes."""
-    whole, edge = Window.partitionBy(*reversed(GENE)), Window.unboundedPreceding
-    along = whole.orderBy("start", "end")
-    own = df.withColumn("_reach", F.max("end").over(along.rowsBetween(edge, -1)))
-    own = own.withColumn("_open", (F.col("_reach").isNull() | (F.col("start") > F.col("_reach"))).cast("int"))
-    own = own.withColumn("_k", F.sum("_open").over(along.rowsBetween(edge, 0)))
-    own = own.withColumn("_islands", F.sum("_open").over(whole))
-    number = F.when(on_plus(), F.col("_k")).otherwise(F.col("_islands") - F.col("_k") + 1)
+    """number_last_exons, and renumber_extensions if so, by windows over whole genes.
+
+    All windows run 5' to 3' over one sort, so that numbers and extended ones are counted as they are met.
+    """
+    edge = Window.unboundedPreceding
+    along = Window.partitionBy(*reversed(GENE)).orderBy("_fs", "_fe")
+    before, upto = along.rowsBetween(edge, -1), along.rowsBetween(edge, 0)
+    own = df.withColumns({"_fs": F.when(on_plus(), F.col("start")).otherwise(-F.col("end")), "_fe": F.when(on_plus(), F.col("end")).otherwise(-F.col("start"))})
+    own = own.withColumn("_reach", F.max("_fe").over(before))
+    own = own.withColumn("_k", F.sum((F.col("_reach").isNull() | (F.col("_fs") > F.col("_reach"))).cast("int")).over(upto))
+    number = F.col("_k")
     if extensions:
         own = own.withColumn("_ext", F.coalesce(F.col("event_type").contains(key), F.lit(False)).cast("int"))
-        own = own.withColumn("_any", F.max("_ext").over(Window.partitionBy(*reversed(GENE), "_k")))
-        once = F.sum(F.col("_any") * F.col("_open"))  # one row of an island opens it
-        own = own.withColumns({"_upto": once.over(whole.orderBy("_k").rangeBetween(edge, 0)), "_all": once.over(whole)})
-        number = number + F.when(on_plus(), F.col("_upto") - F.col("_any")).otherwise(F.col("_all") - F.col("_upto")) + F.col("_ext")
+        own = own.withColumn("_seen", F.coalesce(F.max(F.when(F.col("_ext") == 1, F.col("_k"))).over(before), F.lit(0)))  # the last island before that is known to be extended
+        known = F.col("_seen") == F.col("_k")
+        own = own.withColumn("_all", F.sum(F.when(known, 0).otherwise(F.col("_ext"))).over(upto))
+        number = number + F.col("_all") - F.when(known, 1).otherwise(F.col("_ext")) + F.col("_ext")
     return own.withColumn("le_number", number.cast("int")).select(*df.columns, "le_number")
 
 

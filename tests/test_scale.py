@@ -269,3 +269,18 @@ def test_all_id_maps_look_genes_up_once(spark):
 def test_bins_hold_both_median_lengths(spark):
     rows = spark.range(64).selectExpr("'c' chrom", "'+' strand", "id * 50 start", "id * 50 + 100 end")
     assert interval.fitted(rows, rows)[0] == 256  # 128 had four copies of a row where 256 has three
+
+
+def test_last_sites_and_numbers_of_genes_from_one_sort(spark):
+    """The last exon knows its intron's 5' site, so the two are not joined by transcript, and a gene's windows share one sort."""
+    rng = random.Random(21)
+    rows = [(f"t{k % 80}", "c", "+-"[k % 2], s, s + rng.choice([3, 5, 12, 40])) for k in range(400) for s in [rng.randrange(40) * 5]]
+    df = spark.createDataFrame(rows, "transcript_id string, chrom string, strand string, start long, end long")
+    for tables in (structure.exon_intron_tables(df), structure.structure_tables(structure.merged_structure(df))):
+        want = {r["transcript_id"]: r["start"] if r["strand"] == "+" else r["end"] for r in tables["last_introns"].collect()}
+        assert {r["transcript_id"]: r["site"] for r in tables["last_sites"].collect()} == {f"t{k}": want.get(f"t{k}") for k in range(80)}
+        del tables["last_introns"]  # not read
+        assert events.reference_event_types(None, tables=tables).count() > 0
+    genes = spark.createDataFrame([("t", "c", "+", "g", 0, 5, "last_exon_extension")], SPANS)
+    plan = last_exons._number_small_genes(genes, True)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
