@@ -50,6 +50,7 @@ FIT_DOCS = 50
 ITEM_BLOCK = 4096
 #: Items and words whose bins are counted in one step.
 OVERLAP_ITEMS, OVERLAP_WORDS = 256, 1 << 17
+#: Words of a block, and blocks of a window; windows are powers of two in order.
 STRIDE, WINDOWS = 8, (2, 4, 8)
 MIN_COSINE = 0.45
 _CHUNK = 1 << 18
@@ -356,24 +357,31 @@ def _search(docs: DataFrame, known, block: pa.Table, id_name: str, min_cosine: f
                 stop = np.minimum(np.arange(len(heads)) + size, last)
                 norm = np.sqrt(np.maximum(energy[stop] - energy[:-1], 1e-9))
                 near = np.flatnonzero(reach[stop] - reach[:-1] >= min_cosine * norm)
-                spans.append((size, near, stop[near], norm[near]))
+                spans.append((size, near, norm[near]))
                 np.add.at(wanted, near, 1)
                 np.add.at(wanted, stop[near], -1)
-            live = np.flatnonzero((at_row[term] >= 0) & (idf[term] > 0) & (np.cumsum(wanted)[:-1] > 0)[block_of])
-            if len(live):  # running sums over the blocks that have such words
-                own, at = np.unique(block_of[live], return_inverse=True)
+            within = np.cumsum(wanted)[:-1] > 0
+            own, spot = np.flatnonzero(within), np.cumsum(within) - 1  # a window's blocks stay neighbours
+            live = np.flatnonzero((at_row[term] >= 0) & (idf[term] > 0) & within[block_of])
+            if len(live):
                 rows = np.full((STRIDE, len(own)), -1)
-                rows[place[live] % STRIDE, at] = at_row[term[live]]
-                latent = np.zeros((len(own) + 1, directions.shape[1]), np.float32)
+                rows[place[live] % STRIDE, spot[block_of[live]]] = at_row[term[live]]
+                latent = np.zeros((len(own), directions.shape[1]), np.float32)
                 for r in rows:
                     has = np.flatnonzero(r >= 0)
-                    latent[1 + has] += directions[r[has]]
-                np.cumsum(latent, axis=0, out=latent)
+                    latent[has] += directions[r[has]]
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1))
             cand: dict[tuple[int, int], list] = {}
-            for size, near, stop, norm in spans if len(live) else ():
+            summed, text = 1, head_row[own]
+            for size, near, norm in spans if len(live) else ():
+                while summed < size:  # sums of so many blocks, or of those that are left of the text, by doubling
+                    ends = np.flatnonzero(text[summed:] != text[:-summed])
+                    alone = latent[ends]
+                    latent[:-summed] += latent[summed:]
+                    latent[ends] = alone
+                    summed *= 2
                 for part in np.array_split(np.arange(len(near)), len(near) // 4096 + 1):
-                    b = latent[np.searchsorted(own, stop[part])] - latent[np.searchsorted(own, near[part])]
+                    b = latent[spot[near[part]]]
                     far = np.einsum("ij,ij->i", b, b) >= (min_cosine * norm[part]) ** 2
                     part, b = part[far], b[far]
                     cosine = b @ vectors.T / norm[part, None]
