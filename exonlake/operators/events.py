@@ -159,17 +159,20 @@ def reference_event_types(ref_exons: DataFrame | None, extension_string: str | N
     return typed_last_exons(ref_exons, (), extension_string, bin_size, tables)
 
 
-def typed_last_exons(ref_exons: DataFrame | None, more: Sequence[str], extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None) -> DataFrame:
-    """reference_event_types with the columns ``more`` of the last exons, which classified rows keep, so that nothing is joined to get them back."""
+def typed_last_exons(ref_exons: DataFrame | None, more: Sequence[str], extension_string: str | None = None, bin_size: int | None = None, tables: dict[str, DataFrame] | None = None, free: bool = False) -> DataFrame:
+    """reference_event_types with the columns ``more`` of the last exons, which classified rows keep, so that nothing is joined to get them back.
+
+    With free, also the column ``free``: whether a last exon shares no base with a first or internal exon.
+    """
     own, keep = tables or exon_intron_tables(ref_exons, write=True), [*dict.fromkeys(["transcript_id", "chrom", "strand", *more])]
     exons, gaps = not_last_regions(own["exons"]), not_last_regions(own["introns"])
     ends = own["last_sites"].select(*dict.fromkeys([*keep, "start", "end", "site"]))
-    last = written(classified_last_exons(ends, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size, carry=()).where("not in_exon").select(*keep, "site", "event_type"), "last-exons")
+    last = written(classified_last_exons(ends, exons, 1, 0, 0, tolerance_filter=False, bin_size=bin_size, carry=()).where("not in_exon").select(*keep, "site", "event_type", (F.col("extension").isNull() & (F.col("start") < F.col("end"))).alias("free")), "last-exons")
     at = gaps.groupBy(five_end().alias("site"), "chrom", "strand").agg(*(F.max(F.col("region_rank") == rank).alias(f"_{rank}") for rank in NOT_LAST))
     types = F.concat_ws(",", *(F.when(F.col(f"_{rank}"), event_name(F.lit(rank), "spliced")) for rank in NOT_LAST))
     left = last.where("event_type is null and site is not null").drop("event_type").join(at, ["site", "chrom", "strand"], "left")
     spliced = left.withColumn("event_type", F.coalesce(F.nullif(types, F.lit("")), F.lit("last_exon_spliced")))
-    out = last.where("event_type is not null").unionByName(spliced.select(*last.columns)).select("transcript_id", *more, "event_type")
+    out = last.where("event_type is not null").unionByName(spliced.select(*last.columns)).select("transcript_id", *more, "event_type", *(["free"] if free else []))
     return forced_extensions(out, extension_string) if extension_string else out
 
 

@@ -59,17 +59,19 @@ def combined_annotation(novel: DataFrame | None, ref_exons: DataFrame | None, no
     the four id maps and info.  ``tables`` are the exon_intron_tables of the reference, if a caller has them.
     """
     own = tables or structure.exon_intron_tables(ref_exons, write=True)
-    typed = events.typed_last_exons(ref_exons, ("chrom", "strand", "start", "end", "gene_id", "gene_name"), extension_string, bin_size, own)
+    typed = events.typed_last_exons(ref_exons, ("chrom", "strand", "start", "end", "gene_id", "gene_name"), extension_string, bin_size, own, free=True)
     ref = typed.withColumnsRenamed({"gene_id": "ref_gene_id", "gene_name": "ref_gene_name"})
-    cols = ["transcript_id", "chrom", "strand", "start", "end", "event_type", "ref_gene_id", "ref_gene_name"]
+    cols = ["transcript_id", "chrom", "strand", "start", "end", "event_type", "ref_gene_id", "ref_gene_name", "free"]
     ref = ref.select(*cols)
     if novel is not None:
-        new = novel.withColumns({"ref_gene_id": F.col("gene_id_ref"), "ref_gene_name": F.array_join(F.array_distinct(F.split("gene_name_ref", ",")), ",")}).select(*cols)
+        new = novel.withColumns({"ref_gene_id": F.col("gene_id_ref"), "ref_gene_name": F.array_join(F.array_distinct(F.split("gene_name_ref", ",")), ","), "free": F.lit(False)}).select(*cols)
         new, ref = le.metagenes(new, ref)
         ref = new.unionByName(ref)
-    rows = written(le.with_le_ids(ref), "last-exon-ids")  # read by all that follows
+    ids = written(le.with_le_ids(ref), "last-exon-ids")  # read by all that follows
     inner = events.not_last_regions(own["exons"]).select("chrom", "strand", "start", "end")
-    unique = written(subtract(rows, inner, "transcript_id", bin_size=bin_size), "unique-regions")
+    rows, free = ids.drop("free"), ids.where("free").drop("free")
+    cut = subtract(ids.where("not free").drop("free"), inner, "transcript_id", bin_size=bin_size)  # the others are known to share no base with inner
+    unique = written(free.unionByName(cut), "unique-regions")
     dropped = rows.select("transcript_id").distinct().join(unique.select("transcript_id"), "transcript_id", "left_anti")
     return {"last_exons": rows, "unique": unique, "dropped": dropped, "info": le.info_table(unique, novel_prefix), **le.id_maps(unique)}
 

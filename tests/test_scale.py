@@ -284,3 +284,20 @@ def test_last_sites_and_numbers_of_genes_from_one_sort(spark):
     genes = spark.createDataFrame([("t", "c", "+", "g", 0, 5, "last_exon_extension")], SPANS)
     plan = last_exons._number_small_genes(genes, True)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
+def test_only_last_exons_that_share_bases_are_cut(spark, sf_dir, monkeypatch):
+    """Last exons that are known to share no base with the mask are unique as they are; subtract gets the others alone, with the same result."""
+    ref, seen = ad.ref_tables(spark, sf_dir), []
+
+    def noted(left, *args, **options):
+        seen.append(left)
+        return interval.subtract(left, *args, **options)
+
+    monkeypatch.setattr(jobs, "subtract", noted)
+    out = jobs.reference_annotation(None, tables=ref)
+    mask = events.not_last_regions(ref["exons"]).select("chrom", "strand", "start", "end")
+    cut, rows = seen[0], out["last_exons"]
+    assert 0 < cut.count() < rows.count() and interval.not_overlapping(cut, mask, "transcript_id").count() == 0
+    want = interval.subtract(rows, mask, "transcript_id")
+    assert out["unique"].columns == rows.columns and sorted(map(str, out["unique"].collect())) == sorted(map(str, want.collect()))
